@@ -14,40 +14,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def flag_listed(
-    df: DataFrame, blacklist: DataFrame, kind: str, id_column: str, flag: str, region_column: str = "region_code"
-) -> DataFrame:
-    """Add ``flag``: true where ``NOT IN`` would not keep the row."""
-    listed = blacklist.filter(F.col("type") == kind)
-    entries = (
-        listed.filter(F.col("element_id").isNotNull())
-        .select(F.col("region_code").alias("__region"), F.col("element_id").alias("__element"))
-        .distinct()
-        .withColumn("__hit", F.lit(True))
+def _entries(listed: DataFrame) -> DataFrame:
+    return listed.filter(F.col("element_id").isNotNull()).select(
+        F.col("region_code").alias("__region"), F.col("element_id").alias("__element")
     )
+
+
+def _with_region_rules(df: DataFrame, listed: DataFrame, id_column: str, region_column: str) -> DataFrame:
+    """Add __ruled_out: true where a NULL in the list or a NULL id excludes the row."""
     regions = listed.groupBy(F.col("region_code").alias("__list_region")).agg(
         F.bool_or(F.col("element_id").isNull()).alias("__has_null")
     )
-    looked_up = df.join(
-        entries,
-        (F.col(region_column) == F.col("__region")) & (F.col(id_column) == F.col("__element")),
-        "left",
-    ).join(regions, F.col(region_column) == F.col("__list_region"), "left")
-    has_list = F.col("__has_null").isNotNull()
-    excluded = (
-        F.coalesce(F.col("__hit"), F.lit(False))
-        | F.coalesce(F.col("__has_null"), F.lit(False))
-        | (F.col(id_column).isNull() & has_list)
-    )
-    return looked_up.withColumn(flag, excluded).drop(
-        "__region", "__element", "__hit", "__list_region", "__has_null"
-    )
+    # One row per region, whatever the length of the lists.
+    joined = df.join(F.broadcast(regions), F.col(region_column) == F.col("__list_region"), "left")
+    ruled_out = F.coalesce(F.col("__has_null") | F.col(id_column).isNull(), F.lit(False))
+    return joined.withColumn("__ruled_out", ruled_out).drop("__list_region", "__has_null")
 
 
 def not_listed(
     df: DataFrame, blacklist: DataFrame, kind: str, id_column: str, region_column: str = "region_code"
 ) -> DataFrame:
     """Keep the rows whose id is ``NOT IN`` the region's list of that kind."""
-    return flag_listed(df, blacklist, kind, id_column, "__listed", region_column).filter(~F.col("__listed")).drop(
-        "__listed"
+    listed = blacklist.filter(F.col("type") == kind)
+    allowed = df.join(
+        _entries(listed),
+        (F.col(region_column) == F.col("__region")) & (F.col(id_column) == F.col("__element")),
+        "left_anti",
+    )
+    ruled = _with_region_rules(allowed, listed, id_column, region_column)
+    return ruled.filter(~F.col("__ruled_out")).drop("__ruled_out")
+
+
+def flag_listed(
+    df: DataFrame, blacklist: DataFrame, kind: str, id_column: str, flag: str, region_column: str = "region_code"
+) -> DataFrame:
+    """Add ``flag``: true where ``NOT IN`` would not keep the row."""
+    listed = blacklist.filter(F.col("type") == kind)
+    entries = _entries(listed).distinct().withColumn("__hit", F.lit(True))
+    looked_up = df.join(
+        entries,
+        (F.col(region_column) == F.col("__region")) & (F.col(id_column) == F.col("__element")),
+        "left",
+    )
+    ruled = _with_region_rules(looked_up, listed, id_column, region_column)
+    return ruled.withColumn(flag, F.col("__hit").isNotNull() | F.col("__ruled_out")).drop(
+        "__region", "__element", "__hit", "__ruled_out"
     )

@@ -27,18 +27,20 @@ def of_country(df: DataFrame, country: str | None) -> DataFrame:
     return df if country is None else df.filter(F.col("country") == F.lower(F.lit(country)))
 
 
+def _daily(tables: Tables, dataset_id: int | None) -> DataFrame:
+    chosen = tables.dataset.filter(F.col("accumulated_days") == 1)
+    return chosen if dataset_id is None else chosen.filter(F.col("id") == dataset_id)
+
+
 def select_datasets(tables: Tables, country: str | None = None, dataset_id: int | None = None) -> DataFrame:
     """Daily (not accumulated) datasets of a country, optionally just one.
 
-    Columns: country, region_code, warehouse, dataset_identifier, stockout_weight
-    and microzone_group_code.
+    Columns: region_code, warehouse, dataset_identifier, stockout_weight and
+    microzone_group_code. The country only restricts, so it is a semi join: the
+    result is never larger than the dataset table, and the optimizer knows it.
     """
-    chosen = tables.dataset.filter(F.col("accumulated_days") == 1)
-    if dataset_id is not None:
-        chosen = chosen.filter(F.col("id") == dataset_id)
-    sites = of_country(sites_with_country(tables), country).select("country", "region_code")
-    return chosen.join(sites, "region_code").select(
-        "country",
+    sites = of_country(sites_with_country(tables), country).select("region_code")
+    return _daily(tables, dataset_id).join(sites, "region_code", "left_semi").select(
         "region_code",
         "warehouse",
         F.col("id").alias("dataset_identifier"),
@@ -47,6 +49,14 @@ def select_datasets(tables: Tables, country: str | None = None, dataset_id: int
     )
 
 
+def list_datasets(tables: Tables, country: str | None = None, dataset_id: int | None = None) -> DataFrame:
+    """The selected datasets with the name of their country."""
+    sites = of_country(sites_with_country(tables), country).select("country", "region_code")
+    return _daily(tables, dataset_id).join(sites, "region_code").select(
+        "country", "region_code", "warehouse", F.col("id").alias("dataset_identifier"), "stockout_weight"
+    )
+
+
 def site_warehouses(tables: Tables) -> DataFrame:
     """Regular warehouses of regular sites: region_code, warehouse, is_3pl."""
     sites = tables.site.filter(~F.col("identifier_value").isin(*EXCLUDED_SITES)).select(

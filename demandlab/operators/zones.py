@@ -17,21 +17,17 @@ SMALLEST_CELL = 1e-6
 
 
 def zone_shapes(tables: Tables) -> DataFrame:
-    """Zones of each region with edges and bounding box."""
-    sites = tables.site.select("site_id", F.col("identifier_value").alias("region_code"))
+    """Zones of each site with edges and bounding box."""
     x_min, x_max = geometry.extent(F.col("boundaries"), "x")
     y_min, y_max = geometry.extent(F.col("boundaries"), "y")
-    return (
-        tables.microzone.join(sites, "site_id")
-        .select(
-            "region_code",
-            "microzone_id",
-            geometry.edges(F.col("boundaries")).alias("edges"),
-            x_min.alias("x_min"),
-            x_max.alias("x_max"),
-            y_min.alias("y_min"),
-            y_max.alias("y_max"),
-        )
+    return tables.microzone.select(
+        "site_id",
+        "microzone_id",
+        geometry.edges(F.col("boundaries")).alias("edges"),
+        x_min.alias("x_min"),
+        x_max.alias("x_max"),
+        y_min.alias("y_min"),
+        y_max.alias("y_max"),
     )
 
 
@@ -46,7 +42,7 @@ def _cell(coordinate: Column, side: Column) -> Column:
 
 
 def match_zones(points: DataFrame, shapes: DataFrame, cell_side: float | None = None) -> DataFrame:
-    """Join points (region_code, latitude, longitude, ...) to the zones around them.
+    """Join points (site_id, latitude, longitude, ...) to the zones around them.
 
     Adds microzone_id. ``cell_side`` fixes the grid; by default it follows the
     zones themselves.
@@ -61,7 +57,7 @@ def match_zones(points: DataFrame, shapes: DataFrame, cell_side: float | None =
     )
     x, y = F.col("latitude"), F.col("longitude")
     return (
-        located.join(cells, ["region_code", "__cx", "__cy"])
+        located.join(cells, ["site_id", "__cx", "__cy"])
         .filter(x.between(F.col("x_min"), F.col("x_max")) & y.between(F.col("y_min"), F.col("y_max")))
         .filter(geometry.inside(F.col("edges"), x, y))
         .drop("__cx", "__cy", "edges", "x_min", "x_max", "y_min", "y_max")
@@ -69,8 +65,12 @@ def match_zones(points: DataFrame, shapes: DataFrame, cell_side: float | None =
 
 
 def match_zone_groups(points: DataFrame, tables: Tables, cell_side: float | None = None) -> DataFrame:
-    """Points with the microzone_group_code of each zone they lie in.
+    """Points (region_code, latitude, longitude, ...) with the group code of each zone around them.
 
     The polygon test runs once per point and zone, however many datasets use it.
+    The site is looked up for the points, so that the zone side of the join stays
+    a plain table whose size the optimizer knows.
     """
-    return match_zones(points, zone_shapes(tables), cell_side).join(tables.microzone_group, "microzone_id")
+    sites = tables.site.select("site_id", F.col("identifier_value").alias("region_code"))
+    placed = match_zones(points.join(sites, "region_code"), zone_shapes(tables), cell_side)
+    return placed.join(tables.microzone_group, "microzone_id").drop("site_id")

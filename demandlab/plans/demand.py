@@ -72,11 +72,16 @@ def _populations(variants: Iterable[Variant]) -> dict[str, Column]:
 
 
 def _kept(variant: Variant) -> Column:
-    """Whether the variant keeps a counted line. Thresholds drop NULL quantities."""
+    """Whether the variant keeps a counted line.
+
+    A threshold drops lines without quantity or without product.
+    """
     conditions = []
     if variant.user_list:
         conditions.append(~F.col("user_listed"))
     suffix = variant.population
+    if variant.needs_thresholds:
+        conditions.append(F.col("product_id").isNotNull())
     if variant.sigma_lines:
         bound = F.col(f"average_{suffix}") + F.col(f"std_dev_{suffix}") * SIGMAS
         conditions.append(F.col("quantity") <= bound)
@@ -98,9 +103,12 @@ def kept_quantities(lines: DataFrame, new_skus: DataFrame, variants: Sequence[Va
     if any(v.needs_thresholds for v in variants):
         counted = count_lines(lines)
         thresholds = line_thresholds(counted, _populations(variants))
-        # Counted lines always have thresholds, unless their product is NULL;
-        # those lines have to survive for the variants without threshold.
-        counted = counted.join(thresholds, list(GROUP), "left")
+        # Every counted line has thresholds. The null-safe comparison keeps lines
+        # without product, and adds no IS NOT NULL filter to only one of the two
+        # branches, so Spark can reuse the shuffle of the counts for both.
+        renamed = thresholds.withColumnsRenamed({name: f"__{name}" for name in GROUP})
+        same_group = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in GROUP]
+        counted = counted.join(renamed, same_group).drop(*[f"__{name}" for name in GROUP])
         quantity = F.col(LINE_COUNT) * F.col("quantity")
     else:
         keys = [*GROUP, "close_date", *(["user_listed"] if "user_listed" in lines.columns else [])]

@@ -22,6 +22,7 @@ from demandlab.operators.order_lines import CLOSED, kept_lines
 from demandlab.operators.sku import remap_products
 from demandlab.operators.zones import match_zone_groups
 from demandlab.plans.demand import VARIANTS
+from demandlab.session import materialize
 from demandlab.sources.tables import Tables
 
 # Owners that count as first party, days a product stays in the
@@ -197,11 +198,13 @@ class Evaluation:
         category: str | None = None,
     ) -> None:
         self.tables = tables
-        self.cases = _with_wanted_type(cases.select(*CASE_COLUMNS), tables)
+        # Both are small and read by several branches. Once stored, their true
+        # size is known, which decides between broadcast and shuffle.
+        self.cases = materialize(_with_wanted_type(cases.select(*CASE_COLUMNS), tables), "cases")
+        self.sales_dates = materialize(product_sales_dates(tables, self.cases), "sales-dates")
         self.as_of = as_of
         self.by_category = by_category or category is not None
         self.category = category
-        self.sales_dates = product_sales_dates(tables, cases)
         self.group = (*CASE, "category") if self.by_category else CASE
 
     def _categorised(self, rows: DataFrame, warehouse: str) -> DataFrame:

@@ -7,8 +7,9 @@ SQL for the check.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlab.operators.datasets import select_datasets
@@ -28,171 +29,145 @@ ANCHORS = tuple(
 )
 
 
-def _rows(*rows: tuple) -> Column:
-    """An array of literal structs with fields c1, c2, ..."""
-    return F.array(
-        *[F.struct(*[F.lit(value).alias(f"c{i}") for i, value in enumerate(row, 1)]) for row in rows]
-    )
-
+# Zone 1 has a hole, zone 2 overlaps zone 1, zone 3 is an L. No vertex lies on
+# the 0.1 grid of the points.
+ZONES = """
+    (1, array(array(named_struct('x', 0.05D, 'y', 0.05D), named_struct('x', 5.05D, 'y', 0.05D),
+                    named_struct('x', 5.05D, 'y', 6.05D), named_struct('x', 0.05D, 'y', 6.05D)),
+              array(named_struct('x', 1.05D, 'y', 1.05D), named_struct('x', 2.05D, 'y', 1.05D),
+                    named_struct('x', 2.05D, 'y', 2.05D), named_struct('x', 1.05D, 'y', 2.05D)))),
+    (2, array(array(named_struct('x', 3.05D, 'y', 2.05D), named_struct('x', 7.05D, 'y', 2.05D),
+                    named_struct('x', 7.05D, 'y', 7.05D), named_struct('x', 3.05D, 'y', 7.05D)))),
+    (3, array(array(named_struct('x', 5.05D, 'y', 0.05D), named_struct('x', 9.65D, 'y', 0.05D),
+                    named_struct('x', 9.65D, 'y', 8.85D), named_struct('x', 7.05D, 'y', 8.85D),
+                    named_struct('x', 7.05D, 'y', 4.05D), named_struct('x', 5.05D, 'y', 4.05D))))"""
+GROUP_ZONES = "('ALL', 1), ('ALL', 2), ('ALL', 3), ('W0', 1), ('W0', 2), ('W1', 2), ('W1', 3), ('W2', 1), ('W2', 3)"
 
-def _ring(*points: tuple[float, float]) -> Column:
-    return F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in points])
 
+def _each(table: DataFrame, names: str, rows: str) -> DataFrame:
+    """``table`` with each of the literal rows beside every row."""
+    return table.selectExpr("*", f"inline(array({rows})) AS ({names})")
 
-def _rectangle(x1: float, y1: float, x2: float, y2: float) -> Column:
-    return _ring((x1, y1), (x2, y1), (x2, y2), (x1, y2))
 
+@functools.cache
+def source_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """Everything but the engine's own outputs (demand, forecast).
 
-def _zones() -> Column:
-    """Zone 1 has a hole, zone 2 overlaps zone 1, zone 3 is an L.
-
-    No vertex lies on the 0.1 grid of the points.
+    What is kept per session is the plan, not the data.
     """
-    with_hole = F.array(_rectangle(0.05, 0.05, 5.05, 6.05), _rectangle(1.05, 1.05, 2.05, 2.05))
-    overlapping = F.array(_rectangle(3.05, 2.05, 7.05, 7.05))
-    l_shape = F.array(
-        _ring((5.05, 0.05), (9.65, 0.05), (9.65, 8.85), (7.05, 8.85), (7.05, 4.05), (5.05, 4.05))
-    )
-    shapes = (with_hole, overlapping, l_shape)
-    return F.array(
-        *[F.struct(F.lit(n).alias("number"), shape.alias("boundaries")) for n, shape in enumerate(shapes, 1)]
-    )
-
-
-_GROUP_ZONES = (("ALL", 1), ("ALL", 2), ("ALL", 3), ("W0", 1), ("W0", 2), ("W1", 2), ("W1", 3), ("W2", 1), ("W2", 3))
-
-
-def source_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Everything but the engine's own outputs (demand, forecast)."""
 
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    region = read("region").select(F.col("r_regionkey").alias("site_id"), F.col("r_name").alias("region_code"))
+    region = read("region").selectExpr("r_regionkey AS site_id", "r_name AS region_code")
     customer = (
         read("customer")
         .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("site_id"))
         .select("c_custkey", "c_mktsegment", "c_acctbal", "region_code")
     )
-    orders = read("orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    warehouse_name = F.concat(F.lit("W"), (F.col("o_custkey") % 3).cast("string"))
-    order_header = orders.select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("user_id"),
-        "region_code",
-        warehouse_name.alias("warehouse"),
-        F.col("c_mktsegment").alias("tag_name"),
-        F.when(F.col("o_orderstatus") == "P", 0).otherwise(1).alias("status"),
-        F.to_date("o_orderdate").alias("close_date"),
-        ((F.col("o_custkey") % 97) / 10).alias("latitude"),
-        ((F.col("o_custkey") % 89) / 10).alias("longitude"),
+    order_header = (
+        read("orders")
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .selectExpr(
+            "o_orderkey AS id",
+            "o_custkey AS user_id",
+            "region_code",
+            "concat('W', o_custkey % 3) AS warehouse",
+            "c_mktsegment AS tag_name",
+            "CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS status",
+            "CAST(o_orderdate AS DATE) AS close_date",
+            "(o_custkey % 97) / 10 AS latitude",
+            "(o_custkey % 89) / 10 AS longitude",
+        )
     )
     lineitem, part = read("lineitem"), read("part")
-    product = F.col("l_partkey") % 50
-    third_party = (product % 4 == 0) | ((product % 4 == 1) & (F.col("l_suppkey") % 2 == 1))
-    order_line = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_orderkey").alias("order_id"),
-        product.alias("product_id"),
-        F.when(F.col("l_orderkey") % 45 == 7, F.lit(2000.0)).otherwise(F.col("l_quantity")).alias("quantity"),
-        F.col("p_retailprice").alias("price"),
-        F.when(F.col("l_returnflag") == "R", "true").otherwise("false").alias("is_deleted"),
-        F.when(third_party, F.lit(99)).otherwise(F.lit(1)).alias("owner_id"),
-    )
-    products = part.select((F.col("p_partkey") % 50).alias("product_id")).distinct()
-    new_skus = products.filter((F.col("product_id") % 10).isin(7, 9)).select(
-        F.col("product_id").alias("old_product_id"),
-        (F.col("product_id") - 1).alias("new_product_id"),
-        F.when(F.col("product_id") % 10 == 9, F.lit(4.0)).otherwise(F.lit(0.5)).alias("old_units_per_new_unit"),
-    )
-    catalog = products.select(
+    third_party = "l_partkey % 50 % 4 = 0 OR (l_partkey % 50 % 4 = 1 AND l_suppkey % 2 = 1)"
+    order_line = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+        "l_orderkey AS order_id",
+        "l_partkey % 50 AS product_id",
+        "CASE WHEN l_orderkey % 45 = 7 THEN 2000.0D ELSE l_quantity END AS quantity",
+        "p_retailprice AS price",
+        "CASE WHEN l_returnflag = 'R' THEN 'true' ELSE 'false' END AS is_deleted",
+        f"CASE WHEN {third_party} THEN 99L ELSE 1L END AS owner_id",
+    )
+    products = part.selectExpr("p_partkey % 50 AS product_id").distinct()
+    new_skus = products.filter("product_id % 10 IN (7, 9)").selectExpr(
+        "product_id AS old_product_id",
+        "product_id - 1 AS new_product_id",
+        "CASE WHEN product_id % 10 = 9 THEN 4.0D ELSE 0.5D END AS old_units_per_new_unit",
+    )
+    catalog = products.selectExpr(
         "product_id",
-        F.explode(F.array(*[F.lit(w) for w in ("ALL", "W0", "W1", "W2")])).alias("warehouse"),
-        F.when(F.col("product_id") % 3 == 0, "FRUVER").otherwise("OTHER").alias("category"),
+        "explode(array('ALL', 'W0', 'W1', 'W2')) AS warehouse",
+        "CASE WHEN product_id % 3 = 0 THEN 'FRUVER' ELSE 'OTHER' END AS category",
     )
     stockout = (
-        lineitem.filter((F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 1))
-        .join(order_header.select("id", "region_code", "warehouse"), F.col("l_orderkey") == F.col("id"))
-        .select(
-            F.to_date("l_shipdate").alias("close_date"),
-            product.alias("product_id"),
+        lineitem.filter("l_returnflag = 'N' AND l_linenumber = 1")
+        .join(order_header, F.col("l_orderkey") == F.col("id"))
+        .selectExpr(
+            "CAST(l_shipdate AS DATE) AS close_date",
+            "l_partkey % 50 AS product_id",
             "region_code",
             "warehouse",
-            (F.col("l_quantity") / 2).alias("stockout_demand"),
+            "l_quantity / 2 AS stockout_demand",
         )
     )
     blacklist = (
-        customer.filter(F.col("c_acctbal") < -500)
-        .select(F.col("c_custkey").alias("element_id"), F.lit("user_id").alias("type"), "region_code")
+        customer.filter("c_acctbal < -500").selectExpr("c_custkey AS element_id", "'user_id' AS type", "region_code")
         .unionByName(
-            order_header.filter(F.col("id") % 211 == 0).select(
-                F.col("id").alias("element_id"), F.lit("order_id").alias("type"), "region_code"
-            )
+            order_header.filter("id % 211 = 0").selectExpr("id AS element_id", "'order_id' AS type", "region_code")
         )
         .unionByName(
-            region.filter(F.col("region_code").isin("AFRICA", "ASIA")).select(
-                F.lit(13).alias("element_id"), F.lit("product_id").alias("type"), "region_code"
+            region.filter("region_code IN ('AFRICA', 'ASIA')").selectExpr(
+                "13L AS element_id", "'product_id' AS type", "region_code"
             )
         )
     )
-    country = region.select(
-        (F.col("site_id") % 2).alias("country_id"),
-        F.concat(F.lit("C"), (F.col("site_id") % 2).cast("string")).alias("identifier_value"),
-    ).distinct()
-    dataset = region.select(
-        "*", F.explode(_rows((0, "ALL", 1), (1, "W0", 1), (2, "W1", 1), (3, "W2", 1), (9, "ALL", 7))).alias("r")
-    ).select(
-        (F.col("site_id") * 10 + F.col("r.c1")).alias("id"),
+    dataset = _each(
+        region, "n, warehouse, accumulated_days", "(0, 'ALL', 1), (1, 'W0', 1), (2, 'W1', 1), (3, 'W2', 1), (9, 'ALL', 7)"
+    ).selectExpr(
+        "site_id * 10 + n AS id",
         "region_code",
-        F.col("r.c2").alias("warehouse"),
-        F.concat(F.lit("G"), F.col("site_id").cast("string"), F.lit("_"), F.col("r.c2")).alias("microzone_group_code"),
-        F.col("r.c3").alias("accumulated_days"),
-        F.lit(0.5).alias("stockout_weight"),
-    )
-    # Two setups per dataset; both are live for a while in May 2001.
-    forecast_params = dataset.select(
-        F.col("id").alias("dp_input_datasets_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("n")
-    ).select(
-        (F.col("dp_input_datasets_id") * 2 + F.col("n")).alias("id"),
+        "warehouse",
+        "concat('G', site_id, '_', warehouse) AS microzone_group_code",
+        "accumulated_days",
+        "0.5D AS stockout_weight",
+    )
+    # Two setups per dataset; neither is live on all days.
+    forecast_params = dataset.selectExpr("id AS dp_input_datasets_id", "explode(array(0, 1)) AS n").selectExpr(
+        "dp_input_datasets_id * 2 + n AS id",
         "dp_input_datasets_id",
-        F.when(F.col("n") == 0, F.lit(dt.date(1995, 1, 1))).otherwise(F.lit(dt.date(2001, 5, 10))).alias("start_day_live"),
-        F.when(F.col("n") == 0, F.lit(dt.date(2001, 5, 20)))
-        .when(F.col("dp_input_datasets_id") % 2 == 1, F.lit(dt.date(2001, 7, 15)))
-        .alias("end_day_live"),
-    )
-    zone_groups = region.select(
-        F.explode(_rows(*_GROUP_ZONES)).alias("r"), "site_id"
-    ).select(
-        F.concat(F.lit("G"), F.col("site_id").cast("string"), F.lit("_"), F.col("r.c1")).alias("microzone_group_code"),
-        (F.col("site_id") * 10 + F.col("r.c2")).alias("microzone_id"),
-    )
-    zones = region.select("site_id", F.explode(_zones()).alias("z")).select(
-        (F.col("site_id") * 10 + F.col("z.number")).alias("microzone_id"), "site_id", "z.boundaries"
-    )
-    accounts = _rows(
-        ("BUILDING", "W1", "true"), ("MACHINERY", "W0", "true"), ("MACHINERY", "W1", "true"), ("FURNITURE", "W0", "false")
-    )
-    customer_config = region.select(F.col("region_code").alias("region"), F.explode(accounts).alias("r")).select(
-        "region", F.col("r.c1").alias("tag_name"), F.col("r.c2").alias("warehouse"), F.col("r.c3").alias("warehouse_vip")
-    )
-    warehouse = region.select("site_id", F.explode(_rows(("W0", "False"), ("W1", "False"), ("W2", "True"))).alias("r")).select(
-        "site_id", F.col("r.c1").alias("identifier_value"), F.col("r.c2").alias("is_3pl")
+        "CASE n WHEN 0 THEN DATE'1995-01-01' ELSE DATE'2001-05-10' END AS start_day_live",
+        "CASE WHEN n = 0 THEN DATE'2001-05-20' WHEN dp_input_datasets_id % 2 = 1 THEN DATE'2001-07-15' END AS end_day_live",
     )
     return Tables(
         {
-            "country": country,
-            "site": region.select(
-                "site_id", F.col("region_code").alias("identifier_value"), (F.col("site_id") % 2).alias("country_id")
+            # The first two regions stand for the two countries.
+            "country": region.filter("site_id < 2").selectExpr(
+                "site_id AS country_id", "concat('C', site_id) AS identifier_value"
+            ),
+            "site": region.selectExpr("site_id", "region_code AS identifier_value", "site_id % 2 AS country_id"),
+            "warehouse": _each(
+                region, "identifier_value, is_3pl", "('W0', 'False'), ('W1', 'False'), ('W2', 'True')"
             ),
-            "warehouse": warehouse,
             "dataset": dataset,
             "forecast_params": forecast_params,
-            "microzone_group": zone_groups,
-            "microzone": zones,
+            "microzone_group": _each(region, "warehouse, number", GROUP_ZONES).selectExpr(
+                "concat('G', site_id, '_', warehouse) AS microzone_group_code", "site_id * 10 + number AS microzone_id"
+            ),
+            "microzone": _each(region, "number, boundaries", ZONES).selectExpr(
+                "site_id * 10 + number AS microzone_id", "site_id", "boundaries"
+            ),
             "order_header": order_header,
             "order_line": order_line,
             "new_skus": new_skus,
-            "customer_config": customer_config,
+            "customer_config": _each(
+                region.withColumnRenamed("region_code", "region"),
+                "tag_name, warehouse, warehouse_vip",
+                "('BUILDING', 'W1', 'true'), ('MACHINERY', 'W0', 'true'), "
+                "('MACHINERY', 'W1', 'true'), ('FURNITURE', 'W0', 'false')",
+            ),
             "blacklist": blacklist,
             "stockout_by_warehouse": stockout,
             "stockout_by_region": stockout.drop("warehouse"),
@@ -212,25 +187,22 @@ def _forecasts(tables: Tables, demand: DataFrame, cases: DataFrame) -> DataFrame
     Half of the experiments use retired codes for some products, so that the
     product map has something to do.
     """
-    variants = F.array(*[F.lit(v.number) for v in VARIANTS])
     newest = tables.forecast_params.groupBy("dp_input_datasets_id").agg(F.max("id").alias("params"))
     days = case_days(cases).withColumnRenamed("day", "date").join(newest, "dp_input_datasets_id")
-    k = F.col("k")
-    retired = (F.col("product_id") % 10 == 8) & (k % 2 == 0)
-    amount = F.col("demand") * (1 + k / 16)
     return (
         demand.join(days, ["dp_input_datasets_id", "date"])
-        .withColumn("k", F.explode(variants))
-        .filter(F.col("product_id") % 8 != k - 1)
-        .select(
-            F.col("date").alias("forecast_date"),
-            F.col("anchor").cast("timestamp").alias("created_on"),
+        .selectExpr("*", f"explode(array({', '.join(str(v.number) for v in VARIANTS)})) AS k")
+        .filter("product_id % 8 <> k - 1")
+        .selectExpr("*", "product_id % 10 = 8 AND k % 2 = 0 AS retired", "demand * (1 + k / 16) AS amount")
+        .selectExpr(
+            "date AS forecast_date",
+            "CAST(anchor AS TIMESTAMP) AS created_on",
             "region_code",
             "warehouse",
-            F.col("params").alias("dp_forecast_params_id"),
-            F.when(retired, F.col("product_id") + 1).otherwise(F.col("product_id")).alias("product_id"),
-            F.when(retired, amount / 4).otherwise(amount).alias("forecast_quantity"),
-            F.concat(F.lit("experiment_"), k.cast("string")).alias("experiment"),
+            "params AS dp_forecast_params_id",
+            "CASE WHEN retired THEN product_id + 1 ELSE product_id END AS product_id",
+            "CASE WHEN retired THEN amount / 4 ELSE amount END AS forecast_quantity",
+            "concat('experiment_', k) AS experiment",
         )
     )
 

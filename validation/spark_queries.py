@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlab.functions.calendar import business_horizon, is_working_day
-from demandlab.operators.datasets import of_country, select_datasets, sites_with_country
+from demandlab.operators.datasets import list_datasets, of_country, select_datasets, sites_with_country
 from demandlab.operators.order_lines import (
     closed_orders,
     key_account_orders,
@@ -82,7 +82,7 @@ def country_orders(spark, sf_dir):
 @query
 def region_fanout(spark, sf_dir):
     tables = source_tables(spark, sf_dir)
-    datasets = select_datasets(tables).drop("microzone_group_code").withColumnRenamed("warehouse", "dataset_warehouse")
+    datasets = list_datasets(tables).withColumnRenamed("warehouse", "dataset_warehouse")
     return tables.order_header.select("id", "region_code", "close_date").join(datasets, "region_code")
 
 
@@ -112,7 +112,8 @@ def sku_remap(spark, sf_dir):
 @query
 def zone_join(spark, sf_dir):
     tables = source_tables(spark, sf_dir)
-    points = tables.order_header.select("id", "region_code", "latitude", "longitude")
+    sites = tables.site.withColumnRenamed("identifier_value", "region_code")
+    points = tables.order_header.select("id", "region_code", "latitude", "longitude").join(sites, "region_code")
     return match_zones(points, zone_shapes(tables)).select("id", "region_code", "microzone_id")
 
 
