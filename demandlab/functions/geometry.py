@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 def _ring_edges(ring: Column) -> Column:
     """Consecutive vertex pairs of one ring, closing the ring if it is left open."""
     following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
-    return F.zip_with(
-        ring,
-        following,
-        lambda p, q: F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")),
-    )
+
+    def upward(p: Column, q: Column) -> Column:
+        low, high = F.when(p["y"] <= q["y"], p).otherwise(q), F.when(p["y"] <= q["y"], q).otherwise(p)
+        return F.struct(
+            low["x"].alias("x1"), low["y"].alias("y1"), high["x"].alias("x2"), high["y"].alias("y2")
+        )
+
+    return F.zip_with(ring, following, upward)
 
 
 def edges(boundaries: Column) -> Column:
-    """All edges of all rings as ``array<struct<x1, y1, x2, y2>>``.
+    """All edges of all rings as ``array<struct<x1, y1, x2, y2>>`` with y1 <= y2.
 
     Build this once per zone: one even-odd count over every ring together gives
     the same answer as testing the outer ring and then the holes.
@@ -38,21 +41,17 @@ def extent(boundaries: Column, axis: str) -> tuple[Column, Column]:
 def inside(zone_edges: Column, x: Column, y: Column) -> Column:
     """True when the point is strictly inside; points on an edge are outside."""
 
+    def side(e: Column) -> Column:
+        """Positive where the edge lies at larger x than the point, 0 on its line."""
+        return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
+
+    # The cheap comparisons come first and settle most edges.
     def crosses(e: Column) -> Column:
-        # Written without division: the ray to larger x meets the edge when the
-        # signed area has the sign of the edge's direction.
-        area = (x - e["x1"]) * (e["y2"] - e["y1"]) - (y - e["y1"]) * (e["x2"] - e["x1"])
-        upward = (e["y1"] <= y) & (e["y2"] > y) & (area < 0)
-        downward = (e["y2"] <= y) & (e["y1"] > y) & (area > 0)
-        return upward | downward
+        return (e["y1"] <= y) & (y < e["y2"]) & (side(e) > 0)
 
     def touches(e: Column) -> Column:
-        area = (x - e["x1"]) * (e["y2"] - e["y1"]) - (y - e["y1"]) * (e["x2"] - e["x1"])
-        return (
-            (area == 0)
-            & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
+        within = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+        return (e["y1"] <= y) & (y <= e["y2"]) & (side(e) == 0) & within
 
     odd = F.size(F.filter(zone_edges, crosses)) % 2 == 1
     return odd & ~F.exists(zone_edges, touches)

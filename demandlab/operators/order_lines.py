@@ -61,13 +61,12 @@ def zone_orders(tables: Tables, datasets: DataFrame, as_of: dt.date) -> DataFram
 def key_account_orders(tables: Tables, datasets: DataFrame, as_of: dt.date) -> DataFrame:
     """Orders of key accounts, for the dataset of the warehouse that serves them."""
     single = datasets.filter(F.col("warehouse") != ANY_WAREHOUSE)
-    accounts = single.join(
-        key_accounts(tables).withColumnRenamed("account_warehouse", "warehouse"), ["region_code", "warehouse"]
-    )
+    accounts = key_accounts(tables).withColumnRenamed("account_warehouse", "warehouse")
     return (
         closed_orders(tables, as_of)
         .select(*_HEADER, "tag_name")
-        .join(accounts.drop("warehouse"), ["region_code", "tag_name"])
+        .join(accounts, ["region_code", "tag_name"])
+        .join(single, ["region_code", "warehouse"])
         .select(*_ROUTED)
     )
 

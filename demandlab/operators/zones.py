@@ -1,8 +1,9 @@
 """Matching points to delivery zones by a grid equi-join.
 
 Every zone is listed under the grid cells its bounding box touches and every
-point falls in one cell, so the join is on (region, cell); the exact polygon test
-runs on the candidates only. A point inside two zones yields two rows.
+point falls in one cell, so the candidates come from a join on (site, cell). The
+exact polygon test runs on the candidates only, whose edges are looked up by zone:
+the cell list itself stays light. A point inside two zones yields two rows.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from demandlab.functions import geometry
 from demandlab.sources.tables import Tables
 
 SMALLEST_CELL = 1e-6
+MOST_CELLS_PER_SIDE = 64
 
 
 def zone_shapes(tables: Tables) -> DataFrame:
@@ -31,10 +33,16 @@ def zone_shapes(tables: Tables) -> DataFrame:
     )
 
 
-def typical_side(shapes: DataFrame) -> Column:
-    """Mean longer side of the bounding boxes: a zone then covers about four cells."""
+def grid_side(shapes: DataFrame) -> Column:
+    """Cell side: the mean longer side of the bounding boxes.
+
+    A typical zone then covers about four cells. One very large zone among small
+    ones makes the cells larger, so that no zone is listed under more than 64 by
+    64 of them.
+    """
     side = F.greatest(F.col("x_max") - F.col("x_min"), F.col("y_max") - F.col("y_min"))
-    return shapes.agg(F.greatest(F.avg(side), F.lit(SMALLEST_CELL)).alias("side")).scalar()
+    chosen = F.greatest(F.avg(side), F.max(side) / MOST_CELLS_PER_SIDE, F.lit(SMALLEST_CELL))
+    return shapes.agg(chosen.alias("side")).scalar()
 
 
 def _cell(coordinate: Column, side: Column) -> Column:
@@ -47,20 +55,24 @@ def match_zones(points: DataFrame, shapes: DataFrame, cell_side: float | None =
     Adds microzone_id. ``cell_side`` fixes the grid; by default it follows the
     zones themselves.
     """
-    side = typical_side(shapes) if cell_side is None else F.lit(float(cell_side))
+    side = grid_side(shapes) if cell_side is None else F.lit(float(cell_side))
+    x, y = F.col("latitude"), F.col("longitude")
     cells = (
-        shapes.withColumn("__cx", F.explode(F.sequence(_cell(F.col("x_min"), side), _cell(F.col("x_max"), side))))
+        shapes.drop("edges")
+        .withColumn("__cx", F.explode(F.sequence(_cell(F.col("x_min"), side), _cell(F.col("x_max"), side))))
         .withColumn("__cy", F.explode(F.sequence(_cell(F.col("y_min"), side), _cell(F.col("y_max"), side))))
     )
-    located = points.withColumns(
-        {"__cx": _cell(F.col("latitude"), side), "__cy": _cell(F.col("longitude"), side)}
+    candidates = (
+        points.withColumns({"__cx": _cell(x, side), "__cy": _cell(y, side)})
+        .join(cells, ["site_id", "__cx", "__cy"])
+        .filter(x.between(F.col("x_min"), F.col("x_max")) & y.between(F.col("y_min"), F.col("y_max")))
+        .drop("__cx", "__cy", "x_min", "x_max", "y_min", "y_max")
     )
-    x, y = F.col("latitude"), F.col("longitude")
+    outlines = shapes.select("site_id", "microzone_id", "edges")
     return (
-        located.join(cells, ["site_id", "__cx", "__cy"])
-        .filter(x.between(F.col("x_min"), F.col("x_max")) & y.between(F.col("y_min"), F.col("y_max")))
+        candidates.join(outlines, ["site_id", "microzone_id"])
         .filter(geometry.inside(F.col("edges"), x, y))
-        .drop("__cx", "__cy", "edges", "x_min", "x_max", "y_min", "y_max")
+        .drop("edges")
     )
 
 

@@ -219,7 +219,12 @@ class Evaluation:
         days = case_days(self.cases).select(
             *CASE, F.col("region_code").alias("__cohort_region"), "wanted_type", F.col("day").alias("close_date")
         )
-        places = latest_params(self.tables).drop("dp_forecast_params_id")
+        # Datasets with a forecast setup. A semi join, so that the optimizer knows
+        # this side is no larger than the dataset table.
+        places = (
+            self.tables.dataset.select(F.col("id").alias("dp_input_datasets_id"), "region_code", "warehouse")
+            .join(self.tables.forecast_params, "dp_input_datasets_id", "left_semi")
+        )
         rows = remap_products(
             actuals.join(days, ["dp_input_datasets_id", "close_date"]).join(places, "dp_input_datasets_id"),
             self.tables.new_skus,
@@ -236,18 +241,14 @@ class Evaluation:
         One row of sales counts once per zone it lies in and per live setup.
         """
         tables = self.tables
-        places = self.cases.select("region_code", "warehouse").distinct()
+        places = self.cases.select("region_code", "warehouse")
         open_end = F.date_add(F.lit(self.as_of), OPEN_END_DAYS)
-        setups = (
-            tables.forecast_params.select("dp_input_datasets_id", "start_day_live", "end_day_live")
-            .join(
-                tables.dataset.filter(F.col("accumulated_days") == 1).select(
-                    F.col("id").alias("dp_input_datasets_id"), "region_code", "warehouse", "microzone_group_code"
-                ),
-                "dp_input_datasets_id",
-            )
-            .join(places, ["region_code", "warehouse"])
+        datasets = (
+            tables.dataset.filter(F.col("accumulated_days") == 1)
+            .select(F.col("id").alias("dp_input_datasets_id"), "region_code", "warehouse", "microzone_group_code")
+            .join(places, ["region_code", "warehouse"], "left_semi")
         )
+        setups = tables.forecast_params.select("dp_input_datasets_id", "start_day_live", "end_day_live")
         judged_days = case_days(self.cases).select("region_code", F.col("day").alias("close_date")).distinct()
         headers = (
             tables.order_header.filter(F.col("status") == CLOSED)
@@ -256,10 +257,11 @@ class Evaluation:
         )
         live = (
             match_zone_groups(headers, tables)
-            .join(setups, ["region_code", "microzone_group_code"])
+            .join(datasets, ["region_code", "microzone_group_code"])
+            .filter((F.col("warehouse") == ANY_WAREHOUSE) | (F.col("order_warehouse") == F.col("warehouse")))
+            .join(setups, "dp_input_datasets_id")
             .filter(
-                ((F.col("warehouse") == ANY_WAREHOUSE) | (F.col("order_warehouse") == F.col("warehouse")))
-                & (F.col("close_date") >= F.col("start_day_live"))
+                (F.col("close_date") >= F.col("start_day_live"))
                 & (F.col("close_date") <= F.coalesce(F.col("end_day_live"), open_end))
             )
             .select("id", "region_code", "warehouse", "close_date")
