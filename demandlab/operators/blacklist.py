@@ -27,7 +27,8 @@ def _with_region_rules(df: DataFrame, listed: DataFrame, id_column: str, region_
     )
     # One row per region, whatever the length of the lists.
     joined = df.join(F.broadcast(regions), F.col(region_column) == F.col("__list_region"), "left")
-    ruled_out = F.coalesce(F.col("__has_null") | F.col(id_column).isNull(), F.lit(False))
+    has_list = F.col("__has_null").isNotNull()
+    ruled_out = F.when(has_list, F.col("__has_null") | F.col(id_column).isNull()).otherwise(F.lit(False))
     return joined.withColumn("__ruled_out", ruled_out).drop("__list_region", "__has_null")
 
 

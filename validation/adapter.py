@@ -207,10 +207,12 @@ def _forecasts(tables: Tables, demand: DataFrame, cases: DataFrame) -> DataFrame
     )
 
 
+@functools.cache
 def evaluation_tables(spark: SparkSession, sf_dir: str) -> tuple[Tables, DataFrame]:
     """Tables with stored demand and forecasts, and the cases to judge.
 
-    As in production, the demand is built and stored before it is judged.
+    As in production, the demand is built and stored before it is judged; a
+    session does so once per data folder.
     """
     tables = source_tables(spark, sf_dir)
     cases = all_cases(tables)
