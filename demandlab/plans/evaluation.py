@@ -102,15 +102,20 @@ def _with_wanted_type(cases: DataFrame, tables: Tables) -> DataFrame:
     )
 
 
-def product_sales_dates(tables: Tables, cases: DataFrame) -> DataFrame:
+def product_sales_dates(tables: Tables, cases: DataFrame, first_anchor: Column | None = None) -> DataFrame:
     """Last sale and last first-party sale of each product in the cases' regions.
 
     The cohort of any anchor follows from these two dates, so the lines are
-    aggregated once however many anchors there are.
+    aggregated once however many anchors there are. Older orders are left out in
+    the scan already.
     """
+    if first_anchor is None:
+        first_anchor = cases.agg(F.min("anchor")).scalar()
     regions = cases.groupBy("region_code").agg(F.date_sub(F.min("anchor"), COHORT_DAYS).alias("__from"))
     orders = (
-        tables.order_header.filter(F.col("status") == CLOSED)
+        tables.order_header.filter(
+            (F.col("status") == CLOSED) & (F.col("close_date") >= F.date_sub(first_anchor, COHORT_DAYS))
+        )
         .select("id", "region_code", "close_date")
         .join(regions, "region_code")
         .filter(F.col("close_date") >= F.col("__from"))
@@ -201,7 +206,14 @@ class Evaluation:
         # Both are small and read by several branches. Once stored, their true
         # size is known, which decides between broadcast and shuffle.
         self.cases = materialize(_with_wanted_type(cases.select(*CASE_COLUMNS), tables), "cases")
-        self.sales_dates = materialize(product_sales_dates(tables, self.cases), "sales-dates")
+        # The span of the cases, as literals that reach the scans of the facts.
+        span = self.cases.agg(
+            F.min("anchor").alias("first_anchor"),
+            F.max("anchor").alias("last_anchor"),
+            F.max(F.date_add("anchor", F.col("days"))).alias("last_day"),
+        ).first()
+        self.first_anchor, self.last_anchor, self.last_day = (F.lit(day) for day in span)
+        self.sales_dates = materialize(product_sales_dates(tables, self.cases, self.first_anchor), "sales-dates")
         self.as_of = as_of
         self.by_category = by_category or category is not None
         self.category = category
@@ -213,7 +225,9 @@ class Evaluation:
     def clean_demand(self) -> DataFrame:
         """Actual demand per case, day and product of the cohort."""
         actuals = (
-            self.tables.demand.filter(F.col("experiment") == ACTUALS_EXPERIMENT)
+            self.tables.demand.filter(
+                (F.col("experiment") == ACTUALS_EXPERIMENT) & F.col("date").between(self.first_anchor, self.last_day)
+            )
             .select(F.col("date").alias("close_date"), "product_id", "demand", "dp_input_datasets_id")
         )
         days = case_days(self.cases).select(
@@ -251,7 +265,9 @@ class Evaluation:
         setups = tables.forecast_params.select("dp_input_datasets_id", "start_day_live", "end_day_live")
         judged_days = case_days(self.cases).select("region_code", F.col("day").alias("close_date")).distinct()
         headers = (
-            tables.order_header.filter(F.col("status") == CLOSED)
+            tables.order_header.filter(
+                (F.col("status") == CLOSED) & F.col("close_date").between(self.first_anchor, self.last_day)
+            )
             .select("id", "region_code", F.col("warehouse").alias("order_warehouse"), "close_date", "latitude", "longitude")
             .join(judged_days, ["region_code", "close_date"])
         )
@@ -288,9 +304,11 @@ class Evaluation:
 
     def _forecast_rows(self) -> DataFrame:
         """Forecasts made on a case's anchor for its region and warehouse."""
-        made = self.tables.forecast.filter(F.col("experiment").isin(*EXPERIMENTS)).withColumn(
-            "created_on", F.to_date("created_on")
-        )
+        made = self.tables.forecast.filter(
+            F.col("experiment").isin(*EXPERIMENTS)
+            & (F.col("created_on") >= self.first_anchor.cast("timestamp"))
+            & (F.col("created_on") < F.date_add(self.last_anchor, 1).cast("timestamp"))
+        ).withColumn("created_on", F.to_date("created_on"))
         cases = self.cases.select(*CASE, "region_code", "warehouse", "wanted_type").withColumn(
             "created_on", F.col("anchor")
         )

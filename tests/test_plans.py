@@ -1,5 +1,6 @@
 """The plans that matter at scale, read from the query plans themselves."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -8,9 +9,10 @@ from pyspark.sql import functions as F
 from demandlab.operators.datasets import select_datasets
 from demandlab.operators.order_lines import closed_orders, order_lines
 from demandlab.plans.demand import build_demand
+from demandlab.plans.evaluation import Evaluation, evaluation_cases
 from demandlab.sources.schemas import TABLE_COLUMNS
 from demandlab.sources.tables import parquet_tables
-from validation.adapter import AS_OF, source_tables
+from validation.adapter import ANCHORS, AS_OF, source_tables
 
 SF = "/root/testdata/sf0.001"
 STORED = [name for name in TABLE_COLUMNS if name not in ("demand", "input_demand", "forecast")]
@@ -99,3 +101,11 @@ def test_bucketed_lines_are_joined_where_they_lie(spark, stored):
         if "SortMergeJoin" in line and line in above:
             break
     assert above and not any("Exchange" in line for line in above)
+
+
+def test_anchor_span_reaches_the_fact_scans(stored):
+    cases = evaluation_cases(select_datasets(stored), ANCHORS, 40)
+    text = plan(Evaluation(stored, cases, AS_OF).daily_sales_value())
+    assert f"GreaterThanOrEqual(close_date,{min(ANCHORS).isoformat()})" in text
+    assert f"LessThanOrEqual(close_date,{(max(ANCHORS) + dt.timedelta(days=40)).isoformat()})" in text
+    assert text.count("SortMergeJoin") + text.count("ShuffledHashJoin") <= 1  # orders to lines
