@@ -29,10 +29,6 @@ def local_session(cores: str = "8", partitions: int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         # Building columns is several times faster without call sites for messages.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        # The local files are small: smaller splits and partitions keep all cores busy.
-        .config("spark.sql.files.openCostInBytes", "64k")
-        .config("spark.sql.files.maxPartitionBytes", "4m")
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .getOrCreate()
     )
 
