@@ -11,10 +11,10 @@ sets' Jaccard similarity is the threshold or more.
 3. A pair is verified on its full sets in the first band that it shares, so once.
    A first pass over the band hashes alone finds out who has such a pair where;
    only those send their n-grams there. A large bucket is dealt into chunks by its
-   number of n-grams, and each two chunks are a group of their own, so a group's
-   size is bounded whatever a bucket holds.
-4. A group returns counts and a star of links per text and group of its linked
-   texts, never the pairs.
+   number of n-grams and each two chunks meet by themselves; small buckets share a
+   group. So a group's size is bounded whatever a bucket holds.
+4. A bucket returns counts and a star of links per text of its linked texts, never
+   the pairs.
 
 Cases: texts without a word (null, empty, only signs) are alone; repeated rows
 and ties are copies of a class; rows without an id are classed and counted too;
@@ -41,6 +41,8 @@ from demandlab.session import materialize
 NGRAM, THRESHOLD, RECALL, MOST_ROWS = 5, Fraction(4, 5), 0.9995, 5
 #: N-grams in a chunk of a bucket; a group holds two chunks.
 CHUNK = 1 << 20
+#: Rows without n-grams in a group.
+PACK_ROWS = 1 << 16
 
 
 def choose_bands(threshold: float, recall: float, most_rows: int = MOST_ROWS) -> tuple[int, int]:
@@ -113,16 +115,21 @@ def _may_link(n_a, n_b, threshold: Fraction):
     return threshold.denominator * np.minimum(n_a, n_b) >= threshold.numerator * np.maximum(n_a, n_b)
 
 
-def _blocks(group: pd.DataFrame, threshold: Fraction):
-    """(low, high, pairs): rows low..high against all, True for the pairs that this group verifies."""
-    bands, n, chunk = np.stack(group["bands"].to_numpy()), group["n"].to_numpy(), group["chunk"].to_numpy()
-    band, i, j = (int(group[c].iloc[0]) for c in ("band", "i", "j"))
-    order = np.arange(len(group))
-    for low in range(0, len(group), 256):
-        high = min(len(group), low + 256)
+def _segments(rows: pd.DataFrame) -> Iterator[tuple[int, int]]:
+    """The ranges of rows of each bucket and two chunks; the rows are sorted by them."""
+    keys = rows[["bucket", "i", "j"]].to_numpy()
+    edges = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+    return zip(edges, np.append(edges[1:], len(rows)))
+
+
+def _open_pairs(bands: np.ndarray, n: np.ndarray, chunk: np.ndarray, band: int, across: bool, threshold: Fraction) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(low, high, pairs): members low..high against all, True for the pairs that this bucket verifies."""
+    order = np.arange(len(n))
+    for low in range(0, len(n), 256):
+        high = min(len(n), low + 256)
         pairs = order[low:high, None] < order[None, :]
         pairs &= _may_link(n[low:high, None], n[None, :], threshold)
-        if i != j:
+        if across:
             pairs &= chunk[low:high, None] != chunk[None, :]
         for k in range(band):
             pairs &= bands[low:high, k][:, None] != bands[None, :, k]
@@ -130,67 +137,85 @@ def _blocks(group: pd.DataFrame, threshold: Fraction):
 
 
 def _who(threshold: Fraction):
-    def who(group: pd.DataFrame) -> pd.DataFrame:
-        """The members of a group with a pair to verify there."""
-        active = np.zeros(len(group), dtype=bool)
-        for low, high, pairs in _blocks(group, threshold):
-            active[low:high] |= pairs.any(axis=1)
-            active |= pairs.any(axis=0)
-        return group.loc[active, ["bucket", "band", "i", "j", "chunk", "set_key"]]
+    def who(pack: pd.DataFrame) -> pd.DataFrame:
+        """The members of the buckets of a pack that have a pair to verify there."""
+        pack = pack.sort_values(["bucket", "i", "j"], ignore_index=True)
+        bands, n, chunk = np.stack(pack["bands"].to_numpy()), pack["n"].to_numpy(), pack["chunk"].to_numpy()
+        band, across = pack["band"].to_numpy(), (pack["i"] != pack["j"]).to_numpy()
+        active = np.zeros(len(pack), dtype=bool)
+        for a, b in _segments(pack):
+            for low, high, pairs in _open_pairs(bands[a:b], n[a:b], chunk[a:b], int(band[a]), bool(across[a]), threshold):
+                active[a + low : a + high] |= pairs.any(axis=1)
+                active[a:b] |= pairs.any(axis=0)
+        return pack.loc[active, ["bucket", "band", "i", "j", "chunk", "set_key"]]
 
     return who
 
 
+def _links(values: list[np.ndarray], n: np.ndarray, copies: np.ndarray, blocks, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Per member of a bucket: the copies of other members linked to it here, and the first member it leads to."""
+    row = np.repeat(np.arange(len(n)), n)
+    _, place, times = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    shared = times[place] > 1  # what only one member has is in no intersection
+    number = np.cumsum(times > 1) - 1
+    row, place, width = row[shared], number[place[shared]], int((times > 1).sum())
+    first = np.searchsorted(row, np.arange(len(n) + 1))
+
+    def dense(low: int, high: int) -> np.ndarray:
+        out = np.zeros((high - low, width), dtype=np.float32)
+        out[row[first[low] : first[high]] - low, place[first[low] : first[high]]] = 1
+        return out
+
+    step = int(max(1, min(256, (1 << 23) // max(1, width))))
+    links, label = np.zeros(len(n), dtype=np.int64), np.arange(len(n))
+    for low, high, pairs in blocks:
+        if not pairs.any():
+            continue
+        for a in range(low, high, step):
+            b = min(high, a + step)
+            left = dense(a, b)
+            for c in range(a, len(n), step):
+                d = min(len(n), c + step)
+                wanted = pairs[a - low : b - low, c:d]
+                if not wanted.any():
+                    continue
+                common = (left @ dense(c, d).T).astype(np.int64)
+                linked = wanted & ((threshold.numerator + threshold.denominator) * common >= threshold.numerator * (n[a:b, None] + n[None, c:d]))
+                links[a:b] += linked @ copies[c:d]
+                links[c:d] += copies[a:b] @ linked
+                for x in np.flatnonzero(linked.any(axis=1)):
+                    met = np.unique(np.append(label[c:d][linked[x]], label[a + x]))
+                    if len(met) > 1:
+                        label[np.isin(label, met)] = met[0]
+    return links, label
+
+
 def _verifying(threshold: Fraction):
-    def verify(group: pd.DataFrame) -> pd.DataFrame:
-        """Per member: the documents of other classes linked to it here, and the smallest class it leads to."""
-        group = group.sort_values("set_key", ignore_index=True)
-        n, copies, keys = group["n"].to_numpy(), group["copies"].to_numpy(), group["set_key"].to_numpy()
-        values = np.concatenate(group["ngrams"].to_list())
-        row = np.repeat(np.arange(len(group)), n)
-        _, place, times = np.unique(values, return_inverse=True, return_counts=True)
-        shared = times[place] > 1
-        number = np.cumsum(times > 1) - 1
-        row, place = row[shared], number[place[shared]]
-        width = int((times > 1).sum())
-        first = np.searchsorted(row, np.arange(len(group) + 1))
-
-        def dense(low: int, high: int) -> np.ndarray:
-            out = np.zeros((high - low, width), dtype=np.float32)
-            out[row[first[low] : first[high]] - low, place[first[low] : first[high]]] = 1
-            return out
-
-        step = int(max(1, min(256, (1 << 23) // max(1, width))))
-        links, label = np.zeros(len(group), dtype=np.int64), np.arange(len(group))
-
-        for low, high, pairs in _blocks(group, threshold):
-            if not pairs.any():
-                continue
-            for a in range(low, high, step):
-                b = min(high, a + step)
-                left = dense(a, b)
-                for c in range(a, len(group), step):
-                    d = min(len(group), c + step)
-                    open_ = pairs[a - low : b - low, c:d]
-                    if not open_.any():
-                        continue
-                    common = (left @ dense(c, d).T).astype(np.int64)
-                    linked = open_ & ((threshold.numerator + threshold.denominator) * common >= threshold.numerator * (n[a:b, None] + n[None, c:d]))
-                    links[a:b] += linked @ copies[c:d]
-                    links[c:d] += copies[a:b] @ linked
-                    for x in np.flatnonzero(linked.any(axis=1)):
-                        met = np.unique(np.append(label[c:d][linked[x]], label[a + x]))
-                        if len(met) > 1:
-                            label[np.isin(label, met)] = met[0]
-        out = pd.DataFrame({"set_key": keys, "links": links, "least": keys[label]})
+    def verify(pack: pd.DataFrame) -> pd.DataFrame:
+        """Per member and bucket: the rows of other classes linked to it there, and the smallest class it leads to."""
+        pack = pack.sort_values(["bucket", "i", "j", "set_key"], ignore_index=True)
+        bands, n, chunk, copies = np.stack(pack["bands"].to_numpy()), pack["n"].to_numpy(), pack["chunk"].to_numpy(), pack["copies"].to_numpy()
+        band, across, keys, values = pack["band"].to_numpy(), (pack["i"] != pack["j"]).to_numpy(), pack["set_key"].to_numpy(), pack["ngrams"].to_list()
+        links, least = np.zeros(len(pack), dtype=np.int64), keys.copy()
+        for a, b in _segments(pack):
+            blocks = _open_pairs(bands[a:b], n[a:b], chunk[a:b], int(band[a]), bool(across[a]), threshold)
+            links[a:b], label = _links(values[a:b], n[a:b], copies[a:b], blocks, threshold)
+            least[a:b] = keys[a:b][label]
+        out = pd.DataFrame({"set_key": keys, "links": links, "least": least})
         return out[out["links"] > 0]
 
     return verify
 
 
+def _pack(packs: int):
+    """Buckets are dealt into packs, which are the groups: most buckets are far too small for one of their own."""
+    return F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(packs)).alias("pack")
+
+
 def jaccard_join(documents: DataFrame, ngram: int = NGRAM, threshold: Fraction = THRESHOLD, recall: float = RECALL, most_rows: int = MOST_ROWS, chunk: int = CHUNK) -> DataFrame:
     """Per document row: doc_id, n_ngrams, copy_id (the smallest id with the same n-grams), n_copies, class_id
-    (the smallest id that links lead to) and n_links (other rows of the threshold's similarity or more)."""
+    (the smallest id that links lead to), n_links (other rows of the threshold's similarity or more), and row_key and
+    class_key (null without words), which name the row's content and its class also where ids are null."""
     spark = documents.sparkSession
     threshold = Fraction(threshold).limit_denominator(1000)
     bands, rows = choose_bands(float(threshold), recall, most_rows)
@@ -209,27 +234,30 @@ def jaccard_join(documents: DataFrame, ngram: int = NGRAM, threshold: Fraction =
     members = members.withColumn("chunk", F.pmod(F.hash("set_key", "bucket"), "chunks")).join(classes.select("set_key", "n", "bands"), "set_key")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
     members = members.select("set_key", "n", "bands", "band", "bucket", "chunk", other).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
-    group = ["bucket", "band", "i", "j"]
-    wanted = materialize(members.groupBy(*group).applyInPandas(_who(threshold), "bucket long, band int, i int, j int, chunk int, set_key string"), "members-with-pairs")
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packs = max(spread, math.ceil(members.count() / PACK_ROWS))
+    wanted = materialize(members.groupBy(_pack(packs)).applyInPandas(_who(threshold), "bucket long, band int, i int, j int, chunk int, set_key string"), "members-with-pairs")
     # The sets of those alone: found again in the texts by a filter of fixed size, then exactly.
     rows_wanted = classes.join(wanted.select("set_key").distinct(), "set_key", "left_semi").select("set_key", "row_key", "n", "bands", "copies")
     held = spark.sparkContext.broadcast(build(rows_wanted, F.col("row_key")))
     sets = documents.select("row_key", "text").mapInArrow(_set_reading(ngram, held), "row_key long, ngrams array<long>")
     sets = materialize(rows_wanted.join(sets, "row_key").dropDuplicates(["set_key"]), "ngram-sets")
-    found = wanted.join(sets, "set_key").groupBy(*group).applyInPandas(_verifying(threshold), "set_key string, links long, least string")
+    joined = wanted.join(sets, "set_key")
+    packs = max(spread, math.ceil((wanted.join(sets.select("set_key", "n"), "set_key").agg(F.sum("n")).first()[0] or 0) / chunk))
+    found = joined.groupBy(_pack(packs)).applyInPandas(_verifying(threshold), "set_key string, links long, least string")
     found = materialize(found, "links")
-    joined = components(found.select(F.col("set_key").alias("a"), F.col("least").alias("b")))
+    labelled = components(found.select(F.col("set_key").alias("a"), F.col("least").alias("b")))
     links = found.groupBy("set_key").agg(F.sum("links").alias("links"))
-    labels = classes.select("set_key", "copy_id", "copies").join(joined.withColumnRenamed("node", "set_key"), "set_key", "left").join(links, "set_key", "left")
+    labels = classes.select("set_key", "copy_id", "copies").join(labelled.withColumnRenamed("node", "set_key"), "set_key", "left").join(links, "set_key", "left")
     labels = materialize(labels.select("set_key", "copy_id", "copies", F.coalesce("component", "set_key").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("links")), "labels")
     least = labels.groupBy("component").agg(F.min("copy_id").alias("class_id"))
-    labels = labels.join(least, "component").select("set_key", "copy_id", "copies", "class_id", "links")
+    labels = labels.join(least, "component").select("set_key", "copy_id", "copies", "class_id", "links", F.col("component").alias("class_key"))
     return _rows(signed, labels)
 
 
 def _rows(signed: DataFrame, labels: DataFrame) -> DataFrame:
     """Every document row with what its class has found; rows without words are alone and need no join."""
     with_words = signed.filter("set_key is not null").select("doc_id", "row_key", "set_key", "n").join(labels, "set_key")
-    columns = ["doc_id", "row_key", F.col("n").alias("n_ngrams"), "copy_id", F.col("copies").alias("n_copies"), "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links")]
-    alone = signed.filter("set_key is null").select("doc_id", "row_key", F.lit(0).cast("long"), "doc_id", F.lit(1).cast("long"), "doc_id", F.lit(0).cast("long"))
+    columns = ["doc_id", "row_key", F.col("n").alias("n_ngrams"), "copy_id", F.col("copies").alias("n_copies"), "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"), "class_key"]
+    alone = signed.filter("set_key is null").select("doc_id", "row_key", F.lit(0).cast("long"), "doc_id", F.lit(1).cast("long"), "doc_id", F.lit(0).cast("long"), F.lit(None).cast("string"))
     return with_words.select(*columns).union(alone)

@@ -36,6 +36,27 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each non-empty span of bytes."""
+    out, lengths = np.empty(len(starts), dtype=np.uint64), ends - starts
+    if not len(out):
+        return out
+    powers = np.full(int(lengths.max()), _BASE, dtype=np.uint64)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    edges = np.searchsorted(np.cumsum(lengths), np.arange(0, int(lengths.sum()), 1 << 20), side="right")
+    edges = np.unique(np.append(edges, len(out)))
+    for low, high in zip(np.append(0, edges)[:-1], edges):
+        if low == high:
+            continue
+        size = lengths[low:high]
+        begin = np.cumsum(size) - size
+        within = np.arange(int(size.sum())) - np.repeat(begin, size)
+        where = within + np.repeat(starts[low:high], size)
+        out[low:high] = np.add.reduceat(_CODES[data[where]] * powers[within], begin)
+    return mix(out + lengths.astype(np.uint64))
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of a few megabytes of text; one long text makes a batch of its own."""
     for batch in batches:
@@ -50,16 +71,22 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
             yield batch.slice(start)
 
 
+def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts of a column, null as empty, and where each begins (and the last ends)."""
+    column = pc.fill_null(column, "")
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.empty(0, np.uint8)
+    return data, (offsets - offsets[0]).astype(np.int64)
+
+
 class Words:
     """The words of a column of texts: where each starts and ends, and the row it is in."""
 
     def __init__(self, column: pa.Array):
-        column = pc.fill_null(column, "")
-        kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
-        offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1]
-        data = column.buffers()[2]
-        data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.empty(0, np.uint8)
-        self.data, self.offsets, self.rows = _LOWERED[data], (offsets - offsets[0]).astype(np.int64), len(column)
+        data, self.offsets = utf8(column)
+        self.data, self.rows = _LOWERED[data], len(column)
         inside = np.zeros(len(data) + 2, dtype=bool)
         inside[1:-1] = _IN_WORD[self.data]
         cut = np.zeros(len(data) + 1, dtype=bool)
@@ -79,24 +106,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        out = np.empty(len(self), dtype=np.uint64)
-        lengths = self.ends - self.starts
-        if not len(self):
-            return out
-        powers = np.full(int(lengths.max()), _BASE, dtype=np.uint64)
-        powers[0] = 1
-        np.multiply.accumulate(powers, out=powers)
-        edges = np.searchsorted(np.cumsum(lengths), np.arange(0, int(lengths.sum()), 1 << 20), side="right")
-        edges = np.unique(np.append(edges, len(self)))
-        for low, high in zip(np.append(0, edges)[:-1], edges):
-            if low == high:
-                continue
-            size = lengths[low:high]
-            begin = np.cumsum(size) - size
-            within = np.arange(int(size.sum())) - np.repeat(begin, size)
-            where = within + np.repeat(self.starts[low:high], size)
-            out[low:high] = np.add.reduceat(_CODES[self.data[where]] * powers[within], begin)
-        return mix(out + lengths.astype(np.uint64))
+        return span_hashes(self.data, self.starts, self.ends)
 
     def text(self, word: int) -> str:
         return self.data[self.starts[word] : self.ends[word]].tobytes().decode()
