@@ -21,7 +21,7 @@ characters instead, because a fold that copies its state would take the square.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,15 +63,9 @@ class Pieces:
     scores: dict[str, tuple[int, float]]
     bytes: list[int]
     by_id: list[str]
-    cuts: object
-
-    @property
-    def longest(self) -> int:
-        return max(map(len, self.scores), default=1)
-
-    @property
-    def unknown(self) -> float:
-        return min((s for _, s in self.scores.values()), default=0.0) - PENALTY
+    cuts: Callable[[np.ndarray], np.ndarray]
+    longest: int
+    unknown: float
 
 
 def read_pieces(model_file: str) -> Pieces:
@@ -91,7 +85,7 @@ def read_pieces(model_file: str) -> Pieces:
     scores = {by_id[i]: (i, model.get_score(i)) for i in ids if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))}
     for cuts in (sign_cuts, space_cuts):
         if not any(cuts(np.frombuffer(p.replace(SPACE, " ").encode(), np.uint8))[1:].any() for p in scores):
-            return Pieces(scores, [of_byte[b] for b in range(256)], by_id, cuts)
+            return Pieces(scores, [of_byte[b] for b in range(256)], by_id, cuts, max(map(len, scores)), min(s for _, s in scores.values()) - PENALTY)
     raise ValueError("pieces cross the spaces between words")
 
 
