@@ -81,12 +81,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = sentencepiece_lattice.read_pieces(tokenizer_file("piece_bpe_32k.model"))
-    encoded = sentencepiece_lattice.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces)
+    decode = sentencepiece_lattice.decode_batches(pieces)
+    encoded = sentencepiece_lattice.encode_texts(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        pieces,
+        then=lambda batches: decode(sentencepiece_lattice.crc32_batches(batches)),
+        added="ids_crc32 long, decoded string",
+    )
     plain = F.translate(F.coalesce("text", F.lit("")), sentencepiece_lattice.SPACE, " ")
-    return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), sentencepiece_lattice.ids_crc32("ids").alias("ids_crc32"),
-        (sentencepiece_lattice.decoder(pieces)("ids") == plain).alias("round_trip"),
-    )
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32", (F.col("decoded") == plain).alias("round_trip"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,9 +15,9 @@ The file format is Parquet with a row per shard:
   expansions     little-endian uint32: the number of ids of each rule
   width, symbols little-endian unsigned symbols of `width` bytes, document after document
 
-Encoding goes by units: a byte-level tokenizer of this kind starts anew at every
-space with a sign after it, so the pieces between are encoded by the library once
-each (see unit_table).
+Encoding goes by units: a byte-level tokenizer of this kind starts anew before a
+space with a sign after it, before other white space, and between letters and
+signs, so the library encodes what lies between only when a task first meets it.
 
 Cases: a null or empty text has the end id alone; a null id comes first; repeated
 ids are ordered by text and repeated rows are written like any others; an empty
@@ -34,22 +34,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from demandlab.llm.unit_table import MOST_UNITS, encode
+from demandlab.llm.unit_table import Cuts, TaskEncoder, encoded_batches
 
 END, SHARD_IDS = 2, 1 << 20
 #: Rounds of replacement, pairs taken in a round, and the least count of a pair.
 ROUNDS, PAIRS, LEAST = 5, 3000, 8
-_SPACES = np.zeros(256, dtype=bool)
+_SPACES, _ASCII_SPACE, _LETTER = (np.zeros(256, dtype=bool) for _ in range(3))
 #: White space of ASCII, and the first bytes of all white space beyond it.
 _SPACES[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
-
-
-def word_cuts(data: np.ndarray) -> np.ndarray:
-    """Before each space that a character other than white space follows."""
-    begins = data == 32
-    begins[:-1] &= ~_SPACES[data[1:]]
-    begins[-1:] = False
-    return begins
+_ASCII_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LETTER[65:91] = _LETTER[97:123] = True
+#: Signs beside which a letter starts or ends a token: an apostrophe may belong to the letters after it.
+_SIGN = np.zeros(256, dtype=bool)
+_SIGN[33:127] = True
+_SIGN[48:58] = _SIGN[39] = False
+_SIGN &= ~_LETTER
+
+
+def word_cuts(special: tuple[bytes, ...] = ()) -> Cuts:
+    """Places where a token must begin, except inside special tokens."""
+
+    def cuts(data: np.ndarray) -> np.ndarray:
+        begins = data == 32  # a space that a character other than white space follows
+        begins[:-1] &= ~_SPACES[data[1:]]
+        begins[-1:] = False
+        letter, sign, space = _LETTER[data], _SIGN[data], _ASCII_SPACE[data]
+        begins[1:] |= (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:]) | ((letter[:-1] | sign[:-1]) & space[1:])
+        raw = data.tobytes() if special else b""
+        for token in special:
+            at = raw.find(token)
+            while at >= 0:
+                begins[at + 1 : at + len(token)] = False
+                at = raw.find(token, at + len(token))
+        return begins
+
+    return cuts
 
 
 def compress(ids: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST):
@@ -62,17 +81,24 @@ def compress(ids: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = R
         code[last[:-1]] = -1
         bins = (code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int32)
         counts = np.bincount(bins, minlength=1 << 20)
-        frequent = np.flatnonzero(counts[bins] >= least)
-        frequent = frequent[code[frequent] >= 0]
-        values, place, times = np.unique(code[frequent], return_inverse=True, return_counts=True)
-        ranked = np.argsort(-times, kind="stable")[:pairs]
-        ranked = ranked[times[ranked] >= least]
+        # The fullest bins stand for their pairs; of two pairs in one bin one waits for the next round.
+        full = np.argpartition(counts, -pairs)[-pairs:] if pairs < len(counts) else np.arange(len(counts))
+        full = full[counts[full] >= least]
+        rank = np.full(1 << 20, -1, dtype=np.int32)
+        rank[full] = np.arange(len(full))
+        number = rank[bins]
+        at = np.flatnonzero((number >= 0) & (code >= 0))
+        values = np.full(len(full), -1, dtype=np.int64)
+        values[number[at]] = code[at]
+        at = at[values[number[at]] == code[at]]
+        times = np.bincount(number[at], minlength=len(full))
+        ranked = np.flatnonzero(times >= least)
         if not len(ranked):
             break
-        number = np.full(len(values), -1)
-        number[ranked] = np.arange(len(ranked))
-        chosen = number[place] >= 0
-        at, number = frequent[chosen], number[place][chosen]
+        new = np.full(len(full), -1)
+        new[ranked] = np.arange(len(ranked))
+        at = at[new[number[at]] >= 0]
+        number = new[number[at]]
         # Of overlapping pairs in a row every second one is taken, from the left.
         run = np.cumsum(np.append(True, np.diff(at) != 1)) - 1
         start = np.flatnonzero(np.append(True, np.diff(at) != 1))
@@ -122,67 +148,52 @@ def ids_between(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, first
 _SHARD = "part int, shard int, n_ids long, doc_id array<{kind}>, n_tokens array<int>, n_symbols array<int>, first_rule int, rules binary, expansions binary, width int, symbols binary"
 
 
-def _tokenized(tokenizer_file: str):
-    def tokenize(units: DataFrame) -> DataFrame:
-        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            import os
-
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-
-            tokenizer = Tokenizer.from_file(tokenizer_file)
-            for batch in batches:
-                ids = [e.ids for e in tokenizer.encode_batch_fast(batch["unit"].to_pylist(), add_special_tokens=False)]
-                yield pa.RecordBatch.from_arrays([batch["hash"], batch["unit"], batch["tasks"], pa.array(ids, pa.list_(pa.int32()))], ["hash", "unit", "tasks", "ids"])
-
-        return units.mapInArrow(rows, "hash long, unit string, tasks long, ids array<int>")
-
-    return tokenize
-
-
-def write_shards(documents: DataFrame, path: str, tokenizer_file: str, end: int = END, shard_ids: int = SHARD_IDS, most_units: int = MOST_UNITS) -> None:
+def write_shards(documents: DataFrame, path: str, tokenizer_file: str, end: int = END, shard_ids: int = SHARD_IDS) -> None:
     """Encode the columns doc_id and text and write the shards. tokenizer_file: a path that all machines can read."""
-    from tokenizers import Tokenizer
-
-    first_rule = Tokenizer.from_file(tokenizer_file).get_vocab_size()
     documents = documents.select("doc_id", "text")
-    encoded = encode(documents, word_cuts, _tokenized(tokenizer_file), order=["doc_id", "text"], most_units=most_units)
     kind = documents.schema["doc_id"].dataType.simpleString()
-    schema = _SHARD.format(kind=kind)
     names = ["part", "shard", "n_ids", "doc_id", "n_tokens", "n_symbols", "first_rule", "rules", "expansions", "width", "symbols"]
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
+        from tokenizers import Tokenizer
 
-        part, shard, held, size = TaskContext.get().partitionId(), 0, [], 0
+        tokenizer = Tokenizer.from_file(tokenizer_file)
+        first_rule = tokenizer.get_vocab_size()
+        special = tuple(token.content.encode() for token in tokenizer.get_added_tokens_decoder().values())
+        encoder = TaskEncoder(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        part, shard, docs, parts, size = TaskContext.get().partitionId(), 0, [], [], 0
 
-        def finished():
-            ids = np.concatenate([x for _, x in held])
-            lengths = np.array([len(x) for _, x in held])
+        def finished() -> pa.RecordBatch:
+            lengths, ids = np.array([len(x) for x in parts]), np.concatenate(parts)
             last = np.zeros(len(ids), dtype=bool)
             last[np.cumsum(lengths) - 1] = True
             symbols, last, rules = compress(ids, last, first_rule)
             width = 2 if len(rules) + first_rule <= 1 << 16 else 4
             n_symbols = np.diff(np.append(-1, np.flatnonzero(last)))
-            row = [part, shard, len(ids), [d for d, _ in held], lengths.tolist(), n_symbols.tolist(), first_rule, rules.astype("<u4").tobytes(), expansions(rules, first_rule).astype("<u4").tobytes(), width, symbols.astype(f"<u{width}").tobytes()]
+            row = [part, shard, len(ids), docs, lengths.tolist(), n_symbols.tolist(), first_rule, rules.astype("<u4").tobytes(), expansions(rules, first_rule).astype("<u4").tobytes(), width, symbols.astype(f"<u{width}").tobytes()]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(doc_type), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
-        for batch in batches:
+        for batch in encoded_batches(batches, encoder, word_cuts(special)):
             doc_type = batch.schema.field("doc_id").type
-            lists = batch["ids"]
-            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            offsets, values = batch["ids"].offsets.to_numpy(), batch["ids"].values.to_numpy()
             for k, doc in enumerate(batch["doc_id"].to_pylist()):
-                ids = np.append(values[offsets[k] : offsets[k + 1]], end)
-                if held and size + len(ids) > shard_ids:
+                ids = np.append(values[offsets[k] : offsets[k + 1]], np.int32(end))
+                if parts and size + len(ids) > shard_ids:
                     yield finished()
-                    shard, held, size = shard + 1, [], 0
-                held.append((doc, ids))
+                    shard, docs, parts, size = shard + 1, [], [], 0
+                docs.append(doc)
+                parts.append(ids)
                 size += len(ids)
-        if held:
+        if parts:
             yield finished()
 
-    encoded.select("doc_id", "ids").mapInArrow(shards, schema).write.mode("overwrite").parquet(path)
+    ordered = documents.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered.mapInArrow(shards, _SHARD.format(kind=kind)).write.mode("overwrite").parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

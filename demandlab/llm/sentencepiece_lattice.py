@@ -1,16 +1,18 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
 Texts are cut into units that no piece of the table crosses (checked against the
-table), and each distinct unit is encoded once: its substrings of bounded length
-are exploded and joined to the piece table, the matches are the edges of its
-lattice, and an ordered fold over them keeps the best path to every place.
-A character that is no piece costs ten more than the worst piece and becomes its
+table). The distinct units are gathered over all texts, and those that most tasks
+met, at most `MOST_UNITS`, are encoded once: their substrings of bounded length
+are exploded and joined to the piece table, the matches are the edges of a unit's
+lattice, and an ordered fold over them keeps the best path to every place. The
+result is sent to all tasks; a unit beyond it takes the same fold in the task that
+meets it, so the ids do not depend on the bound. A character that is no piece costs ten more than the worst piece and becomes its
 UTF-8 bytes. Ties go to the path whose last piece is longer.
 
-The best path is the one of a unigram model with the table's scores, which is
-what the library gives if it reads the same pieces as such a model. Spaces become
-the sign U+2581, one is put in front, and nothing else is normalised; a model
-that normalises more is refused.
+The best path is the one with the highest sum of the pieces' scores, as in a
+unigram model; a model trained for merges may cut some words otherwise. Spaces
+become the sign U+2581, one is put in front, and nothing else is normalised; a
+model that normalises more is refused.
 
 Cases: a null or empty text has no ids, and no ids decode to an empty text;
 repeated rows and rows without an id are encoded like others; other columns pass
@@ -26,12 +28,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from demandlab.llm.unit_table import MOST_UNITS, encode
+from demandlab.llm.unit_table import TaskEncoder, collected, common_units, distinct_units, encoded_batches
+from demandlab.session import materialize
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 SPACE, LONGEST, PENALTY = "▁", 256, 10.0
+#: Rows decoded at a time.
+ROWS = 512
+#: Units sent to every task, about 20 bytes each.
+MOST_UNITS = 1 << 20
 #: The piece table is broadcast; a larger one is joined by shuffling.
 MOST_PIECES = 1 << 20
 _LETTER, _SIGN = np.zeros(256, dtype=bool), np.ones(256, dtype=bool)
@@ -162,30 +172,54 @@ def encode_units(units: DataFrame, pieces: Pieces, longest: int = LONGEST) -> Da
     return short.union(long)
 
 
-def encode_texts(documents: DataFrame, pieces: Pieces, most_units: int = MOST_UNITS, longest: int = LONGEST) -> DataFrame:
-    """All rows and columns, and ids: array<int>, of the column text."""
-    return encode(documents, pieces.cuts, lambda units: encode_units(units, pieces, longest), b" ", most_units=most_units)
+def encode_texts(documents: DataFrame, pieces: Pieces, most_units: int = MOST_UNITS, longest: int = LONGEST, then: Batches | None = None, added: str = "") -> DataFrame:
+    """All rows and columns, and ids: array<int>, of the column text.
 
+    `then` goes on with the batches in the same task; `added` are the columns that it adds.
+    """
+    documents = documents.drop("ids")
+    units = materialize(distinct_units(documents, pieces.cuts, b" "), "units")
+    table = collected(encode_units(common_units(units, most_units), pieces, longest))
+    held = documents.sparkSession.sparkContext.broadcast(table)
 
-def decoder(pieces: Pieces):
-    """A function of Spark from ids to text: pieces joined, byte pieces as UTF-8, the space in front dropped."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = TaskEncoder(lambda texts: [best_path(text, pieces) for text in texts], held.value)
+        out = encoded_batches(batches, encoder, pieces.cuts, b" ")
+        return then(out) if then else out
+
+    schema = StructType([*documents.schema.fields, *StructType.fromDDL("ids array<int>" + (f", {added}" if added else "")).fields])
+    return documents.mapInArrow(rows, schema)
+
+
+def _raw(pieces: Pieces) -> list[bytes]:
     raw = [p.replace(SPACE, " ").encode() for p in pieces.by_id]
     for byte, i in enumerate(pieces.bytes):
         raw[i] = bytes([byte])
+    return raw
+
+
+def decode_batches(pieces: Pieces, name: str = "decoded") -> Batches:
+    """Adds the text of the column ids: pieces joined, byte pieces as UTF-8, the space in front dropped."""
+    raw = _raw(pieces)
 
-    @F.pandas_udf("string")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for ids in batches:
-            yield pd.Series([b"".join([raw[i] for i in (row.tolist() if row is not None else ())]).decode(errors="replace")[1:] for row in ids], dtype=object)
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, ROWS):
+                part = batch.slice(low, ROWS)
+                texts = [b"".join([raw[i] for i in ids or ()]).decode(errors="replace")[1:] for ids in part["ids"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, name])
 
-    return decoded
+    return decode
 
 
-def ids_crc32(ids: str) -> Column:
-    """Unsigned CRC-32 of the ids as little-endian unsigned 32-bit integers."""
+def decode_texts(rows: DataFrame, pieces: Pieces, name: str = "decoded") -> DataFrame:
+    """All rows and columns, and the text of the column ids."""
+    return rows.mapInArrow(decode_batches(pieces, name), StructType([*rows.schema.fields, StructField(name, StringType())]))
 
-    @F.pandas_udf("long")
-    def crc(rows: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.asarray(row, dtype="<u4").tobytes()) for row in rows], dtype="int64")
 
-    return crc(ids)
+def crc32_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ids_crc32: the unsigned CRC-32 of the column ids as little-endian unsigned 32-bit integers."""
+    for batch in batches:
+        offsets, values = batch["ids"].offsets.to_numpy(), batch["ids"].values.to_numpy().astype("<u4")
+        crc = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(crc, pa.int64())], [*batch.schema.names, "ids_crc32"])

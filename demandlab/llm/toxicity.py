@@ -135,7 +135,8 @@ class Model:
         term[[d > 0 and w in self.ordinary for w, d in zip(distinct, distance)]] = -1
         hits = np.flatnonzero(term[back] >= 0)
         rows, terms, edits = words.row[hits], term[back[hits]], distance[back[hits]]
-        near = np.searchsorted(hits, hits + WINDOW, side="right") - np.searchsorted(hits, hits - WINDOW) - 1
+        low, high = np.maximum(hits - WINDOW, words.first[rows]), np.minimum(hits + WINDOW, words.first[rows + 1] - 1)
+        near = np.searchsorted(hits, high, side="right") - np.searchsorted(hits, low) - 1
         quote = words.data == 0x22
         for k in range(len(hits)):
             row = rows[k]

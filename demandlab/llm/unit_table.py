@@ -1,10 +1,8 @@
-"""Encoding texts by a table of their distinct units.
+"""Encoding texts unit by unit.
 
 A tokenizer that never joins characters across certain places can encode the
-units between them one by one. Distinct units are gathered over all texts and
-encoded once. The units that most tasks met, at most `MOST_UNITS`, are sent to
-all tasks as sorted hashes; texts look up their units there. Units beyond them
-are joined in by their text, so the result does not depend on the bound.
+units between them one by one, so a unit that occurs often is encoded once: by a
+table made for all texts beforehand, or by the first text of a task that has it.
 """
 
 from __future__ import annotations
@@ -12,18 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandlab.llm.words import span_hashes, text_slices, utf8
-from demandlab.session import materialize
 
-#: About 20 bytes each, in the driver and in each task.
-MOST_UNITS = 1 << 22
 #: Places where units may begin, besides each text's first byte: from the bytes of several texts to true for each.
 Cuts = Callable[[np.ndarray], np.ndarray]
+#: Ids of each of several units.
+Encoder = Callable[[list[str]], list[list[int]]]
+#: Units that a task remembers besides a table; it then starts anew. About 20 bytes each.
+REMEMBERED = 1 << 20
 
 
 class Units:
@@ -37,7 +35,7 @@ class Units:
             out = np.empty(int(moved[-1]), dtype=np.uint8)
             for k, byte in enumerate(prefix):
                 out[moved[:-1][sizes > 0] + k] = byte
-            out[np.arange(len(data)) + np.repeat(moved[:-1] - offsets[:-1] + len(prefix), sizes)] = data
+            out[np.arange(len(data)) + np.repeat(moved[:-1] - offsets[:-1] + len(prefix) * (sizes > 0), sizes)] = data
             data, offsets = out, moved
         self.data, self.rows = data, len(column)
         begins = cuts(data) if len(data) else np.zeros(0, dtype=bool)
@@ -45,6 +43,7 @@ class Units:
         self.starts = np.flatnonzero(begins)
         self.ends = np.append(self.starts[1:], len(data))[: len(self.starts)]
         self.row = np.searchsorted(offsets, self.starts, side="right") - 1
+        #: The units of row i are those from first[i] up to first[i + 1].
         self.first = np.searchsorted(self.row, np.arange(self.rows + 1))
         self.hashes = span_hashes(self.data, self.starts, self.ends)
 
@@ -52,10 +51,95 @@ class Units:
         return self.data[self.starts[unit] : self.ends[unit]].tobytes().decode()
 
 
+class Table:
+    """Hashes of units in order, and the ids of each in one flat array."""
+
+    def __init__(self, hashes: np.ndarray, lengths: np.ndarray, ids: np.ndarray):
+        order = np.argsort(hashes)
+        begin = np.cumsum(lengths) - lengths
+        self.hashes, sizes = hashes[order], lengths[order]
+        self.first = np.append(0, np.cumsum(sizes))
+        self.ids = ids[np.arange(len(ids)) + np.repeat(begin[order] - self.first[:-1], sizes)]
+        if len(ids) < 1 << 31:
+            self.first = self.first.astype(np.int32)
+        if not len(ids) or ids.max() < 1 << 16:
+            self.ids = self.ids.astype(np.uint16)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        if not len(self):
+            return np.full(len(hashes), -1)
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
+        return np.where(self.hashes[place] == hashes, place, -1)
+
+    def sizes(self, place: np.ndarray) -> np.ndarray:
+        return (self.first[place + 1] - self.first[place]).astype(np.int64)
+
+    def gather(self, place: np.ndarray) -> np.ndarray:
+        """The ids of the units at the places, one after the other."""
+        size = self.sizes(place)
+        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        return self.ids[within + np.repeat(self.first[place].astype(np.int64), size)].astype(np.int32)
+
+
+def table_of(hashes: np.ndarray, ids: list[list[int]]) -> Table:
+    lengths = np.array([len(x) for x in ids], dtype=np.int64)
+    flat = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(lengths.sum()))
+    return Table(hashes, lengths, flat)
+
+
+class TaskEncoder:
+    """Encodes the texts of a task; a unit that is in no table is encoded when it first comes and remembered."""
+
+    def __init__(self, encode: Encoder, table: Table | None = None):
+        self.encode, self.tables = encode, [table] if table is not None else []
+        self.own = table_of(np.empty(0, np.uint64), [])
+
+    def __call__(self, units: Units) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units in turn, and where each row's begin."""
+        values, index, back = np.unique(units.hashes, return_index=True, return_inverse=True)
+        fixed = np.zeros(len(values), dtype=bool)
+        for table in self.tables:
+            fixed |= table.find(values) >= 0
+        new = np.flatnonzero(~fixed & (self.own.find(values) < 0))
+        if len(self.own) + len(new) > REMEMBERED:
+            self.own, new = table_of(np.empty(0, np.uint64), []), np.flatnonzero(~fixed)
+        if len(new):
+            old, fresh = self.own, table_of(values[new], self.encode([units.text(u) for u in index[new]]))
+            sizes = np.concatenate([t.sizes(np.arange(len(t))) for t in (old, fresh)])
+            self.own = Table(np.concatenate([old.hashes, fresh.hashes]), sizes, np.concatenate([t.ids.astype(np.int32) for t in (old, fresh)]))
+        own = self.own.find(values)
+        sizes, parts, start = np.zeros(len(values), dtype=np.int64), [], np.zeros(len(values), dtype=np.int64)
+        total = 0
+        for table in [self.own, *self.tables]:
+            place = own if table is self.own else np.where(sizes > 0, -1, table.find(values))
+            at = np.flatnonzero(place >= 0)
+            sizes[at] = table.sizes(place[at])
+            start[at] = total + np.cumsum(sizes[at]) - sizes[at]
+            parts.append(table.gather(place[at]))
+            total += len(parts[-1])
+        flat = np.concatenate(parts)
+        size = sizes[back]
+        begin = np.append(0, np.cumsum(size))
+        within = np.arange(int(begin[-1])) - np.repeat(begin[:-1], size)
+        return flat[within + np.repeat(start[back], size)], begin[units.first]
+
+
+def encoded_batches(batches: Iterator[pa.RecordBatch], encoder: TaskEncoder, cuts: Cuts, prefix: bytes = b"") -> Iterator[pa.RecordBatch]:
+    """The batches with the column ids, some megabytes of text at a time."""
+    for batch in text_slices(batches):
+        ids, first = encoder(Units(batch["text"], cuts, prefix))
+        lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids, pa.int32()))
+        yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "ids"])
+
+
 def distinct_units(texts: DataFrame, cuts: Cuts, prefix: bytes = b"") -> DataFrame:
     """(hash, unit, tasks): each distinct unit and the number of tasks that met it.
 
-    Two units of one hash, which are not expected, are both left out and then joined by text.
+    Two units of one hash, which are not expected, are both left out.
     """
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,8 +150,6 @@ def distinct_units(texts: DataFrame, cuts: Cuts, prefix: bytes = b"") -> DataFra
             new = ~np.isin(hashes, seen, assume_unique=True)
             seen = np.union1d(seen, hashes[new])
             hashes, first = hashes[new], first[new]
-            order = np.argsort(first)
-            hashes, first = hashes[order], first[order]
             lengths = own.ends[first] - own.starts[first]
             ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
             where = np.arange(int(ends[-1])) + np.repeat(own.starts[first] - ends[:-1], lengths)
@@ -79,102 +161,20 @@ def distinct_units(texts: DataFrame, cuts: Cuts, prefix: bytes = b"") -> DataFra
     return found.filter(F.col("unit") == F.col("other")).drop("other")
 
 
-class Table:
-    """Hashes of units in order, and the ids of each in one flat array."""
-
-    def __init__(self, hashes: np.ndarray, lengths: np.ndarray, ids: np.ndarray):
-        order = np.argsort(hashes)
-        first = np.cumsum(lengths) - lengths
-        self.hashes, self.lengths = hashes[order], lengths[order].astype(np.int32)
-        begin = np.cumsum(self.lengths) - self.lengths
-        self.ids = ids[np.arange(len(ids)) + np.repeat(first[order] - begin, self.lengths)]
-        self.first = begin
-
-    def lookup(self, hashes: np.ndarray) -> np.ndarray:
-        """The place of each hash, or -1."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        values, back = np.unique(hashes, return_inverse=True)
-        place = np.minimum(np.searchsorted(self.hashes, values), len(self.hashes) - 1)
-        return np.where(self.hashes[place] == values, place, -1)[back]
-
-
-def _held(table: DataFrame, most: int) -> tuple[Table, bool]:
-    """The units met by most tasks, and whether these are all."""
-    by_tasks = sorted(table.groupBy("tasks").agg(F.count("*").alias("n")).collect(), reverse=True)
-    total, least = 0, 0
-    for row in by_tasks:
+def common_units(units: DataFrame, most: int) -> DataFrame:
+    """The units that most tasks met: as many kinds of counts, from the highest, as `most` units allow."""
+    total, least = 0, 1
+    for row in sorted(units.groupBy("tasks").agg(F.count("*").alias("n")).collect(), reverse=True):
         if total + row["n"] > most:
             least = row["tasks"] + 1
             break
         total += row["n"]
-    arrow = table.filter(F.col("tasks") >= least).select("hash", "ids").toArrow()
-    lists = arrow["ids"].combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.chunk(0) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-    lengths = np.diff(lists.offsets.to_numpy()) if len(lists) else np.empty(0, np.int32)
-    ids = lists.flatten().to_numpy().astype(np.int32)
-    return Table(arrow["hash"].to_numpy().view(np.uint64), lengths, ids), least == 0
-
-
-def encode(
-    texts: DataFrame, cuts: Cuts, encode_units: Callable[[DataFrame], DataFrame], prefix: bytes = b"", order: list[str] | None = None, most_units: int = MOST_UNITS
-) -> DataFrame:
-    """All rows and columns, and `ids`: what encode_units gives for the units of the text, one after the other.
-    With `order`, the partitions hold ranges of these columns in order, and their rows are sorted.
-
-    encode_units turns rows (hash, unit, tasks) into rows with the column ids (array<int>) besides.
-    """
-    spark = texts.sparkSession
-    table = materialize(encode_units(distinct_units(texts, cuts, prefix)).select("hash", "unit", "tasks", "ids"), "units")
-    kept, all_held = _held(table, most_units)
-    held = spark.sparkContext.broadcast(kept)
-
-    @F.pandas_udf("ids array<int>, rest array<struct<place:int,unit:string>>")
-    def looked_up(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for series in batches:
-            out_ids, out_rest = [], []
-            batch = pa.RecordBatch.from_arrays([pa.array(series, pa.string())], ["text"])
-            for part in text_slices(iter([batch])):
-                own = Units(part["text"], cuts, prefix)
-                known = held.value
-                place = known.lookup(own.hashes)
-                found = place >= 0
-                lengths = np.where(found, known.lengths[place] if len(known.hashes) else 0, 1)
-                ends = np.cumsum(lengths)
-                begin = ends - lengths
-                total = int(ends[-1]) if len(ends) else 0
-                ids = np.full(total, -1, dtype=np.int32)
-                if found.any():
-                    size = lengths[found]
-                    within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-                    ids[within + np.repeat(begin[found], size)] = known.ids[within + np.repeat(known.first[place[found]], size)]
-                edges = np.append(begin, total)[own.first]
-                for row in range(own.rows):
-                    out_ids.append(ids[edges[row] : edges[row + 1]])
-                    missing = np.flatnonzero(~found[own.first[row] : own.first[row + 1]]) + own.first[row]
-                    out_rest.append([{"place": int(begin[u] - edges[row]), "unit": own.text(u)} for u in missing])
-            yield pd.DataFrame({"ids": out_ids, "rest": out_rest})
-
-    if all_held:
-        return _ordered(texts, order).withColumn("_found", looked_up("text")).withColumn("ids", F.col("_found.ids")).drop("_found")
-    return _ordered(_completed(texts.withColumn("_found", looked_up("text")), table, encode_units), order)
-
-
-def _ordered(rows: DataFrame, order: list[str] | None) -> DataFrame:
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order) if order else rows
-
-
-def _completed(encoded: DataFrame, table: DataFrame, encode_units) -> DataFrame:
-    """Put the ids of the units that were not sent along into their places (-1 holds each)."""
-    columns = [c for c in encoded.columns if c != "_found"]
-    encoded = materialize(encoded.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "_found.ids", "_found.rest", F.uuid().alias("_id")), "encoded")
-    rest = encoded.filter(F.size("rest") > 0).select("_id", F.explode("rest").alias("r")).select("_id", "r.place", "r.unit")
-    # A hash that two units share is not in the table: those units are encoded here.
-    ids = table.select("unit", F.col("ids").alias("own"))
-    others = encode_units(rest.select("unit").distinct().join(ids, "unit", "left_anti").select(F.xxhash64("unit").alias("hash"), "unit", F.lit(1).cast("long").alias("tasks")))
-    rest = rest.join(ids.union(others.select("unit", "ids")), "unit")
-    rest = rest.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("place", "own"))).alias("filled"))
-    whole = F.flatten(F.transform("ids", lambda x, i: F.when(x < 0, F.col("filled")[i]).otherwise(F.array(x))))
-    joined = encoded.join(rest, "_id", "left")
-    return joined.select("_row.*", F.when(F.size("rest") > 0, whole).otherwise(F.col("ids")).alias("ids"))
+    return units.filter(F.col("tasks") >= least)
+
+
+def collected(encoded: DataFrame) -> Table:
+    """A table from rows (hash, ids); for at most as many as common_units leaves."""
+    arrow = encoded.select("hash", "ids").toArrow()
+    lists = pa.concat_arrays(arrow["ids"].chunks) if arrow.num_rows else pa.array([], pa.list_(pa.int32()))
+    lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64) if len(lists) else np.empty(0, np.int64)
+    return Table(arrow["hash"].to_numpy().view(np.uint64), lengths, lists.flatten().to_numpy().astype(np.int32))

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
 _IN_WORD = np.zeros(256, dtype=bool)

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from demandlab.llm.repair_files import compress, document_slice, expand, expansions, ids_between, read_documents, write_shards
+from demandlab.llm.repair_files import compress, document_slice, expand, expansions, ids_between, read_documents, word_cuts, write_shards
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -33,7 +33,7 @@ def texts():
     random.seed(2)
     say = lambda n: " ".join(random.choice(["the", "cat", "sat,", "on", "x1", "été", "語語", "don't"]) for _ in range(n))
     rows = [(k, say(random.randint(0, 80))) for k in range(60, 0, -1)]
-    odd = ["a  b   c ", "\n\n x\t y \n", " lead", "tail ", "   ", "a b  c 　d \x1c e", "<|endoftext|> a <|endoftext|>b", "it's we'll  'tis 12 34", "x" * 5000, "語" * 500, "\U0001f600 \U0001f600", "", None, "a \x85b"]
+    odd = ["a  b   c ", "\n\n x\t y \n", " lead", "tail ", "   ", "a b  c 　d \x1c e", "<|endoftext|> a <|endoftext|>b", "it's we'll  'tis 12 34", "x" * 5000, "語" * 500, "\U0001f600 \U0001f600", "", None, "a \x85b", "x<|endoftext|>, y(z)\n\nw;\tq", "a's,'t b.c\r\nd"]
     return rows + [(100 + k, t) for k, t in enumerate(odd)] + [(None, "no id"), (7, "again"), (7, "again")]
 
 
@@ -53,8 +53,8 @@ def test_files_hold_what_the_library_encodes(spark, documents, tmp_path):
     check(spark, documents, str(tmp_path / "a"))
 
 
-def test_small_shards_and_units_that_are_not_sent_along(spark, documents, tmp_path):
-    check(spark, documents, str(tmp_path / "b"), shard_ids=300, most_units=3)
+def test_small_shards_and_tasks_that_forget(spark, documents, tmp_path):
+    check(spark, documents, str(tmp_path / "b"), shard_ids=300)
     tokenizer = Tokenizer.from_file(FILE)
     rows = dict(texts()[:60])
     ids = tokenizer.encode(rows[33], add_special_tokens=False).ids
@@ -64,3 +64,15 @@ def test_small_shards_and_units_that_are_not_sent_along(spark, documents, tmp_pa
 def test_empty_table(spark, documents, tmp_path):
     write_shards(documents(), str(tmp_path / "c"), FILE)
     assert read_documents(spark, str(tmp_path / "c")).collect() == []
+
+
+def test_a_task_that_forgets_units_encodes_them_again(monkeypatch):
+    import pyarrow as pa
+
+    from demandlab.llm import unit_table
+
+    monkeypatch.setattr(unit_table, "REMEMBERED", 3)
+    encoder = unit_table.TaskEncoder(lambda texts: [[ord(c) for c in t] for t in texts], unit_table.table_of(unit_table.Units(pa.array(["a"]), word_cuts()).hashes, [[ord("a")]]))
+    for text in ("a b c", "b d e f g", "a b", "", "a a c g"):
+        ids, first = encoder(unit_table.Units(pa.array([text, None]), word_cuts()))
+        assert ids.tolist() == [ord(c) for c in text] and first.tolist() == [0, len(text), len(text)]

@@ -1,8 +1,10 @@
+import zlib
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from demandlab.llm.sentencepiece_lattice import best_path, decoder, encode_texts, ids_crc32, read_pieces
+from demandlab.llm.sentencepiece_lattice import best_path, crc32_batches, decode_texts, encode_texts, read_pieces
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = [
@@ -19,11 +21,11 @@ def pieces():
 @pytest.mark.parametrize("options", [{}, {"most_units": 4}, {"longest": 3}])
 def test_ids_are_those_of_the_best_path_over_the_whole_text(spark, documents, pieces, options):
     rows = [(k, t) for k, t in enumerate(TEXTS)] + [(None, TEXTS[0]), (3, TEXTS[3])]
-    found = encode_texts(documents(*rows), pieces, **options).select("doc_id", "text", "ids", "score", decoder(pieces)("ids").alias("back"), ids_crc32("ids").alias("crc"))
+    found = decode_texts(encode_texts(documents(*rows), pieces, then=crc32_batches, added="ids_crc32 long", **options), pieces, "back")
     for row in found.collect():
         assert row.ids == (best_path(" " + row.text, pieces) if row.text else [])
         assert row.back == (row.text or "").replace("▁", " ")
-        assert row.score == 7.0
+        assert row.score == 7.0 and row.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in row.ids))
     assert found.count() == len(rows)
 
 
@@ -44,30 +46,5 @@ def test_best_path_is_the_best_of_all(pieces):
         assert "".join(pieces.by_id[i] for i in ids) == unit
 
 
-def test_ids_of_a_unigram_model_in_the_library(tmp_path, pieces, spark, documents):
-    """The library reads the same pieces as a unigram model: the type is one field of the file."""
-    import sentencepiece
-
-    raw = bytearray(open(MODEL, "rb").read())
-    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-    at = [k for k in range(len(raw) - 1) if raw[k] == 0x18 and raw[k + 1] == 2]
-    text = "the nation thinks of heron, stone and théâtre"
-    plain = model.encode(text)
-    for k in reversed(at):
-        raw[k + 1] = 1
-        try:
-            other = sentencepiece.SentencePieceProcessor(model_proto=bytes(raw))
-            if other.vocab_size() == model.vocab_size() and other.encode(text) != plain:
-                break
-        except RuntimeError:
-            pass
-        raw[k + 1] = 2
-    else:
-        pytest.skip("the field was not found")
-    sample = [t for t in TEXTS if t and "  " not in t and "   " not in t and "▁" not in t] + [text]
-    for row in encode_texts(documents(*enumerate(sample)), pieces).collect():
-        assert row.ids == other.encode(row.text), row.text
-
-
 def test_empty_table(documents, pieces):
     assert encode_texts(documents(), pieces).filter(F.size("ids") > 0).collect() == []
