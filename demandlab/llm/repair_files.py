@@ -17,7 +17,8 @@ The file format is Parquet with a row per shard:
 
 Encoding goes by units: a byte-level tokenizer of this kind starts anew before a
 space with a sign after it, before other white space, and between letters and
-signs, so the library encodes what lies between only when a task first meets it.
+signs, so the library encodes what lies between once: for the units of a bounded
+sample beforehand, for others when a task first meets them.
 
 Cases: a null or empty text has the end id alone; a null id comes first; repeated
 ids are ordered by text and repeated rows are written like any others; an empty
@@ -34,9 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from demandlab.llm.unit_table import Cuts, TaskEncoder, encoded_batches
+from demandlab.llm.unit_table import Cuts, TaskEncoder, collected, common_units, distinct_units, encoded_batches
+from demandlab.session import materialize
 
 END, SHARD_IDS = 2, 1 << 20
+#: About so many documents' units are encoded beforehand, and sent to every task; it only saves time.
+SAMPLE, MOST_UNITS = 10_000, 1 << 20
 #: Rounds of replacement, pairs taken in a round, and the least count of a pair.
 ROUNDS, PAIRS, LEAST = 5, 3000, 8
 _SPACES, _ASCII_SPACE, _LETTER = (np.zeros(256, dtype=bool) for _ in range(3))
@@ -82,8 +86,9 @@ def compress(ids: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = R
         bins = (code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int32)
         counts = np.bincount(bins, minlength=1 << 20)
         # The fullest bins stand for their pairs; of two pairs in one bin one waits for the next round.
-        full = np.argpartition(counts, -pairs)[-pairs:] if pairs < len(counts) else np.arange(len(counts))
-        full = full[counts[full] >= least]
+        full = np.flatnonzero(counts >= least)
+        if len(full) > pairs:
+            full = full[np.argpartition(counts[full], -pairs)[-pairs:]]
         rank = np.full(1 << 20, -1, dtype=np.int32)
         rank[full] = np.arange(len(full))
         number = rank[bins]
@@ -148,23 +153,45 @@ def ids_between(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, first
 _SHARD = "part int, shard int, n_ids long, doc_id array<{kind}>, n_tokens array<int>, n_symbols array<int>, first_rule int, rules binary, expansions binary, width int, symbols binary"
 
 
-def write_shards(documents: DataFrame, path: str, tokenizer_file: str, end: int = END, shard_ids: int = SHARD_IDS) -> None:
+def _library(tokenizer_file: str):
+    """The tokenizer, its special tokens as bytes, and a function from texts to ids."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_file)
+    special = tuple(token.content.encode() for token in tokenizer.get_added_tokens_decoder().values())
+    return tokenizer, special, lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _sample_table(documents: DataFrame, tokenizer_file: str, sample: int):
+    """The encoded units of about `sample` documents, chosen by the hash of their text."""
+    share = min(1.0, sample / max(1, documents.count()))
+    chosen = documents.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text").distinct()
+    _, special, _ = _library(tokenizer_file)
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, _, encode = _library(tokenizer_file)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch["hash"], pa.array(encode(batch["unit"].to_pylist()), pa.list_(pa.int32()))], ["hash", "ids"])
+
+    units = materialize(distinct_units(chosen, word_cuts(special)), "units")
+    return collected(common_units(units, MOST_UNITS).select("hash", "unit").mapInArrow(encoded, "hash long, ids array<int>"))
+
+
+def write_shards(documents: DataFrame, path: str, tokenizer_file: str, end: int = END, shard_ids: int = SHARD_IDS, sample: int = SAMPLE) -> None:
     """Encode the columns doc_id and text and write the shards. tokenizer_file: a path that all machines can read."""
     documents = documents.select("doc_id", "text")
+    held = documents.sparkSession.sparkContext.broadcast(_sample_table(documents, tokenizer_file, sample))
     kind = documents.schema["doc_id"].dataType.simpleString()
     names = ["part", "shard", "n_ids", "doc_id", "n_tokens", "n_symbols", "first_rule", "rules", "expansions", "width", "symbols"]
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        first_rule = tokenizer.get_vocab_size()
-        special = tuple(token.content.encode() for token in tokenizer.get_added_tokens_decoder().values())
-        encoder = TaskEncoder(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        tokenizer, special, encode = _library(tokenizer_file)
+        first_rule, encoder = tokenizer.get_vocab_size(), TaskEncoder(encode, held.value)
         part, shard, docs, parts, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def finished() -> pa.RecordBatch:
@@ -213,11 +240,13 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 lengths = np.array(row["n_tokens"], dtype=np.int64)
                 edges = np.append(0, np.cumsum(lengths))
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
-                columns = [pa.array(row["doc_id"], batch.schema.field("doc_id").type.value_type), pa.array(edges[:-1] + row["start"]), pa.array(lengths), pa.array(crc, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
+                place = [pa.array(np.full(len(lengths), row[k], np.int32)) for k in ("part", "shard")]
+                columns = [*place, pa.array(row["doc_id"], batch.schema.field("doc_id").type.value_type), pa.array(edges[:-1]), pa.array(lengths), pa.array(crc, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "shard", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    # The small table of starts is joined to the keys of shards; the payload is not sorted for it.
-    return files.drop("n_symbols", "expansions").join(starts, ["part", "shard"]).mapInArrow(decoded, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    # Starts meet the few numbers of each document, never the symbols.
+    rows = files.drop("n_symbols", "expansions", "n_ids").mapInArrow(decoded, f"part int, shard int, doc_id {kind}, at long, n_tokens long, ids_crc32 long")
+    return rows.join(starts, ["part", "shard"]).select("doc_id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def document_slice(spark: SparkSession, path: str, doc_id, start: int, stop: int) -> list[int]:

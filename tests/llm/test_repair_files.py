@@ -54,7 +54,7 @@ def test_files_hold_what_the_library_encodes(spark, documents, tmp_path):
 
 
 def test_small_shards_and_tasks_that_forget(spark, documents, tmp_path):
-    check(spark, documents, str(tmp_path / "b"), shard_ids=300)
+    check(spark, documents, str(tmp_path / "b"), shard_ids=300, sample=5)
     tokenizer = Tokenizer.from_file(FILE)
     rows = dict(texts()[:60])
     ids = tokenizer.encode(rows[33], add_special_tokens=False).ids
