@@ -45,10 +45,12 @@ def zone_orders(tables: Tables, datasets: DataFrame, as_of: dt.date) -> DataFram
     """Orders inside a dataset's zones.
 
     Key-account orders stay out of single-warehouse datasets. A dataset over all
-    warehouses keeps them, once per matching account row.
+    warehouses keeps them, once per matching account row. Only headers and zones
+    of the datasets' regions and groups are matched.
     """
+    headers = closed_orders(tables, as_of).join(datasets.select("region_code"), "region_code", "left_semi")
     placed = match_zone_groups(
-        closed_orders(tables, as_of).select(*_HEADER, "tag_name", "latitude", "longitude"), tables
+        headers.select(*_HEADER, "tag_name", "latitude", "longitude"), tables, datasets.select("microzone_group_code")
     )
     routed = placed.join(datasets, ["region_code", "microzone_group_code"])
     return (

@@ -11,9 +11,11 @@ from demandlab.operators.sku import remap_products
 from demandlab.sources.tables import Tables
 
 
-def _positive_sums(matched: DataFrame, new_skus: DataFrame, as_of: dt.date) -> DataFrame:
+def _positive_sums(matched: DataFrame, new_skus: DataFrame, as_of: dt.date, day: dt.date | None = None) -> DataFrame:
     # Summed per raw product first: what is shuffled or joined to the product
     # map is then one row per day and product, not one per stockout record.
+    if day is not None:
+        matched = matched.filter(F.col("close_date") == F.lit(day))
     daily = (
         matched.filter(F.col("close_date") <= F.lit(as_of))
         .groupBy("close_date", "product_id", "region_code", "dataset_identifier", "stockout_weight")
@@ -31,11 +33,13 @@ def _chosen(datasets: DataFrame, *keys: str) -> DataFrame:
     return datasets.select(*keys, "dataset_identifier", "stockout_weight")
 
 
-def stockouts_by_warehouse(tables: Tables, datasets: DataFrame, as_of: dt.date) -> DataFrame:
-    """Positive stockout demand per day, product and dataset of the same warehouse."""
+def stockouts_by_warehouse(
+    tables: Tables, datasets: DataFrame, as_of: dt.date, day: dt.date | None = None
+) -> DataFrame:
+    """Positive stockout demand per day, product and dataset of the same warehouse; of one day if given."""
     keys = ["region_code", "warehouse"]
     matched = tables.stockout_by_warehouse.join(_chosen(datasets, *keys), keys)
-    return _positive_sums(matched, tables.new_skus, as_of)
+    return _positive_sums(matched, tables.new_skus, as_of, day)
 
 
 def stockouts_by_region(tables: Tables, datasets: DataFrame, as_of: dt.date) -> DataFrame:

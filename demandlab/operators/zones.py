@@ -1,9 +1,15 @@
-"""Matching points to delivery zones by a grid equi-join.
+"""Matching points to delivery zones by an equi-join on grid cells.
 
-Every zone is listed under the grid cells its bounding box touches and every
-point falls in one cell, so the candidates come from a join on (site, cell). The
+A zone lies on the grid level of its own size: its cells are as wide as the next
+power of two, so its bounding box touches at most two of them each way, however
+large or small other zones are. A point falls into one cell of each level that
+its site uses, so the candidates come from a join on (site, level, cell). The
 exact polygon test runs on the candidates only, whose edges are looked up by zone:
-the cell list itself stays light. A point inside two zones yields two rows.
+the cell list itself stays light.
+
+Every zone row is tested once for a point near it. A point inside two zones, or
+inside two equal rows of one zone, yields two rows; a zone stored in parts yields
+one for the part that holds the point.
 """
 
 from __future__ import annotations
@@ -14,15 +20,19 @@ from pyspark.sql import functions as F
 from demandlab.functions import geometry
 from demandlab.sources.tables import Tables
 
+# Zones smaller than this share a level.
 SMALLEST_CELL = 1e-6
-MOST_CELLS_PER_SIDE = 64
 
 
-def zone_shapes(tables: Tables) -> DataFrame:
-    """Zones of each site with edges and bounding box."""
+def zone_shapes(tables: Tables, groups: DataFrame | None = None) -> DataFrame:
+    """Zones of each site with edges and bounding box; only those of the groups if given."""
+    zones = tables.microzone
+    if groups is not None:
+        chosen = tables.microzone_group.join(groups, "microzone_group_code", "left_semi")
+        zones = zones.join(chosen, "microzone_id", "left_semi")
     x_min, x_max = geometry.extent(F.col("boundaries"), "x")
     y_min, y_max = geometry.extent(F.col("boundaries"), "y")
-    return tables.microzone.select(
+    return zones.select(
         "site_id",
         "microzone_id",
         geometry.edges(F.col("boundaries")).alias("edges"),
@@ -33,56 +43,60 @@ def zone_shapes(tables: Tables) -> DataFrame:
     )
 
 
-def grid_side(shapes: DataFrame) -> Column:
-    """Cell side: the mean longer side of the bounding boxes.
+def _level() -> Column:
+    """The power of two of a zone's cell side: the smallest that is no less than its longer side."""
+    longer = F.greatest(F.col("x_max") - F.col("x_min"), F.col("y_max") - F.col("y_min"), F.lit(SMALLEST_CELL))
+    return F.ceil(F.log2(longer)).cast("int")
 
-    A typical zone then covers about four cells. One very large zone among small
-    ones makes the cells larger, so that no zone is listed under more than 64 by
-    64 of them.
-    """
-    side = F.greatest(F.col("x_max") - F.col("x_min"), F.col("y_max") - F.col("y_min"))
-    chosen = F.greatest(F.avg(side), F.max(side) / MOST_CELLS_PER_SIDE, F.lit(SMALLEST_CELL))
-    return shapes.agg(chosen.alias("side")).scalar()
 
+def _cell(coordinate: Column, level: Column) -> Column:
+    return F.floor(coordinate / F.pow(F.lit(2.0), level))
 
-def _cell(coordinate: Column, side: Column) -> Column:
-    return F.floor(coordinate / side)
 
+def _touched(axis: str) -> Column:
+    level = F.col("__level")
+    return F.explode(F.sequence(_cell(F.col(f"{axis}_min"), level), _cell(F.col(f"{axis}_max"), level)))
 
-def match_zones(points: DataFrame, shapes: DataFrame, cell_side: float | None = None) -> DataFrame:
-    """Join points (site_id, latitude, longitude, ...) to the zones around them.
 
-    Adds microzone_id. ``cell_side`` fixes the grid; by default it follows the
-    zones themselves.
-    """
-    side = grid_side(shapes) if cell_side is None else F.lit(float(cell_side))
+def match_zones(points: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Join points (site_id, latitude, longitude, ...) to the zones around them, adding microzone_id."""
     x, y = F.col("latitude"), F.col("longitude")
+    placed = shapes.filter(F.col("x_min").isNotNull() & F.col("y_min").isNotNull()).withColumn("__level", _level())
     cells = (
-        shapes.drop("edges")
-        .withColumn("__cx", F.explode(F.sequence(_cell(F.col("x_min"), side), _cell(F.col("x_max"), side))))
-        .withColumn("__cy", F.explode(F.sequence(_cell(F.col("y_min"), side), _cell(F.col("y_max"), side))))
+        placed.select("site_id", "microzone_id", "__level", _touched("x").alias("__cx"), "y_min", "y_max")
+        .select("site_id", "microzone_id", "__level", "__cx", _touched("y").alias("__cy"))
+        .distinct()
     )
+    # One row per site with its levels: fewer than fifty, as a level doubles the last.
+    levels = placed.groupBy("site_id").agg(F.collect_set("__level").alias("__levels"))
     candidates = (
-        points.withColumns({"__cx": _cell(x, side), "__cy": _cell(y, side)})
-        .join(cells, ["site_id", "__cx", "__cy"])
-        .filter(x.between(F.col("x_min"), F.col("x_max")) & y.between(F.col("y_min"), F.col("y_max")))
-        .drop("__cx", "__cy", "x_min", "x_max", "y_min", "y_max")
+        points.join(levels, "site_id")
+        .withColumn("__level", F.explode("__levels"))
+        .withColumns({"__cx": _cell(x, F.col("__level")), "__cy": _cell(y, F.col("__level"))})
+        .drop("__levels")
+        .join(cells, ["site_id", "__level", "__cx", "__cy"])
+        .drop("__cx", "__cy")
     )
-    outlines = shapes.select("site_id", "microzone_id", "edges")
+    outlines = placed.select("site_id", "microzone_id", "__level", "edges", "x_min", "x_max", "y_min", "y_max")
+    near = x.between(F.col("x_min"), F.col("x_max")) & y.between(F.col("y_min"), F.col("y_max"))
     return (
-        candidates.join(outlines, ["site_id", "microzone_id"])
-        .filter(geometry.inside(F.col("edges"), x, y))
-        .drop("edges")
+        candidates.join(outlines, ["site_id", "microzone_id", "__level"])
+        .filter(near & geometry.inside(F.col("edges"), x, y))
+        .drop("__level", "edges", "x_min", "x_max", "y_min", "y_max")
     )
 
 
-def match_zone_groups(points: DataFrame, tables: Tables, cell_side: float | None = None) -> DataFrame:
+def match_zone_groups(points: DataFrame, tables: Tables, groups: DataFrame | None = None) -> DataFrame:
     """Points (region_code, latitude, longitude, ...) with the group code of each zone around them.
 
-    The polygon test runs once per point and zone, however many datasets use it.
-    The site is looked up for the points, so that the zone side of the join stays
-    a plain table whose size the optimizer knows.
+    ``groups`` (microzone_group_code) leaves other groups and their zones out. The
+    polygon test runs once per point and zone, however many datasets use it. The
+    site is looked up for the points, so that the zone side of the join stays a
+    plain table whose size the optimizer knows.
     """
     sites = tables.site.select("site_id", F.col("identifier_value").alias("region_code"))
-    placed = match_zones(points.join(sites, "region_code"), zone_shapes(tables), cell_side)
-    return placed.join(tables.microzone_group, "microzone_id").drop("site_id")
+    members = tables.microzone_group
+    if groups is not None:
+        members = members.join(groups, "microzone_group_code", "left_semi")
+    placed = match_zones(points.join(sites, "region_code"), zone_shapes(tables, groups))
+    return placed.join(members, "microzone_id").drop("site_id")

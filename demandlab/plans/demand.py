@@ -21,6 +21,7 @@ from demandlab.operators.outliers import (
 )
 from demandlab.operators.sku import remap_products
 from demandlab.operators.stockouts import stockouts_by_warehouse
+from demandlab.session import materialize
 from demandlab.sources.demand_table import create_demand_table, replace_dataset, replace_day
 from demandlab.sources.tables import Tables
 
@@ -93,26 +94,34 @@ def _kept(variant: Variant) -> Column:
     return keep
 
 
-def kept_quantities(lines: DataFrame, new_skus: DataFrame, variants: Sequence[Variant]) -> DataFrame:
+def kept_quantities(
+    lines: DataFrame, new_skus: DataFrame, variants: Sequence[Variant], day: dt.date | None = None
+) -> DataFrame:
     """Each variant's remapped quantity, one column per variant named like its experiment.
 
     Rows are (date, product_id, dp_input_datasets_id) and are still to be summed.
     A column is NULL where its variant keeps no line, and 0 where it keeps only
-    lines without quantity.
+    lines without quantity. With ``day`` only its lines go on; the thresholds
+    still come from all lines.
     """
+    on_day = F.lit(True) if day is None else F.col("close_date") == F.lit(day)
     if any(v.needs_thresholds for v in variants):
-        counted = count_lines(lines)
-        thresholds = line_thresholds(counted, _populations(variants))
-        # Every counted line has thresholds. The null-safe comparison keeps lines
-        # without product, and adds no IS NOT NULL filter to only one of the two
-        # branches, so Spark can reuse the shuffle of the counts for both.
+        # Thresholds and demand both read the counts, so the lines are read once, here.
+        counted = materialize(count_lines(lines), "counted-lines")
+        thresholds = line_thresholds(
+            counted,
+            _populations(variants),
+            sigma=sorted({v.population for v in variants if v.sigma_lines}),
+            percentile=sorted({v.population for v in variants if v.percentile_lines}),
+        )
+        # The null-safe comparison keeps lines without product.
         renamed = thresholds.withColumnsRenamed({name: f"__{name}" for name in GROUP})
         same_group = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in GROUP]
-        counted = counted.join(renamed, same_group).drop(*[f"__{name}" for name in GROUP])
+        counted = counted.filter(on_day).join(renamed, same_group).drop(*[f"__{name}" for name in GROUP])
         quantity = F.col(LINE_COUNT) * F.col("quantity")
     else:
         keys = [*GROUP, "close_date", *(["user_listed"] if "user_listed" in lines.columns else [])]
-        counted = lines.groupBy(*keys).agg(F.sum("quantity").alias("quantity"))
+        counted = lines.filter(on_day).groupBy(*keys).agg(F.sum("quantity").alias("quantity"))
         quantity = F.col("quantity")
     amounts = counted.select(
         F.col("close_date").alias("date"),
@@ -159,10 +168,14 @@ def combine_with_stockouts(rows: DataFrame, stockouts: DataFrame, variants: Sequ
 
 
 def wide_demand(
-    lines: DataFrame, stockouts: DataFrame, new_skus: DataFrame, variants: Sequence[Variant]
+    lines: DataFrame,
+    stockouts: DataFrame,
+    new_skus: DataFrame,
+    variants: Sequence[Variant],
+    day: dt.date | None = None,
 ) -> DataFrame:
     """Unsmoothed demand per day and product, one column per variant."""
-    return combine_with_stockouts(kept_quantities(lines, new_skus, variants), stockouts, variants)
+    return combine_with_stockouts(kept_quantities(lines, new_skus, variants, day), stockouts, variants)
 
 
 def _long(wide: DataFrame, variants: Sequence[Variant]) -> DataFrame:
@@ -179,18 +192,21 @@ def build_demand(
     country: str | None = None,
     dataset_id: int | None = None,
     restriction: Column | None = None,
+    day: dt.date | None = None,
 ) -> DataFrame:
     """Daily demand of the chosen variants as one long table.
 
     ``restriction`` is a condition on date, product_id and dp_input_datasets_id of
     the finished days; thresholds and z-scores still use the whole history.
+    ``day`` restricts to one date, whose mean is the demand itself, so smoothing
+    changes nothing: days before it are needed for the line thresholds alone.
     The lines are read, joined and counted once for all variants.
     """
     datasets = select_datasets(tables, country, dataset_id)
     lines = order_lines(tables, datasets, as_of, flag_users=any(v.user_list for v in variants))
-    stockouts = stockouts_by_warehouse(tables, datasets, as_of)
-    wide = wide_demand(lines, stockouts, tables.new_skus, variants)
-    smoothed = [v.experiment for v in variants if v.smooth]
+    stockouts = stockouts_by_warehouse(tables, datasets, as_of, day)
+    wide = wide_demand(lines, stockouts, tables.new_skus, variants, day)
+    smoothed = [v.experiment for v in variants if v.smooth and day is None]
     if smoothed:
         wide = smooth_days(wide, smoothed, restriction)
     elif restriction is not None:
@@ -217,6 +233,5 @@ def run_demand(
     if initial_load:
         replace_dataset(build_demand(tables, as_of, VARIANTS, country, dataset_id), table, dataset_id)
     else:
-        today = F.col("date") == F.lit(as_of)
-        day = build_demand(tables, as_of, VARIANTS, country, dataset_id, today)
+        day = build_demand(tables, as_of, VARIANTS, country, dataset_id, day=as_of)
         replace_day(day, table, dataset_id, as_of)

@@ -30,8 +30,8 @@ def mean_by_timeframe(errors: DataFrame, keys: Sequence[str] = (TIMEFRAME,)) ->
 
 
 def sum_by_timeframe(errors: DataFrame, keys: Sequence[str] = (TIMEFRAME,)) -> DataFrame:
-    """Sum of every numeric column per horizon."""
-    return errors.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in _measures(errors, keys)])
+    """Sum of every numeric column per horizon; a column without values sums to 0."""
+    return errors.groupBy(*keys).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in _measures(errors, keys)])
 
 
 def overall_mean(df: DataFrame) -> DataFrame:

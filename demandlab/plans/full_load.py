@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlab.functions.calendar import is_working_day
@@ -12,6 +12,7 @@ from demandlab.operators.datasets import select_datasets
 from demandlab.operators.order_lines import order_lines
 from demandlab.operators.stockouts import stockouts_by_region
 from demandlab.plans.demand import Variant, wide_demand
+from demandlab.sources.demand_table import append_demand, create_demand_table, store_table
 from demandlab.sources.tables import Tables
 
 # Line bound and customer list on; no percentile, no smoothing.
@@ -36,6 +37,24 @@ def full_load(tables: Tables, as_of: dt.date, country: str | None = None) -> Dat
     )
 
 
+def run_full_load(
+    spark: SparkSession,
+    tables: Tables,
+    as_of: dt.date,
+    country: str,
+    input_demand: str,
+    dates: str,
+    start_dates: str,
+    location: str | None = None,
+) -> None:
+    """Append the full load to the table ``input_demand`` and store the two tables of dates made from it."""
+    create_demand_table(spark, input_demand, location, "input_demand")
+    append_demand(full_load(tables, as_of, country), input_demand, "input_demand")
+    stored = spark.table(input_demand)
+    store_table(demand_dates(stored), dates)
+    store_table(first_demand_dates(tables, stored, country), start_dates)
+
+
 def demand_dates(input_demand: DataFrame) -> DataFrame:
     """Distinct demand dates without Sundays."""
     return input_demand.select(F.col("date").alias("raw_date")).filter(is_working_day(F.col("raw_date"))).distinct()

@@ -3,17 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from demandlab.sources.schemas import ANCHOR_DAYS, DESIGN_MATRIX
+from demandlab.sources.schemas import ANCHOR_DAYS, DESIGN_MATRIX, MAFE_ERRORS
+
+ROW_NUMBER = "row"
 
 
 def read_indexed_csv(spark: SparkSession, path: str, columns: str) -> DataFrame:
-    """Read a CSV with a header whose first column is an unnamed row number.
+    """Read a CSV with a header whose first column is a row number, under any name or none.
 
-    ``columns`` is a DDL list that leaves the row number out; nothing is inferred.
+    ``columns`` is a DDL list that leaves the row number out; no type is inferred.
+    A header with other columns, or in another order, is an error.
     """
+    found = spark.read.csv(path, header=True, inferSchema=False).columns[1:]
+    wanted = StructType.fromDDL(columns).names
+    if found != wanted:
+        raise ValueError(f"{path} has the columns {', '.join(found)}, not {', '.join(wanted)}")
     return (
-        spark.read.schema(f"__row int, {columns}")
+        spark.read.schema(f"__row bigint, {columns}")
         .csv(path, header=True, enforceSchema=True, dateFormat="yyyy-MM-dd", mode="FAILFAST")
         .drop("__row")
     )
@@ -28,6 +37,17 @@ def read_design_matrix(spark: SparkSession, path: str) -> DataFrame:
     return read_indexed_csv(spark, path, DESIGN_MATRIX)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write with a header, one file per task."""
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    """Weighted errors per warehouse, as ``Evaluation.warehouse_errors`` gives them."""
+    return read_indexed_csv(spark, path, MAFE_ERRORS)
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", numbered: bool = False) -> None:
+    """Write with a header, one file per task.
+
+    ``numbered`` puts a row number first, as the readers here expect it; numbers
+    are unique and ascending, but not without gaps between files.
+    """
+    if numbered:
+        df = df.select(F.monotonically_increasing_id().alias(ROW_NUMBER), *df.columns)
     df.write.mode(mode).csv(path, header=True, dateFormat="yyyy-MM-dd")

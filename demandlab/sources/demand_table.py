@@ -2,8 +2,9 @@
 
 The table is partitioned by dataset and date, so a replacement touches only its
 own partitions. Replacing with no rows leaves the dataset or day empty, which
-dynamic partition overwrite would not do; the partition is therefore always
-named in the statement.
+dynamic partition overwrite would not do. A day's partition is therefore always
+named in the statement, and the table itself asks for static overwrite, whatever
+the session's mode is.
 """
 
 from __future__ import annotations
@@ -31,6 +32,11 @@ def _clustered(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(name) for name in columns])
 
 
+def _exists(spark: SparkSession, location: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def create_demand_table(
     spark: SparkSession, table: str, location: str | None = None, layout: str = "demand"
 ) -> None:
@@ -39,12 +45,16 @@ def create_demand_table(
     ``layout`` is 'demand' (with the experiment) or 'input_demand'. With a
     ``location`` that already holds data its partitions are picked up.
     """
+    filled = location is not None and not spark.catalog.tableExists(table) and _exists(spark, location)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema_of(layout))
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+        "OPTIONS (partitionOverwriteMode 'static') "
         f"PARTITIONED BY ({', '.join(f'`{c}`' for c in PARTITION_COLUMNS)}){place}"
     )
+    if filled:
+        spark.catalog.recoverPartitions(table)
 
 
 def append_demand(df: DataFrame, table: str, layout: str = "demand") -> None:
@@ -53,8 +63,18 @@ def append_demand(df: DataFrame, table: str, layout: str = "demand") -> None:
     _clustered(ordered, *PARTITION_COLUMNS).write.insertInto(table)
 
 
+def _require_static_overwrite(spark: SparkSession, table: str) -> None:
+    """A table made elsewhere may follow the session, where the dynamic mode would keep stale days."""
+    if spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() != "dynamic":
+        return
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Storage Properties'").first()
+    if details is None or "partitionoverwritemode=static" not in details.data_type.replace(" ", "").lower():
+        raise ValueError(f"table {table} lacks the option partitionOverwriteMode 'static'")
+
+
 def replace_dataset(df: DataFrame, table: str, dataset_id: int, layout: str = "demand") -> None:
     """Put ``df``'s rows of one dataset in place of all stored rows of that dataset."""
+    _require_static_overwrite(df.sparkSession, table)
     rows = df.filter(F.col("dp_input_datasets_id") == dataset_id).select(*_value_columns(layout), "date")
     df.sparkSession.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (dp_input_datasets_id = {int(dataset_id)}, `date`) "

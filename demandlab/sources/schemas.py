@@ -43,6 +43,10 @@ TABLE_COLUMNS = {
 
 # Columns of the CSV files, after the row number that comes first in each.
 ANCHOR_DAYS = "date date"
+MAFE_ERRORS = (
+    "anchor date, dp_input_datasets_id int, forecast_date date, region_code string, warehouse string, timeframe int, "
+    + ", ".join(f"mafe_exp{k} double" for k in range(1, 9))
+)
 DESIGN_MATRIX = "y double, a int, b int, c int, d int, af int, bf int, cf int, df int"
 
 

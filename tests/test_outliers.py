@@ -5,7 +5,18 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from demandlab.operators.outliers import day_z_scores, line_percentiles, line_statistics, smooth_days
+from demandlab.operators.outliers import (
+    LINE_COUNT,
+    _histogram,
+    _means,
+    _near_ranks,
+    _range,
+    count_lines,
+    day_z_scores,
+    line_percentiles,
+    line_statistics,
+    smooth_days,
+)
 from demandlab.plans.demand import VARIANT, kept_quantities, sum_by_day
 
 DAY = dt.date(2022, 8, 1)
@@ -108,3 +119,49 @@ def test_no_spread_gives_zero_score(spark):
 def test_too_few_days_cannot_be_outlying(spark):
     days = spike(spark, [1.0] * 8 + [100.0])
     assert max(row.demand for row in smooth_days(days, ["demand"]).collect()) == 100.0
+
+
+def exact(values, n=None):
+    ordered = sorted(values)
+    at = (len(ordered) - 1) * 0.99
+    low, high = ordered[int(at)], ordered[-int(-at // 1)]
+    return low + (high - low) * (at - int(at))
+
+
+def test_percentile_of_a_product_with_very_many_quantities(spark):
+    """No window partition holds them all: only the range of a rank is ordered, also beside a mistyped quantity."""
+    draw = random.Random(3)
+    quantities = [draw.lognormvariate(1, 1) for _ in range(200_000)] + [1e9]
+    frame = spark.createDataFrame([(q,) for q in quantities], "quantity double").selectExpr(
+        "DATE'2022-08-01' AS close_date", "1L AS product_id", "quantity", "10 AS dp_input_datasets_id"
+    )
+    counted = count_lines(frame)
+    histogram = _histogram(counted, {"all": F.col(LINE_COUNT)})
+    assert _near_ranks(histogram, _means(histogram, ["all"]), ["all"]).count() < 5000
+    assert histogram.select(_range()).distinct().count() < 20_000
+    assert line_percentiles(frame).first().percentile_99 == pytest.approx(exact(quantities), rel=1e-12)
+    stats = line_statistics(frame).first()
+    assert stats.average == pytest.approx(statistics.fmean(quantities)) and stats.std_dev == pytest.approx(statistics.stdev(quantities))
+
+
+def test_percentiles_of_many_small_groups(spark):
+    draw = random.Random(4)
+    groups = {p: [float(draw.choice([1, 2, 2, 3, 50, 0.5])) for _ in range(draw.randint(1, 300))] for p in range(20)}
+    rows = [(DAY, p, q, 10, "R", 0.5, False) for p, values in groups.items() for q in [*values, None]]
+    found = {r.product_id: r.percentile_99 for r in line_percentiles(spark.createDataFrame(rows, LINES)).collect()}
+    assert found == {p: pytest.approx(exact(values)) for p, values in groups.items()}
+
+
+def test_group_of_unknown_quantities_has_no_percentile(spark, rows_of):
+    frame = lines_frame(spark, [None, None])
+    assert rows_of(line_percentiles(frame), "percentile_99") == [(None,)]
+    assert rows_of(line_statistics(frame), "average", "std_dev") == [(None, 0.0)]
+
+
+def test_mean_of_the_whole_history(spark):
+    days = spark.createDataFrame([(DAY + dt.timedelta(days=k), 1, 10, 1000.0 if k == 20 else 1.0) for k in range(21)], "date date, product_id bigint, dp_input_datasets_id int, demand double")
+    last = F.col("date") == F.lit(DAY + dt.timedelta(days=20))
+    assert smooth_days(days, ["demand"], last).first().demand == 1000.0
+    assert smooth_days(days, ["demand"], last, over="history").first().demand == pytest.approx(1020 / 21)
+    with pytest.raises(ValueError, match="over"):
+        smooth_days(days, ["demand"], over="month")

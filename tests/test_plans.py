@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from demandlab.operators.datasets import select_datasets
 from demandlab.operators.order_lines import closed_orders, order_lines
-from demandlab.plans.demand import build_demand
+from demandlab.operators.outliers import count_lines
+from demandlab.plans.demand import VARIANT, build_demand
 from demandlab.plans.evaluation import Evaluation, evaluation_cases
 from demandlab.sources.schemas import TABLE_COLUMNS
 from demandlab.sources.tables import parquet_tables
@@ -45,10 +46,14 @@ def scans(df, table):
 
 
 def test_all_variants_read_the_lines_once(stored):
+    datasets = select_datasets(stored)
+    counted = count_lines(order_lines(stored, datasets, AS_OF))
+    counted.collect()
+    assert scans(counted, "order_line") == 1
+    assert scans(counted, "order_header") == 2  # zone orders and key accounts
     df = build_demand(stored, AS_OF)
     df.collect()
-    assert scans(df, "order_line") == 1
-    assert scans(df, "order_header") == 2  # zone orders and key accounts
+    assert scans(df, "order_line") == scans(df, "order_header") == 0  # thresholds and demand read the written counts
 
 
 def test_filters_and_columns_reach_the_scan(stored):
@@ -109,3 +114,25 @@ def test_anchor_span_reaches_the_fact_scans(stored):
     assert f"GreaterThanOrEqual(close_date,{min(ANCHORS).isoformat()})" in text
     assert f"LessThanOrEqual(close_date,{(max(ANCHORS) + dt.timedelta(days=40)).isoformat()})" in text
     assert text.count("SortMergeJoin") + text.count("ShuffledHashJoin") <= 1  # orders to lines
+
+
+def test_a_dataset_restricts_points_before_the_polygon_test(stored):
+    text = plan(build_demand(stored, AS_OF, [VARIANT[1]], "C1", 11)).split("\n\n")[0].splitlines()
+    polygon = next(i for i, line in enumerate(text) if "SemiJoin" in line or "LeftSemi" in line)
+    assert polygon > 0
+    optimized = build_demand(stored, AS_OF, [VARIANT[1]], "C1", 11)._jdf.queryExecution().optimizedPlan().toString()
+    lines = optimized.splitlines()
+    test = next(i for i, line in enumerate(lines) if "edges" in line and "exists" in line)
+    inner = [line for line in lines[test:] if "LeftSemi" in line]
+    assert len(inner) >= 2  # headers by region, zones and groups by group, below the polygon test
+
+
+def test_one_day_needs_no_window_over_days(stored):
+    text = plan(build_demand(stored, AS_OF, [VARIANT[1], VARIANT[5]], day=AS_OF))
+    assert "Window" not in text
+    assert f"EqualTo(close_date,{AS_OF.isoformat()})" in text
+
+
+def test_one_day_equals_the_day_of_the_whole(stored, rows_of):
+    day = build_demand(stored, AS_OF, day=AS_OF)
+    assert rows_of(day) == rows_of(build_demand(stored, AS_OF, restriction=F.col("date") == F.lit(AS_OF)))

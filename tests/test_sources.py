@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from demandlab.session import CHECKPOINT_SETTING, materialize, shared_folder
-from demandlab.sources.demand_table import append_demand, create_demand_table, name_temporarily, replace_dataset, store_table
+from demandlab.sources.demand_table import append_demand, create_demand_table, name_temporarily, replace_dataset, replace_day, store_table
 from demandlab.sources.schemas import schema_of
 from demandlab.sources.tables import Tables, catalog_tables
 
@@ -69,3 +69,49 @@ def test_materialized_rows_and_folder(spark, loaded, rows_of):
     assert shared_folder(Cluster("hdfs:///shared")) == "hdfs:///shared"
     with pytest.raises(ValueError, match=CHECKPOINT_SETTING):
         shared_folder(Cluster(None))
+
+
+@pytest.fixture(params=["static", "dynamic"])
+def overwrite_mode(spark, request):
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, request.param)
+    yield request.param
+    spark.conf.set(setting, before)
+
+
+def test_replacing_leaves_no_stale_rows_in_any_mode(spark, rows_of, overwrite_mode):
+    schema, columns = schema_of("input_demand"), ("date", "product_id")
+    rows = lambda *values: spark.createDataFrame(list(values), schema)
+    tuesday = MONDAY + dt.timedelta(days=1)
+    for table in ("replaced", "elsewhere"):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    create_demand_table(spark, "replaced", layout="input_demand")
+    append_demand(rows((MONDAY, 1, 1.0, 10), (tuesday, 2, 1.0, 10), (MONDAY, 9, 1.0, 11)), "replaced", "input_demand")
+    replace_dataset(rows((MONDAY, 3, 1.0, 10)), "replaced", 10, "input_demand")
+    assert rows_of(spark.table("replaced"), *columns) == [(MONDAY, 3), (MONDAY, 9)]
+    replace_day(rows((MONDAY, 4, 1.0, 10), (tuesday, 5, 1.0, 10)), "replaced", 10, MONDAY, "input_demand")
+    assert rows_of(spark.table("replaced"), *columns) == [(MONDAY, 4), (MONDAY, 9)]
+    replace_day(rows(), "replaced", 11, MONDAY, "input_demand")
+    assert rows_of(spark.table("replaced"), *columns) == [(MONDAY, 4)]
+    replace_dataset(rows(), "replaced", 10, "input_demand")
+    assert spark.table("replaced").count() == 0
+    spark.sql("CREATE TABLE elsewhere (product_id BIGINT, demand DOUBLE, dp_input_datasets_id INT, `date` DATE) USING parquet PARTITIONED BY (dp_input_datasets_id, `date`)")
+    if overwrite_mode == "dynamic":
+        with pytest.raises(ValueError, match="partitionOverwriteMode"):
+            replace_dataset(rows(), "elsewhere", 10, "input_demand")
+    else:
+        replace_dataset(rows(), "elsewhere", 10, "input_demand")
+    spark.sql("DROP TABLE replaced")
+    spark.sql("DROP TABLE elsewhere")
+
+
+def test_a_filled_location_is_picked_up(spark, loaded, rows_of, tmp_path):
+    for table in ("first_name", "second_name"):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        create_demand_table(spark, table, f"file://{tmp_path}/filled", "input_demand")
+        if table == "first_name":
+            append_demand(loaded, table, "input_demand")
+    assert rows_of(spark.table("second_name"), "product_id") == [(1,), (2,)]
+    spark.sql("DROP TABLE first_name")
+    spark.sql("DROP TABLE second_name")

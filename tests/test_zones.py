@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandlab.functions.geometry import contains
-from demandlab.operators.zones import match_zone_groups, match_zones, zone_shapes
+from demandlab.operators.zones import _level, match_zone_groups, match_zones, zone_shapes
 
 SQUARE = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]
 HOLE = [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0)]
@@ -47,8 +47,7 @@ def reference_inside(rings, x, y):
     return odd
 
 
-@pytest.mark.parametrize("cell_side", [None, 0.7, 25.0])
-def test_grid_join_equals_testing_every_pair(make_tables, rows_of, spark, cell_side):
+def test_grid_join_equals_testing_every_pair(make_tables, rows_of, spark):
     zones = {1: (1, [SQUARE, HOLE]), 2: (1, [TRIANGLE]), 3: (2, [TRIANGLE]), 4: (1, [[(-50.0, -60.0), (70.0, -60.0), (8.0, 90.0)]])}
     tables = make_tables(microzone=[(zone, site, as_points(rings)) for zone, (site, rings) in zones.items()])
     draw = random.Random(7)
@@ -58,7 +57,7 @@ def test_grid_join_equals_testing_every_pair(make_tables, rows_of, spark, cell_s
         (i, zone) for i, site, x, y in points for zone, (where, rings) in zones.items()
         if where == site and reference_inside(rings, x, y)
     )
-    assert rows_of(match_zones(frame, zone_shapes(tables), cell_side), "id", "microzone_id") == expected
+    assert rows_of(match_zones(frame, zone_shapes(tables)), "id", "microzone_id") == expected
 
 
 def test_point_in_two_zones_counts_twice(make_tables, rows_of, spark):
@@ -69,3 +68,41 @@ def test_point_in_two_zones_counts_twice(make_tables, rows_of, spark):
     )
     points = spark.createDataFrame([(1, "R", 3.5, 3.6)], "id int, region_code string, latitude double, longitude double")
     assert rows_of(match_zone_groups(points, tables), "id", "microzone_group_code", "microzone_id") == [(1, "G", 1), (1, "G", 2)]
+
+
+def hits(spark, rows_of, tables, *points):
+    frame = spark.createDataFrame(list(points), "id int, site_id int, latitude double, longitude double")
+    return rows_of(match_zones(frame, zone_shapes(tables)), "id", "microzone_id")
+
+
+def test_each_row_of_a_zone_counts(make_tables, rows_of, spark):
+    tables = make_tables(microzone=[(1, 1, as_points([SQUARE]))] * 2)
+    assert hits(spark, rows_of, tables, (7, 1, 1.0, 1.0)) == [(7, 1), (7, 1)]
+
+
+def test_a_zone_in_parts_counts_once(make_tables, rows_of, spark):
+    lower, upper = [(0.0, 0.0), (4.0, 0.0), (0.0, 4.0)], [(4.0, 4.0), (4.0, 0.0), (0.0, 4.0)]
+    far = [(100.0, 100.0), (180.0, 100.0), (180.0, 180.0), (100.0, 180.0)]
+    tables = make_tables(microzone=[(1, 1, as_points([part])) for part in (lower, upper, far)])
+    assert hits(spark, rows_of, tables, (7, 1, 1.0, 1.0), (8, 1, 3.0, 3.0), (9, 1, 120.0, 120.0)) == [(7, 1), (8, 1), (9, 1)]
+
+
+def test_zones_without_outline_hold_nothing(make_tables, rows_of, spark):
+    tables = make_tables(microzone=[(1, 1, None), (2, 1, []), (3, 1, as_points([[(1.0, 1.0)]]))])
+    assert hits(spark, rows_of, tables, (7, 1, 1.0, 1.0)) == []
+
+
+def test_a_huge_zone_elsewhere_does_not_coarsen_the_grid(make_tables, spark):
+    def box(x, y, side):
+        return as_points([[(x, y), (x + side, y), (x + side, y + side), (x, y + side)]])
+
+    small = [(k, 1, box(k % 32 * 0.01, k // 32 * 0.01, 0.009)) for k in range(1024)]
+    huge = [(5000, 2, box(-40.0, -40.0, 80.0))]
+    for zones in (small, small + huge, small + [(5001, 1, huge[0][2])]):
+        placed = zone_shapes(make_tables(microzone=zones)).filter("site_id = 1").withColumn("level", _level())
+        per_cell = (
+            placed.filter("x_max - x_min < 1")
+            .select("level", F.floor(F.col("x_min") / F.pow(F.lit(2.0), "level")).alias("cx"), F.floor(F.col("y_min") / F.pow(F.lit(2.0), "level")).alias("cy"))
+            .groupBy("level", "cx", "cy").count().agg(F.max("count")).first()[0]
+        )
+        assert per_cell <= 4

@@ -29,8 +29,8 @@ ANCHORS = tuple(
 )
 
 
-# Zone 1 has a hole, zone 2 overlaps zone 1, zone 3 is an L. No vertex lies on
-# the 0.1 grid of the points.
+# Zone 1 has a hole, zone 2 overlaps zone 1 and is stored twice, zone 3 is an L
+# with a second part, a triangle. No point of the 0.1 grid lies on an edge.
 ZONES = """
     (1, array(array(named_struct('x', 0.05D, 'y', 0.05D), named_struct('x', 5.05D, 'y', 0.05D),
                     named_struct('x', 5.05D, 'y', 6.05D), named_struct('x', 0.05D, 'y', 6.05D)),
@@ -40,7 +40,11 @@ ZONES = """
                     named_struct('x', 7.05D, 'y', 7.05D), named_struct('x', 3.05D, 'y', 7.05D)))),
     (3, array(array(named_struct('x', 5.05D, 'y', 0.05D), named_struct('x', 9.65D, 'y', 0.05D),
                     named_struct('x', 9.65D, 'y', 8.85D), named_struct('x', 7.05D, 'y', 8.85D),
-                    named_struct('x', 7.05D, 'y', 4.05D), named_struct('x', 5.05D, 'y', 4.05D))))"""
+                    named_struct('x', 7.05D, 'y', 4.05D), named_struct('x', 5.05D, 'y', 4.05D)))),
+    (2, array(array(named_struct('x', 3.05D, 'y', 2.05D), named_struct('x', 7.05D, 'y', 2.05D),
+                    named_struct('x', 7.05D, 'y', 7.05D), named_struct('x', 3.05D, 'y', 7.05D)))),
+    (3, array(array(named_struct('x', 0.05D, 'y', 7.05D), named_struct('x', 4.05D, 'y', 7.05D),
+                    named_struct('x', 0.05D, 'y', 8.55D))))"""
 GROUP_ZONES = "('ALL', 1), ('ALL', 2), ('ALL', 3), ('W0', 1), ('W0', 2), ('W1', 2), ('W1', 3), ('W2', 1), ('W2', 3)"
 
 
@@ -86,7 +90,7 @@ def source_tables(spark: SparkSession, sf_dir: str) -> Tables:
     order_line = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).selectExpr(
         "l_orderkey AS order_id",
         "l_partkey % 50 AS product_id",
-        "CASE WHEN l_orderkey % 45 = 7 THEN 2000.0D ELSE l_quantity END AS quantity",
+        "CASE WHEN l_orderkey % 45 = 7 THEN 2000.0D ELSE l_quantity + l_suppkey % 8 / 8D END AS quantity",
         "p_retailprice AS price",
         "CASE WHEN l_returnflag = 'R' THEN 'true' ELSE 'false' END AS is_deleted",
         f"CASE WHEN {third_party} THEN 99L ELSE 1L END AS owner_id",
@@ -123,6 +127,8 @@ def source_tables(spark: SparkSession, sf_dir: str) -> Tables:
                 "13L AS element_id", "'product_id' AS type", "region_code"
             )
         )
+        # An entry without id: the region's list then admits nobody.
+        .unionByName(region.filter("site_id = 4").selectExpr("CAST(NULL AS BIGINT) AS element_id", "'user_id' AS type", "region_code"))
     )
     dataset = _each(
         region, "n, warehouse, accumulated_days", "(0, 'ALL', 1), (1, 'W0', 1), (2, 'W1', 1), (3, 'W2', 1), (9, 'ALL', 7)"

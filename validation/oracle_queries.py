@@ -26,6 +26,19 @@ _FULL_LOAD = """
       ON s.dataset_id = q.dataset_id AND s.product_id = q.product_id AND s.close_date = q.close_date
     GROUP BY 1, 2, 4"""
 _DAY = f"day = DATE '{AS_OF.isoformat()}'"
+_COUNTRY_LOAD = f"""
+    SELECT f.* FROM ({_FULL_LOAD}) f JOIN v_dataset d ON d.dataset_id = f.dp_input_datasets_id
+    WHERE LOWER(d.country) = LOWER('c1')"""
+_START_DATES = f"""
+    SELECT dp_input_datasets_id, product_id, MIN(date) AS start_demand_date FROM ({_COUNTRY_LOAD}) GROUP BY 1, 2"""
+_OTHER_DATASET = f"SELECT DATE '{AS_OF}', -4, 1.0, 99, 'experiment_1'"
+
+
+def _stored_sql(condition: str) -> str:
+    """All variants on the days and datasets of the condition."""
+    return " UNION ALL ".join(f"({demand_sql(k, condition)})" for k in DESIGN)
+
+
 _ALL_VARIANTS_ON_DAY = " UNION ALL ".join(f"({demand_sql(k, _DAY)})" for k in DESIGN)
 
 
@@ -92,18 +105,34 @@ _SQL: dict[str, str] = {
     **{f"demand_exp{k}": demand_sql(k) for k in DESIGN},
     "demand_all_variants": " UNION ALL ".join(f"({demand_sql(k)})" for k in DESIGN),
     "demand_day_variants": _ALL_VARIANTS_ON_DAY,
+    "demand_exp1_one_dataset": demand_sql(1, "dataset_id = 11"),
+    "demand_exp2_june_history": f"""
+        SELECT * EXCLUDE (experiment) FROM ({demand_sql(2)}) WHERE date >= DATE '2001-06-01'""",
     "demand_exp2_june": demand_sql(2, "day >= DATE '2001-06-01'"),
     "zscore_days": """
         SELECT day AS date, product_id, dataset_id AS dp_input_datasets_id, ROUND(demand, 6) AS demand,
                ROUND(z, 6) AS z_score FROM v_scored_1""",
     "full_load_daily": _FULL_LOAD,
-    "full_load_stored": _FULL_LOAD,
+    "full_load_stored": _COUNTRY_LOAD,
     "all_dates": f"SELECT DISTINCT date AS raw_date FROM ({_FULL_LOAD}) WHERE dayofweek(date) <> 0",
-    "start_demand_dates": f"""
-        SELECT f.dp_input_datasets_id, f.product_id, MIN(f.date) AS start_demand_date
-        FROM ({_FULL_LOAD}) f JOIN v_dataset d ON d.dataset_id = f.dp_input_datasets_id
-        WHERE LOWER(d.country) = LOWER('c1') GROUP BY 1, 2""",
-    "daily_run_stored": _ALL_VARIANTS_ON_DAY,
+    "all_dates_stored": f"SELECT DISTINCT date AS raw_date FROM ({_COUNTRY_LOAD}) WHERE dayofweek(date) <> 0",
+    "start_demand_dates": _START_DATES,
+    "start_dates_stored": _START_DATES,
+    "daily_run_stored": f"""
+        SELECT * FROM ({_stored_sql(f"{_DAY} AND dataset_id = 10")})
+        UNION ALL SELECT DATE '{AS_OF}' - 1, -3, 1.0, 10, 'experiment_1' UNION ALL {_OTHER_DATASET}""",
+    "dataset_replaced_stored": f"{_stored_sql('dataset_id = 10')} UNION ALL {_OTHER_DATASET}",
+    "latest_forecast_params": """
+        SELECT dataset_id AS dp_input_datasets_id, region_code, warehouse, MAX(params_id) AS dp_forecast_params_id
+        FROM v_every_setup GROUP BY ALL""",
+    "regular_warehouses": """
+        SELECT region_code, 'W' || n AS warehouse, CASE n WHEN 2 THEN 'True' ELSE 'False' END AS is_3pl
+        FROM v_site, range(3) AS t(n)""",
+    "anchor_days_csv": """
+        SELECT anchor, dataset_id AS dp_input_datasets_id, region_code, warehouse, 40 AS days
+        FROM v_dataset, (SELECT DISTINCT close_date AS anchor FROM v_header
+                         WHERE order_id % 5 = 0 AND close_date >= DATE '2001-06-01')""",
+    "mafe_csv_round_trip": f"SELECT {_CASE}, forecast_date, region_code, warehouse, timeframe, {_ROUNDED} FROM v_mafe",
     "cohort": f"SELECT {_CASE}, region_code, warehouse, product_id, warehouse_type FROM v_cohort",
     "clean_demand": f"""
         SELECT {_CASE}, day AS close_date, region_code, product_id, ROUND(demand, 6) AS demand FROM v_clean""",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from demandlab.functions.calendar import business_horizon, is_working_day
-from demandlab.operators.datasets import list_datasets, of_country, select_datasets, sites_with_country
+from demandlab.operators.datasets import list_datasets, of_country, select_datasets, site_warehouses, sites_with_country
 from demandlab.operators.order_lines import (
     closed_orders,
     key_account_orders,
@@ -18,12 +20,12 @@ from demandlab.operators.order_lines import (
     without_listed_users,
     zone_orders,
 )
-from demandlab.operators.outliers import day_z_scores, line_percentiles, line_statistics
+from demandlab.operators.outliers import day_z_scores, line_percentiles, line_statistics, smooth_days
 from demandlab.operators.sku import remap_products
 from demandlab.operators.stockouts import stockouts_by_region, stockouts_by_warehouse
 from demandlab.operators.zones import match_zone_groups, match_zones, zone_shapes
-from demandlab.plans.demand import VARIANT, VARIANTS, build_demand, line_demand, wide_demand
-from demandlab.plans.evaluation import Evaluation, cohort_products
+from demandlab.plans.demand import VARIANT, VARIANTS, build_demand, line_demand, run_demand, wide_demand
+from demandlab.plans.evaluation import Evaluation, cohort_products, evaluation_cases, latest_params
 from demandlab.plans.experiments import (
     add_difference,
     design_response,
@@ -32,9 +34,11 @@ from demandlab.plans.experiments import (
     overall_mean,
     sum_by_timeframe,
 )
-from demandlab.plans.full_load import demand_dates, first_demand_dates, full_load
-from demandlab.session import fresh_path, materialize
-from demandlab.sources.demand_table import append_demand, create_demand_table, replace_day
+from demandlab.plans.full_load import demand_dates, first_demand_dates, full_load, run_full_load
+from demandlab.session import fresh_path
+from demandlab.sources.csv_files import read_anchor_days, read_errors, write_csv
+from demandlab.sources.demand_table import append_demand, create_demand_table
+from demandlab.sources.schemas import MAFE_ERRORS, schema_of
 from validation.adapter import AS_OF, all_cases, evaluation_tables, source_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,10 +47,6 @@ QUERIES: dict[str, Query] = {}
 
 
 
-def on_day():
-    return F.col("date") == F.lit(AS_OF)
-
-
 def rounded(df: DataFrame) -> DataFrame:
     """Round doubles to six places: sums depend on their order in the last digits."""
     return df.select(
@@ -211,9 +211,26 @@ def demand_all_variants(spark, sf_dir):
     return build_demand(source_tables(spark, sf_dir), AS_OF)
 
 
+@query
+def demand_exp1_one_dataset(spark, sf_dir):
+    return build_demand(source_tables(spark, sf_dir), AS_OF, [VARIANT[1]], country="C1", dataset_id=11)
+
+
 @query
 def demand_day_variants(spark, sf_dir):
-    return build_demand(source_tables(spark, sf_dir), AS_OF, restriction=on_day())
+    return build_demand(source_tables(spark, sf_dir), AS_OF, day=AS_OF)
+
+
+@query
+def demand_exp2_june_history(spark, sf_dir):
+    """Smoothed by the mean of the whole history, then restricted."""
+    tables = source_tables(spark, sf_dir)
+    datasets = select_datasets(tables)
+    lines = order_lines(tables, datasets, AS_OF, flag_users=False)
+    days = wide_demand(lines, stockouts_by_warehouse(tables, datasets, AS_OF), tables.new_skus, [VARIANT[2]])
+    june = F.col("date") >= F.lit("2001-06-01").cast("date")
+    smoothed = smooth_days(days.filter("experiment_2 IS NOT NULL"), ["experiment_2"], june, over="history")
+    return smoothed.withColumnRenamed("experiment_2", "demand")
 
 
 @query
@@ -235,6 +252,18 @@ def zscore_days(spark, sf_dir):
 # Full load, preparation, stored tables.
 
 
+def _new_table(spark, name):
+    """A table name and a location that no other run uses."""
+    path = fresh_path(spark, name)
+    return path.rsplit("/", 1)[-1].replace("-", "_"), path
+
+
+def _full_load_tables(spark, sf_dir):
+    (demand, path), (dates, _), (starts, _) = (_new_table(spark, name) for name in ("input", "dates", "starts"))
+    run_full_load(spark, source_tables(spark, sf_dir), AS_OF, "c1", demand, dates, starts, path)
+    return spark.table(demand), spark.table(dates), spark.table(starts)
+
+
 @query
 def full_load_daily(spark, sf_dir):
     return full_load(source_tables(spark, sf_dir), AS_OF)
@@ -242,7 +271,17 @@ def full_load_daily(spark, sf_dir):
 
 @query
 def full_load_stored(spark, sf_dir):
-    return materialize(full_load(source_tables(spark, sf_dir), AS_OF), "input-demand")
+    return _full_load_tables(spark, sf_dir)[0]
+
+
+@query
+def all_dates_stored(spark, sf_dir):
+    return _full_load_tables(spark, sf_dir)[1]
+
+
+@query
+def start_dates_stored(spark, sf_dir):
+    return _full_load_tables(spark, sf_dir)[2]
 
 
 @query
@@ -256,16 +295,33 @@ def start_demand_dates(spark, sf_dir):
     return first_demand_dates(tables, full_load(tables, AS_OF), "c1")
 
 
+STORED = ("date", "product_id", "demand", "dp_input_datasets_id", "experiment")
+OTHER_DAY = AS_OF - dt.timedelta(days=1)
+
+
+def _wrongly_stored(spark, dataset_id):
+    """A table with rows of the dataset that no run makes, and one row of another dataset."""
+    table, path = _new_table(spark, "demand")
+    create_demand_table(spark, table, path)
+    rows = [(AS_OF, -1, 1.0, dataset_id, "experiment_1"), (AS_OF, -2, 1.0, dataset_id, "experiment_9"), (OTHER_DAY, -3, 1.0, dataset_id, "experiment_1"), (AS_OF, -4, 1.0, 99, "experiment_1")]
+    append_demand(spark.createDataFrame(rows, schema_of("demand")), table)
+    return table
+
+
 @query
 def daily_run_stored(spark, sf_dir):
-    """Store the day's rows of all datasets, then replace one dataset's day with itself."""
-    day = materialize(build_demand(source_tables(spark, sf_dir), AS_OF, restriction=on_day()), "day")
-    path = fresh_path(spark, "daily")
-    table = path.rsplit("/", 1)[-1].replace("-", "_")
-    create_demand_table(spark, table, path)
-    append_demand(day, table)
-    replace_day(day, table, 10, AS_OF)
-    return spark.table(table).select("date", "product_id", "demand", "dp_input_datasets_id", "experiment")
+    """A daily run replaces the day of its dataset; another day and another dataset stay."""
+    table = _wrongly_stored(spark, 10)
+    run_demand(spark, source_tables(spark, sf_dir), table, "c1", 10, AS_OF)
+    return spark.table(table).select(*STORED)
+
+
+@query
+def dataset_replaced_stored(spark, sf_dir):
+    """An initial load replaces all days of its dataset; another dataset stays."""
+    table = _wrongly_stored(spark, 10)
+    run_demand(spark, source_tables(spark, sf_dir), table, "c1", 10, AS_OF, initial_load=True)
+    return spark.table(table).select(*STORED)
 
 
 # Evaluation.
@@ -324,6 +380,33 @@ def mafe_category(spark, sf_dir):
     return _evaluation(spark, sf_dir, by_category=True).warehouse_errors()
 
 
+@query
+def latest_forecast_params(spark, sf_dir):
+    return latest_params(source_tables(spark, sf_dir))
+
+
+@query
+def regular_warehouses(spark, sf_dir):
+    return site_warehouses(source_tables(spark, sf_dir))
+
+
+@query
+def anchor_days_csv(spark, sf_dir):
+    """Cases on days of the orders, which go through a CSV file."""
+    tables, path = source_tables(spark, sf_dir), fresh_path(spark, "anchors")
+    days = tables.order_header.filter("id % 5 = 0 AND close_date >= '2001-06-01'").select(F.col("close_date").alias("date")).distinct()
+    write_csv(days, path, numbered=True)
+    return evaluation_cases(select_datasets(tables), read_anchor_days(spark, path), 40)
+
+
+@query
+def mafe_csv_round_trip(spark, sf_dir):
+    path = fresh_path(spark, "errors")
+    errors = _evaluation(spark, sf_dir).warehouse_errors()
+    write_csv(errors.select(*StructType.fromDDL(MAFE_ERRORS).names), path, numbered=True)
+    return read_errors(spark, path)
+
+
 # Experiment analysis.
 
 BY_DATASET = ("dp_input_datasets_id", "timeframe")

@@ -18,6 +18,10 @@ VIEWS: dict[str, str] = {
     "v_dataset": """
         SELECT site_id * 10 + n AS dataset_id, region_code, country, wh AS warehouse, 0.5::DOUBLE AS weight
         FROM v_site, (VALUES (0, 'ALL'), (1, 'W0'), (2, 'W1'), (3, 'W2')) AS kinds(n, wh)""",
+    # Datasets of any accumulation, with two forecast setups each.
+    "v_every_setup": """
+        SELECT site_id * 10 + n AS dataset_id, region_code, wh AS warehouse, (site_id * 10 + n) * 2 + k AS params_id
+        FROM v_site, (VALUES (0, 'ALL'), (1, 'W0'), (2, 'W1'), (3, 'W2'), (9, 'ALL')) AS kinds(n, wh), range(2) AS t(k)""",
     "v_header": """
         SELECT o_orderkey AS order_id, o_custkey AS user_id, r_name AS region_code, 'W' || (o_custkey % 3) AS warehouse,
                c_mktsegment AS tag, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS status,
@@ -27,7 +31,7 @@ VIEWS: dict[str, str] = {
              JOIN region ON r_regionkey = n_regionkey""",
     "v_line": """
         SELECT l_orderkey AS order_id, l_partkey % 50 AS product_id,
-               CASE WHEN l_orderkey % 45 = 7 THEN 2000.0::DOUBLE ELSE l_quantity END AS quantity, p_retailprice AS price,
+               CASE WHEN l_orderkey % 45 = 7 THEN 2000.0::DOUBLE ELSE l_quantity + (l_suppkey % 8)::DOUBLE / 8 END AS quantity, p_retailprice AS price,
                l_returnflag = 'R' AS deleted,
                NOT (l_partkey % 50 % 4 = 0 OR (l_partkey % 50 % 4 = 1 AND l_suppkey % 2 = 1)) AS first_party
         FROM lineitem JOIN part ON p_partkey = l_partkey""",
@@ -43,16 +47,20 @@ VIEWS: dict[str, str] = {
         FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
         WHERE c_acctbal < -500
         UNION ALL SELECT order_id, 'order', region_code FROM v_header WHERE order_id % 211 = 0
-        UNION ALL SELECT 13, 'product', r_name FROM region WHERE r_name IN ('AFRICA', 'ASIA')""",
+        UNION ALL SELECT 13, 'product', r_name FROM region WHERE r_name IN ('AFRICA', 'ASIA')
+        UNION ALL SELECT NULL, 'user', r_name FROM region WHERE r_regionkey = 4""",
     "v_closed": f"""
         SELECT * FROM v_header WHERE status = 1 AND close_date <= {TODAY} AND dayofweek(close_date) <> 0""",
-    # Zones as range predicates; zone 1 has a hole and zone 3 is an L.
+    # Zones as range predicates; zone 1 has a hole, zone 2 is stored twice, zone 3 is an L and a triangle.
     "v_zone_hit": """
         SELECT order_id, region_code, 1 AS zone FROM v_header
         WHERE x > 0.05 AND x < 5.05 AND y > 0.05 AND y < 6.05 AND NOT (x > 1.05 AND x < 2.05 AND y > 1.05 AND y < 2.05)
         UNION ALL SELECT order_id, region_code, 2 FROM v_header WHERE x > 3.05 AND x < 7.05 AND y > 2.05 AND y < 7.05
         UNION ALL SELECT order_id, region_code, 3 FROM v_header
-        WHERE (x > 5.05 AND x < 9.65 AND y > 0.05 AND y < 4.05) OR (x > 7.05 AND x < 9.65 AND y > 0.05 AND y < 8.85)""",
+        WHERE (x > 5.05 AND x < 9.65 AND y > 0.05 AND y < 4.05) OR (x > 7.05 AND x < 9.65 AND y > 0.05 AND y < 8.85)
+        UNION ALL SELECT order_id, region_code, 2 FROM v_header WHERE x > 3.05 AND x < 7.05 AND y > 2.05 AND y < 7.05
+        UNION ALL SELECT order_id, region_code, 3 FROM v_header
+        WHERE x > 0.05 AND y > 7.05 AND (x - 0.05) / 4 + (y - 7.05) / 1.5 < 1""",
     "v_group": """
         SELECT * FROM (VALUES ('ALL', 1), ('ALL', 2), ('ALL', 3), ('W0', 1), ('W0', 2), ('W1', 2), ('W1', 3),
                               ('W2', 1), ('W2', 3)) AS t(wh, zone)""",
