@@ -35,12 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from demandlab.llm.unit_table import Cuts, TaskEncoder, collected, common_units, distinct_units, encoded_batches
+from demandlab.llm.unit_table import Cuts, TaskEncoder, collected, common_units, distinct_units, encoded_batches, flattened
 from demandlab.session import materialize
 
 END, SHARD_IDS = 2, 1 << 20
 #: About so many documents' units are encoded beforehand, and sent to every task; it only saves time.
 SAMPLE, MOST_UNITS = 10_000, 1 << 20
+#: Units given to the library in one string.
+LINE = 500
 #: Rounds of replacement, pairs taken in a round, and the least count of a pair.
 ROUNDS, PAIRS, LEAST = 5, 3000, 8
 _SPACES, _ASCII_SPACE, _LETTER = (np.zeros(256, dtype=bool) for _ in range(3))
@@ -154,15 +156,44 @@ _SHARD = "part int, shard int, n_ids long, doc_id array<{kind}>, n_tokens array<
 
 
 def _library(tokenizer_file: str):
-    """The tokenizer, its special tokens as bytes, and a function from texts to ids."""
+    """The tokenizer, its special tokens as bytes, and a function from units to their ids.
+
+    A line feed between two units that neither start nor end with white space (but
+    for one space in front) is a token of its own, so such units are encoded some
+    hundreds at a time and told apart by it; others one by one.
+    """
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
-    special = tuple(token.content.encode() for token in tokenizer.get_added_tokens_decoder().values())
-    return tokenizer, special, lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    special = tuple(token.content for token in tokenizer.get_added_tokens_decoder().values())
+    feed = tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def ids_of(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def apart(unit: str) -> bool:
+        body = unit[1:] if unit[0] == " " else unit
+        return bool(body) and not (body[0].isspace() or body[-1].isspace() or "\n" in body or any(token in body for token in special))
+
+    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        alone = np.array([not apart(unit) for unit in units], dtype=bool)
+        joined = np.flatnonzero(~alone)
+        lines = ["\n".join([units[k] for k in joined[low : low + LINE]]) + "\n" for low in range(0, len(joined), LINE)]
+        flat = np.array([i for ids in ids_of(lines) for i in ids], dtype=np.int32)
+        ends = np.flatnonzero(flat == feed[0]) if len(feed) == 1 else np.empty(0, np.int64)
+        if len(ends) != len(joined):  # not a tokenizer of this kind
+            return flattened(ids_of(units))
+        lengths = np.empty(len(units), dtype=np.int64)
+        lengths[joined] = np.diff(np.append(-1, ends)) - 1
+        lengths[alone], others = flattened(ids_of([units[k] for k in np.flatnonzero(alone)]))
+        out, of_alone = np.empty(int(lengths.sum()), dtype=np.int32), np.repeat(alone, lengths)
+        out[of_alone], out[~of_alone] = others, np.delete(flat, ends)
+        return lengths, out
+
+    return tokenizer, tuple(token.encode() for token in special), encode
 
 
 def _sample_table(documents: DataFrame, tokenizer_file: str, sample: int):
@@ -174,7 +205,9 @@ def _sample_table(documents: DataFrame, tokenizer_file: str, sample: int):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, _, encode = _library(tokenizer_file)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["hash"], pa.array(encode(batch["unit"].to_pylist()), pa.list_(pa.int32()))], ["hash", "ids"])
+            lengths, ids = encode(batch["unit"].to_pylist())
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([batch["hash"], lists], ["hash", "ids"])
 
     units = materialize(distinct_units(chosen, word_cuts(special)), "units")
     return collected(common_units(units, MOST_UNITS).select("hash", "unit").mapInArrow(encoded, "hash long, ids array<int>"))

@@ -29,11 +29,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from demandlab.llm.unit_table import TaskEncoder, collected, common_units, distinct_units, encoded_batches
+from demandlab.llm.unit_table import TaskEncoder, collected, common_units, distinct_units, encoded_batches, flattened
 from demandlab.session import materialize
 
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -99,23 +100,42 @@ def read_pieces(model_file: str) -> Pieces:
     raise ValueError("pieces cross the spaces between words")
 
 
+def folder(pieces: Pieces) -> Callable[[str], list[int]]:
+    """The same fold for one unit at a time, from each place on while some piece begins like what follows."""
+    starts: dict[str, tuple[int, float] | None] = {piece[:n]: None for piece in pieces.scores for n in range(1, len(piece))}
+    starts.update(pieces.scores)
+    missing = object()
+
+    def fold(unit: str) -> list[int]:
+        unit = unit.replace(" ", SPACE)
+        size = len(unit)
+        score, back, piece = [0.0] + [-np.inf] * size, [0] * (size + 1), [0] * (size + 1)
+        for start in range(size):
+            before = score[start]
+            for end in range(start + 1, size + 1):
+                found = starts.get(unit[start:end], missing)
+                if found is missing or found is None:
+                    if end == start + 1 and before + pieces.unknown > score[end]:
+                        score[end], back[end], piece[end] = before + pieces.unknown, start, -1 - ord(unit[start])
+                    if found is missing:
+                        break
+                elif before + found[1] > score[end]:
+                    score[end], back[end], piece[end] = before + found[1], start, found[0]
+        out, at = [], size
+        while at:
+            out.append(piece[at])
+            at = back[at]
+        out.reverse()
+        if min(out, default=0) < 0:
+            return [i for p in out for i in ([p] if p >= 0 else [pieces.bytes[b] for b in chr(-1 - p).encode()])]
+        return out
+
+    return fold
+
+
 def best_path(unit: str, pieces: Pieces) -> list[int]:
-    """The same fold for one unit, character by character."""
-    unit = unit.replace(" ", SPACE)
-    best: list[tuple[float, int, int]] = [(0.0, 0, 0)] + [(-np.inf, 0, 0)] * len(unit)
-    for end in range(1, len(unit) + 1):
-        for start in range(max(0, end - pieces.longest), end):
-            found = pieces.scores.get(unit[start:end])
-            if found is None and end - start == 1:
-                found = (-1 - ord(unit[start]), pieces.unknown)
-            if found and best[start][0] + found[1] > best[end][0]:
-                best[end] = (best[start][0] + found[1], start, found[0])
-    out, at = [], len(unit)
-    while at:
-        _, start, piece = best[at]
-        out.append([piece] if piece >= 0 else [pieces.bytes[b] for b in chr(-1 - piece).encode()])
-        at = start
-    return [i for part in reversed(out) for i in part]
+    """The ids of the best path over one unit, or over a whole text."""
+    return folder(pieces)(unit)
 
 
 def _edges(units: DataFrame, pieces: Pieces) -> DataFrame:
@@ -166,7 +186,7 @@ def encode_units(units: DataFrame, pieces: Pieces, longest: int = LONGEST) -> Da
 
     @F.pandas_udf("array<int>")
     def folded(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda unit: best_path(unit, pieces))
+        return texts.map(folder(pieces))
 
     long = units.filter(F.char_length("unit") > longest).select("hash", "unit", "tasks", folded("unit").alias("ids"))
     return short.union(long)
@@ -183,7 +203,8 @@ def encode_texts(documents: DataFrame, pieces: Pieces, most_units: int = MOST_UN
     held = documents.sparkSession.sparkContext.broadcast(table)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TaskEncoder(lambda texts: [best_path(text, pieces) for text in texts], held.value)
+        fold = folder(pieces)
+        encoder = TaskEncoder(lambda texts: flattened([fold(text) for text in texts]), held.value)
         out = encoded_batches(batches, encoder, pieces.cuts, b" ")
         return then(out) if then else out
 
@@ -191,23 +212,37 @@ def encode_texts(documents: DataFrame, pieces: Pieces, most_units: int = MOST_UN
     return documents.mapInArrow(rows, schema)
 
 
-def _raw(pieces: Pieces) -> list[bytes]:
+def decode_batches(pieces: Pieces, name: str = "decoded") -> Batches:
+    """Adds the text of the column ids: pieces joined, byte pieces as UTF-8, the space in front dropped."""
     raw = [p.replace(SPACE, " ").encode() for p in pieces.by_id]
     for byte, i in enumerate(pieces.bytes):
         raw[i] = bytes([byte])
-    return raw
-
-
-def decode_batches(pieces: Pieces, name: str = "decoded") -> Batches:
-    """Adds the text of the column ids: pieces joined, byte pieces as UTF-8, the space in front dropped."""
-    raw = _raw(pieces)
+    flat, lengths = np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw])
+    begin = np.cumsum(lengths) - lengths
+
+    def texts(lists: pa.Array) -> pa.Array:
+        ids = lists.flatten().to_numpy()
+        first = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)))
+        size = lengths[ids]
+        ends = np.append(0, np.cumsum(size))
+        data = flat[np.arange(int(ends[-1])) + np.repeat(begin[ids] - ends[:-1], size)]
+        edges = ends[first]
+        kept = np.ones(len(data), dtype=bool)
+        front = edges[:-1][edges[1:] > edges[:-1]]
+        kept[front] = data[front] != 32
+        offsets = np.append(0, np.cumsum(kept))[edges]
+        out = pa.StringArray.from_buffers(len(lists), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[kept].tobytes()))
+        try:
+            out.validate(full=True)
+        except pa.ArrowInvalid:  # bytes that are no UTF-8 come from ids that no text gives
+            return pa.array([data[kept][a:b].tobytes().decode(errors="replace") for a, b in zip(offsets[:-1], offsets[1:])], pa.string())
+        return out
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 part = batch.slice(low, ROWS)
-                texts = [b"".join([raw[i] for i in ids or ()]).decode(errors="replace")[1:] for ids in part["ids"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, texts(part["ids"])], [*part.schema.names, name])
 
     return decode
 

@@ -18,8 +18,8 @@ from demandlab.llm.words import span_hashes, text_slices, utf8
 
 #: Places where units may begin, besides each text's first byte: from the bytes of several texts to true for each.
 Cuts = Callable[[np.ndarray], np.ndarray]
-#: Ids of each of several units.
-Encoder = Callable[[list[str]], list[list[int]]]
+#: From several units to the number of ids of each, and all ids in turn.
+Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 #: Units that a task remembers besides a table; it then starts anew. About 20 bytes each.
 REMEMBERED = 1 << 20
 
@@ -85,10 +85,13 @@ class Table:
         return self.ids[within + np.repeat(self.first[place].astype(np.int64), size)].astype(np.int32)
 
 
-def table_of(hashes: np.ndarray, ids: list[list[int]]) -> Table:
+def flattened(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(x) for x in ids], dtype=np.int64)
-    flat = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(lengths.sum()))
-    return Table(hashes, lengths, flat)
+    return lengths, np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(lengths.sum()))
+
+
+def no_table() -> Table:
+    return Table(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32))
 
 
 class TaskEncoder:
@@ -96,7 +99,7 @@ class TaskEncoder:
 
     def __init__(self, encode: Encoder, table: Table | None = None):
         self.encode, self.tables = encode, [table] if table is not None else []
-        self.own = table_of(np.empty(0, np.uint64), [])
+        self.own = no_table()
 
     def __call__(self, units: Units) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all units in turn, and where each row's begin."""
@@ -106,9 +109,9 @@ class TaskEncoder:
             fixed |= table.find(values) >= 0
         new = np.flatnonzero(~fixed & (self.own.find(values) < 0))
         if len(self.own) + len(new) > REMEMBERED:
-            self.own, new = table_of(np.empty(0, np.uint64), []), np.flatnonzero(~fixed)
+            self.own, new = no_table(), np.flatnonzero(~fixed)
         if len(new):
-            old, fresh = self.own, table_of(values[new], self.encode([units.text(u) for u in index[new]]))
+            old, fresh = self.own, Table(values[new], *self.encode([units.text(u) for u in index[new]]))
             sizes = np.concatenate([t.sizes(np.arange(len(t))) for t in (old, fresh)])
             self.own = Table(np.concatenate([old.hashes, fresh.hashes]), sizes, np.concatenate([t.ids.astype(np.int32) for t in (old, fresh)]))
         own = self.own.find(values)

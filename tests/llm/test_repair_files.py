@@ -72,7 +72,7 @@ def test_a_task_that_forgets_units_encodes_them_again(monkeypatch):
     from demandlab.llm import unit_table
 
     monkeypatch.setattr(unit_table, "REMEMBERED", 3)
-    encoder = unit_table.TaskEncoder(lambda texts: [[ord(c) for c in t] for t in texts], unit_table.table_of(unit_table.Units(pa.array(["a"]), word_cuts()).hashes, [[ord("a")]]))
+    encoder = unit_table.TaskEncoder(lambda texts: unit_table.flattened([[ord(c) for c in t] for t in texts]), unit_table.Table(unit_table.Units(pa.array(["a"]), word_cuts()).hashes, np.array([1]), np.array([ord("a")])))
     for text in ("a b c", "b d e f g", "a b", "", "a a c g"):
         ids, first = encoder(unit_table.Units(pa.array([text, None]), word_cuts()))
         assert ids.tolist() == [ord(c) for c in text] and first.tolist() == [0, len(text), len(text)]

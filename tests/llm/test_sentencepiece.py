@@ -48,3 +48,8 @@ def test_best_path_is_the_best_of_all(pieces):
 
 def test_empty_table(documents, pieces):
     assert encode_texts(documents(), pieces).filter(F.size("ids") > 0).collect() == []
+
+
+def test_any_ids_decode(spark, pieces):
+    rows = spark.createDataFrame([(1, [pieces.bytes[0xC3]]), (2, []), (3, None), (4, best_path(" é語 x", pieces))], "doc_id int, ids array<int>")
+    assert {r.doc_id: r.decoded for r in decode_texts(rows, pieces).collect()} == {1: "\ufffd", 2: "", 3: "", 4: "é語 x"}
