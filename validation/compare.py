@@ -1,6 +1,6 @@
 """Runs queries in Spark and DuckDB and compares them cell by cell.
 
-    python -m validation.compare [query ...]   (SF_DIR names the data folder)
+    python -m validation.compare [query ...]   (SF_DIR names the data folder, CORES the local cores)
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ def difference(spark_frame: pd.DataFrame, oracle_frame: pd.DataFrame) -> str | N
 def main() -> int:
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     names = sys.argv[1:] or list(QUERIES)
-    spark, connection = local_session(), oracle_connection(sf_dir)
+    spark, connection = local_session(os.environ.get("CORES", "8")), oracle_connection(sf_dir)
     spark.sparkContext.setLogLevel("ERROR")
     failures = 0
     for name in names:
