@@ -21,7 +21,7 @@ signs, so the library encodes what lies between once: for the units of a bounded
 sample beforehand, for others when a task first meets them.
 
 Cases: a null or empty text has the end id alone; a null id comes first; repeated
-ids are ordered by text and repeated rows are written like any others; an empty
+ids are ordered by a hash of the text and repeated rows are written like any others; an empty
 table gives files without shards; other columns are not written.
 """
 
@@ -252,8 +252,10 @@ def write_shards(documents: DataFrame, path: str, tokenizer_file: str, end: int
         if parts:
             yield finished()
 
-    ordered = documents.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(shards, _SHARD.format(kind=kind)).write.mode("overwrite").parquet(path)
+    # Ranges are found from a sample of the keys, which must not hold texts.
+    keyed = documents.withColumn("text_key", F.xxhash64("text"))
+    ordered = keyed.repartitionByRange("doc_id", "text_key").sortWithinPartitions("doc_id", "text_key")
+    ordered.select("doc_id", "text").mapInArrow(shards, _SHARD.format(kind=kind)).write.mode("overwrite").parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

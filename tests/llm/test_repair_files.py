@@ -34,7 +34,7 @@ def texts():
     say = lambda n: " ".join(random.choice(["the", "cat", "sat,", "on", "x1", "été", "語語", "don't"]) for _ in range(n))
     rows = [(k, say(random.randint(0, 80))) for k in range(60, 0, -1)]
     odd = ["a  b   c ", "\n\n x\t y \n", " lead", "tail ", "   ", "a b  c 　d \x1c e", "<|endoftext|> a <|endoftext|>b", "it's we'll  'tis 12 34", "x" * 5000, "語" * 500, "\U0001f600 \U0001f600", "", None, "a \x85b", "x<|endoftext|>, y(z)\n\nw;\tq", "a's,'t b.c\r\nd"]
-    return rows + [(100 + k, t) for k, t in enumerate(odd)] + [(None, "no id"), (7, "again"), (7, "again")]
+    return rows + [(100 + k, t) for k, t in enumerate(odd)] + [(None, "no id"), (500, "again"), (500, "again")]
 
 
 def check(spark, documents, path, **options):
