@@ -9,9 +9,10 @@ toxic. Each hit is scored in a window of words around it: more with other hits
 near, less within quotation marks, where a text reports instead of insulting.
 A logistic regression turns the hits of the whole text into a score.
 
-Learning uses a bounded sample: about `PER_LABEL` documents of each label, chosen
-by a hash of the id. The lexicon has `LEXICON` terms at most, the model besides
-it a few numbers.
+Terms are counted over all labelled texts, and every one that passes the test is
+in the lexicon. A trie holds `PART` terms; a larger lexicon is walked part by part.
+Only the regression uses a bounded sample: about `PER_LABEL` documents of each
+label, chosen by a hash of the id.
 
 Cases: null and empty texts have no hits and get the score of such a text; with
 nothing to learn from every score is 0; ids with several labels count as toxic if
@@ -30,10 +31,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandlab.llm import bloom
 from demandlab.llm.words import Words, text_slices
 from demandlab.session import materialize
 
-PER_LABEL, LEXICON, LEAST_DOCUMENTS, LEAST_WEIGHT = 8000, 400, 4, 2.5
+PER_LABEL, LEAST_DOCUMENTS, LEAST_WEIGHT = 8000, 4, 2.5
+#: Terms of one trie; words whose match a task remembers; terms counted before a task hands them on.
+PART, REMEMBERED, COUNTED = 50_000, 500_000, 300_000
 BEGINNINGS, DISTANCE, FUZZY_FROM, WINDOW, QUOTE_BYTES = (4, 5, 6), 1, 5, 10, 200
 _QUOTES = "[“”„‟«»‹›]"
 _FEATURES = 5
@@ -116,6 +120,23 @@ def matches(words: list[str], terms: list[tuple[str, bool]], root: Node | None =
     return best, distance
 
 
+def matches_in_parts(words: list[str], terms: list[tuple[str, bool]], tries: list[Node], part: int = PART) -> tuple[np.ndarray, np.ndarray]:
+    """`matches` of any number of terms, by tries of `part` of them. The only trie of a small lexicon is kept in `tries`."""
+    if len(terms) <= part:
+        tries[:] = tries or [trie(terms)]
+        return matches(words, terms, tries[0])
+    best, distance = matches(words, [])
+    # Neighbours in the alphabet share most of their nodes.
+    order = sorted(range(len(terms)), key=lambda k: terms[k])
+    for low in range(0, len(order), part):
+        chosen = np.array(sorted(order[low : low + part]))
+        own, edits = matches(words, [terms[k] for k in chosen])
+        own = np.where(own >= 0, chosen[own], -1)
+        better = (own >= 0) & ((edits < distance) | (edits == distance) & (own < best))
+        best[better], distance[better] = own[better], edits[better]
+    return best, distance
+
+
 @dataclass
 class Model:
     terms: list[tuple[str, bool]]
@@ -130,9 +151,7 @@ class Model:
         if not self.terms or not len(words):
             return out
         _, first, back = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        distinct = [words.text(w).lower() for w in first]
-        term, distance = matches(distinct, self.terms, self._root())
-        term[[d > 0 and w in self.ordinary for w, d in zip(distinct, distance)]] = -1
+        term, distance = self.nearest([words.text(w).lower() for w in first])
         hits = np.flatnonzero(term[back] >= 0)
         rows, terms, edits = words.row[hits], term[back[hits]], distance[back[hits]]
         low, high = np.maximum(hits - WINDOW, words.first[rows]), np.minimum(hits + WINDOW, words.first[rows + 1] - 1)
@@ -156,10 +175,20 @@ class Model:
         out[:, 1:4] = np.log1p(out[:, 1:4])
         return out
 
-    def _root(self) -> Node:
-        if not hasattr(self, "_trie"):
-            self._trie = trie(self.terms)
-        return self._trie
+    def nearest(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As `matches`, but an ordinary word is no misspelled term; a task remembers the words it has met."""
+        if not hasattr(self, "_met"):
+            self._met, self._tries = {}, []
+        new = [w for w in dict.fromkeys(words) if w not in self._met]
+        if len(self._met) + len(new) > REMEMBERED:
+            self._met, new = {}, list(dict.fromkeys(words))
+        term, distance = matches_in_parts(new, self.terms, self._tries)
+        self._met.update((w, (-1 if d > 0 and w in self.ordinary else t, d)) for w, t, d in zip(new, term.tolist(), distance.tolist()))
+        found = np.array([self._met[w] for w in words], dtype=np.int64).reshape(-1, 2)
+        return found[:, 0], found[:, 1]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("_met", "_tries")}
 
     def scores(self, column: pa.Array) -> np.ndarray:
         if not len(self.coefficients):
@@ -181,35 +210,73 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, beginning, toxic, clean): in how many texts of the batch a word or beginning occurs."""
-    for batch in text_slices(batches):
-        counts: dict[tuple[str, bool], list[int]] = {}
-        words = Words(pc.replace_substring_regex(batch["text"], _QUOTES, '"'))
-        for row, toxic in enumerate(batch["toxic"].to_pylist()):
-            own = {w.lower() for w in words.texts(words.first[row], words.first[row + 1])}
-            found = {(w, False) for w in own} | {(w[:n], True) for w in own for n in BEGINNINGS if len(w) > n}
-            for term in found:
-                counts.setdefault(term, [0, 0])[0 if toxic else 1] += 1
-        rows = [(t, b, x, y) for (t, b), (x, y) in counts.items()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else ([],) * 4, (pa.string(), pa.bool_(), pa.int64(), pa.int64()))], ["term", "beginning", "toxic", "clean"])
+    """(term, beginning, toxic, clean): in how many texts a word or beginning occurs; the empty term is in all."""
+    names: dict[tuple[str, bool], int] = {("", False): 0}
+    counts = np.zeros((1, 2), dtype=np.int64)
 
+    def counted() -> pa.RecordBatch:
+        columns = ([t for t, _ in names], pa.string()), ([b for _, b in names], pa.bool_()), (counts[:, 0], pa.int64()), (counts[:, 1], pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["term", "beginning", "toxic", "clean"])
 
-def _lexicon(ranked: list, most: int) -> list:
+    for batch in text_slices(batches):
+        words = Words(pc.replace_substring_regex(batch["text"], _QUOTES, '"'))
+        clean = (batch["toxic"].to_numpy(zero_copy_only=False) == 0).astype(np.int64)
+        _, first, back = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        terms = np.full((len(first), 1 + len(BEGINNINGS)), -1)
+        for k, w in enumerate(first):
+            text = words.text(w).lower()
+            terms[k, 0] = names.setdefault((text, False), len(names))
+            for i, n in enumerate(BEGINNINGS):
+                if len(text) > n:
+                    terms[k, 1 + i] = names.setdefault((text[:n], True), len(names))
+        row, term = np.repeat(words.row, terms.shape[1]), terms[back].ravel()
+        pairs = np.unique(row[term >= 0] * len(names) + term[term >= 0])
+        row, term = np.append(pairs // len(names), np.arange(batch.num_rows)), np.append(pairs % len(names), np.zeros(batch.num_rows, dtype=np.int64))
+        new = np.bincount(2 * term + clean[row], minlength=2 * len(names)).reshape(-1, 2)
+        new[: len(counts)] += counts
+        counts = new
+        if len(names) > COUNTED:
+            yield counted()
+            names, counts = {("", False): 0}, np.zeros((1, 2), dtype=np.int64)
+    yield counted()
+
+
+def _lexicon(ranked: list) -> list:
     """Terms from the strongest on; one that a stronger one covers, or that only shortens it, is left out."""
     out: list = []
+    beginnings: set[str] = set()
+    most: dict[str, int] = {}  # by beginning: toxic texts of the strongest term that has it
     for row in ranked:
         text = row["term"]
-        covered = any((s["beginning"] and text.startswith(s["term"])) or (row["beginning"] and s["term"].startswith(text) and row["toxic"] < 1.3 * s["toxic"]) for s in out)
-        if not covered:
-            out.append(row)
-        if len(out) == most:
-            break
+        if any(text[:n] in beginnings for n in BEGINNINGS) or (row["beginning"] and row["toxic"] < 1.3 * most.get(text, 0)):
+            continue
+        out.append(row)
+        if row["beginning"]:
+            beginnings.add(text)
+        for n in BEGINNINGS:
+            if len(text) >= n:
+                most[text[:n]] = max(most.get(text[:n], 0), row["toxic"])
     return out
 
 
-def train(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, lexicon: int = LEXICON) -> Model:
+def _labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, toxic) of all documents with a label, which no table has to be small for; of several texts of an id the first."""
+    key = F.xxhash64("doc_id")
+    held = documents.sparkSession.sparkContext.broadcast(bloom.build(labels, key))
+
+    @F.pandas_udf("boolean")
+    def possible(keys: pd.Series) -> pd.Series:
+        return pd.Series(bloom.may_contain(held.value, keys.to_numpy(np.int64).view(np.uint64)))
+
+    # The filter keeps most texts without a label out of the shuffle.
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.col("doc_id").isNotNull() & possible(key))
+    return texts.groupBy("doc_id").agg(F.min("text").alias("text")).join(labels, "doc_id").select("text", "toxic")
+
+
+def train(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
     """A model from documents (doc_id, text) and labels (doc_id, toxic)."""
     spark = documents.sparkSession
+    labels = labels.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))
     labels = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {row["toxic"]: row["n"] for row in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not counts.get(1) or not counts.get(0):
@@ -223,18 +290,21 @@ def train(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, l
     total = {row["toxic"]: row["n"] for row in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not total.get(1) or not total.get(0):
         return Model([], np.empty(0), frozenset(), np.empty(0))
-    terms = sample.select("text", "toxic").mapInArrow(_term_counts, "term string, beginning boolean, toxic long, clean long")
+    terms = _labelled(documents, labels.filter("toxic in (0, 1)")).mapInArrow(_term_counts, "term string, beginning boolean, toxic long, clean long")
     terms = materialize(terms.groupBy("term", "beginning").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter("toxic + clean > 1"), "terms")
-    weight = F.log((F.col("toxic") + 0.5) / (total[1] + 1)) - F.log((F.col("clean") + 0.5) / (total[0] + 1))
+    all_texts = terms.filter("term = ''").first()
+    terms = terms.filter("term <> ''")
+    weight = F.log((F.col("toxic") + 0.5) / (all_texts["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (all_texts["clean"] + 1))
     strong = terms.withColumn("weight", weight).filter((F.col("weight") >= LEAST_WEIGHT) & (F.col("toxic") >= LEAST_DOCUMENTS) & (F.char_length("term") >= 3))
-    ranked = strong.orderBy(F.desc(F.col("toxic") * F.col("weight")), "beginning", F.desc(F.char_length("term")), "term").limit(10 * lexicon).collect()
-    chosen_terms = _lexicon(ranked, lexicon)
+    rank = lambda row: (-row["toxic"] * row["weight"], row["beginning"], -len(row["term"]), row["term"])
+    chosen_terms = _lexicon(sorted(strong.collect(), key=rank))
     entries = [(row["term"], row["beginning"]) for row in chosen_terms]
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tries: list[Node] = []
         for batch in batches:
-            _, distance = matches(batch["term"].to_pylist(), entries)
-            yield batch.filter(pa.array((distance > 0) & (distance <= DISTANCE)))
+            term, distance = matches_in_parts(batch["term"].to_pylist(), entries, tries)
+            yield batch.filter(pa.array((term >= 0) & (distance > 0)))
 
     common = terms.filter("not beginning and clean > 1 and clean > toxic / 4").select("term").mapInArrow(near, "term string")
     ordinary = frozenset(row["term"] for row in common.collect())

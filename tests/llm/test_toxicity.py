@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from demandlab.llm.toxicity import Model, matches, scored, train
+from demandlab.llm.toxicity import Model, matches, matches_in_parts, scored, train
 
 TERMS = [("idiot", False), ("moron", False), ("scum", False), ("lowei", True), ("pathetic", False)]
 
@@ -82,3 +82,21 @@ def test_nothing_to_learn_from(corpus):
     documents, labels = corpus
     for part in (labels.filter("toxic = 2"), labels.filter("toxic = 1")):
         assert {r.score for r in scored(documents, train(documents, part)).collect()} == {0.0}
+
+
+def test_every_term_over_the_thresholds_is_counted_and_kept(spark):
+    random.seed(2)
+    common, rare = [f"word{k}" for k in range(100)], [f"{a}{b}{c}zq" for a in "bcdfghjk" for b in "aeiouy" for c in "lmnprstvwx"]
+    rows = [(k, " ".join([*random.choices(common, k=5), *rare[10 * k % 480 : 10 * k % 480 + 10]]), 1) for k in range(240)]
+    rows += [(k, " ".join(random.choices(common, k=9)), 0) for k in range(240, 2000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), per_label=60)
+    # 480 terms, of which a sample of 60 texts has few four times.
+    assert all(np.asarray(model.nearest(rare)[0]) >= 0)
+    assert len(model.terms) > 400
+
+
+@pytest.mark.parametrize("part", [1, 2, 3, 5])
+def test_parts_of_a_lexicon_match_as_the_whole(part):
+    words = ["idiot", "idot", "morn", "scum", "loweiä", "patetic", "xyz", "idiots"]
+    assert [list(x) for x in matches_in_parts(words, TERMS, [], part)] == [list(x) for x in matches(words, TERMS)]
