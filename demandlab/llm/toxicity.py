@@ -4,7 +4,8 @@ The lexicon is learned: words and word beginnings that occur in far more toxic
 than other texts. Its trie is walked together with the Levenshtein automata of
 all distinct words of a batch: a node keeps, for each word still alive, the few
 cells of the edit distance that can lead to a match, as columns over the words.
-A misspelled term counts unless it is an ordinary word of texts that are not
+Two swapped letters are one edit; long terms may have two edits, those of three
+letters none. A misspelled term counts unless it is an ordinary word of texts that are not
 toxic. Each hit is scored in a window of words around it: more with other hits
 near, less within quotation marks, where a text reports instead of insulting.
 A logistic regression turns the hits of the whole text into a score.
@@ -32,13 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandlab.llm import bloom
-from demandlab.llm.words import Words, text_slices
+from demandlab.llm.words import Words, mix, text_slices
 from demandlab.session import materialize
 
 PER_LABEL, LEAST_DOCUMENTS, LEAST_WEIGHT = 8000, 4, 2.5
 #: Terms of one trie; words whose match a task remembers; terms counted before a task hands them on.
-PART, REMEMBERED, COUNTED = 50_000, 500_000, 300_000
-BEGINNINGS, DISTANCE, FUZZY_FROM, WINDOW, QUOTE_BYTES = (4, 5, 6), 1, 5, 10, 200
+PART, REMEMBERED, COUNTED = 50_000, 300_000, 300_000
+#: Letters up to which words are sifted before the walk, and the bits of the sieve.
+SIFTED, SIEVE_BITS = 32, 1 << 26
+BEGINNINGS, FUZZY_FROM, WINDOW, QUOTE_BYTES = (4, 5, 6), 5, 10, 200
+#: Letters from which a term may be misspelled by one edit and by two.
+ONE_EDIT, TWO_EDITS = 4, 8
 _QUOTES = "[“”„‟«»‹›]"
 _FEATURES = 5
 
@@ -48,6 +53,8 @@ class Node:
     children: dict[int, Node] = field(default_factory=dict)
     word: int = -1
     beginning: int = -1
+    #: The most letters of a whole term below.
+    longest: int = 0
 
 
 def trie(terms: list[tuple[str, bool]]) -> Node:
@@ -57,6 +64,8 @@ def trie(terms: list[tuple[str, bool]]) -> Node:
         node = root
         for c in text:
             node = node.children.setdefault(ord(c), Node())
+            if not beginning:
+                node.longest = max(node.longest, len(text))
         if beginning:
             node.beginning = k
         else:
@@ -64,59 +73,71 @@ def trie(terms: list[tuple[str, bool]]) -> Node:
     return root
 
 
-def matches(words: list[str], terms: list[tuple[str, bool]], root: Node | None = None, most: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+def allowed_edits(length: int) -> int:
+    return (length >= ONE_EDIT) + (length >= TWO_EDITS)
+
+
+def matches(words: list[str], terms: list[tuple[str, bool]], root: Node | None = None, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """For each word the nearest term (-1: none) and its distance.
 
-    Whole terms of `FUZZY_FROM` letters or more match within `most` edits, shorter
-    ones and beginnings exactly. Ties go to the earlier term.
+    Whole terms match within the edits that their length allows, a swap of
+    neighbours being one; beginnings exactly. With `most`, terms of `FUZZY_FROM`
+    letters or more match within so many edits without swaps, shorter ones exactly.
+    Ties go to the earlier term.
     """
+    swaps, most = most is None, 2 if most is None else most
+    allowed = allowed_edits if swaps else lambda length: most if length >= FUZZY_FROM else 0
     best, distance = np.full(len(words), -1), np.full(len(words), most + 1)
     if not words or not terms:
         return best, distance
-    root = root or trie(terms)
-    width = max(len(t) for t, _ in terms) + most + 1
     lengths = np.array([len(w) for w in words])
-    letters = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
+    starts = np.cumsum(lengths) - lengths
+    letters = np.frombuffer("".join([*words, " "]).encode("utf-32-le"), np.uint32)
     far = most + 1
 
     def take(alive: np.ndarray, found: np.ndarray, term: int) -> None:
         better = (found < distance[alive]) | ((found == distance[alive]) & (found <= most) & (term < best[alive]))
         best[alive[better]], distance[alive[better]] = term, found[better]
 
-    def walk(node: Node, depth: int, alive: np.ndarray, cells: list[np.ndarray]) -> None:
-        """cells[t]: edits between the node's letters and the word's first depth - most + t letters."""
+    start = np.full((2 * most + 1, len(words)), far, dtype=np.int8)
+    start[most:] = np.arange(most + 1)[:, None]
+    steps = np.arange(2 * most + 1)[:, None]
+    # Of a node: depth, letter, words alive, cells and its parent's cells. cells[t] are
+    # edits between the node's letters and the word's first depth - most + t letters.
+    todo = [(root or trie(terms), 0, -1, np.arange(len(words)), start, None)]
+    while todo:
+        node, depth, last, alive, cells, older = todo.pop()
+        size = lengths[alive]
+        # The word's letter at the place of each cell, and the one before; where there is none, a cell is far.
+        at = letters[np.clip(starts[alive] + steps + (depth - most), 0, len(letters) - 1)]
+        before = letters[np.clip(starts[alive] + steps + (depth - most - 1), 0, len(letters) - 1)]
+        outside = size < steps + (depth + 1 - most)
+        swap = None if older is None else at == last
         for letter, child in node.children.items():
-            new: list[np.ndarray] = []
-            for t in range(2 * most + 1):
-                j = depth + 1 - most + t
-                value = np.full(len(alive), far, dtype=np.int8)
-                if j >= 0:
-                    if t < 2 * most:
-                        value = np.minimum(value, cells[t + 1] + 1)
-                    if t:
-                        value = np.minimum(value, new[t - 1] + 1)
-                    if 0 < j <= width:
-                        value = np.minimum(value, cells[t] + (letters[alive, j - 1] != letter))
-                        value = np.where(j > lengths[alive], far, value)
-                new.append(np.minimum(value, far).astype(np.int8))
-            kept = np.flatnonzero(np.min(new, axis=0) <= most)
+            new = cells + (at != letter)
+            new[:-1] = np.minimum(new[:-1], cells[1:] + 1)
+            if older is not None:
+                new = np.where(swap & (before == letter), np.minimum(new, older + 1), new)
+            for t in range(1, 2 * most + 1):
+                np.minimum(new[t], new[t - 1] + 1, out=new[t])
+            new[outside] = far
+            new = np.minimum(new, far).astype(np.int8)
+            # Only what can still match below goes on: within the edits and letters of the longest term, or exactly so far.
+            kept = np.flatnonzero((new.min(axis=0) <= allowed(child.longest)) & (size <= child.longest + most) | (new[most] == 0))
             if not len(kept):
                 continue
-            own, cut = alive[kept], [cell[kept] for cell in new]
+            own, cut = alive[kept], new[:, kept]
             if child.beginning >= 0:
                 exact = cut[most] == 0
                 take(own[exact], np.zeros(int(exact.sum()), dtype=np.int64), child.beginning)
             if child.word >= 0:
                 place = lengths[own] - (depth + 1) + most
                 inside = (place >= 0) & (place <= 2 * most)
-                found = np.where(inside, np.array(cut)[np.clip(place, 0, 2 * most), np.arange(len(own))], far)
-                if depth + 1 < FUZZY_FROM:
-                    found = np.where(found == 0, 0, far)
+                found = np.where(inside, cut[np.clip(place, 0, 2 * most), np.arange(len(own))], far)
+                found = np.where(found <= allowed(depth + 1), found, far)
                 take(own, found.astype(np.int64), child.word)
-            walk(child, depth + 1, own, cut)
-
-    start = [np.full(len(words), max(0, t - most) if t >= most else far, dtype=np.int8) for t in range(2 * most + 1)]
-    walk(root, 0, np.arange(len(words)), start)
+            if child.children:
+                todo.append((child, depth + 1, letter, own, cut, cells[:, kept] if swaps else None))
     return best, distance
 
 
@@ -137,6 +158,75 @@ def matches_in_parts(words: list[str], terms: list[tuple[str, bool]], tries: lis
     return best, distance
 
 
+_CODE, _BACK = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def shortened(words: list[str], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the word, hash) of every text that up to `most` deletions make of it."""
+    places, hashes = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.uint64)]
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    for length in np.unique(lengths[lengths > 0]):
+        own = np.flatnonzero(lengths == length)
+        letters = np.array([words[k] for k in own]).view(np.uint32).reshape(len(own), length).astype(np.uint64)
+        sums = np.zeros((length + 1, len(own)), dtype=np.uint64)
+        np.cumsum((mix(letters) * _CODE ** np.arange(length, dtype=np.uint64)).T, axis=0, out=sums[1:])
+        found = [sums[length]]
+        for i in range(length if most else 0):
+            found.append(sums[i] + (sums[length] - sums[i + 1]) * _BACK)
+            for j in range(i + 1, length if most > 1 else 0):
+                found.append(sums[i] + (sums[j] - sums[i + 1]) * _BACK + (sums[length] - sums[j + 1]) * _BACK * _BACK)
+        places.append(np.tile(own, len(found)))
+        hashes.append(mix(np.concatenate(found)))
+    return np.concatenate(places), np.concatenate(hashes)
+
+
+class Sieve:
+    """Leaves out words that no term can match: words within n edits share a text that n deletions make of both."""
+
+    def __init__(self, terms: list[tuple[str, bool]]):
+        self.beginnings = {t for t, b in terms if b}
+        self.sizes = sorted({len(t) for t in self.beginnings})
+        whole = [t for t, b in terms if not b and len(t) <= SIFTED]
+        self.bits = [np.zeros(SIEVE_BITS // 8, dtype=np.uint8) for _ in range(3)]
+        for n, bits in enumerate(self.bits):
+            _, hashes = shortened([t for t in whole if allowed_edits(len(t)) == n], n)
+            place = hashes & np.uint64(SIEVE_BITS - 1)
+            np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+
+    def possible(self, words: list[str]) -> np.ndarray:
+        out = np.array([len(w) >= SIFTED - 1 or any(w[:n] in self.beginnings for n in self.sizes) for w in words], dtype=bool)
+        for n, bits in enumerate(self.bits):
+            shortest, longest = (1, ONE_EDIT - 1) if n == 0 else (ONE_EDIT - 1, TWO_EDITS) if n == 1 else (TWO_EDITS - 2, SIFTED)
+            own = np.array([k for k, w in enumerate(words) if shortest <= len(w) <= longest and not out[k]], dtype=np.int64)
+            for low in range(0, len(own), 20_000):
+                part = own[low : low + 20_000]
+                at, hashes = shortened([words[k] for k in part], n)
+                place = hashes & np.uint64(SIEVE_BITS - 1)
+                hit = bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1
+                out[part[at[hit == 1]]] = True
+        return out
+
+
+@dataclass
+class Lexicon:
+    """Terms with what a task makes of them once: the sieve, and the trie if one holds them all."""
+
+    terms: list[tuple[str, bool]]
+
+    def matches(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As `matches`."""
+        if not hasattr(self, "_sieve"):
+            self._sieve, self._tries = Sieve(self.terms), []
+        best, distance = matches(words, [])
+        own = np.flatnonzero(self._sieve.possible(words))
+        if len(own):
+            best[own], distance[own] = matches_in_parts([words[k] for k in own], self.terms, self._tries)
+        return best, distance
+
+    def __getstate__(self) -> dict:
+        return {"terms": self.terms}
+
+
 @dataclass
 class Model:
     terms: list[tuple[str, bool]]
@@ -150,8 +240,8 @@ class Model:
         out = np.zeros((words.rows, _FEATURES))
         if not self.terms or not len(words):
             return out
-        _, first, back = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        term, distance = self.nearest([words.text(w).lower() for w in first])
+        distinct, first, back = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        term, distance = self._met_nearest(distinct, words, first)
         hits = np.flatnonzero(term[back] >= 0)
         rows, terms, edits = words.row[hits], term[back[hits]], distance[back[hits]]
         low, high = np.maximum(hits - WINDOW, words.first[rows]), np.minimum(hits + WINDOW, words.first[rows + 1] - 1)
@@ -176,19 +266,28 @@ class Model:
         return out
 
     def nearest(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """As `matches`, but an ordinary word is no misspelled term; a task remembers the words it has met."""
+        """As `matches`, but an ordinary word is no misspelled term."""
+        if not hasattr(self, "_lexicon"):
+            self._lexicon = Lexicon(self.terms)
+        term, distance = self._lexicon.matches(words)
+        term[[d > 0 and w in self.ordinary for w, d in zip(words, distance.tolist())]] = -1
+        return term, distance
+
+    def _met_nearest(self, hashes: np.ndarray, words: Words, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`nearest` of the words at the places, by their hashes; a task remembers those it has met."""
         if not hasattr(self, "_met"):
-            self._met, self._tries = {}, []
-        new = [w for w in dict.fromkeys(words) if w not in self._met]
+            self._met: dict[int, int] = {}
+        keys = hashes.tolist()
+        new = [k for k, h in enumerate(keys) if h not in self._met]
         if len(self._met) + len(new) > REMEMBERED:
-            self._met, new = {}, list(dict.fromkeys(words))
-        term, distance = matches_in_parts(new, self.terms, self._tries)
-        self._met.update((w, (-1 if d > 0 and w in self.ordinary else t, d)) for w, t, d in zip(new, term.tolist(), distance.tolist()))
-        found = np.array([self._met[w] for w in words], dtype=np.int64).reshape(-1, 2)
-        return found[:, 0], found[:, 1]
+            self._met, new = {}, list(range(len(keys)))
+        term, distance = self.nearest([words.text(places[k]).lower() for k in new])
+        self._met.update(zip([keys[k] for k in new], (4 * term + distance).tolist()))
+        found = np.array([self._met[h] for h in keys], dtype=np.int64)
+        return found >> 2, found & 3
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_met", "_tries")}
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
     def scores(self, column: pa.Array) -> np.ndarray:
         if not len(self.coefficients):
@@ -242,13 +341,16 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _lexicon(ranked: list) -> list:
-    """Terms from the strongest on; one that a stronger one covers, or that only shortens it, is left out."""
+    """Terms from the strongest on; a beginning that a stronger one covers, or that only shortens a stronger term, is left out.
+
+    Whole words stay beside a beginning that covers them, as only they can be misspelled.
+    """
     out: list = []
     beginnings: set[str] = set()
     most: dict[str, int] = {}  # by beginning: toxic texts of the strongest term that has it
     for row in ranked:
         text = row["term"]
-        if any(text[:n] in beginnings for n in BEGINNINGS) or (row["beginning"] and row["toxic"] < 1.3 * most.get(text, 0)):
+        if row["beginning"] and (any(text[:n] in beginnings for n in BEGINNINGS) or row["toxic"] < 1.3 * most.get(text, 0)):
             continue
         out.append(row)
         if row["beginning"]:
@@ -301,9 +403,9 @@ def train(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -
     entries = [(row["term"], row["beginning"]) for row in chosen_terms]
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries: list[Node] = []
+        lexicon = Lexicon(entries)
         for batch in batches:
-            term, distance = matches_in_parts(batch["term"].to_pylist(), entries, tries)
+            term, distance = lexicon.matches(batch["term"].to_pylist())
             yield batch.filter(pa.array((term >= 0) & (distance > 0)))
 
     common = terms.filter("not beginning and clean > 1 and clean > toxic / 4").select("term").mapInArrow(near, "term string")

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from demandlab.llm.toxicity import Model, matches, matches_in_parts, scored, train
+from demandlab.llm.toxicity import Lexicon, Model, matches, matches_in_parts, scored, train
 
 TERMS = [("idiot", False), ("moron", False), ("scum", False), ("lowei", True), ("pathetic", False)]
 
@@ -100,3 +100,44 @@ def test_every_term_over_the_thresholds_is_counted_and_kept(spark):
 def test_parts_of_a_lexicon_match_as_the_whole(part):
     words = ["idiot", "idot", "morn", "scum", "loweiä", "patetic", "xyz", "idiots"]
     assert [list(x) for x in matches_in_parts(words, TERMS, [], part)] == [list(x) for x in matches(words, TERMS)]
+
+
+def swaps_and_edits(a, b):
+    d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
+    for i in range(len(a)):
+        for j in range(len(b)):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i] != b[j]))
+            if i and j and a[i] == b[j - 1] and a[i - 1] == b[j]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a) - 1, len(b) - 1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text(alphabet="idotmrnscuplwehaé", max_size=10), st.sampled_from(["idiot", "idoit", "diiot", "scmu", "csum", "scam", "patehtci", "pahtetci", "ptahetics", "moorn", "loewi"])), min_size=1, max_size=8))
+def test_edits_grow_with_the_term_and_a_swap_is_one(words):
+    term, distance = matches(words, TERMS)
+    for word, t, d in zip(words, term, distance):
+        fits = [(0, k) if b and word.startswith(x) else (swaps_and_edits(word, x), k) for k, (x, b) in enumerate(TERMS) if word.startswith(x) or not b]
+        fits = [(e, k) for e, k in fits if e <= (0 if TERMS[k][1] else (len(TERMS[k][0]) >= 4) + (len(TERMS[k][0]) >= 8))]
+        assert (int(d), int(t)) == min(fits) if fits else t == -1
+
+
+def test_long_words_and_swaps():
+    term, distance = matches(["idoit", "scmu", "pathteicc", "x" * 5000 + "y", "loewi"], [*TERMS, ("x" * 5000, False)])
+    assert list(term) == [0, 2, 4, 5, -1] and list(distance[:4]) == [1, 1, 2, 1]
+
+
+def test_whole_words_stay_beside_a_beginning_that_covers_them(spark):
+    rows = [(k, f"you {['idiot', 'idiots', 'idiotic', 'idiota'][k % 4]} word{k % 50}", 1) for k in range(40)]
+    rows += [(k, f"you word{k % 50} word{k % 30}", 0) for k in range(40, 1000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    assert any(b and "idiot".startswith(t) for t, b in model.terms) and {("idiot", False), ("idiotic", False)} <= set(model.terms)
+    assert all(np.asarray(model.nearest(["idjot", "ediot", "idoit", "idoitic"])[0]) >= 0)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.text(alphabet="idotmrnscuplwehaé", max_size=10), st.sampled_from(["idoit", "scmu", "pahtetci", "patehtic", "pathetc", "moorn", "loweier", "x" * 39, "x" * 41])), max_size=8))
+def test_the_sieve_loses_no_match(words):
+    terms = [*TERMS, ("x" * 40, False), ("é", False)]
+    assert [list(x) for x in Lexicon(terms).matches(words)] == [list(x) for x in matches(words, terms)]
