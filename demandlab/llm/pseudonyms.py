@@ -8,7 +8,9 @@ its own format, so equal values become equal pseudonyms in every document:
   date    a day from 1900 to 2099, written the same way (2001-02-03, 3.2.2001, 03/02/2001)
   phone   +, country code and 7 to 14 more digits: all digits after the first
   card    13 to 19 digits with a right check digit: all but the first digit; the
-          check digit is then right again
+          check digit is then right again; in a run of numbers between single spaces
+          or hyphens, any neighbouring ones that make a card, the leftmost and
+          then the longest first
 
 The permutation is a Feistel network over the places of a value: each round adds
 to one part, place by place, what SHA-256 makes of the key, the round and the
@@ -31,8 +33,11 @@ PATTERNS = {
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9]|[./-][0-9])",
     "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
+#: A run of numbers; it ends before what another pattern takes. Possessive, so that long runs need no stack.
+PATTERNS["card"] = rf"(?<![0-9])(?=(?:[0-9][ -]?){{13}})[0-9]++(?:[ -](?!{'|'.join(PATTERNS[k] for k in ('email', 'ip', 'date'))})[0-9]++)*+"
+#: Kinds by what was found: a run has no signs around it that could tell it from a date.
+_FOUND = {k: f"^(?:{p})$" for k, p in PATTERNS.items()} | {"card": "^[0-9][0-9 -]*$"}
 FIRST_DAY, DAYS = "1900-01-01", 73049
 #: Two places whose product is just above the number of days.
 _A, _B = 271, 270
@@ -93,6 +98,59 @@ def card(text: Column, key: str) -> Column:
     return F.when(F.pmod(check_sum(digits), F.lit(10)) == 0, new)
 
 
+def _let(value: Column, made) -> Column:
+    """What `made` makes of the value, which is worked out once."""
+    return F.transform(F.array(value), made)[0]
+
+
+def _cards(groups: Column) -> Column:
+    """(first, last) of the neighbouring groups of digits that make a card, from the left, longest first."""
+    n = F.size(groups)
+
+    def valid(number: Column) -> Column:
+        return F.char_length(number).between(13, 19) & (F.pmod(check_sum(_digits(number)), F.lit(10)) == 0)
+
+    def last(i: Column) -> Column:
+        ends = F.filter(F.sequence(i, F.least(i + 18, n - 1)), lambda e: _let(F.array_join(F.slice(groups, i + 1, e - i + 1), ""), valid))
+        return F.coalesce(F.array_max(ends), F.lit(-1))
+
+    def one(state: Column, span: Column) -> Column:
+        taken = F.struct(F.concat(state["cards"], F.array(span)).alias("cards"), (span["last"] + 1).alias("next"))
+        return F.when(span["first"] >= state["next"], taken).otherwise(state)
+
+    starts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("first"), last(i).alias("last")))
+    begin = F.struct(F.array().cast("array<struct<first:int,last:int>>").alias("cards"), F.lit(0).alias("next"))
+    return F.aggregate(F.filter(starts, lambda s: s["last"] >= 0), begin, one, lambda s: s["cards"])
+
+
+def cards(run: Column, key: str) -> Column:
+    """(new, n): the run with its cards replaced, null if it has none, and their number."""
+    after = F.split(run, "[0-9]+", -1)
+
+    def rewritten(parts: Column) -> Column:
+        groups, ends, found = parts["groups"], parts["ends"], parts["cards"]
+
+        def text(first: Column, end: Column) -> Column:
+            """The groups from first up to end, each with the sign after it."""
+            return F.array_join(F.slice(ends, first + 1, end - first), "")
+
+        def one(span: Column, k: Column) -> Column:
+            before = F.when(k == 0, 0).otherwise(F.get(found, k - 1)["last"] + 1)
+            new = _let(F.concat(text(span["first"], span["last"]), F.get(groups, span["last"])), lambda number: card(number, key))
+            sign = F.substring(F.get(ends, span["last"]), F.char_length(F.get(groups, span["last"])) + 1, F.lit(1))
+            return F.concat(text(before, span["first"]), new, sign)
+
+        rest = text(F.get(found, F.size(found) - 1)["last"] + 1, F.size(groups))
+        new = F.concat(F.array_join(F.transform(found, one), ""), rest)
+        return F.struct(F.when(F.size(found) > 0, new).alias("new"), F.size(found).alias("n"))
+
+    def split(groups: Column) -> Column:
+        ends = F.zip_with(groups, F.slice(after, F.lit(2), F.size(groups)), lambda g, a: F.concat(g, a))
+        return _let(F.struct(groups.alias("groups"), ends.alias("ends"), _cards(groups).alias("cards")), rewritten)
+
+    return _let(F.regexp_extract_all(run, F.lit("[0-9]+"), F.lit(0)), split)
+
+
 def phone(text: Column, key: str) -> Column:
     digits = _digits(text)
     n = F.size(digits)
@@ -137,15 +195,18 @@ def date(text: Column, key: str) -> Column:
 
 def pseudonymized(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
     """All columns with the text rewritten, and n_email, n_ip, n_date, n_phone, n_card: values replaced."""
-    makers = {"email": email, "ip": ip, "date": date, "phone": phone, "card": card}
+    makers = {"email": email, "ip": ip, "date": date, "phone": phone}
     combined = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS)
 
     def replaced(found: Column) -> Column:
-        """(kind, new); both null if no validation holds."""
+        """(kind, new, n): n values of the kind; new is null if no validation holds."""
         out = None
         for kind in KINDS:
-            fits = found.rlike(f"^(?:{PATTERNS[kind]})$")
-            value = F.struct(F.lit(kind).alias("kind"), makers[kind](found, key).alias("new"))
+            fits = found.rlike(_FOUND[kind])
+            if kind == "card":
+                value = _let(cards(found, key), lambda c: F.struct(F.lit("card").alias("kind"), c["new"].alias("new"), c["n"].alias("n")))
+            else:
+                value = F.struct(F.lit(kind).alias("kind"), makers[kind](found, key).alias("new"), F.lit(1).alias("n"))
             out = F.when(fits, value) if out is None else out.when(fits, value)
         return out
 
@@ -159,7 +220,7 @@ def pseudonymized(documents: DataFrame, key: str, text: str = "text") -> DataFra
 
     def count(kind: str) -> Column:
         kept = F.filter("_new", lambda x: (x["kind"] == kind) & x["new"].isNotNull())
-        return F.when(F.col("_new").isNull(), 0).otherwise(F.size(kept)).cast("long")
+        return F.when(F.col("_new").isNull(), 0).otherwise(F.aggregate(kept, F.lit(0), lambda a, x: a + x["n"])).cast("long")
 
     counts = {f"n_{kind}": count(kind) for kind in KINDS}
     return found.withColumns({text: rewritten, **counts}).drop("_found", "_new")

@@ -66,3 +66,24 @@ def test_only_spark_functions_and_other_columns_stay(spark):
     result = pseudonymized(frame, KEY)
     assert "Python" not in result._jdf.queryExecution().toString()
     assert result.collect() == [] and set(result.columns) == {"doc_id", "text", "other", *(f"n_{k}" for k in KINDS)}
+
+
+def test_cards_beside_other_numbers(spark):
+    one, other = "4845168114407329", "4539148803436467"
+    assert luhn(one) and luhn(other)
+    texts = [
+        one, f"{one} 123", f"12 {one}", "4845 1681 1440 7329 12/27", f"98765 {one}", f"{one} {other}", f"{one} 42.144.35.254", f"{one} 2001-02-03", f"{one} 03/02/2001", f"{one} 12ab@x.org",
+        f"{one} 2001-02-03/4", "x " + "1 " * 20000 + "y", f"{'7' * 30} {one}", f"{one}  {other}", "4845-1681-1440-7329-" + other,
+    ]
+    rows = rewritten(spark, *texts)
+    out, counts = [rows[k].text for k in range(len(texts))], [rows[k].n_card for k in range(len(texts))]
+    new = out[0]
+    assert new != one and luhn(new) and counts[0] == 1
+    second = out[5].split()[1]
+    # Longer cards may come first where the neighbour makes one; these neighbours do not.
+    assert out[1] == f"{new} 123" and out[2] == f"12 {new}" and out[4] == f"98765 {new}" and out[5] == f"{new} {second}" and second != other and luhn(second)
+    assert out[3].replace(" ", "") == f"{new}12/27" and out[3][4] == out[3][9] == out[3][14] == " "
+    assert out[6].startswith(f"{new} ") and rows[6].n_ip == 1 and rows[7].n_date == 1 == rows[8].n_date and rows[9].n_email == 1
+    assert all(out[k].startswith(f"{new} ") and counts[k] == 1 for k in (6, 7, 8, 9, 10))
+    assert out[12] == f"{'7' * 30} {new}" and out[13] == f"{new}  {second}" and counts[13] == counts[5] == counts[14] == 2
+    assert out[14].replace("-", "") == new + second
