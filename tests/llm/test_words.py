@@ -5,7 +5,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from demandlab.llm.words import Words, shingles, text_slices
+from demandlab.llm.words import SLICE_BYTES, Words, shingles, text_slices
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TEXT = st.text(alphabet="aB1_ .éЖ語\n'", max_size=40)
@@ -39,7 +39,8 @@ def test_equal_runs_have_equal_hashes_within_rows_only():
 
 
 def test_batches_are_cut_between_rows_and_lose_none():
-    batch = pa.RecordBatch.from_pydict({"text": ["x" * 3_000_000, None, "y" * 3_000_000, "z", ""]})
+    most = SLICE_BYTES * 3 // 4  # two such texts do not fit into one slice, one and a short one do
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * most, None, "y" * most, "z", "", "w" * 3 * SLICE_BYTES]})
     parts = list(text_slices(iter([batch])))
-    assert [len(p) for p in parts] == [2, 3]
+    assert [len(p) for p in parts] == [2, 3, 1]
     assert np.concatenate([p["text"].to_pylist() for p in parts]).tolist() == batch["text"].to_pylist()
