@@ -14,6 +14,7 @@ from demandlab.llm.language_id import remainder
 from demandlab.llm.one_bit_search import nearest
 from demandlab.llm.pseudonyms import pseudonymized
 from demandlab.llm.repair_files import read_documents, write_shards
+from demandlab.llm.suffix_buckets import without_repeats
 from demandlab.llm.url_filter import RULES, canonical, filter_urls, host
 from demandlab.llm.words import GAP, LOWER, UPPER
 from demandlab.session import fresh_path
@@ -106,6 +107,12 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secret_ledger.spans_text(base), 256).alias("base_sha256"), secret_ledger.spans_text().alias("spans"))
 
 
+def op11_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_one_bit_search": op2_one_bit_search,
@@ -117,6 +124,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_secret_ledger": op10_secret_ledger,
+    "op11_suffix_buckets": op11_suffix_buckets,
 }
 
 _WORDS = f"list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{GAP}'), lambda x: x <> '')"
