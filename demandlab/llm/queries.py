@@ -15,6 +15,7 @@ from demandlab.llm.one_bit_search import nearest
 from demandlab.llm.pseudonyms import pseudonymized
 from demandlab.llm.repair_files import read_documents, write_shards
 from demandlab.llm.suffix_buckets import without_repeats
+from demandlab.llm.token_alignment import aligned
 from demandlab.llm.url_filter import RULES, canonical, filter_urls, host
 from demandlab.llm.words import GAP, LOWER, UPPER
 from demandlab.session import fresh_path
@@ -113,6 +114,12 @@ def op11_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    found = aligned(table(spark, sf_dir, "documents").select("doc_id", "text"), *files, digest=True)
+    return found.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_one_bit_search": op2_one_bit_search,
@@ -125,6 +132,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_secret_ledger": op10_secret_ledger,
     "op11_suffix_buckets": op11_suffix_buckets,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 _WORDS = f"list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{GAP}'), lambda x: x <> '')"

@@ -1,0 +1,107 @@
+import hashlib
+from collections import Counter
+from itertools import accumulate
+
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from demandlab.llm.queries import QUERIES, tokenizer_file
+from demandlab.llm.token_alignment import aligned, byte_level_side, piece_side
+
+SF = "/root/testdata/sf0.001"
+A, B = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
+
+
+def plain(texts):
+    """The whole texts through the libraries, and every overlap counted one by one."""
+    a_side, b_side = byte_level_side(A).token_bytes.to_pylist(), piece_side(B).token_bytes.to_pylist()
+    tokenizer, pieces = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
+    tokenizer.encode_special_tokens = True
+    rows = []
+    for text in texts:
+        a, b = [], []
+        if text:
+            a, b = tokenizer.encode(" " + text, add_special_tokens=False).ids, pieces.encode(text)
+            if not b"".join(a_side[k] for k in a) == b"".join(b_side[k] for k in b) == (" " + text).encode():
+                a, b = [], []
+        ends = [list(accumulate(len(side[k]) for k in ids)) for side, ids in ((a_side, a), (b_side, b))]
+        spans = [list(zip([0, *e], e)) for e in ends]
+        links, low = [], 0
+        for k, (start, end) in enumerate(spans[0]):
+            while low < len(b) and spans[1][low][1] <= start:
+                low += 1
+            m = low
+            while m < len(b) and spans[1][m][0] < end:
+                links.append((a[k], b[m]))
+                m += 1
+        groups, at = [], [0, 0]
+        place = [{end: k for k, end in enumerate(e)} for e in ends]
+        for end in sorted(set(ends[0]) & set(ends[1])):
+            upto = [p[end] + 1 for p in place]
+            groups.append(",".join(map(str, a[at[0] : upto[0]])) + "|" + ",".join(map(str, b[at[1] : upto[1]])))
+            at = upto
+        rows.append((a, b, groups, links))
+    counts = Counter(pair for row in rows for pair in set(row[3]))
+    most = {}
+    for (x, _), n in counts.items():
+        most[x] = max(n, most.get(x, 0))
+    return [(len(a), len(b), len(g), len(l), sum(counts[p] == most[p[0]] for p in l), sum(counts[p] for p in l), ";".join(g)) for a, b, g, l in rows]
+
+
+TEXTS = [
+    "Retokenized strangely: don't stop at 12345 words, über-naïve façade!", "a  b   c ", " ", "   ", " lead", "tail ", "\n\n x\t y \n", "\x00nul", "", None,
+    "has ▁ in it", "<|endoftext|> and <s> plain</s> <0x0A>", "語" * 40, "\U0001f600 \U0001f600　x \xa0y", "x" * 600, "ﬁ ﬀ é é", "a b", "a b", "it's we'll  'tis 12 34", "a.b, (c) [d];e\r\nf",
+]
+
+
+def rows_of(frame):
+    return {r["row"]["doc_id"]: tuple(r[c] for c in COLUMNS) for r in frame.collect()}
+
+
+@pytest.mark.parametrize("most_pairs", [1 << 20, 0])
+def test_equal_to_the_libraries_on_whole_texts(documents, most_pairs):
+    expected = dict(enumerate(plain(TEXTS)))
+    assert rows_of(aligned(documents(*enumerate(TEXTS)), A, B, most_pairs=most_pairs)) == expected
+    assert expected[10][0] == expected[8][0] == expected[9][0] == 0 and expected[2][1] == 1
+
+
+def test_a_task_hands_on_its_counts_in_parts(documents, monkeypatch):
+    from demandlab.llm import token_alignment, words
+
+    monkeypatch.setattr(words, "SLICE_BYTES", 50)
+    monkeypatch.setattr(token_alignment, "HELD_PAIRS", 20)
+    aligner = token_alignment._aligned_batches(lambda: (byte_level_side(A), piece_side(B)), False)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([{"doc_id": k} for k in range(len(TEXTS))]), pa.array(TEXTS)], ["row", "text"])
+    parts = list(aligner(iter([batch])))
+    counts = Counter()
+    for part in parts:
+        for counted, pairs, times in zip(*(part[c].to_pylist() for c in ("counted", "pairs", "times"))):
+            if counted:
+                counts.update(dict(zip(pairs, times)))
+    own = Counter(p for part in parts for counted, pairs in zip(part["counted"].to_pylist(), part["pairs"].to_pylist()) if not counted for p in pairs)
+    assert counts == own and sum(sum(p["counted"].to_pylist()) for p in parts) > 1
+
+
+def test_a_long_text_and_an_empty_table(documents):
+    words = "unbelievable tokenization über 12345, of strange ".split()
+    text = " ".join(words[(k * k) % 7 % len(words)] + str(k % 97) for k in range(40_000))
+    assert rows_of(aligned(documents((1, text), (2, "one")), A, B)) == dict(zip((1, 2), plain([text, "one"])))
+    assert aligned(documents(), A, B).collect() == []
+
+
+def test_clashing_names_and_other_columns(spark):
+    frame = spark.createDataFrame([(1, "a b", 3, "r"), (1, "a b", 3, "r")], "n_a long, body string, counted int, row string")
+    out = aligned(frame, A, B, keep=("n_a", "row", "counted"), text="body").collect()
+    assert [tuple(r["row"]) for r in out] == [(1, "r", 3)] * 2
+    assert [tuple(r[c] for c in COLUMNS) for r in out] == plain(["a b", "a b"])
+
+
+def test_query_equals_the_libraries(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    expected = [(r["doc_id"], *p[:6], hashlib.sha256(p[6].encode()).hexdigest() if p[6] else "") for r, p in zip(rows, plain([r["text"] for r in rows]))]
+    frame = QUERIES["op12_token_alignment"](spark, SF)
+    assert sorted(map(tuple, frame.select("doc_id", *COLUMNS[:6], "groups_sha256").collect())) == sorted(expected)
