@@ -12,6 +12,7 @@ from demandlab.llm.decontamination import contamination, judged
 from demandlab.llm.jaccard_join import jaccard_join
 from demandlab.llm.language_id import remainder
 from demandlab.llm.one_bit_search import nearest
+from demandlab.llm.phrase_counting import BREAKS, collocations
 from demandlab.llm.pseudonyms import pseudonymized
 from demandlab.llm.repair_files import read_documents, write_shards
 from demandlab.llm.suffix_buckets import without_repeats
@@ -120,6 +121,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
 
 
+def op13_phrase_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_one_bit_search": op2_one_bit_search,
@@ -133,6 +138,7 @@ QUERIES = {
     "op10_secret_ledger": op10_secret_ledger,
     "op11_suffix_buckets": op11_suffix_buckets,
     "op12_token_alignment": op12_token_alignment,
+    "op13_phrase_counting": op13_phrase_counting,
 }
 
 _WORDS = f"list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{GAP}'), lambda x: x <> '')"
@@ -192,4 +198,30 @@ SELECT k.page_id, k.host, k.path, f.rule, l.canonical IS NOT NULL AS listed,
   coalesce(f.verdict, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM keyed AS k LEFT JOIN fits AS f ON f.page_id = k.page_id AND f.host = k.host AND f.path = k.path
 LEFT JOIN list AS l ON l.canonical = k.canonical""",
+    "op13_phrase_counting": f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split(translate(coalesce(text, ''), '{UPPER}{BREAKS}', '{LOWER}' || repeat(chr(10), {len(BREAKS)})), chr(10))) AS piece
+  FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY lang),
+f AS (
+  SELECT lang, k, w[i : i + k - 1] AS p, CAST(count(*) AS HUGEINT) AS c
+  FROM words, unnest(range(1, 6)) AS t(k), unnest(range(1, len(w) - k + 2)) AS u(i)
+  GROUP BY lang, k, p HAVING count(*) >= 100),
+longer AS (
+  SELECT DISTINCT lang, unnest([p[: k - 1], p[2 :]]) AS p, c FROM f WHERE k >= 3),
+kept AS (SELECT * FROM f WHERE k >= 2 AND NOT EXISTS (SELECT 1 FROM longer AS x WHERE x.lang = f.lang AND x.p = f.p AND x.c = f.c)),
+cuts AS (
+  SELECT q.lang, q.p, q.c AS a, l.c AS l, r.c AS r, n, s, 1000 * q.c * n // (l.c * r.c) AS score
+  FROM kept AS q, unnest(range(1, q.k)) AS t(s)
+  JOIN f AS l ON l.lang = q.lang AND l.p = q.p[: s]
+  JOIN f AS r ON r.lang = q.lang AND r.p = q.p[s + 1 :]
+  JOIN sizes AS z ON z.lang = q.lang),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, s) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank FROM least)
+SELECT lang, rank, array_to_string(p, ' ') AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000""",
 }

@@ -18,4 +18,4 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_operators_are_registered_once_each():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")) == list(range(1, 13))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")) == list(range(1, 14))
