@@ -13,7 +13,7 @@ first and the last step at which a phrase of each hash slot reached the threshol
 They tell exactly which phrases cannot be counted now; slots that several phrases
 share only let more through. As a shard gives a phrase the same count whenever it is
 scanned, a phrase counted in a shard twice takes the larger count, and one that
-passed for another reason than its own parts is not let in at the end. Beyond 2^20
+passed for another reason than its own parts is not let in at the end. Beyond a few million
 frequent phrases slots fill up and more rare phrases are counted; results stay.
 
 Spark adds up the tasks' counts by 64-bit identifiers of language and words; a last
@@ -47,7 +47,7 @@ LONGEST, THRESHOLD, SHARDS = 5, 100, 2
 #: What splits pieces, as a character class; within a piece words are runs of anything but spaces and tabs.
 BREAKS = ".,;:!?\n\x0b\x0c\r"
 UNKNOWN = "und"
-#: Slots of the arrays that say when parts became frequent: sixteen a phrase within these bounds.
+#: Slots of the arrays that say when parts became frequent: 64 a phrase within these bounds.
 LEAST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 24
 #: Identifiers that a task holds before it counts them.
 HELD = 1 << 22
@@ -121,24 +121,29 @@ class Phrases:
 
 
 class Reached:
-    """For each slot of identifiers, the first and last step at which one of them was frequent."""
+    """For each slot of identifiers, the first and last step at which one of them was frequent. An identifier has two slots."""
 
     def __init__(self, first: np.ndarray, last: np.ndarray):
         self.first, self.last = first, last
 
+    def _slots(self, identifiers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mask = np.uint64(len(self.first) - 1)
+        return (identifiers & mask).astype(np.int64), (identifiers >> np.uint64(32) & mask).astype(np.int64)
+
     def open(self, phrases: Phrases, size: int, step: int, shards: int) -> np.ndarray:
         """The places whose phrase of `size` words may be in its circle at this step."""
         fits = phrases.fits(size)
-        slots = (phrases.of_size(size - 1) & np.uint64(len(self.first) - 1)).astype(np.int64)
-        first, last = self.first[slots], self.last[slots].astype(np.int64)
+        one, two = self._slots(phrases.of_size(size - 1))
+        known = np.maximum(self.first[one], self.first[two]) <= step
         n = len(fits)
-        known = np.maximum(first[:n], first[1 : n + 1]) <= step
-        return np.flatnonzero(fits & known & (np.maximum(last[:n], last[1 : n + 1]) + shards > step))
+        places = np.flatnonzero(fits & known[:n] & known[1 : n + 1])
+        last = lambda at: np.minimum(self.last[one[at]], self.last[two[at]]).astype(np.int64)
+        return places[np.maximum(last(places), last(places + 1)) + shards > step]
 
     def frequent(self, phrases: Phrases, size: int) -> np.ndarray:
         fits = phrases.fits(size)
-        slots = (phrases.of_size(size)[: len(fits)] & np.uint64(len(self.first) - 1)).astype(np.int64)
-        return np.flatnonzero(fits & (self.first[slots] != NEVER))
+        one, two = self._slots(phrases.of_size(size)[: len(fits)])
+        return np.flatnonzero(fits & (self.first[one] != NEVER) & (self.first[two] != NEVER))
 
 
 def _counted(sizes: list[int], step: int, shards: int, held) -> Callable:
@@ -175,9 +180,10 @@ def _counted(sizes: list[int], step: int, shards: int, held) -> Callable:
 def _reached(frequent: DataFrame) -> Reached:
     """The arrays for phrases (id, step). At most MOST_SLOTS rows come to the driver."""
     count = frequent.count()
-    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (16 * count).bit_length()))
-    rows = frequent.groupBy(F.col("id").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot"))
-    rows = rows.agg(F.min("step").cast("short").alias("first"), F.max("step").cast("short").alias("last")).toArrow()
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (64 * count).bit_length()))
+    places = F.array(F.col("id"), F.shiftrightunsigned("id", 32))
+    slot = F.col("place").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")
+    rows = frequent.select(F.explode(places).alias("place"), "step").groupBy(slot).agg(F.min("step").cast("short").alias("first"), F.max("step").cast("short").alias("last")).toArrow()
     first, last = np.full(slots, NEVER, dtype=np.uint8), np.zeros(slots, dtype=np.uint8)
     place = rows["slot"].to_numpy()
     first[place], last[place] = rows["first"].to_numpy(), rows["last"].to_numpy()
@@ -242,7 +248,7 @@ def frequent_phrases(documents: DataFrame, longest: int = LONGEST, threshold: in
                 new = ~np.isin(ids, seen[size], assume_unique=True)
                 seen[size] = np.union1d(seen[size], ids[new])
                 at, ids = at[first[new]], ids[new]
-                names = pa.array([""] * len(at)) if size == 0 else phrases.texts(at, size)
+                names = pa.array([""] * len(at), pa.string()) if size == 0 else phrases.texts(at, size)
                 langs = batch["lang"].take(pa.array(phrases.row[at]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), size, np.int32)), pa.array(ids.view(np.int64)), langs, names], ["size", "id", "lang", "phrase"])
 
