@@ -16,9 +16,10 @@ scanned, a phrase counted in a shard twice takes the larger count, and one that
 passed for another reason than its own parts is not let in at the end. Beyond a few million
 frequent phrases slots fill up and more rare phrases are counted; results stay.
 
-Spark adds up the tasks' counts by 64-bit identifiers of language and words; a last
-scan names the phrases that are frequent. No task or driver holds a table that grows
-with the corpus.
+Spark adds up the tasks' counts by 64-bit identifiers of language and words, and keeps
+for each the least hash of a text that has it. In the end the texts so named, and no
+others, give the frequent phrases their words. No task or driver holds a table that
+grows with the corpus.
 
 A phrase's score is the least, over its cuts into two parts, of
 floor(1000 * a * n / (l * r)), in decimals of 38 digits: a its occurrences, l and r
@@ -40,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandlab.llm.row_filters import once, possible
 from demandlab.llm.words import LOWER, UPPER, mix, span_hashes, text_slices, utf8
 from demandlab.session import fresh_path, materialize
 
@@ -140,43 +142,57 @@ class Reached:
         last = lambda at: np.minimum(self.last[one[at]], self.last[two[at]]).astype(np.int64)
         return places[np.maximum(last(places), last(places + 1)) + shards > step]
 
-    def frequent(self, phrases: Phrases, size: int) -> np.ndarray:
-        fits = phrases.fits(size)
-        one, two = self._slots(phrases.of_size(size)[: len(fits)])
-        return np.flatnonzero(fits & (self.first[one] != NEVER) & (self.first[two] != NEVER))
-
 
 def _counted(sizes: list[int], step: int, shards: int, held) -> Callable:
-    """(size, id, n): the task's count of each phrase of the sizes that may be in its circle; size 0 counts a language's words."""
+    """(size, id, n, spot): the task's count of each phrase of the sizes that may be in its circle, and a text that has it; size 0 counts a language's words."""
 
-    def total(size: int, parts: list[np.ndarray]) -> pa.RecordBatch:
-        ids, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), size, np.int32)), pa.array(ids.view(np.int64)), pa.array(n)], ["size", "id", "n"])
+    def total(size: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        found, spots = (np.concatenate(x) for x in zip(*parts))
+        ids, first, n = np.unique(found, return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), size, np.int32)), pa.array(ids.view(np.int64)), pa.array(n), pa.array(spots[first])], ["size", "id", "n", "spot"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, list[np.ndarray]] = {size: [] for size in sizes}
+        parts: dict[int, list] = {size: [] for size in sizes}
         for batch in text_slices(batches):
-            phrases = Phrases(batch["lang"], batch["text"])
-            if not len(phrases):
-                continue
-            for size in sizes:
-                if size == 0:
-                    found = phrases.language[phrases.row]
-                    ids, n = np.unique(found, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int32)), pa.array(ids.view(np.int64)), pa.array(n)], ["size", "id", "n"])
-                    continue
-                found = phrases.of_size(size)
-                parts[size].append(found if size == 1 else found[held.value.open(phrases, size, step, shards)])
-                if sum(map(len, parts[size])) > HELD:
+            phrases, spot = Phrases(batch["lang"], batch["text"]), batch["spot"].to_numpy()
+            for size in sizes if len(phrases) else ():
+                if size < 2:
+                    places, found = slice(None), phrases.of_size(1) if size else phrases.language[phrases.row]
+                else:
+                    places = held.value.open(phrases, size, step, shards)
+                    found = phrases.of_size(size)[places]
+                parts[size].append((found, spot[phrases.row[places]]))
+                if sum(len(x) for x, _ in parts[size]) > HELD:
                     yield total(size, parts[size])
                     parts[size] = []
         for size, found in parts.items():
-            if sum(map(len, found)):
+            if found:
                 yield total(size, found)
 
     return counted
 
 
+def _named(longest: int) -> Callable:
+    """(size, id, lang, phrase): the words of the phrases that each text is to name (a list of sizes and identifiers)."""
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(once(batches)):
+            phrases, wanted = Phrases(batch["lang"], batch["text"]), batch["wanted"].flatten()
+            sizes, ids = wanted.field("size").to_numpy(), wanted.field("id").to_numpy().view(np.uint64)
+            for size in np.unique(sizes).tolist():
+                # At the end of a piece an identifier is of no phrase, but of words that stand together elsewhere.
+                places = np.flatnonzero(phrases.fits(max(size, 1)))
+                found = phrases.language[phrases.row[places]] if size == 0 else phrases.of_size(size)[places]
+                places = places[np.isin(found, ids[sizes == size])]
+                found, first = np.unique(phrases.language[phrases.row[places]] if size == 0 else phrases.of_size(size)[places], return_index=True)
+                places = places[first]
+                names = pa.array([""] * len(places), pa.string()) if size == 0 else phrases.texts(places, size)
+                langs = batch["lang"].take(pa.array(phrases.row[places]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(places), size, np.int32)), pa.array(found.view(np.int64)), langs, names], ["size", "id", "lang", "phrase"])
+
+    return named
+
+
 def _reached(frequent: DataFrame) -> Reached:
     """The arrays for phrases (id, step). At most MOST_SLOTS rows come to the driver."""
     count = frequent.count()
@@ -202,8 +218,9 @@ def frequent_phrases(documents: DataFrame, longest: int = LONGEST, threshold: in
     lang, text = F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), normal(F.col("text")).alias("text")
     # Equal texts are spread over the shards by their row's id.
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard")
-    documents.select(lang, text, shard).write.partitionBy("shard").parquet(path)
-    stored = spark.read.schema("lang string, text string, shard int").parquet(path)
+    stored = documents.select(lang, text, shard).withColumn("spot", F.hash("text"))
+    stored.write.partitionBy("shard").parquet(path)
+    stored = spark.read.schema("lang string, text string, spot int, shard int").parquet(path)
 
     none = spark.createDataFrame([], "size int, id long, step int")
     steps: list[DataFrame] = []  # counts by size and phrase, one table a step
@@ -214,10 +231,10 @@ def frequent_phrases(documents: DataFrame, longest: int = LONGEST, threshold: in
         sizes = [size for size in range(1, longest + 1) if upto.get(size, -1) >= step]
         sent = spark.sparkContext.broadcast(_reached(_union(frequent).filter(F.col("size") < longest)) if frequent else None)
         wanted = ([0] if step < shards else []) + sizes
-        rows = stored.filter(F.col("shard") == step % shards).select("lang", "text").mapInArrow(_counted(wanted, step, shards, sent), "size int, id long, n long")
+        rows = stored.filter(F.col("shard") == step % shards).select("lang", "text", "spot").mapInArrow(_counted(wanted, step, shards, sent), "size int, id long, n long, spot int")
         # Written once: what later steps read of it is its phrases alone.
-        counts = materialize(rows.groupBy("size", "id").agg(F.sum("n").alias("n")), "phrase-counts")
-        total_words.append(counts.filter("size = 0").select("id", "n"))
+        counts = materialize(rows.groupBy("size", "id").agg(F.sum("n").alias("n"), F.min("spot").alias("spot")), "phrase-counts")
+        total_words.append(counts.filter("size = 0"))
         steps.append(counts.filter("size > 0"))
         recent = [frame.withColumn("shard", F.lit(k % shards)) for k, frame in enumerate(steps)][-shards:]
         known = _union(frequent).select("size", "id") if frequent else none.select("size", "id")
@@ -234,30 +251,17 @@ def frequent_phrases(documents: DataFrame, longest: int = LONGEST, threshold: in
     # Of two scans of one shard either gives the phrase's count; a phrase is whole with one count for each shard.
     by_shard = _union([frame.withColumn("shard", F.lit(k % shards)) for k, frame in enumerate(steps)])
     held = _union(frequent).select("size", "id").distinct()
-    best = by_shard.join(held, ["size", "id"]).groupBy("size", "id", "shard").agg(F.max("n").alias("n"))
-    whole = materialize(best.groupBy("size", "id").agg(F.sum("n").alias("n")).filter(F.col("n") >= threshold), "phrase-totals")
-    sent = spark.sparkContext.broadcast(_reached(whole.select("id", F.lit(0).alias("step"))))
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.empty(0, dtype=np.uint64)] * (longest + 1)
-        for batch in text_slices(batches):
-            phrases = Phrases(batch["lang"], batch["text"])
-            for size in range(0, longest + 1) if len(phrases) else ():
-                at = np.unique(phrases.row, return_index=True)[1] if size == 0 else sent.value.frequent(phrases, size)
-                ids, first = np.unique(phrases.language[phrases.row[at]] if size == 0 else phrases.of_size(size)[at], return_index=True)
-                new = ~np.isin(ids, seen[size], assume_unique=True)
-                seen[size] = np.union1d(seen[size], ids[new])
-                at, ids = at[first[new]], ids[new]
-                names = pa.array([""] * len(at), pa.string()) if size == 0 else phrases.texts(at, size)
-                langs = batch["lang"].take(pa.array(phrases.row[at]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), size, np.int32)), pa.array(ids.view(np.int64)), langs, names], ["size", "id", "lang", "phrase"])
-
-    names = stored.select("lang", "text").mapInArrow(named, "size int, id long, lang string, phrase string")
-    names = materialize(names.groupBy("size", "id").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase")), "phrase-names")
+    best = by_shard.join(held, ["size", "id"]).groupBy("size", "id", "shard").agg(F.max("n").alias("n"), F.min("spot").alias("spot"))
+    total = (F.sum("n").alias("n"), F.min("spot").alias("spot"))
+    words = _union(total_words).groupBy("size", "id").agg(*total)
+    whole = materialize(best.groupBy("size", "id").agg(*total).filter(F.col("n") >= threshold).union(words), "phrase-totals")
+    # The phrases of one text: no more than its words allow.
+    wanted = materialize(whole.groupBy("spot").agg(F.collect_list(F.struct("size", "id")).alias("wanted")), "phrase-spots")
+    texts = possible(stored.select("lang", "text", "spot"), wanted.select("spot"), "spot").join(wanted, "spot")
+    names = texts.withColumn("text_key", F.xxhash64("lang", "text")).mapInArrow(_named(longest), "size int, id long, lang string, phrase string")
+    names = names.groupBy("size", "id").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
     phrases = materialize(names.join(whole, ["size", "id"]).select("lang", "phrase", "size", "n"), "phrases")
-    words = _union(total_words).groupBy("id").agg(F.sum("n").alias("n"))
-    languages = names.filter("size = 0").select("id", "lang")
-    return phrases, materialize(languages.join(words, "id").select("lang", "n"), "languages")
+    return phrases.filter("size > 0"), phrases.filter("size = 0").select("lang", "n")
 
 
 def collocations(documents: DataFrame, longest: int = LONGEST, threshold: int = THRESHOLD, shards: int = SHARDS, best: int = 2000) -> DataFrame:

@@ -44,15 +44,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlab.llm import bloom
+from demandlab.llm.row_filters import once, possible
 from demandlab.llm.words import mix, text_slices, utf8
 from demandlab.session import materialize
 
 LENGTH, GRAM = 200, 64
 #: Distances in a block, round after round; the last must be 1.
 BLOCKS = (16, 1)
-#: Bits of a filter of keys in front of a join: sixteen a key, and no filter if that were over the bound.
-LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
 KEY = ("text_key", "n_bytes")
 _RUN = "bucket long, class long, at int, lo int, hi int"
 _PIECE = f"text_key long, n_bytes long, {_RUN}"
@@ -137,15 +135,6 @@ def split_runs(names: np.ndarray, bucket: np.ndarray, at: np.ndarray, lo: np.nda
     return run, mix(shared + mix(bucket[run] * _STEP + k.astype(np.uint64))), _class(names, at, lo, hi, length, gram), at, lo, hi
 
 
-def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of texts that the task has not had yet. Copies beyond the first add nothing but work."""
-    seen: set[int] = set()
-    for batch in batches:
-        keys = batch["text_key"].to_pylist()
-        new = [k for k, key in enumerate(keys) if not (key in seen or seen.add(key))]
-        yield batch if len(new) == len(keys) else batch.take(pa.array(new, pa.int64()))
-
-
 def _pieces(batch: pa.RecordBatch, row: np.ndarray, offsets: np.ndarray, bucket, kind, at, lo, hi) -> pa.RecordBatch:
     row = pa.array(row)
     begin = offsets[row.to_numpy()]
@@ -156,7 +145,7 @@ def _pieces(batch: pa.RecordBatch, row: np.ndarray, offsets: np.ndarray, bucket,
 
 def _first(length: int, gram: int) -> Callable:
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(_once(batches)):
+        for batch in text_slices(once(batches)):
             data, offsets = utf8(batch["text"])
             row, *run = first_runs(data, offsets, length, gram)
             if len(row):
@@ -167,7 +156,7 @@ def _first(length: int, gram: int) -> Callable:
 
 def _split(block: int, length: int, gram: int) -> Callable:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(_once(batches)):
+        for batch in text_slices(once(batches)):
             data, offsets = utf8(batch["text"])
             runs = batch["runs"]
             row, flat = runs.value_parent_indices().to_numpy(), runs.flatten()
@@ -181,23 +170,6 @@ def _split(block: int, length: int, gram: int) -> Callable:
     return split
 
 
-def _possible(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """The rows whose key may be among the keys (a written table of distinct ones); all rows if there are too many keys."""
-    count = keys.count()
-    if 16 * count > MOST_BITS:
-        return rows
-    bits = max(LEAST_BITS, 1 << (16 * count - 1).bit_length())
-    spread = F.xxhash64(key)
-    held = rows.sparkSession.sparkContext.broadcast(bloom.build(keys.select(spread.alias("k")), F.col("k"), bits))
-
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = bloom.may_contain(held.value, batch["_spread"].to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(keep)).drop_columns(["_spread"])
-
-    return rows.withColumn("_spread", spread).mapInArrow(chosen, rows.schema)
-
-
 def keyed(documents: DataFrame, text: str = "text") -> DataFrame:
     """(row, text, text_key, n_bytes): a text is named by a hash and its size."""
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
@@ -220,7 +192,7 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
         # Buckets of one run are done; what is known of the others is one row a bucket.
         counts = pieces.groupBy("bucket").agg(F.count("*").alias("n"), (F.min("class") != F.max("class")).alias("mixed"))
         buckets = materialize(counts.filter("n > 1").select("bucket", "mixed"), "buckets")
-        held = materialize(_possible(pieces, buckets, "bucket").join(buckets, "bucket"), "held")
+        held = materialize(possible(pieces, buckets, "bucket").join(buckets, "bucket"), "held")
         if block is None:  # runs of one window: those of a bucket are equal
             return found.unionByName(held.select(*KEY, "lo", "hi"))
         found = found.unionByName(held.filter("not mixed").select(*KEY, "lo", "hi"))
@@ -233,7 +205,7 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
         # The runs of one text: no more than it has bytes.
         runs = classes.groupBy(*[F.col(f"one.{name}").alias(name) for name in KEY]).agg(F.collect_list(run).alias("runs"))
         runs = materialize(runs, "open-runs")
-        near = _possible(texts, runs.select("text_key"), "text_key")
+        near = possible(texts, runs.select("text_key"), "text_key")
         pieces = materialize(near.join(runs, list(KEY)).mapInArrow(_split(block, length, gram), _PIECE), "runs")
 
 

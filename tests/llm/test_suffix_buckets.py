@@ -50,9 +50,9 @@ def test_equal_to_counting_every_string(documents, seed, length, gram, blocks):
 
 
 def test_a_passage_of_a_third_of_all_documents_in_changing_surroundings(documents, monkeypatch):
-    from demandlab.llm import suffix_buckets
+    from demandlab.llm import row_filters
 
-    monkeypatch.setattr(suffix_buckets, "MOST_BITS", 0)  # without filters in front of the joins
+    monkeypatch.setattr(row_filters, "MOST_BITS", 0)  # without filters in front of the joins
     random.seed(9)
     word = lambda: "".join(random.choice("abcdefgh") for _ in range(6))
     passage = " ".join(word() for _ in range(40))
