@@ -3,7 +3,8 @@
 BENCH_SF_DIR names the data folder, BENCH_CPUS the local cores and BENCH_QUERIES
 (optional, comma-separated) other queries. Every query is run once on small data
 to load classes, then timed once from building the plan to the last row. The
-stored demand that the evaluation reads is timed on its own as store_demand.
+stored demand that the evaluation reads is timed on its own as store_demand, and
+the stored line state that daily runs read as store_line_state.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from validation.adapter import evaluation_tables  # noqa: E402
+from validation.adapter import evaluation_tables, line_state  # noqa: E402
 from validation.compare import local_session  # noqa: E402
 from validation.spark_queries import QUERIES  # noqa: E402
 
@@ -59,6 +60,9 @@ def main() -> None:
     started = time.perf_counter()
     evaluation_tables(spark, sf_dir)
     seconds = {"store_demand": round(time.perf_counter() - started, 3)}
+    started = time.perf_counter()
+    line_state(spark, sf_dir)
+    seconds["store_line_state"] = round(time.perf_counter() - started, 3)
     seconds.update({name: round(run(spark, name, sf_dir), 3) for name in names})
     print(
         json.dumps(

@@ -16,13 +16,14 @@ from demandlab.sources.tables import Tables
 CLOSED = 1
 
 
-def closed_orders(tables: Tables, as_of: dt.date) -> DataFrame:
-    """Headers of closed orders up to ``as_of``, without Sundays."""
-    return tables.order_header.filter(
+def closed_orders(tables: Tables, as_of: dt.date, since: dt.date | None = None) -> DataFrame:
+    """Headers of closed orders up to ``as_of``, without Sundays; those before ``since`` are left out if given."""
+    headers = tables.order_header.filter(
         (F.col("status") == CLOSED)
         & (F.col("close_date") <= F.lit(as_of))
         & is_working_day(F.col("close_date"))
     )
+    return headers if since is None else headers.filter(F.col("close_date") >= F.lit(since))
 
 
 def kept_lines(tables: Tables) -> DataFrame:
@@ -41,14 +42,14 @@ _HEADER = ("id", "user_id", "close_date", "region_code")
 _ROUTED = (*_HEADER, "dataset_identifier", "stockout_weight")
 
 
-def zone_orders(tables: Tables, datasets: DataFrame, as_of: dt.date) -> DataFrame:
+def zone_orders(tables: Tables, datasets: DataFrame, as_of: dt.date, since: dt.date | None = None) -> DataFrame:
     """Orders inside a dataset's zones.
 
     Key-account orders stay out of single-warehouse datasets. A dataset over all
     warehouses keeps them, once per matching account row. Only headers and zones
     of the datasets' regions and groups are matched.
     """
-    headers = closed_orders(tables, as_of).join(datasets.select("region_code"), "region_code", "left_semi")
+    headers = closed_orders(tables, as_of, since).join(datasets.select("region_code"), "region_code", "left_semi")
     placed = match_zone_groups(
         headers.select(*_HEADER, "tag_name", "latitude", "longitude"), tables, datasets.select("microzone_group_code")
     )
@@ -60,12 +61,12 @@ def zone_orders(tables: Tables, datasets: DataFrame, as_of: dt.date) -> DataFram
     )
 
 
-def key_account_orders(tables: Tables, datasets: DataFrame, as_of: dt.date) -> DataFrame:
+def key_account_orders(tables: Tables, datasets: DataFrame, as_of: dt.date, since: dt.date | None = None) -> DataFrame:
     """Orders of key accounts, for the dataset of the warehouse that serves them."""
     single = datasets.filter(F.col("warehouse") != ANY_WAREHOUSE)
     accounts = key_accounts(tables).withColumnRenamed("account_warehouse", "warehouse")
     return (
-        closed_orders(tables, as_of)
+        closed_orders(tables, as_of, since)
         .select(*_HEADER, "tag_name")
         .join(accounts, ["region_code", "tag_name"])
         .join(single, ["region_code", "warehouse"])
@@ -96,13 +97,20 @@ def lines_of(orders: DataFrame, tables: Tables, flag_users: bool = True) -> Data
     )
 
 
-def order_lines(tables: Tables, datasets: DataFrame, as_of: dt.date, flag_users: bool = True) -> DataFrame:
+def order_lines(
+    tables: Tables,
+    datasets: DataFrame,
+    as_of: dt.date,
+    flag_users: bool = True,
+    since: dt.date | None = None,
+) -> DataFrame:
     """All lines of all datasets, duplicates kept: overlapping zones count twice.
 
     Zone and key-account orders are united as headers, so the big join with the
-    lines runs once.
+    lines runs once. With ``since`` only headers from that day on are read, and
+    their few ids are what the lines meet.
     """
-    routed = zone_orders(tables, datasets, as_of).unionByName(key_account_orders(tables, datasets, as_of))
+    routed = zone_orders(tables, datasets, as_of, since).unionByName(key_account_orders(tables, datasets, as_of, since))
     return lines_of(routed, tables, flag_users)
 
 

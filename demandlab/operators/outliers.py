@@ -20,8 +20,11 @@ SIGMAS = 6
 LINE_PERCENTILE = 0.99
 DAY_Z_BOUND = 2.81
 
-# Ranges of quantities, in which ranks are looked for, to each doubling.
+# Ranges of quantities, in which ranks are looked for, to each doubling; a range with
+# more distinct quantities than that is split into so many parts, again and again.
 RANGES = 1024
+MOST_IN_RANGE = 10_000
+PARTS = 1024
 
 GROUP = ("dp_input_datasets_id", "product_id")
 LINE_COUNT = "line_count"
@@ -94,13 +97,46 @@ def _near_ranks(histogram: DataFrame, means: DataFrame, populations: Sequence[st
         *[(F.col(f"upto_{p}") - F.col(f"n_{p}")).alias(f"before_{p}") for p in populations],
         *[column for p in populations for column in (F.floor(position(p)).alias(f"first_{p}"), F.ceil(position(p)).alias(f"last_{p}"))],
     )
-    return _same(rows, kept, *GROUP, "range")
+    return _same(rows, kept, *GROUP, "range").withColumn("range", F.array("range"))
+
+
+def _refined(near: DataFrame, populations: Sequence[str]) -> DataFrame:
+    """The same ranks in ranges of at most ``MOST_IN_RANGE`` distinct quantities.
+
+    A range that holds more is cut into equal parts between its least and greatest
+    quantity, and only the parts that hold a wanted rank go on. The least and the
+    greatest fall into different parts, so every round leaves fewer; quantities that
+    all lie within a thousandth take one round more than others.
+    """
+    near = materialize(near, "near-ranks")
+    while True:
+        sizes = near.groupBy(*GROUP, "range").agg(
+            F.count(F.lit(1)).alias("size"), F.min("quantity").alias("least"), F.max("quantity").alias("greatest")
+        )
+        full = materialize(sizes.filter(F.col("size") > MOST_IN_RANGE).drop("size"), "full-ranges")
+        if full.isEmpty():
+            return near
+        place = F.floor((F.col("quantity") - F.col("least")) / (F.col("greatest") - F.col("least")) * PARTS)
+        rows = _same(near, full, *GROUP, "range").withColumn("part", F.least(place, F.lit(PARTS - 1)).cast("long"))
+        keys = (*GROUP, "range", "part")
+        # One row a part: the window sees at most PARTS of them.
+        sums = rows.groupBy(*keys).agg(*[F.sum(f"n_{p}").alias(f"n_{p}") for p in populations], *[F.max(f"{name}_{p}").alias(f"{name}_{p}") for p in populations for name in ("before", "first", "last")])
+        upwards = Window.partitionBy(*GROUP, "range").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = sums.withColumns({f"upto_{p}": F.col(f"before_{p}") + F.sum(f"n_{p}").over(upwards) for p in populations})
+        wanted = F.lit(False)
+        for p in populations:
+            wanted |= (F.col(f"upto_{p}") > F.col(f"first_{p}")) & (F.col(f"upto_{p}") - F.col(f"n_{p}") <= F.col(f"last_{p}"))
+        kept = sums.filter(wanted).select(*keys, *[(F.col(f"upto_{p}") - F.col(f"n_{p}")).alias(f"before_{p}") for p in populations])
+        parts = _same(rows.drop("least", "greatest", *[f"before_{p}" for p in populations]), kept, *keys)
+        parts = parts.withColumn("range", F.concat("range", F.array("part"))).select(*near.columns)
+        others = near.join(full.select(*[F.col(name).alias(f"__{name}") for name in (*GROUP, "range")]), [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in (*GROUP, "range")], "left_anti")
+        near = materialize(others.unionByName(parts), "near-ranks")
 
 
 def _percentiles(histogram: DataFrame, means: DataFrame, populations: Sequence[str]) -> DataFrame:
     """p99_<name> per group, interpolated between the two neighbouring ranks and exact."""
     upwards = Window.partitionBy(*GROUP, "range").orderBy("quantity").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    near = _near_ranks(histogram, means, populations)
+    near = _refined(_near_ranks(histogram, means, populations), populations)
     ranked = near.withColumns({f"upto_{p}": F.col(f"before_{p}") + F.sum(f"n_{p}").over(upwards) for p in populations})
     at = lambda p, rank: F.min(F.when((F.col(f"n_{p}") > 0) & (F.col(f"upto_{p}") > F.col(f"{rank}_{p}")), F.col("quantity")))
     found = ranked.groupBy(*GROUP).agg(

@@ -23,6 +23,7 @@ from demandlab.operators.sku import remap_products
 from demandlab.operators.stockouts import stockouts_by_warehouse
 from demandlab.session import materialize
 from demandlab.sources.demand_table import create_demand_table, replace_dataset, replace_day
+from demandlab.sources.line_state import create_line_state, month_of, replace_all, replace_month, stored_counts
 from demandlab.sources.tables import Tables
 
 DAY_KEYS = ("date", "product_id", "dp_input_datasets_id")
@@ -108,8 +109,17 @@ def kept_quantities(
     if any(v.needs_thresholds for v in variants):
         # Thresholds and demand both read the counts, so the lines are read once, here.
         counted = materialize(count_lines(lines), "counted-lines")
+        return counted_quantities(counted.filter(on_day), counted, new_skus, variants)
+    keys = [*GROUP, "close_date", *(["user_listed"] if "user_listed" in lines.columns else [])]
+    summed = lines.filter(on_day).groupBy(*keys).agg(F.sum("quantity").alias("quantity"))
+    return _amounts(summed, F.col("quantity"), new_skus, variants)
+
+
+def counted_quantities(counted: DataFrame, history: DataFrame, new_skus: DataFrame, variants: Sequence[Variant]) -> DataFrame:
+    """As ``kept_quantities`` from counted lines, with thresholds from the counted lines of ``history``."""
+    if any(v.needs_thresholds for v in variants):
         thresholds = line_thresholds(
-            counted,
+            history,
             _populations(variants),
             sigma=sorted({v.population for v in variants if v.sigma_lines}),
             percentile=sorted({v.population for v in variants if v.percentile_lines}),
@@ -117,12 +127,11 @@ def kept_quantities(
         # The null-safe comparison keeps lines without product.
         renamed = thresholds.withColumnsRenamed({name: f"__{name}" for name in GROUP})
         same_group = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in GROUP]
-        counted = counted.filter(on_day).join(renamed, same_group).drop(*[f"__{name}" for name in GROUP])
-        quantity = F.col(LINE_COUNT) * F.col("quantity")
-    else:
-        keys = [*GROUP, "close_date", *(["user_listed"] if "user_listed" in lines.columns else [])]
-        counted = lines.filter(on_day).groupBy(*keys).agg(F.sum("quantity").alias("quantity"))
-        quantity = F.col("quantity")
+        counted = counted.join(renamed, same_group).drop(*[f"__{name}" for name in GROUP])
+    return _amounts(counted, F.col(LINE_COUNT) * F.col("quantity"), new_skus, variants)
+
+
+def _amounts(counted: DataFrame, quantity: Column, new_skus: DataFrame, variants: Sequence[Variant]) -> DataFrame:
     amounts = counted.select(
         F.col("close_date").alias("date"),
         *GROUP,
@@ -193,6 +202,7 @@ def build_demand(
     dataset_id: int | None = None,
     restriction: Column | None = None,
     day: dt.date | None = None,
+    state: str | None = None,
 ) -> DataFrame:
     """Daily demand of the chosen variants as one long table.
 
@@ -200,8 +210,14 @@ def build_demand(
     the finished days; thresholds and z-scores still use the whole history.
     ``day`` restricts to one date, whose mean is the demand itself, so smoothing
     changes nothing: days before it are needed for the line thresholds alone.
-    The lines are read, joined and counted once for all variants.
+    The lines are read, joined and counted once for all variants. With ``day`` and
+    the stored line state named ``state`` (see ``refresh_line_state``) no line is
+    read: the day's counts and the thresholds both come from the state.
     """
+    if state is not None:
+        if day is None or restriction is not None:
+            raise ValueError("the line state serves one day without a restriction")
+        return _long(_day_from_state(tables, as_of, variants, country, dataset_id, day, state), variants)
     datasets = select_datasets(tables, country, dataset_id)
     lines = order_lines(tables, datasets, as_of, flag_users=any(v.user_list for v in variants))
     stockouts = stockouts_by_warehouse(tables, datasets, as_of, day)
@@ -214,6 +230,58 @@ def build_demand(
     return _long(wide, variants)
 
 
+def _day_from_state(
+    tables: Tables, as_of: dt.date, variants: Sequence[Variant], country: str | None, dataset_id: int | None, day: dt.date, state: str
+) -> DataFrame:
+    datasets = select_datasets(tables, country, dataset_id)
+    ids = datasets.select(F.col("dataset_identifier").alias("dp_input_datasets_id"))
+    history = stored_counts(tables.dataset.sparkSession, state, as_of).join(ids, "dp_input_datasets_id", "left_semi")
+    if dataset_id is not None:  # a literal that prunes the state's partitions
+        history = history.filter(F.col("dp_input_datasets_id") == dataset_id)
+    counted = history.filter(F.col("close_date") == F.lit(day))
+    if any(v.needs_thresholds for v in variants):
+        # Only products sold on the day need thresholds. Both sides read the day's few rows.
+        counted = materialize(counted, "counted-day")
+        sold = counted.select(*[F.col(name).alias(f"__{name}") for name in GROUP]).distinct()
+        history = history.join(sold, [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in GROUP], "left_semi")
+    rows = counted_quantities(counted, history, tables.new_skus, variants)
+    return combine_with_stockouts(rows, stockouts_by_warehouse(tables, datasets, as_of, day), variants)
+
+
+def build_line_state(
+    spark: SparkSession,
+    tables: Tables,
+    state: str,
+    as_of: dt.date,
+    country: str | None = None,
+    dataset_id: int | None = None,
+    location: str | None = None,
+) -> None:
+    """Count all lines up to ``as_of`` into the table ``state``, in place of what it holds."""
+    create_line_state(spark, state, location)
+    replace_all(count_lines(order_lines(tables, select_datasets(tables, country, dataset_id), as_of)), state)
+
+
+def refresh_line_state(
+    spark: SparkSession,
+    tables: Tables,
+    state: str,
+    as_of: dt.date,
+    country: str | None = None,
+    dataset_id: int | None = None,
+    location: str | None = None,
+) -> None:
+    """Count the lines of the month of ``as_of`` again, up to that day, and replace the month.
+
+    A daily run does so for its own day; for late or corrected lines of an old month
+    give its last day. Only headers of the month are read. The country and dataset are
+    those the state was built with.
+    """
+    create_line_state(spark, state, location)
+    datasets = select_datasets(tables, country, dataset_id)
+    replace_month(count_lines(order_lines(tables, datasets, as_of, since=month_of(as_of)[0])), state, as_of)
+
+
 def run_demand(
     spark: SparkSession,
     tables: Tables,
@@ -223,15 +291,20 @@ def run_demand(
     as_of: dt.date,
     initial_load: bool = False,
     location: str | None = None,
+    state: str | None = None,
 ) -> None:
     """Build all eight variants of a dataset and store them.
 
     An initial load replaces the dataset; a daily run replaces the day ``as_of``.
-    Either way there is a single write, so a rerun gives the same table.
+    Either way there is a single write, so a rerun gives the same table. With the
+    dataset's line state named ``state`` a daily run reads the lines of its own month alone,
+    counts them into the state, and takes the thresholds from there.
     """
     create_demand_table(spark, table, location)
     if initial_load:
         replace_dataset(build_demand(tables, as_of, VARIANTS, country, dataset_id), table, dataset_id)
     else:
-        day = build_demand(tables, as_of, VARIANTS, country, dataset_id, day=as_of)
+        if state is not None:
+            refresh_line_state(spark, tables, state, as_of, country, dataset_id)
+        day = build_demand(tables, as_of, VARIANTS, country, dataset_id, day=as_of, state=state)
         replace_day(day, table, dataset_id, as_of)

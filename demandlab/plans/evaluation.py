@@ -84,6 +84,30 @@ def latest_params(tables: Tables) -> DataFrame:
     )
 
 
+def live_setups(params: DataFrame, dataset_days: DataFrame, open_end: Column) -> DataFrame:
+    """(dp_input_datasets_id, close_date, setups): how many setups are live, for the days with any.
+
+    A sweep: a setup counts +1 on its first day and -1 behind its last, and a running
+    sum per dataset gives the count on each day asked for. So the ranges are never
+    compared with days one by one. ``open_end`` is the last day of an open setup.
+    """
+    ranges = params.select(
+        "dp_input_datasets_id", F.col("start_day_live").alias("first"), F.coalesce("end_day_live", open_end).alias("last")
+    ).filter("first <= last")
+    change = lambda day, by: ranges.select("dp_input_datasets_id", day.alias("close_date"), F.lit(by).alias("change"))
+    asked = dataset_days.select("dp_input_datasets_id", "close_date", F.lit(0).alias("change"))
+    ends = change(F.col("first"), 1).union(change(F.date_add("last", 1), -1)).union(asked)
+    days = ends.groupBy("dp_input_datasets_id", "close_date").agg(
+        F.sum("change").alias("change"), F.bool_or(F.col("change") == 0).alias("asked")
+    )
+    upwards = Window.partitionBy("dp_input_datasets_id").orderBy("close_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        days.withColumn("setups", F.sum("change").over(upwards))
+        .filter(F.col("asked") & (F.col("setups") > 0))
+        .select("dp_input_datasets_id", "close_date", "setups")
+    )
+
+
 def _with_wanted_type(cases: DataFrame, tables: Tables) -> DataFrame:
     """Add wanted_type: '3pl', '1pl' or NULL (any) after the case's warehouse."""
     kinds = (
@@ -262,7 +286,6 @@ class Evaluation:
             .select(F.col("id").alias("dp_input_datasets_id"), "region_code", "warehouse", "microzone_group_code")
             .join(places, ["region_code", "warehouse"], "left_semi")
         )
-        setups = tables.forecast_params.select("dp_input_datasets_id", "start_day_live", "end_day_live")
         judged_days = case_days(self.cases).select("region_code", F.col("day").alias("close_date")).distinct()
         headers = (
             tables.order_header.filter(
@@ -271,21 +294,22 @@ class Evaluation:
             .select("id", "region_code", F.col("warehouse").alias("order_warehouse"), "close_date", "latitude", "longitude")
             .join(judged_days, ["region_code", "close_date"])
         )
+        dataset_days = datasets.select("dp_input_datasets_id", "region_code").join(judged_days, "region_code")
+        setups = live_setups(tables.forecast_params, dataset_days, open_end)
+        # A header meets one row for each of its datasets, however many setups are live.
         live = (
-            match_zone_groups(headers, tables)
+            match_zone_groups(headers, tables, datasets.select("microzone_group_code"))
             .join(datasets, ["region_code", "microzone_group_code"])
             .filter((F.col("warehouse") == ANY_WAREHOUSE) | (F.col("order_warehouse") == F.col("warehouse")))
-            .join(setups, "dp_input_datasets_id")
-            .filter(
-                (F.col("close_date") >= F.col("start_day_live"))
-                & (F.col("close_date") <= F.coalesce(F.col("end_day_live"), open_end))
-            )
-            .select("id", "region_code", "warehouse", "close_date")
+            .join(setups, ["dp_input_datasets_id", "close_date"])
+            .select("id", "region_code", "warehouse", "close_date", "setups")
         )
         lines = kept_lines(tables).select("order_id", "product_id", (F.col("quantity") * F.col("price")).alias("value"))
         keys = ("region_code", "warehouse", "close_date", "product_id")
         raw = (
-            live.join(lines, F.col("id") == F.col("order_id")).groupBy(*keys).agg(F.sum("value").alias("value"))
+            live.join(lines, F.col("id") == F.col("order_id"))
+            .groupBy(*keys)
+            .agg(F.sum(F.col("value") * F.col("setups")).alias("value"))
         )
         remapped = remap_products(raw, tables.new_skus).groupBy(*keys).agg(F.sum("value").alias("value"))
         return not_listed(remapped, tables.blacklist, "product_id", "product_id")

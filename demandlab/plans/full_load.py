@@ -12,7 +12,8 @@ from demandlab.operators.datasets import select_datasets
 from demandlab.operators.order_lines import order_lines
 from demandlab.operators.stockouts import stockouts_by_region
 from demandlab.plans.demand import Variant, wide_demand
-from demandlab.sources.demand_table import append_demand, create_demand_table, store_table
+from demandlab.session import materialize
+from demandlab.sources.demand_table import create_demand_table, replace_datasets, store_table
 from demandlab.sources.tables import Tables
 
 # Line bound and customer list on; no percentile, no smoothing.
@@ -47,12 +48,20 @@ def run_full_load(
     start_dates: str,
     location: str | None = None,
 ) -> None:
-    """Append the full load to the table ``input_demand`` and store the two tables of dates made from it."""
+    """Put the full load into the table ``input_demand`` and store the two tables of dates made from it.
+
+    The load takes the place of all rows of the country's datasets, also of those
+    without demand, and the date tables take the place of older ones. So a load
+    that failed halfway, or ran already, is simply run again.
+    """
     create_demand_table(spark, input_demand, location, "input_demand")
-    append_demand(full_load(tables, as_of, country), input_demand, "input_demand")
+    load = materialize(full_load(tables, as_of, country), "full-load")
+    # The ids of a country's datasets: no more than the dataset table has rows.
+    datasets = [row[0] for row in select_datasets(tables, country).select("dataset_identifier").distinct().collect()]
+    replace_datasets(load, input_demand, datasets, "input_demand")
     stored = spark.table(input_demand)
-    store_table(demand_dates(stored), dates)
-    store_table(first_demand_dates(tables, stored, country), start_dates)
+    store_table(demand_dates(stored), dates, replace=True)
+    store_table(first_demand_dates(tables, stored, country), start_dates, replace=True)
 
 
 def demand_dates(input_demand: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,16 +13,30 @@ from demandlab.sources.schemas import ANCHOR_DAYS, DESIGN_MATRIX, MAFE_ERRORS
 ROW_NUMBER = "row"
 
 
+def _headers(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(file, first line) of one file for each header that occurs: files of one kind share theirs."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    # Only the first block of a file can hold its first line.
+    first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return [(row.file, row.header) for row in first.groupBy("header").agg(F.min("file").alias("file")).collect()]
+
+
 def read_indexed_csv(spark: SparkSession, path: str, columns: str) -> DataFrame:
     """Read a CSV with a header whose first column is a row number, under any name or none.
 
     ``columns`` is a DDL list that leaves the row number out; no type is inferred.
-    A header with other columns, or in another order, is an error.
+    A file whose header has other columns, or another order, is an error.
     """
-    found = spark.read.csv(path, header=True, inferSchema=False).columns[1:]
     wanted = StructType.fromDDL(columns).names
-    if found != wanted:
-        raise ValueError(f"{path} has the columns {', '.join(found)}, not {', '.join(wanted)}")
+    for file, header in _headers(spark, path):
+        found = next(csv.reader([header]))[1:]
+        if found != wanted:
+            raise ValueError(f"{file} has the columns {', '.join(found)}, not {', '.join(wanted)}")
     return (
         spark.read.schema(f"__row bigint, {columns}")
         .csv(path, header=True, enforceSchema=True, dateFormat="yyyy-MM-dd", mode="FAILFAST")

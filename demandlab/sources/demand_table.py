@@ -10,6 +10,7 @@ the session's mode is.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,9 +101,19 @@ def replace_day(df: DataFrame, table: str, dataset_id: int, day: dt.date, layout
     )
 
 
-def store_table(df: DataFrame, table: str) -> None:
-    """Store a result under a name in the catalog."""
-    df.write.format("parquet").saveAsTable(table)
+def replace_datasets(df: DataFrame, table: str, dataset_ids: Sequence[int], layout: str = "demand") -> None:
+    """Put ``df``'s rows in place of all stored rows of some datasets; rows of other datasets are not written.
+
+    Each dataset is one statement that can be repeated. A dataset without rows ends
+    up empty. ``df`` is read once for each, so it should be a written table.
+    """
+    for dataset_id in sorted(dataset_ids):
+        replace_dataset(df, table, dataset_id, layout)
+
+
+def store_table(df: DataFrame, table: str, replace: bool = False) -> None:
+    """Store a result under a name in the catalog; an existing table is an error unless it is to be replaced."""
+    df.write.format("parquet").mode("overwrite" if replace else "errorifexists").saveAsTable(table)
 
 
 def name_temporarily(df: DataFrame, view: str) -> DataFrame:

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlab.operators.datasets import select_datasets
-from demandlab.plans.demand import VARIANT, VARIANTS, build_demand
+from demandlab.plans.demand import VARIANT, VARIANTS, build_demand, build_line_state
 from demandlab.plans.evaluation import case_days, evaluation_cases
-from demandlab.session import materialize
+from demandlab.session import fresh_path, materialize
 from demandlab.sources.tables import Tables
 
 AS_OF = dt.date(2001, 7, 31)
@@ -182,6 +182,15 @@ def source_tables(spark: SparkSession, sf_dir: str) -> Tables:
     )
 
 
+@functools.cache
+def line_state(spark: SparkSession, sf_dir: str, dataset_id: int | None = None) -> str:
+    """A stored line state of all months before that of ``AS_OF``, as daily runs have left it; a session builds it once per data folder."""
+    path = fresh_path(spark, "line-state")
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    build_line_state(spark, source_tables(spark, sf_dir), table, AS_OF.replace(day=1) - dt.timedelta(days=1), dataset_id=dataset_id, location=path)
+    return table
+
+
 def all_cases(tables: Tables) -> DataFrame:
     """Every daily dataset on every anchor."""
     return evaluation_cases(select_datasets(tables), ANCHORS, HORIZON_DAYS)

@@ -105,6 +105,15 @@ _SQL: dict[str, str] = {
     **{f"demand_exp{k}": demand_sql(k) for k in DESIGN},
     "demand_all_variants": " UNION ALL ".join(f"({demand_sql(k)})" for k in DESIGN),
     "demand_day_variants": _ALL_VARIANTS_ON_DAY,
+    "demand_day_from_lines": _ALL_VARIANTS_ON_DAY,
+    "line_state_counts": """
+        SELECT l.close_date, l.product_id, l.quantity, l.dataset_id AS dp_input_datasets_id, l.user_listed, COUNT(*) AS line_count
+        FROM (SELECT close_date, product_id, quantity, dataset_id, false AS user_listed FROM v_lines_open
+              UNION ALL
+              (SELECT close_date, product_id, quantity, dataset_id, true FROM
+                 (SELECT close_date, product_id, quantity, dataset_id FROM v_lines_all
+                  EXCEPT ALL SELECT close_date, product_id, quantity, dataset_id FROM v_lines_open))) l
+        GROUP BY ALL""",
     "demand_exp1_one_dataset": demand_sql(1, "dataset_id = 11"),
     "demand_exp2_june_history": f"""
         SELECT * EXCLUDE (experiment) FROM ({demand_sql(2)}) WHERE date >= DATE '2001-06-01'""",
@@ -114,6 +123,7 @@ _SQL: dict[str, str] = {
                ROUND(z, 6) AS z_score FROM v_scored_1""",
     "full_load_daily": _FULL_LOAD,
     "full_load_stored": _COUNTRY_LOAD,
+    "full_load_twice": _COUNTRY_LOAD,
     "all_dates": f"SELECT DISTINCT date AS raw_date FROM ({_FULL_LOAD}) WHERE dayofweek(date) <> 0",
     "all_dates_stored": f"SELECT DISTINCT date AS raw_date FROM ({_COUNTRY_LOAD}) WHERE dayofweek(date) <> 0",
     "start_demand_dates": _START_DATES,
@@ -128,10 +138,9 @@ _SQL: dict[str, str] = {
     "regular_warehouses": """
         SELECT region_code, 'W' || n AS warehouse, CASE n WHEN 2 THEN 'True' ELSE 'False' END AS is_3pl
         FROM v_site, range(3) AS t(n)""",
-    "anchor_days_csv": """
+    "order_days_csv": """
         SELECT anchor, dataset_id AS dp_input_datasets_id, region_code, warehouse, 40 AS days
-        FROM v_dataset, (SELECT DISTINCT close_date AS anchor FROM v_header
-                         WHERE order_id % 5 = 0 AND close_date >= DATE '2001-06-01')""",
+        FROM v_dataset, (SELECT DISTINCT close_date AS anchor FROM v_header)""",
     "mafe_csv_round_trip": f"SELECT {_CASE}, forecast_date, region_code, warehouse, timeframe, {_ROUNDED} FROM v_mafe",
     "cohort": f"SELECT {_CASE}, region_code, warehouse, product_id, warehouse_type FROM v_cohort",
     "clean_demand": f"""

@@ -24,7 +24,7 @@ from demandlab.operators.outliers import day_z_scores, line_percentiles, line_st
 from demandlab.operators.sku import remap_products
 from demandlab.operators.stockouts import stockouts_by_region, stockouts_by_warehouse
 from demandlab.operators.zones import match_zone_groups, match_zones, zone_shapes
-from demandlab.plans.demand import VARIANT, VARIANTS, build_demand, line_demand, run_demand, wide_demand
+from demandlab.plans.demand import VARIANT, VARIANTS, build_demand, line_demand, refresh_line_state, run_demand, wide_demand
 from demandlab.plans.evaluation import Evaluation, cohort_products, evaluation_cases, latest_params
 from demandlab.plans.experiments import (
     add_difference,
@@ -38,8 +38,9 @@ from demandlab.plans.full_load import demand_dates, first_demand_dates, full_loa
 from demandlab.session import fresh_path
 from demandlab.sources.csv_files import read_anchor_days, read_errors, write_csv
 from demandlab.sources.demand_table import append_demand, create_demand_table
+from demandlab.sources.line_state import stored_counts
 from demandlab.sources.schemas import MAFE_ERRORS, schema_of
-from validation.adapter import AS_OF, all_cases, evaluation_tables, source_tables
+from validation.adapter import AS_OF, all_cases, evaluation_tables, line_state, source_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -218,9 +219,26 @@ def demand_exp1_one_dataset(spark, sf_dir):
 
 @query
 def demand_day_variants(spark, sf_dir):
+    """The day's lines are counted into the stored state, which gives the thresholds."""
+    tables, state = source_tables(spark, sf_dir), line_state(spark, sf_dir)
+    refresh_line_state(spark, tables, state, AS_OF)
+    return build_demand(tables, AS_OF, day=AS_OF, state=state)
+
+
+@query
+def demand_day_from_lines(spark, sf_dir):
+    """The same day without a state: thresholds from all lines."""
     return build_demand(source_tables(spark, sf_dir), AS_OF, day=AS_OF)
 
 
+@query
+def line_state_counts(spark, sf_dir):
+    """The state after the day's own refresh: counted lines of every day."""
+    state = line_state(spark, sf_dir)
+    refresh_line_state(spark, source_tables(spark, sf_dir), state, AS_OF)
+    return stored_counts(spark, state, AS_OF)
+
+
 @query
 def demand_exp2_june_history(spark, sf_dir):
     """Smoothed by the mean of the whole history, then restricted."""
@@ -258,9 +276,10 @@ def _new_table(spark, name):
     return path.rsplit("/", 1)[-1].replace("-", "_"), path
 
 
-def _full_load_tables(spark, sf_dir):
+def _full_load_tables(spark, sf_dir, runs=1):
     (demand, path), (dates, _), (starts, _) = (_new_table(spark, name) for name in ("input", "dates", "starts"))
-    run_full_load(spark, source_tables(spark, sf_dir), AS_OF, "c1", demand, dates, starts, path)
+    for _ in range(runs):
+        run_full_load(spark, source_tables(spark, sf_dir), AS_OF, "c1", demand, dates, starts, path)
     return spark.table(demand), spark.table(dates), spark.table(starts)
 
 
@@ -274,6 +293,12 @@ def full_load_stored(spark, sf_dir):
     return _full_load_tables(spark, sf_dir)[0]
 
 
+@query
+def full_load_twice(spark, sf_dir):
+    """A load that is run again leaves what one run leaves."""
+    return _full_load_tables(spark, sf_dir, runs=2)[0]
+
+
 @query
 def all_dates_stored(spark, sf_dir):
     return _full_load_tables(spark, sf_dir)[1]
@@ -310,9 +335,9 @@ def _wrongly_stored(spark, dataset_id):
 
 @query
 def daily_run_stored(spark, sf_dir):
-    """A daily run replaces the day of its dataset; another day and another dataset stay."""
+    """A daily run replaces the day of its dataset; another day and another dataset stay. Thresholds come from the line state."""
     table = _wrongly_stored(spark, 10)
-    run_demand(spark, source_tables(spark, sf_dir), table, "c1", 10, AS_OF)
+    run_demand(spark, source_tables(spark, sf_dir), table, "c1", 10, AS_OF, state=line_state(spark, sf_dir, 10))
     return spark.table(table).select(*STORED)
 
 
@@ -391,10 +416,10 @@ def regular_warehouses(spark, sf_dir):
 
 
 @query
-def anchor_days_csv(spark, sf_dir):
-    """Cases on days of the orders, which go through a CSV file."""
-    tables, path = source_tables(spark, sf_dir), fresh_path(spark, "anchors")
-    days = tables.order_header.filter("id % 5 = 0 AND close_date >= '2001-06-01'").select(F.col("close_date").alias("date")).distinct()
+def order_days_csv(spark, sf_dir):
+    """Cases on every day of the orders; the days go through CSV files."""
+    tables, path = source_tables(spark, sf_dir), fresh_path(spark, "days")
+    days = tables.order_header.select(F.col("close_date").alias("date")).distinct()
     write_csv(days, path, numbered=True)
     return evaluation_cases(select_datasets(tables), read_anchor_days(spark, path), 40)
 
