@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from demandlab.operators.datasets import list_datasets, select_datasets, site_warehouses
 from demandlab.operators.order_lines import order_lines, without_listed_users
 from demandlab.operators.stockouts import stockouts_by_region, stockouts_by_warehouse
-from demandlab.plans.demand import VARIANT, VARIANTS, build_demand, combine_with_stockouts, kept_quantities, run_demand
-from demandlab.plans.full_load import demand_dates, first_demand_dates, full_load
+from demandlab.plans.demand import VARIANT, VARIANTS, build_demand, build_line_state, combine_with_stockouts, kept_quantities, refresh_line_state, run_demand
+from demandlab.plans.full_load import demand_dates, first_demand_dates, full_load, run_full_load
 from demandlab.session import fresh_path
+from demandlab.sources.demand_table import append_demand
+from demandlab.sources.schemas import schema_of
 
 MONDAY, TUESDAY, SUNDAY = dt.date(2022, 8, 1), dt.date(2022, 8, 2), dt.date(2022, 8, 7)
 AS_OF = dt.date(2022, 8, 20)
@@ -169,3 +171,56 @@ def test_runs_replace_what_they_rebuild(spark, shop, rows_of):
     assert left == [(10, TUESDAY)] * 8 + [(11, MONDAY)] * 8
     run_demand(spark, shop(order_header=[]), table, "CO", 10, AS_OF, initial_load=True)
     assert rows_of(spark.table(table), "dp_input_datasets_id") == [(11,)] * 8
+
+
+def test_a_day_from_the_line_state_follows_late_lines(spark, shop, rows_of, tmp_path):
+    """The day's demand equals that from all lines, also after a late line of an old day moved the threshold."""
+    old, today = dt.date(2022, 7, 4), MONDAY
+    headers = [header(order, day=old) for order in range(1, 61)] + [header(100, day=today), header(101, day=TUESDAY)]
+    lines = [(order, 7, 1.0 + order / 64, 2.0, "false", 1) for order in range(1, 61)] + [(100, 7, 9.0, 2.0, "false", 1), (101, 7, 500.0, 2.0, "false", 1)]
+    tables = shop(order_header=headers, order_line=lines)
+    spark.sql("DROP TABLE IF EXISTS day_state")
+    build_line_state(spark, tables, "day_state", dt.date(2022, 7, 31), "CO", location=f"file://{tmp_path}/state")
+
+    def demand(source, state):
+        return rows_of(build_demand(source, today, country="CO", day=today, state=state), "dp_input_datasets_id", "experiment", "demand")
+
+    refresh_line_state(spark, tables, "day_state", today, "CO")
+    before = demand(tables, "day_state")
+    assert before == demand(tables, None)
+    dropped = {row[1] for row in demand(tables, None)}
+    assert "experiment_2" not in dropped  # nine is beyond six deviations
+
+    late = shop(order_header=headers + [header(k, day=old) for k in range(200, 240)], order_line=lines + [(k, 7, 40.0, 2.0, "false", 1) for k in range(200, 240)])
+    assert demand(late, "day_state") == before  # not counted yet
+    refresh_line_state(spark, late, "day_state", dt.date(2022, 7, 31), "CO")
+    refresh_line_state(spark, late, "day_state", dt.date(2022, 7, 31), "CO")  # again, as after a failure
+    assert demand(late, "day_state") == demand(late, None) != before
+    assert "experiment_2" in {row[1] for row in demand(late, "day_state")}
+
+    refresh_line_state(spark, shop(order_header=[], order_line=[]), "day_state", dt.date(2022, 7, 31), "CO")
+    assert spark.table("day_state").filter("close_date < '2022-08-01'").count() == 0
+    with pytest.raises(ValueError, match="one day"):
+        build_demand(tables, today, state="day_state")
+    spark.sql("DROP TABLE day_state")
+
+
+def test_a_full_load_can_be_run_again(spark, shop, rows_of):
+    tables = shop(stockout_by_region=[(MONDAY, 8, "BOG", 2.0)])
+    names = ("load_demand", "load_dates", "load_starts")
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    run_full_load(spark, tables, AS_OF, "CO", *names)
+    once = [rows_of(spark.table(name)) for name in names]
+    append_demand(spark.createDataFrame([(MONDAY, 5, 1.0, 11), (MONDAY, 5, 1.0, 20)], schema_of("input_demand")), "load_demand", "input_demand")
+    spark.sql("DROP TABLE load_starts")  # a load that failed halfway
+    run_full_load(spark, tables, AS_OF, "CO", *names)
+    own = spark.table("load_demand").filter("dp_input_datasets_id <> 20")
+    assert [rows_of(own), *[rows_of(spark.table(name)) for name in names[1:]]] == once
+    assert spark.table("load_demand").filter("dp_input_datasets_id = 20").count() == 1  # another country's stays
+    # Datasets that have no demand any more end up empty.
+    run_full_load(spark, shop(order_header=[], order_line=[]), AS_OF, "CO", *names)
+    assert rows_of(spark.table("load_demand"), "dp_input_datasets_id") == [(20,)]
+    assert rows_of(spark.table("load_dates")) == [(MONDAY,)] and spark.table("load_starts").count() == 0
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")

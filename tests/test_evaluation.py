@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from demandlab.functions.ratios import absolute_error_percent
 from demandlab.operators.datasets import select_datasets
-from demandlab.plans.evaluation import ERRORS, FORECASTS, Evaluation, case_days, cohort_products, evaluation_cases, latest_params
+from demandlab.plans.evaluation import ERRORS, FORECASTS, Evaluation, case_days, cohort_products, evaluation_cases, latest_params, live_setups
+from demandlab.sources.schemas import schema_of
 
 ANCHOR = dt.date(2022, 8, 1)
 AS_OF = dt.date(2022, 9, 30)
@@ -170,3 +171,20 @@ def test_repeated_setups_are_reported(market, rows_of):
     assert rows_of(evaluation.repeated_forecasts(), "experiment", "product_id", "setups") == [("experiment_4", 1, 2)]
     assert evaluation.forecast_wide().first().forecast_exp4 == 2.0
     assert len(ERRORS) == 8
+
+
+def test_live_setups_by_a_sweep(spark):
+    """A thousand overlapping setups give one row for each day asked for."""
+    day = lambda k: dt.date(2022, 1, 1) + dt.timedelta(days=k)
+    rows = [(k, 10 + k % 2, day(k % 97), day(k % 97 + k % 31) if k % 5 else None) for k in range(1000)]
+    rows += [(2000, 10, day(60), day(50)), (2001, 10, None, day(50)), (2002, 12, day(5), None)]  # ends before it starts; no start; not asked for
+    params = spark.createDataFrame(rows, schema_of("forecast_params"))
+    asked = [(dataset, day(k)) for dataset in (10, 11) for k in range(0, 140, 3)]
+    frame = spark.createDataFrame(asked, "dp_input_datasets_id int, close_date date")
+    found = {(r["dp_input_datasets_id"], r["close_date"]): r["setups"] for r in live_setups(params, frame, F.lit(day(120))).collect()}
+    expected = {}
+    for dataset, at in asked:
+        live = sum(d == dataset and start is not None and start <= at <= (end or day(120)) for _, d, start, end in rows)
+        if live:
+            expected[dataset, at] = live
+    assert found == expected and max(expected.values()) > 100

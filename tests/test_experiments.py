@@ -13,7 +13,7 @@ from demandlab.plans.experiments import (
     overall_mean,
     sum_by_timeframe,
 )
-from demandlab.sources.csv_files import read_anchor_days, read_design_matrix, write_csv
+from demandlab.sources.csv_files import read_anchor_days, read_design_matrix, read_indexed_csv, write_csv
 
 COLUMNS = "timeframe int, product_id bigint, " + ", ".join(f"mafe_exp{k} double" for k in range(1, 9))
 # The coded design, one row per experiment (a, b, c, d, af, bf, cf, df).
@@ -68,3 +68,16 @@ def test_csv_files(spark, errors, tmp_path):
     assert sorted(tuple(r)[1:] for r in back) == sorted(DESIGN)
     with open(glob.glob(f"{out}/part-*.csv")[0]) as file:
         assert next(csv.reader(file)) == ["row", "y", "a", "b", "c", "d", "af", "bf", "cf", "df"]
+
+
+def test_every_file_of_a_folder_has_its_header_checked(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(",date\n0,2022-08-01\n")
+    (tmp_path / "b.csv").write_text("row,date\n0,2022-08-02\n")
+    assert read_anchor_days(spark, str(tmp_path)).count() == 2
+    columns = "y double, a int"
+    folder = tmp_path / "swapped"
+    folder.mkdir()
+    (folder / "a.csv").write_text("n,y,a\n0,1.5,2\n")
+    (folder / "b.csv").write_text("n,a,y\n0,2,1.5\n")
+    with pytest.raises(ValueError, match="b.csv has the columns a, y, not y, a"):
+        read_indexed_csv(spark, str(folder), columns)

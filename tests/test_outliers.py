@@ -2,6 +2,7 @@ import datetime as dt
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +166,29 @@ def test_mean_of_the_whole_history(spark):
     assert smooth_days(days, ["demand"], last, over="history").first().demand == pytest.approx(1020 / 21)
     with pytest.raises(ValueError, match="over"):
         smooth_days(days, ["demand"], over="month")
+
+
+def test_percentile_of_quantities_that_lie_close_together(spark, monkeypatch):
+    """Ranges are split until none holds more than the bound, however close the quantities are."""
+    from demandlab.operators import outliers
+
+    seen = []
+    refined = outliers._refined
+
+    def watched(near, populations):
+        found = refined(near, populations)
+        seen.append(found.groupBy(*outliers.GROUP, "range").count().agg({"count": "max"}).first()[0])
+        return found
+
+    monkeypatch.setattr(outliers, "_refined", watched)
+    monkeypatch.setattr(outliers, "MOST_IN_RANGE", 1000)
+    n = 200_000
+    near = spark.range(n).selectExpr("1 AS dp_input_datasets_id", "id % 2 AS product_id", f"1 + id * (0.0005D / {n}) AS quantity")
+    # A third product has few values very close to each other and one far away, and many equal ones.
+    far = spark.range(5000).selectExpr("1 AS dp_input_datasets_id", "7L AS product_id", "CASE WHEN id = 0 THEN -3e9D WHEN id < 2000 THEN 5D ELSE 5 + id * 1e-12D END AS quantity")
+    lines = near.union(far).withColumn("close_date", F.lit("2022-08-01").cast("date"))
+    found = {row["product_id"]: row["percentile_99"] for row in line_percentiles(lines).collect()}
+    values = lines.select("product_id", "quantity").toPandas()
+    for product in (0, 1, 7):
+        assert found[product] == pytest.approx(np.percentile(values[values["product_id"] == product]["quantity"], 99), abs=1e-13)
+    assert max(seen) <= 1000
