@@ -87,3 +87,10 @@ def test_cards_beside_other_numbers(spark):
     assert all(out[k].startswith(f"{new} ") and counts[k] == 1 for k in (6, 7, 8, 9, 10))
     assert out[12] == f"{'7' * 30} {new}" and out[13] == f"{new}  {second}" and counts[13] == counts[5] == counts[14] == 2
     assert out[14].replace("-", "") == new + second
+
+
+def test_a_host_of_very_many_labels_ends_no_executor(documents):
+    texts = ["x@a" + ".b" * n + " end" for n in (500, 2_000, 100_000)]
+    found = {r["doc_id"]: r["text"] for r in pseudonymized(documents(*enumerate(texts)), key="k").collect()}
+    for k, text in enumerate(texts):
+        assert len(found[k]) == len(text) and found[k].endswith(text[1:]) and found[k] != text
