@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,20 +208,19 @@ def test_a_day_from_the_line_state_follows_late_lines(spark, shop, rows_of, tmp_
 
 def test_a_full_load_can_be_run_again(spark, shop, rows_of):
     tables = shop(stockout_by_region=[(MONDAY, 8, "BOG", 2.0)])
-    names = ("load_demand", "load_dates", "load_starts")
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    run = uuid.uuid4().hex  # files of an interrupted run may still lie in the warehouse
+    names = tuple(f"load_{name}_{run}" for name in ("demand", "dates", "starts"))
     run_full_load(spark, tables, AS_OF, "CO", *names)
     once = [rows_of(spark.table(name)) for name in names]
-    append_demand(spark.createDataFrame([(MONDAY, 5, 1.0, 11), (MONDAY, 5, 1.0, 20)], schema_of("input_demand")), "load_demand", "input_demand")
-    spark.sql("DROP TABLE load_starts")  # a load that failed halfway
+    append_demand(spark.createDataFrame([(MONDAY, 5, 1.0, 11), (MONDAY, 5, 1.0, 20)], schema_of("input_demand")), names[0], "input_demand")
+    spark.sql(f"DROP TABLE {names[2]}")  # a load that failed halfway
     run_full_load(spark, tables, AS_OF, "CO", *names)
-    own = spark.table("load_demand").filter("dp_input_datasets_id <> 20")
+    own = spark.table(names[0]).filter("dp_input_datasets_id <> 20")
     assert [rows_of(own), *[rows_of(spark.table(name)) for name in names[1:]]] == once
-    assert spark.table("load_demand").filter("dp_input_datasets_id = 20").count() == 1  # another country's stays
+    assert spark.table(names[0]).filter("dp_input_datasets_id = 20").count() == 1  # another country's stays
     # Datasets that have no demand any more end up empty.
     run_full_load(spark, shop(order_header=[], order_line=[]), AS_OF, "CO", *names)
-    assert rows_of(spark.table("load_demand"), "dp_input_datasets_id") == [(20,)]
-    assert rows_of(spark.table("load_dates")) == [(MONDAY,)] and spark.table("load_starts").count() == 0
+    assert rows_of(spark.table(names[0]), "dp_input_datasets_id") == [(20,)]
+    assert rows_of(spark.table(names[1])) == [(MONDAY,)] and spark.table(names[2]).count() == 0
     for name in names:
         spark.sql(f"DROP TABLE {name}")
