@@ -38,23 +38,27 @@ def extent(boundaries: Column, axis: str) -> tuple[Column, Column]:
     return F.array_min(values), F.array_max(values)
 
 
-def inside(zone_edges: Column, x: Column, y: Column) -> Column:
-    """True when the point is strictly inside; points on an edge are outside."""
+def side(e: Column, x: Column, y: Column) -> Column:
+    """Positive where the edge lies at larger x than the point, 0 on its line."""
+    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
+
 
-    def side(e: Column) -> Column:
-        """Positive where the edge lies at larger x than the point, 0 on its line."""
-        return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
+# The cheap comparisons come first and settle most edges.
+def crosses(e: Column, x: Column, y: Column) -> Column:
+    """Whether the ray from the point to larger x crosses the edge."""
+    return (e["y1"] <= y) & (y < e["y2"]) & (side(e, x, y) > 0)
 
-    # The cheap comparisons come first and settle most edges.
-    def crosses(e: Column) -> Column:
-        return (e["y1"] <= y) & (y < e["y2"]) & (side(e) > 0)
 
-    def touches(e: Column) -> Column:
-        within = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        return (e["y1"] <= y) & (y <= e["y2"]) & (side(e) == 0) & within
+def touches(e: Column, x: Column, y: Column) -> Column:
+    """Whether the point is on the edge."""
+    within = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+    return (e["y1"] <= y) & (y <= e["y2"]) & (side(e, x, y) == 0) & within
 
-    odd = F.size(F.filter(zone_edges, crosses)) % 2 == 1
-    return odd & ~F.exists(zone_edges, touches)
+
+def inside(zone_edges: Column, x: Column, y: Column) -> Column:
+    """True when the point is strictly inside; points on an edge are outside."""
+    odd = F.size(F.filter(zone_edges, lambda e: crosses(e, x, y))) % 2 == 1
+    return odd & ~F.exists(zone_edges, lambda e: touches(e, x, y))
 
 
 def contains(boundaries: Column, x: Column, y: Column) -> Column:

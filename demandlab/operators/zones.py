@@ -1,15 +1,17 @@
-"""Matching points to delivery zones by an equi-join on grid cells.
+"""Matching points to delivery zones by an equi-join on the cells of their covers.
 
-A zone lies on the grid level of its own size: its cells are as wide as the next
+A zone starts on the grid level of its own size: its cells are as wide as the next
 power of two, so its bounding box touches at most two of them each way, however
-large or small other zones are. A point falls into one cell of each level that
-its site uses, so the candidates come from a join on (site, level, cell). The
-exact polygon test runs on the candidates only, whose edges are looked up by zone:
-the cell list itself stays light.
+large or small other zones are. Cells crossed by many edges are split (see
+``cell_cover``), so a zone of any outline is a list of cells with few edges each,
+and cells wholly inside carry none. A point falls into one cell of each level that
+its site uses, so the candidates come from one join on (site, level, cell), and
+only the edges that cross the point's own cell are tested.
 
-Every zone row is tested once for a point near it. A point inside two zones, or
+Every zone row is met once by a point near it. A point inside two zones, or
 inside two equal rows of one zone, yields two rows; a zone stored in parts yields
-one for the part that holds the point.
+one for the part that holds the point. A zone with a vertex without coordinates
+holds nothing.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlab.functions import geometry
+from demandlab.functions.cell_cover import cell_of, cover, depth, inside_cell
 from demandlab.sources.tables import Tables
 
 # Zones smaller than this share a level.
@@ -49,40 +52,42 @@ def _level() -> Column:
     return F.ceil(F.log2(longer)).cast("int")
 
 
-def _cell(coordinate: Column, level: Column) -> Column:
-    return F.floor(coordinate / F.pow(F.lit(2.0), level))
+def _placed(shapes: DataFrame) -> DataFrame:
+    """Shapes that can hold a point, with the level of their size."""
+    gap = F.exists("edges", lambda e: e["x1"].isNull() | e["y1"].isNull() | e["x2"].isNull() | e["y2"].isNull())
+    outlined = F.col("x_min").isNotNull() & F.col("y_min").isNotNull() & ~gap
+    return shapes.filter(outlined).withColumn("__level", _level())
 
 
-def _touched(axis: str) -> Column:
-    level = F.col("__level")
-    return F.explode(F.sequence(_cell(F.col(f"{axis}_min"), level), _cell(F.col(f"{axis}_max"), level)))
+def zone_cells(shapes: DataFrame) -> DataFrame:
+    """The covers of all shapes: one row per cell that is not wholly outside its shape."""
+    x_range, y_range = (tuple(F.col(f"{axis}_{end}") for end in ("min", "max")) for axis in "xy")
+    cells = cover(F.col("edges"), F.col("__level"), x_range, y_range)
+    return _placed(shapes).select("site_id", "microzone_id", F.inline(cells))
 
 
 def match_zones(points: DataFrame, shapes: DataFrame) -> DataFrame:
     """Join points (site_id, latitude, longitude, ...) to the zones around them, adding microzone_id."""
     x, y = F.col("latitude"), F.col("longitude")
-    placed = shapes.filter(F.col("x_min").isNotNull() & F.col("y_min").isNotNull()).withColumn("__level", _level())
-    cells = (
-        placed.select("site_id", "microzone_id", "__level", _touched("x").alias("__cx"), "y_min", "y_max")
-        .select("site_id", "microzone_id", "__level", "__cx", _touched("y").alias("__cy"))
-        .distinct()
+    keys = {"level": "__level", "cx": "__cx", "cy": "__cy"}
+    tests = {"edges": "__edges", "odd": "__odd", "turns": "__turns"}
+    cells = zone_cells(shapes).withColumnsRenamed({**keys, **tests})
+    # One row per site with its levels: a level doubles the last, so there are few.
+    used = F.sequence(F.col("__level") - depth(F.col("edges")), F.col("__level"))
+    levels = (
+        _placed(shapes)
+        .select("site_id", F.explode(used).alias("__level"))
+        .groupBy("site_id")
+        .agg(F.collect_set("__level").alias("__levels"))
     )
-    # One row per site with its levels: fewer than fifty, as a level doubles the last.
-    levels = placed.groupBy("site_id").agg(F.collect_set("__level").alias("__levels"))
-    candidates = (
+    return (
         points.join(levels, "site_id")
         .withColumn("__level", F.explode("__levels"))
-        .withColumns({"__cx": _cell(x, F.col("__level")), "__cy": _cell(y, F.col("__level"))})
+        .withColumns({"__cx": cell_of(x, F.col("__level")), "__cy": cell_of(y, F.col("__level"))})
         .drop("__levels")
-        .join(cells, ["site_id", "__level", "__cx", "__cy"])
-        .drop("__cx", "__cy")
-    )
-    outlines = placed.select("site_id", "microzone_id", "__level", "edges", "x_min", "x_max", "y_min", "y_max")
-    near = x.between(F.col("x_min"), F.col("x_max")) & y.between(F.col("y_min"), F.col("y_max"))
-    return (
-        candidates.join(outlines, ["site_id", "microzone_id", "__level"])
-        .filter(near & geometry.inside(F.col("edges"), x, y))
-        .drop("__level", "edges", "x_min", "x_max", "y_min", "y_max")
+        .join(cells, ["site_id", *keys.values()])
+        .filter(inside_cell(F.col("__edges"), F.col("__odd"), F.col("__turns"), x, y))
+        .drop(*keys.values(), *tests.values())
     )
 
 

@@ -1,10 +1,13 @@
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from demandlab.functions.geometry import contains
-from demandlab.operators.zones import _level, match_zone_groups, match_zones, zone_shapes
+from demandlab.functions.geometry import contains, edges, inside
+from demandlab.operators.zones import _level, match_zone_groups, match_zones, zone_cells, zone_shapes
+from demandlab.session import materialize
+from demandlab.sources.tables import Tables
 
 SQUARE = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]
 HOLE = [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0)]
@@ -106,3 +109,54 @@ def test_a_huge_zone_elsewhere_does_not_coarsen_the_grid(make_tables, spark):
             .groupBy("level", "cx", "cy").count().agg(F.max("count")).first()[0]
         )
         assert per_cell <= 4
+
+
+def covered(spark, rings, points):
+    """For each point what the cover says, what all edges say, and how many edges were looked at."""
+    shapes = spark.createDataFrame([(1, 1, as_points(rings))], "site_id int, microzone_id int, boundaries array<array<struct<x double, y double>>>")
+    tables = Tables({"microzone": shapes})
+    frame = spark.createDataFrame([(i, 1, x, y) for i, (x, y) in enumerate(points)], "id int, site_id int, latitude double, longitude double")
+    cells = materialize(zone_cells(zone_shapes(tables)), "cells")
+    probes = frame.select("*", F.explode(F.array(*[F.lit(v.level) for v in cells.select("level").distinct().collect()])).alias("level"))
+    probes = probes.withColumns({"cx": F.floor(F.col("latitude") / F.pow(F.lit(2.0), "level")), "cy": F.floor(F.col("longitude") / F.pow(F.lit(2.0), "level"))})
+    seen = probes.join(cells, ["site_id", "level", "cx", "cy"]).groupBy("id").agg(F.count("*").alias("n"), F.max(F.size("edges")).alias("looked"))
+    assert seen.filter("n > 1").count() == 0  # one cell of a cover holds a point
+    found = {r.id for r in match_zones(frame, zone_shapes(tables)).collect()}
+    return found, cells, {r.id: r.looked for r in seen.collect()}
+
+
+def circle(n, wave=0.0):
+    angle = [2 * math.pi * k / n for k in range(n)]
+    return [((5 + wave * math.sin(40 * a)) * math.cos(a), (5 + wave * math.sin(40 * a)) * math.sin(a)) for a in angle]
+
+
+@pytest.mark.parametrize("rings", [
+    [circle(50)],
+    [circle(3000, 0.7), [(x / 3, y / 3) for x, y in circle(500, 0.2)]],
+    [[(x, y) for k in range(120) for x, y in ((k * 0.25, -8.0), (k * 0.25, 8.0), (k * 0.25 + 0.125, 8.0), (k * 0.25 + 0.125, -8.0))]],  # a comb on cell borders
+    [[p for k in range(200) for p in ((0.0, 0.0), (8 * math.cos(k * 0.03), 8 * math.sin(k * 0.03)), (8 * math.cos(k * 0.03 + 0.01), 8 * math.sin(k * 0.03 + 0.01)))]],  # edges that meet
+])
+def test_cover_equals_counting_all_edges(spark, rings):
+    draw = random.Random(3)
+    points = [(draw.uniform(-9, 9), draw.uniform(-9, 9)) for _ in range(300)]
+    points += [(x * 0.25, y * 0.5) for x in range(-8, 40) for y in (-17, -16, -3, 0, 8, 16)]  # on borders and vertices
+    found, _, _ = covered(spark, rings, points)
+    frame = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)], "id int, x double, y double")
+    shapes = spark.createDataFrame([(as_points(rings),)], "boundaries array<array<struct<x double, y double>>>").select(edges("boundaries").alias("edges"))
+    assert found == {r.id for r in frame.join(F.broadcast(shapes)).filter(inside(F.col("edges"), F.col("x"), F.col("y"))).collect()}
+
+
+def test_candidates_of_a_zone_with_many_edges_see_few(spark):
+    draw = random.Random(5)
+    points = [(draw.uniform(-6, 6), draw.uniform(-6, 6)) for _ in range(500)]
+    points += [(x * (1 + d), y * (1 + d)) for x, y in circle(50_000)[::200] for d in (-1e-6, 1e-6)]
+    found, cells, looked = covered(spark, [circle(50_000)], points)
+    assert found == {i for i, (x, y) in enumerate(points) if math.hypot(x, y) < 5}
+    assert max(looked.values()) < 100
+    sizes = cells.agg(F.count("*").alias("n"), F.sum(F.size("edges")).alias("edges"), F.count_if(F.size("edges") == 0).alias("whole")).first()
+    assert sizes.edges < 100_000 and sizes.n < 10_000 and sizes.whole > 100  # no edge is repeated often, and the middle is few cells
+
+
+def test_zone_with_an_unknown_vertex_holds_nothing(make_tables, rows_of, spark):
+    tables = make_tables(microzone=[(1, 1, [[{"x": 0.0, "y": 0.0}, {"x": 4.0, "y": None}, {"x": 4.0, "y": 4.0}]])])
+    assert hits(spark, rows_of, tables, (7, 1, 3.0, 1.0)) == []
