@@ -21,7 +21,7 @@ from demandlab.operators.outliers import (
 )
 from demandlab.operators.sku import remap_products
 from demandlab.operators.stockouts import stockouts_by_warehouse
-from demandlab.session import materialize
+from demandlab.session import intermediate_results, materialize
 from demandlab.sources.demand_table import create_demand_table, replace_dataset, replace_day
 from demandlab.sources.line_state import create_line_state, month_of, replace_all, replace_month, stored_counts
 from demandlab.sources.tables import Tables
@@ -301,10 +301,11 @@ def run_demand(
     counts them into the state, and takes the thresholds from there.
     """
     create_demand_table(spark, table, location)
-    if initial_load:
-        replace_dataset(build_demand(tables, as_of, VARIANTS, country, dataset_id), table, dataset_id)
-    else:
-        if state is not None:
-            refresh_line_state(spark, tables, state, as_of, country, dataset_id)
-        day = build_demand(tables, as_of, VARIANTS, country, dataset_id, day=as_of, state=state)
-        replace_day(day, table, dataset_id, as_of)
+    with intermediate_results(spark):
+        if initial_load:
+            replace_dataset(build_demand(tables, as_of, VARIANTS, country, dataset_id), table, dataset_id)
+        else:
+            if state is not None:
+                refresh_line_state(spark, tables, state, as_of, country, dataset_id)
+            day = build_demand(tables, as_of, VARIANTS, country, dataset_id, day=as_of, state=state)
+            replace_day(day, table, dataset_id, as_of)

@@ -9,6 +9,8 @@ cases multiply them.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -215,7 +217,8 @@ class Evaluation:
     """Evaluation of a set of cases.
 
     With ``by_category`` products are judged within their catalog category: one
-    category if named, otherwise each of them.
+    category if named, otherwise each of them. ``multiply_repeats`` lets several forecast
+    setups of one key count as a chain of outer joins would, instead of being summed.
     """
 
     def __init__(
@@ -225,8 +228,10 @@ class Evaluation:
         as_of: dt.date,
         by_category: bool = False,
         category: str | None = None,
+        multiply_repeats: bool = False,
     ) -> None:
         self.tables = tables
+        self.multiply_repeats = multiply_repeats
         # Both are small and read by several branches. Once stored, their true
         # size is known, which decides between broadcast and shuffle.
         self.cases = materialize(_with_wanted_type(cases.select(*CASE_COLUMNS), tables), "cases")
@@ -365,12 +370,15 @@ class Evaluation:
     def forecast_wide(self) -> DataFrame:
         """The eight experiments side by side, 0 where one has no forecast.
 
-        One pass with conditional sums. It equals a chain of full outer joins as
-        long as an experiment has one setup per key; see ``repeated_forecasts``.
+        One pass with conditional sums; keys with several forecast setups (see
+        ``repeated_forecasts``) are summed up. With ``multiply_repeats`` they count as in a
+        chain of full outer joins on the first experiment's keys.
         """
+        if self.multiply_repeats:
+            return self._forecast_chain()
         return (
             self._forecast_rows()
-            .groupBy(*self.group, "forecast_date", "region_code", "warehouse", "product_id", "timeframe")
+            .groupBy(*self._wide_keys())
             .agg(
                 *[
                     F.coalesce(
@@ -381,8 +389,39 @@ class Evaluation:
             )
         )
 
+    def _wide_keys(self) -> tuple[str, ...]:
+        return (*self.group, "forecast_date", "region_code", "warehouse", "product_id", "timeframe")
+
+    def _forecast_chain(self) -> DataFrame:
+        """What seven full outer joins on the first experiment's keys would sum up to, without a join.
+
+        Where the first experiment has a key, each row of an experiment meets every
+        combination of the others' rows, an experiment without rows counting as one. Where
+        it has none, or the key holds a NULL, nothing is joined and every row stays alone.
+        """
+        of = {column: F.col("experiment") == name for name, column in zip(EXPERIMENTS, FORECASTS)}
+        counted = (
+            self.forecast_by_experiment()
+            .groupBy(*self._wide_keys())
+            .agg(
+                *[F.coalesce(F.sum(F.when(chosen, F.col("forecast"))), F.lit(0.0)).alias(column) for column, chosen in of.items()],
+                *[F.count_if(chosen).alias(f"__rows_{column}") for column, chosen in of.items()],
+            )
+        )
+        rows = {column: F.col(f"__rows_{column}") for column in of}
+        joined = rows[FORECASTS[0]] > 0
+        for key in ("forecast_date", "product_id", "timeframe"):
+            joined = joined & F.col(key).isNotNull()
+
+        def repeats(column: str) -> Column:
+            # As doubles: eight counts multiplied may pass 64 bits.
+            others = (F.greatest(n, F.lit(1)).cast("double") for other, n in rows.items() if other != column)
+            return F.when(joined, functools.reduce(operator.mul, others)).otherwise(1.0)
+
+        return counted.select(*self._wide_keys(), *[(F.col(column) * repeats(column)).alias(column) for column in of])
+
     def repeated_forecasts(self) -> DataFrame:
-        """Keys with several forecast setups, where a join chain would count double."""
+        """Keys with several forecast setups, where a join chain counts every combination."""
         keys = (*self.group, "experiment", "forecast_date", "product_id", "timeframe")
         return (
             self.forecast_by_experiment().groupBy(*keys).agg(F.count(F.lit(1)).alias("setups")).filter("setups > 1")

@@ -12,7 +12,7 @@ from demandlab.operators.datasets import select_datasets
 from demandlab.operators.order_lines import order_lines
 from demandlab.operators.stockouts import stockouts_by_region
 from demandlab.plans.demand import Variant, wide_demand
-from demandlab.session import materialize
+from demandlab.session import intermediate_results, materialize
 from demandlab.sources.demand_table import create_demand_table, replace_datasets, store_table
 from demandlab.sources.tables import Tables
 
@@ -55,10 +55,11 @@ def run_full_load(
     that failed halfway, or ran already, is simply run again.
     """
     create_demand_table(spark, input_demand, location, "input_demand")
-    load = materialize(full_load(tables, as_of, country), "full-load")
     # The ids of a country's datasets: no more than the dataset table has rows.
     datasets = [row[0] for row in select_datasets(tables, country).select("dataset_identifier").distinct().collect()]
-    replace_datasets(load, input_demand, datasets, "input_demand")
+    with intermediate_results(spark):
+        load = materialize(full_load(tables, as_of, country), "full-load")
+        replace_datasets(load, input_demand, datasets, "input_demand")
     stored = spark.table(input_demand)
     store_table(demand_dates(stored), dates, replace=True)
     store_table(first_demand_dates(tables, stored, country), start_dates, replace=True)

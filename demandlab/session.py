@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +38,29 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Paths written inside each open ``intermediate_results``.
+_open_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def intermediate_results(spark: SparkSession) -> Iterator[None]:
+    """Remove on leaving what was materialized inside, also after a failure.
+
+    Only for a block that ends with its result written elsewhere: a DataFrame that
+    still reads an intermediate table fails afterwards.
+    """
+    written: list[str] = []
+    _open_scopes.append(written)
+    try:
+        yield
+    finally:
+        # By identity: two scopes that have written the same are equal as lists.
+        _open_scopes[:] = [scope for scope in _open_scopes if scope is not written]
+        for place in written:
+            path = spark._jvm.org.apache.hadoop.fs.Path(place)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -43,5 +68,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     the files outlive any executor.
     """
     path = fresh_path(df.sparkSession, name)
+    for written in _open_scopes:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

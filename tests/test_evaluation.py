@@ -188,3 +188,27 @@ def test_live_setups_by_a_sweep(spark):
         if live:
             expected[dataset, at] = live
     assert found == expected and max(expected.values()) > 100
+
+
+def test_repeated_setups_multiply_as_in_a_chain_of_outer_joins(market, rows_of):
+    """Several rows of several experiments, products with and without the first one, against the joins themselves."""
+    made = dt.datetime(2022, 8, 1)
+    rows = [(1, 1, 1), (1, 2, 1), (1, 1, 2), (1, 1, 3), (1, 2, 3), (1, 3, 3), (2, 1, 2), (2, 2, 2), (2, 1, 5), (3, 1, 1), (3, 2, 8)]
+    forecast = [(day(d), made, "BOG", "ALL", params, p, 1.0 + p + params / 8 + k / 64 + d, f"experiment_{k}") for p, params, k in rows for d in (1, 2)]
+    evaluation = Evaluation(tables := market(forecast=forecast), cases_of(tables, 12), AS_OF, multiply_repeats=True)
+    long = evaluation.forecast_by_experiment()
+    assert evaluation.repeated_forecasts().count() == 6
+    keys = ["forecast_date", "product_id", "timeframe"]
+    parts = [
+        long.filter(F.col("experiment") == f"experiment_{k}").select(*[F.col(c).alias(f"{c}{k}") for c in keys], F.col("forecast").alias(name))
+        for k, name in enumerate(FORECASTS, 1)
+    ]
+    chain = parts[0]
+    for k, part in enumerate(parts[1:], 2):
+        chain = chain.join(part, [F.col(f"{c}1") == F.col(f"{c}{k}") for c in keys], "full_outer")
+    merged = [F.coalesce(*[F.col(f"{c}{k}") for k in range(1, 9)]).alias(c) for c in keys]
+    expected = chain.groupBy(*merged).agg(*[F.sum(F.coalesce(F.col(f), F.lit(0.0))).alias(f) for f in FORECASTS])
+    found = rows_of(evaluation.forecast_wide(), *keys, *FORECASTS)
+    assert found == rows_of(expected, *keys, *FORECASTS)
+    first = next(r for r in found if r[1] == 1)
+    assert first[3] == 3 * sum(2.0 + params / 8 + 1 / 64 + 1 for params in (1, 2))  # three rows of experiment 3 for each

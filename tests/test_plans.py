@@ -11,6 +11,7 @@ from demandlab.operators.order_lines import closed_orders, order_lines
 from demandlab.operators.outliers import count_lines
 from demandlab.plans.demand import VARIANT, build_demand
 from demandlab.plans.evaluation import Evaluation, evaluation_cases
+from demandlab.sources.order_layout import BUCKET_BYTES, buckets_for, store_orders
 from demandlab.sources.schemas import TABLE_COLUMNS
 from demandlab.sources.tables import parquet_tables
 from validation.adapter import ANCHORS, AS_OF, source_tables
@@ -82,19 +83,44 @@ def test_dataset_side_has_a_known_small_size(stored):
     assert int(str(size)) < 100_000
 
 
-def test_bucketed_lines_are_joined_where_they_lie(spark, stored):
-    """With the lines bucketed by order, only the much smaller header side moves."""
-    spark.sql("DROP TABLE IF EXISTS lines_by_order")
-    stored.order_line.write.bucketBy(4, "order_id").sortBy("order_id").saveAsTable("lines_by_order")
+@pytest.fixture
+def no_broadcast(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        tables = stored.replacing(order_line=spark.table("lines_by_order"))
-        routed = order_lines(tables, select_datasets(tables), AS_OF)
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        tree = plan(routed).split("\n\n")[0]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-        spark.sql("DROP TABLE lines_by_order")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture
+def bucketed(spark, stored):
+    """Headers and lines in buckets of the order; written twice, as after a failure."""
+    for _ in range(2):
+        tables = store_orders(stored, "headers_by_order", "lines_by_order", buckets_for(spark, 0))
+    yield tables
+    spark.sql("DROP TABLE headers_by_order")
+    spark.sql("DROP TABLE lines_by_order")
+
+
+def test_headers_and_lines_in_buckets_meet_without_an_exchange(bucketed, stored, no_broadcast):
+    headers, lines = bucketed.order_header, bucketed.order_line
+    joined = headers.join(lines, F.col("id") == F.col("order_id"))
+    assert "Exchange" not in plan(joined)
+    assert "Bucketed: true" in plan(joined)
+    plain = stored.order_header.join(stored.order_line, F.col("id") == F.col("order_id"))
+    assert "Exchange" in plan(plain)
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_number_of_buckets(spark):
+    least = 1 << (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    assert buckets_for(spark, 0) == buckets_for(spark, 1) == least
+    assert buckets_for(spark, 10 << 40) == 65536  # 10 TB of lines
+    assert BUCKET_BYTES * buckets_for(spark, (1 << 40) + 1) >= (1 << 40) + 1
+
+
+def test_bucketed_lines_are_joined_where_they_lie(bucketed, no_broadcast):
+    """Only the much smaller header side moves, after it was routed to datasets."""
+    tree = plan(order_lines(bucketed, select_datasets(bucketed), AS_OF)).split("\n\n")[0]
     lines = tree.split("lines_by_order")[0].splitlines()
     depth = len(lines[-1]) - len(lines[-1].lstrip(" :+-"))
     above = []

@@ -7,7 +7,7 @@ from validation.oracle_queries import ORACLE
 from validation.spark_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-CHECKED = ("zone_join", "order_lines_user_blacklist", "demand_all_variants", "daily_run_stored", "mafe_category", "design_matrix")
+CHECKED = ("zone_join", "order_lines_bucketed", "order_lines_user_blacklist", "forecast_chain", "demand_by_view", "demand_all_variants", "daily_run_stored", "mafe_category", "design_matrix")
 
 
 def test_every_query_has_its_sql():

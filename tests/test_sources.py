@@ -1,8 +1,9 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
-from demandlab.session import CHECKPOINT_SETTING, materialize, shared_folder
+from demandlab.session import CHECKPOINT_SETTING, intermediate_results, materialize, shared_folder
 from demandlab.sources.demand_table import append_demand, create_demand_table, name_temporarily, replace_dataset, replace_day, store_table
 from demandlab.sources.schemas import schema_of
 from demandlab.sources.tables import Tables, catalog_tables
@@ -115,3 +116,21 @@ def test_a_filled_location_is_picked_up(spark, loaded, rows_of, tmp_path):
     assert rows_of(spark.table("second_name"), "product_id") == [(1,), (2,)]
     spark.sql("DROP TABLE first_name")
     spark.sql("DROP TABLE second_name")
+
+
+def test_intermediate_results_go_with_their_block(spark):
+    outside = materialize(spark.range(3), "outside")
+    with intermediate_results(spark):
+        inner = materialize(spark.range(5), "inner")
+        with intermediate_results(spark):
+            innermost = materialize(spark.range(7), "innermost")
+        assert inner.count() == 5 and not exists(innermost)
+    assert not exists(inner) and exists(outside)
+    with pytest.raises(RuntimeError), intermediate_results(spark):
+        failed = materialize(spark.range(2), "failed")
+        raise RuntimeError
+    assert not exists(failed) and outside.count() == 3
+
+
+def exists(df):
+    return Path(df.inputFiles()[0].removeprefix("file://")).parent.exists()

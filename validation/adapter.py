@@ -196,14 +196,16 @@ def all_cases(tables: Tables) -> DataFrame:
     return evaluation_cases(select_datasets(tables), ANCHORS, HORIZON_DAYS)
 
 
-def _forecasts(tables: Tables, demand: DataFrame, cases: DataFrame) -> DataFrame:
+def _forecasts(tables: Tables, demand: DataFrame, cases: DataFrame, setups: DataFrame | None = None) -> DataFrame:
     """Stand-in forecasts: demand scaled per experiment, some products left out.
 
     Half of the experiments use retired codes for some products, so that the
-    product map has something to do.
+    product map has something to do. ``setups`` (dp_input_datasets_id, date, params)
+    names the setups that forecast a day instead of the dataset's newest.
     """
     newest = tables.forecast_params.groupBy("dp_input_datasets_id").agg(F.max("id").alias("params"))
-    days = case_days(cases).withColumnRenamed("day", "date").join(newest, "dp_input_datasets_id")
+    days = case_days(cases).withColumnRenamed("day", "date")
+    days = days.join(newest, "dp_input_datasets_id") if setups is None else days.join(setups, ["dp_input_datasets_id", "date"])
     return (
         demand.join(days, ["dp_input_datasets_id", "date"])
         .selectExpr("*", f"explode(array({', '.join(str(v.number) for v in VARIANTS)})) AS k")
@@ -233,3 +235,18 @@ def evaluation_tables(spark: SparkSession, sf_dir: str) -> tuple[Tables, DataFra
     cases = all_cases(tables)
     demand = materialize(build_demand(tables, AS_OF, [VARIANT[1]]), "demand")
     return tables.replacing(demand=demand, forecast=_forecasts(tables, demand, cases)), cases
+
+
+@functools.cache
+def repeated_setup_tables(spark: SparkSession, sf_dir: str) -> tuple[Tables, DataFrame]:
+    """The same with forecasts of every setup live on a day: two where both are, in the first four experiments."""
+    tables, cases = evaluation_tables(spark, sf_dir)
+    days = case_days(cases).select("dp_input_datasets_id", F.col("day").alias("date")).distinct()
+    live = F.col("date").between(F.col("start_day_live"), F.coalesce("end_day_live", F.date_add(F.lit(AS_OF), 1000)))
+    setups = (
+        tables.forecast_params.join(days, "dp_input_datasets_id").filter(live)
+        .select("dp_input_datasets_id", "date", F.col("id").alias("params"))
+    )
+    older = F.col("dp_forecast_params_id") % 2 == 0
+    made = _forecasts(tables, tables.demand, cases, setups).filter(~older | (F.col("experiment") <= "experiment_4"))
+    return tables.replacing(forecast=made), cases

@@ -86,6 +86,7 @@ _SQL: dict[str, str] = {
           AND product_id NOT IN
               (SELECT element FROM v_block b WHERE b.kind = 'product' AND b.region_code = r.region_code)""",
     "order_lines_all": f"SELECT {_LINE_COLUMNS} FROM v_lines_all",
+    "order_lines_bucketed": f"SELECT {_LINE_COLUMNS} FROM v_lines_all",
     "order_lines_user_blacklist": f"SELECT {_LINE_COLUMNS} FROM v_lines_open",
     "line_stats": """
         SELECT dataset_id AS dp_input_datasets_id, product_id, ROUND(mean, 6) AS average, ROUND(sd, 6) AS std_dev
@@ -154,6 +155,16 @@ _SQL: dict[str, str] = {
         FROM v_predicted""",
     "forecast_wide": f"""
         SELECT {_CASE}, forecast_date, region_code, warehouse, product_id, timeframe, {_FORECASTS} FROM v_wide""",
+    "repeated_forecasts": f"""
+        SELECT {_CASE}, 'experiment_' || k AS experiment, forecast_date, product_id, timeframe, COUNT(*) AS setups
+        FROM v_predicted_live GROUP BY ALL HAVING COUNT(*) > 1""",
+    "forecast_chain": f"""
+        SELECT {_CASE}, forecast_date, region_code, warehouse, product_id, timeframe, {_FORECASTS} FROM v_wide_chain""",
+    "mafe_warehouse_chain": f"""
+        SELECT {_CASE}, forecast_date, region_code, warehouse, timeframe, {_ROUNDED} FROM v_mafe_chain""",
+    "demand_by_view": f"""
+        SELECT dp_input_datasets_id, date, ROUND(SUM(demand), 6) AS demand, COUNT(*) AS products
+        FROM ({demand_sql(1)}) GROUP BY ALL""",
     "mafe_product": f"""
         SELECT {_CASE}, forecast_date, warehouse, product_id, timeframe, ROUND(demand, 6) AS demand, {_FORECASTS},
                {_ERRORS}, ROUND(share, 6) AS share FROM v_error""",

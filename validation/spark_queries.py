@@ -37,10 +37,11 @@ from demandlab.plans.experiments import (
 from demandlab.plans.full_load import demand_dates, first_demand_dates, full_load, run_full_load
 from demandlab.session import fresh_path
 from demandlab.sources.csv_files import read_anchor_days, read_errors, write_csv
-from demandlab.sources.demand_table import append_demand, create_demand_table
+from demandlab.sources.demand_table import append_demand, create_demand_table, name_temporarily
 from demandlab.sources.line_state import stored_counts
+from demandlab.sources.order_layout import buckets_for, store_orders
 from demandlab.sources.schemas import MAFE_ERRORS, schema_of
-from validation.adapter import AS_OF, all_cases, evaluation_tables, line_state, source_tables
+from validation.adapter import AS_OF, all_cases, evaluation_tables, line_state, repeated_setup_tables, source_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,6 +145,15 @@ def order_lines_all(spark, sf_dir):
     return order_lines(tables, select_datasets(tables), AS_OF, flag_users=False)
 
 
+@query
+def order_lines_bucketed(spark, sf_dir):
+    """The same from headers and lines stored in buckets of the order."""
+    (headers, header_path), (lines, line_path) = (_new_table(spark, name) for name in ("headers", "lines"))
+    buckets = buckets_for(spark, 0)
+    tables = store_orders(source_tables(spark, sf_dir), headers, lines, buckets, (header_path, line_path))
+    return order_lines(tables, select_datasets(tables), AS_OF, flag_users=False)
+
+
 @query
 def order_lines_user_blacklist(spark, sf_dir):
     tables = source_tables(spark, sf_dir)
@@ -212,6 +222,14 @@ def demand_all_variants(spark, sf_dir):
     return build_demand(source_tables(spark, sf_dir), AS_OF)
 
 
+@query
+def demand_by_view(spark, sf_dir):
+    """Demand named for the session and read by SQL."""
+    view, _ = _new_table(spark, "demand_view")
+    name_temporarily(build_demand(source_tables(spark, sf_dir), AS_OF, [VARIANT[1]]), view)
+    return spark.sql(f"SELECT dp_input_datasets_id, date, SUM(demand) AS demand, COUNT(*) AS products FROM {view} GROUP BY ALL")
+
+
 @query
 def demand_exp1_one_dataset(spark, sf_dir):
     return build_demand(source_tables(spark, sf_dir), AS_OF, [VARIANT[1]], country="C1", dataset_id=11)
@@ -390,6 +408,23 @@ def forecast_wide(spark, sf_dir):
     return _evaluation(spark, sf_dir).forecast_wide()
 
 
+@query
+def repeated_forecasts(spark, sf_dir):
+    """Keys that several setups forecast."""
+    return Evaluation(*repeated_setup_tables(spark, sf_dir), AS_OF).repeated_forecasts()
+
+
+@query
+def forecast_chain(spark, sf_dir):
+    """Repeated setups as seven outer joins would count them."""
+    return Evaluation(*repeated_setup_tables(spark, sf_dir), AS_OF, multiply_repeats=True).forecast_wide()
+
+
+@query
+def mafe_warehouse_chain(spark, sf_dir):
+    return Evaluation(*repeated_setup_tables(spark, sf_dir), AS_OF, multiply_repeats=True).warehouse_errors()
+
+
 @query
 def mafe_product(spark, sf_dir):
     return _evaluation(spark, sf_dir).product_errors()

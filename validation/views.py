@@ -297,6 +297,37 @@ VIEWS["v_mafe"] = _rollup_sql("v_error", False)
 VIEWS["v_mafe_cat"] = _rollup_sql("v_error_cat", True)
 
 
+# Forecasts of every live setup, and the outer joins written out.
+VIEWS["v_forecast_live"] = f"""
+    SELECT a.day AS forecast_date, c.anchor AS created_on, c.region_code, c.warehouse, u.params_id,
+           CASE WHEN a.product_id % 10 = 8 AND k % 2 = 0 THEN a.product_id + 1 ELSE a.product_id END AS product_id,
+           CASE WHEN a.product_id % 10 = 8 AND k % 2 = 0 THEN a.demand * (1 + k / 16::DOUBLE) / 4
+                ELSE a.demand * (1 + k / 16::DOUBLE) END AS quantity, k
+    FROM v_actual a
+    JOIN v_case c ON c.dataset_id = a.dataset_id AND a.day BETWEEN c.anchor AND c.anchor + {HORIZON_DAYS}
+    JOIN v_setup u ON u.dataset_id = a.dataset_id AND a.day BETWEEN u.live_from AND COALESCE(u.live_to, {TODAY} + 1000)
+    JOIN (VALUES (1), (2), (3), (4), (5), (6), (7), (8)) AS t(k)
+      ON a.product_id % 8 <> k - 1 AND (u.params_id % 2 = 1 OR k <= 4)"""
+VIEWS["v_predicted_live"] = VIEWS["v_predicted"].replace("v_forecast f", "v_forecast_live f")
+_CHAIN_KEYS = ("anchor", "dataset_id", "forecast_date", "region_code", "warehouse", "product_id", "timeframe")
+VIEWS["v_wide_chain"] = (
+    "SELECT "
+    + ", ".join(f"COALESCE({', '.join(f'e{k}.{key}' for k in DESIGN)}) AS {key}" for key in _CHAIN_KEYS)
+    + ", "
+    + ", ".join(f"SUM(COALESCE(e{k}.forecast, 0)) AS f{k}" for k in DESIGN)
+    + " FROM (SELECT * FROM v_predicted_live WHERE k = 1) e1 "
+    + " ".join(
+        f"FULL OUTER JOIN (SELECT * FROM v_predicted_live WHERE k = {k}) e{k} ON "
+        + " AND ".join(f"e1.{key} = e{k}.{key}" for key in ("anchor", "dataset_id", "forecast_date", "product_id", "timeframe"))
+        for k in DESIGN
+        if k > 1
+    )
+    + " GROUP BY ALL"
+)
+VIEWS["v_error_chain"] = _errors_sql("v_wide_chain", "v_clean", "v_share", False)
+VIEWS["v_mafe_chain"] = _rollup_sql("v_error_chain", False)
+
+
 def statement(query: str) -> str:
     """The query with every view it needs, directly or not, in order."""
     needed: set[str] = set()
