@@ -3,14 +3,18 @@
 What is found in a text is validated and replaced by a keyed permutation within
 its own format, so equal values become equal pseudonyms in every document:
 
-  email   the letters and digits of the name before the @, each within its kind
+  email   the letters and digits of the name before the @, each within its kind; a letter
+          beyond a-z within its own 64 code points (names and hosts of Latin, Greek and
+          Cyrillic letters; others would take in the words of scripts without spaces)
   ip      four numbers up to 255, as one value of four places
-  date    a day from 1900 to 2099, written the same way (2001-02-03, 3.2.2001, 03/02/2001)
+  date    a day from 1900 to 2099, written the same way (2001-02-03, 3.2.2001, 03/02/2001);
+          between slashes the month comes first where the day cannot (12/25/1980)
   phone   +, country code and 7 to 14 more digits: all digits after the first
   card    13 to 19 digits with a right check digit: all but the first digit; the
           check digit is then right again; in a run of numbers between single spaces
           or hyphens, any neighbouring ones that make a card, the leftmost and
-          then the longest first
+          then the longest first; also in groups between tabs, points or two spaces that
+          start with four digits as cards do
 
 The permutation is a Feistel network over the places of a value: each round adds
 to one part, place by place, what SHA-256 makes of the key, the round and the
@@ -18,7 +22,8 @@ other part. Days use two places and walk on until the result is a day. All is
 made of Spark functions.
 
 Cases: a null text stays null; what fails validation stays as it is; repeated
-rows and rows without an id are treated like others; other columns pass through.
+rows and rows without an id are treated like others; other columns pass through,
+whatever their names, but for n_email and so on, which are replaced.
 """
 
 from __future__ import annotations
@@ -28,17 +33,24 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 KINDS = ("email", "ip", "date", "phone", "card")
+#: Letters, their marks and numbers of names and hosts.
+_LETTER = r"\p{IsLatin}\p{IsGreek}\p{IsCyrillic}\p{Mn}\p{Nd}"
 PATTERNS = {
     # The host is possessive: nothing follows it, and a long one needs no stack.
-    "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})++",
+    "email": rf"[{_LETTER}._%+-]{{1,64}}@[{_LETTER}-]{{1,63}}(?:\.[{_LETTER}-]{{1,63}})++",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9]|[./-][0-9])",
     "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])",
 }
 #: A run of numbers; it ends before what another pattern takes. Possessive, so that long runs need no stack.
 PATTERNS["card"] = rf"(?<![0-9])(?=(?:[0-9][ -]?){{13}})[0-9]++(?:[ -](?!{'|'.join(PATTERNS[k] for k in ('email', 'ip', 'date'))})[0-9]++)*+"
+#: Groups between wider signs, the same ones throughout; only after four digits as cards have them, as tables of numbers look alike.
+_WIDE = "|".join(rf"(?<![0-9])[3-6][0-9]{{3}}{sign}[0-9]{{4,6}}(?:{sign}[0-9]{{1,7}}(?![0-9]))++" for sign in (r"\t", r"\.", " {2}"))
+PATTERNS["card"] = f"{_WIDE}|{PATTERNS['card']}"
 #: Kinds by what was found: a run has no signs around it that could tell it from a date.
-_FOUND = {k: f"^(?:{p})$" for k, p in PATTERNS.items()} | {"card": "^[0-9][0-9 -]*$"}
+_FOUND = {k: f"^(?:{p})$" for k, p in PATTERNS.items()} | {"card": r"^[0-9][0-9 \t.-]*$"}
+#: How many neighbouring code points a letter beyond a-z is permuted among.
+BLOCK = 64
 FIRST_DAY, DAYS = "1900-01-01", 73049
 #: Two places whose product is just above the number of days.
 _A, _B = 271, 270
@@ -138,7 +150,7 @@ def cards(run: Column, key: str) -> Column:
         def one(span: Column, k: Column) -> Column:
             before = F.when(k == 0, 0).otherwise(F.get(found, k - 1)["last"] + 1)
             new = _let(F.concat(text(span["first"], span["last"]), F.get(groups, span["last"])), lambda number: card(number, key))
-            sign = F.substring(F.get(ends, span["last"]), F.char_length(F.get(groups, span["last"])) + 1, F.lit(1))
+            sign = F.substring(F.get(ends, span["last"]), F.char_length(F.get(groups, span["last"])) + 1, F.lit(2))
             return F.concat(text(before, span["first"]), new, sign)
 
         rest = text(F.get(found, F.size(found) - 1)["last"] + 1, F.size(groups))
@@ -167,13 +179,19 @@ def ip(text: Column, key: str) -> Column:
 def email(text: Column, key: str) -> Column:
     """Letters keep their case and place, digits their place; the host stays."""
     name = F.substring_index(text, "@", 1)
-    chars = F.filter(F.split(name, ""), lambda c: c.rlike("[A-Za-z0-9]"))
-    digit = lambda c: c.rlike("[0-9]")
-    places = F.transform(chars, lambda c: F.when(digit(c), F.ascii(c) - 48).otherwise(F.ascii(F.lower(c)) - 97))
-    radix = F.transform(chars, lambda c: F.when(digit(c), 10).otherwise(26))
+    chars = F.filter(F.split(name, ""), lambda c: c.rlike(f"[{_LETTER}]"))
+    digit, plain = (lambda c: c.rlike("[0-9]")), (lambda c: c.rlike("[A-Za-z]"))
+    places = F.transform(chars, lambda c: F.when(digit(c), F.ascii(c) - 48).when(plain(c), F.ascii(F.lower(c)) - 97).otherwise(F.ascii(c) % BLOCK))
+    radix = F.transform(chars, lambda c: F.when(digit(c), 10).when(plain(c), 26).otherwise(BLOCK))
     letter = lambda v, upper: F.call_function("char", F.when(upper, v + 65).otherwise(v + 97))
-    new = F.zip_with(permuted(places, radix, key, "email"), chars, lambda v, c: F.when(digit(c), v.cast("string")).otherwise(letter(v, c.rlike("[A-Z]"))))
-    return F.concat(_refilled(name, "[A-Za-z0-9]", new), F.substring(text, F.char_length(name) + 1, F.char_length(text)))
+    code_point = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+
+    def written(v: Column, c: Column) -> Column:
+        beyond = code_point(F.ascii(c) - F.ascii(c) % BLOCK + v)
+        return F.when(digit(c), v.cast("string")).when(plain(c), letter(v, c.rlike("[A-Z]"))).otherwise(beyond)
+
+    new = F.zip_with(permuted(places, radix, key, "email"), chars, written)
+    return F.concat(_refilled(name, f"[{_LETTER}]", new), F.substring(text, F.char_length(name) + 1, F.char_length(text)))
 
 
 def _walked(day: Column, key: str) -> Column:
@@ -186,12 +204,38 @@ def _walked(day: Column, key: str) -> Column:
 def date(text: Column, key: str) -> Column:
     iso, sign = text.contains("-"), F.when(text.contains("/"), "/").otherwise(".")
     parts = F.split(text, "[./-]")
-    written = F.when(iso, text).otherwise(F.concat_ws("-", parts[2], F.lpad(parts[1], 2, "0"), F.lpad(parts[0], 2, "0")))
-    day = F.datediff(F.try_to_date(written, "yyyy-MM-dd"), F.lit(FIRST_DAY).cast("date"))
-    new = F.date_add(F.lit(FIRST_DAY).cast("date"), _walked(day, key))
     two = lambda part, value: F.when(F.char_length(part) == 2, F.lpad(value.cast("string"), 2, "0")).otherwise(value.cast("string"))
-    other = F.concat(two(parts[0], F.dayofmonth(new)), sign, two(parts[1], F.month(new)), sign, F.year(new).cast("string"))
-    return F.when(day.between(0, DAYS - 1), F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(other))
+
+    def number(year: Column, month: Column, day: Column) -> Column:
+        written = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+        return F.datediff(F.try_to_date(written, "yyyy-MM-dd"), F.lit(FIRST_DAY).cast("date"))
+
+    def renewed(day: Column) -> Column:
+        return F.date_add(F.lit(FIRST_DAY).cast("date"), _walked(day, key))
+
+    def iso_text(day: Column) -> Column:
+        return F.date_format(renewed(day), "yyyy-MM-dd")
+
+    def day_first(day: Column) -> Column:
+        return _let(renewed(day), lambda d: F.concat(two(parts[0], F.dayofmonth(d)), sign, two(parts[1], F.month(d)), sign, F.year(d).cast("string")))
+
+    def month_first(day: Column) -> Column:
+        return _let(renewed(day), lambda d: F.concat(two(parts[0], F.month(d)), sign, two(parts[1], F.dayofmonth(d)), sign, F.year(d).cast("string")))
+
+    def put(days: Column) -> Column:
+        known = lambda day: day.between(0, DAYS - 1)
+        return (
+            F.when(known(days["iso"]), iso_text(days["iso"]))
+            .when(known(days["day_first"]), day_first(days["day_first"]))
+            .when(known(days["month_first"]), month_first(days["month_first"]))
+        )
+
+    days = F.struct(
+        F.when(iso, number(parts[0], parts[1], parts[2])).alias("iso"),
+        F.when(~iso, number(parts[2], parts[1], parts[0])).alias("day_first"),
+        F.when(text.contains("/"), number(parts[2], parts[0], parts[1])).alias("month_first"),
+    )
+    return _let(days, put)
 
 
 def pseudonymized(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -212,16 +256,20 @@ def pseudonymized(documents: DataFrame, key: str, text: str = "text") -> DataFra
         return out
 
     columns = [c for c in documents.columns if c not in {f"n_{k}" for k in KINDS}]
-    found = documents.select(*columns).withColumn("_found", F.when(F.col(text).rlike(combined), F.regexp_extract_all(text, F.lit(combined), F.lit(0))))
+    taken = {c.lower() for c in columns}
+    old, new = (next(n for n in (f"_{name}" + "_" * k for k in range(len(taken) + 1)) if n not in taken) for name in ("found", "new"))
+    text_of = F.col(f"`{text}`")
+    found = documents.select(*[f"`{c}`" for c in columns]).withColumn(old, F.when(text_of.rlike(combined), F.regexp_extract_all(text_of, F.lit(combined), F.lit(0))))
     # Equal values are permuted alike, so a text works on its own few; the rest of the text is what stands between.
-    found = found.withColumn("_new", F.transform("_found", replaced))
-    between = F.split(text, combined, -1)
-    pieces = F.zip_with(F.zip_with("_found", "_new", lambda old, new: F.coalesce(new["new"], old)), F.slice(between, F.lit(2), F.size("_found")), lambda value, after: F.concat(value, after))
-    rewritten = F.when(F.col("_found").isNull(), F.col(text)).otherwise(F.concat(between[0], F.array_join(pieces, "")))
+    found = found.withColumn(new, F.transform(old, replaced))
+    between = F.split(text_of, combined, -1)
+    values = F.zip_with(old, new, lambda was, now: F.coalesce(now["new"], was))
+    pieces = F.zip_with(values, F.slice(between, F.lit(2), F.size(old)), lambda value, after: F.concat(value, after))
+    rewritten = F.when(F.col(old).isNull(), text_of).otherwise(F.concat(between[0], F.array_join(pieces, "")))
 
     def count(kind: str) -> Column:
-        kept = F.filter("_new", lambda x: (x["kind"] == kind) & x["new"].isNotNull())
-        return F.when(F.col("_new").isNull(), 0).otherwise(F.aggregate(kept, F.lit(0), lambda a, x: a + x["n"])).cast("long")
+        kept = F.filter(new, lambda x: (x["kind"] == kind) & x["new"].isNotNull())
+        return F.when(F.col(new).isNull(), 0).otherwise(F.aggregate(kept, F.lit(0), lambda a, x: a + x["n"])).cast("long")
 
     counts = {f"n_{kind}": count(kind) for kind in KINDS}
-    return found.withColumns({text: rewritten, **counts}).drop("_found", "_new")
+    return found.withColumns({text: rewritten, **counts}).drop(old, new)
