@@ -148,7 +148,11 @@ def _counted(sizes: list[int], step: int, shards: int, held) -> Callable:
 
     def total(size: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         found, spots = (np.concatenate(x) for x in zip(*parts))
-        ids, first, n = np.unique(found, return_index=True, return_counts=True)
+        # Any text that has the phrase will do, so the order of equal identifiers does not matter.
+        order = np.argsort(found)
+        ids = found[order]
+        first = np.flatnonzero(np.append(len(ids) > 0, ids[1:] != ids[:-1]))
+        ids, n, first = ids[first], np.diff(np.append(first, len(ids))), order[first]
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), size, np.int32)), pa.array(ids.view(np.int64)), pa.array(n), pa.array(spots[first])], ["size", "id", "n", "spot"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +237,8 @@ def frequent_phrases(documents: DataFrame, longest: int = LONGEST, threshold: in
         wanted = ([0] if step < shards else []) + sizes
         rows = stored.filter(F.col("shard") == step % shards).select("lang", "text", "spot").mapInArrow(_counted(wanted, step, shards, sent), "size int, id long, n long, spot int")
         # Written once: what later steps read of it is its phrases alone.
-        counts = materialize(rows.groupBy("size", "id").agg(F.sum("n").alias("n"), F.min("spot").alias("spot")), "phrase-counts")
+        # A task has counted its own already; without the shuffle in front Spark would hash all of them once more before it.
+        counts = materialize(rows.repartition("size", "id").groupBy("size", "id").agg(F.sum("n").alias("n"), F.min("spot").alias("spot")), "phrase-counts")
         total_words.append(counts.filter("size = 0"))
         steps.append(counts.filter("size > 0"))
         recent = [frame.withColumn("shard", F.lit(k % shards)) for k, frame in enumerate(steps)][-shards:]
