@@ -142,6 +142,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, expansion: int =
         "vec_id", "embedding", "dimensions", "bits", "length", "correction",
         F.lit(False).alias("is_query"), key.alias("query_key"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_blocks") - F.lit(1).cast("long"))).alias("query_block"), F.pmod(key, "candidate_blocks").alias("candidate_block"),
     )
-    found = queries.union(candidates).groupBy("dimensions", "query_block", "candidate_block").applyInPandas(_searching(k, expansion, epsilon), "query_id long, query_key long, vec_id long, score double")
+    # A stated number of parts: few bytes of a block are much work, and adaptive execution would put all blocks into one task.
+    met = queries.union(candidates).repartition(spread, "dimensions", "query_block", "candidate_block")
+    found = met.groupBy("dimensions", "query_block", "candidate_block").applyInPandas(_searching(k, expansion, epsilon), "query_id long, query_key long, vec_id long, score double")
     best = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
