@@ -3,13 +3,16 @@
 A version (a path and its text, or any row with a text) is addressed by the
 SHA-256 of its content. The ledger is a Parquet table with a row for each scan of
 a blob: the rule versions applied and the findings. A run looks up which pairs of
-blob and rule version the ledger lacks, scans one copy of those blobs for just
-those rules, appends, and joins the findings of all blobs back to every path.
-A rule that changes gets a new version and is then scanned anew; nothing else is.
+blob and rule version the ledger lacks, by blobs alone; then only texts that may be
+of such blobs (a Bloom filter tells) are brought together, one copy of each is
+scanned for just those rules, and the findings of all blobs are joined back to every
+path. A run without anything new moves no text. A rule that changes gets a new
+version and is then scanned anew; nothing else is.
 
 Cases: a null text is an empty one; equal texts are one blob; a row gets one
 result row, also when it is repeated or its id is null; an empty table gives no
-rows and leaves the ledger as it is; other columns pass through.
+rows and leaves the ledger as it is; other columns pass through, whatever their
+names, but for one named `findings`, which is replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlab.session import fresh_path
+from demandlab.llm.row_filters import possible
+from demandlab.session import fresh_path, materialize
 
 
 @dataclass(frozen=True)
@@ -68,18 +72,29 @@ def create_ledger(spark: SparkSession, path: str | None = None) -> str:
 
 
 def _pending(blobs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """(blob, pending): the rule versions that the ledger lacks for each distinct blob, if any."""
+    """(blob, pending): the rule versions that the ledger lacks for each distinct blob."""
     seen = ledger.join(blobs, "blob", "left_semi").groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
     wanted = F.array(*[F.lit(rule.name) for rule in rules])
-    pending = blobs.join(seen, "blob", "left").select("blob", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))).alias("pending"))
-    return pending.filter(F.size("pending") > 0)
+    return blobs.join(seen, "blob", "left").select("blob", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))).alias("pending"))
 
 
-def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> None:
-    """Scan the blobs of the column text for the rules that they were not scanned for, and append to the ledger."""
+def unseen(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame | None:
+    """(blob, text, pending): one copy of each blob that the ledger lacks rule versions for, and those; None if there is no such blob."""
     spark = versions.sparkSession
     texts = versions.select(blob_of("text").alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
-    pending = _pending(texts.select("blob").distinct(), spark.read.schema(LEDGER).parquet(ledger), rules)
+    state = materialize(_pending(texts.select("blob").distinct(), spark.read.schema(LEDGER).parquet(ledger), rules), "blobs")
+    pending = state.filter(F.size("pending") > 0)
+    known, new = state.count(), pending.count()
+    if not new:
+        return None
+    if new < known:
+        texts = possible(texts, pending.select("blob"), "blob")
+    # Copies meet in the partial aggregation, so a blob with many copies is sent once per task.
+    return texts.groupBy("blob").agg(F.first("text").alias("text")).join(pending, "blob")
+
+
+def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> None:
+    """Scan the blobs of the column text for the rules that they were not scanned for, and append to the ledger."""
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanners = {rule.name: _scanner(rule) for rule in rules}
@@ -90,9 +105,9 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> N
             ]
             yield pa.RecordBatch.from_arrays([batch["blob"], batch["pending"], pa.array(found, _FINDINGS)], ["blob", "rules", "findings"])
 
-    # Copies meet in the partial aggregation, so a blob with many copies is sent once per task.
-    unseen = texts.groupBy("blob").agg(F.first("text").alias("text")).join(pending, "blob")
-    unseen.mapInArrow(scanned, LEDGER).write.mode("append").parquet(ledger)
+    texts = unseen(versions, ledger, rules)
+    if texts is not None:
+        texts.mapInArrow(scanned, LEDGER).write.mode("append").parquet(ledger)
 
 
 def blob_of(text: str) -> Column:
@@ -106,11 +121,12 @@ def findings(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES)
     found = versions.sparkSession.read.schema(LEDGER).parquet(ledger).filter(F.size("findings") > 0)
     found = found.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("f"))
     spans = F.array_sort(F.transform(F.filter("f", lambda x: order[x["rule"]].isNotNull()), lambda x: F.struct(x["low"].alias("low"), order[x["rule"]].alias("order"), x["high"].alias("high"), kinds[x["rule"]].alias("kind"))))
-    found = found.select(F.col("blob").alias("_blob"), spans.alias("findings"))
+    found = found.select("blob", spans.alias("findings"))
     none = F.array().cast("array<struct<low:int,order:int,high:int,kind:string>>")
-    keyed = versions.drop("findings").withColumn("_key", blob_of("text"))
-    joined = keyed.join(found, F.col("_key") == F.col("_blob"), "left")
-    return joined.withColumn("findings", F.coalesce("findings", none)).drop("_key", "_blob")
+    # The caller's row is one column, so that no name can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in versions.columns if c.lower() != "findings"]).alias("row")
+    joined = versions.select(row, blob_of("text").alias("blob")).join(found, "blob", "left")
+    return joined.select("row.*", F.coalesce("findings", none).alias("findings"))
 
 
 def scanned(versions: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -1,7 +1,8 @@
 import re
 from dataclasses import replace
 
-from demandlab.llm.secret_ledger import RULES, create_ledger, findings, scan, scanned, spans_text
+from demandlab.llm.row_filters import possible
+from demandlab.llm.secret_ledger import RULES, blob_of, create_ledger, findings, scan, scanned, spans_text, unseen
 
 HEX = "0123456789abcdef" * 2
 TEXTS = [
@@ -41,6 +42,28 @@ def test_only_unseen_pairs_of_blob_and_rule_version_are_scanned(spark, documents
     assert {r[0] for r in findings(paths, ledger, rules).select(spans_text(["assign"])).collect()} == {""}
 
 
+def test_a_later_run_moves_no_text_of_known_blobs(spark, documents):
+    ledger = create_ledger(spark)
+    old = [(k, f"known {k} " + "x" * 2000) for k in range(3000)]
+    scan(documents(*old), ledger)
+    assert unseen(documents(*old), ledger) is None
+    new = unseen(documents(*old, (5000, "new"), (5001, "new"), (5002, None)), ledger)
+    assert sorted(r.text for r in new.collect()) == ["", "new"]
+    # The filter stands in front of the shuffle, and lets through few texts but those of new blobs.
+    assert "MapInArrow chosen" in new._jdf.queryExecution().executedPlan().toString()
+    texts = documents(*old, (5000, "new")).select(blob_of("text").alias("blob"))
+    assert possible(texts, documents((1, "new")).select(blob_of("text").alias("blob")), "blob").count() <= 3
+
+
+def test_names_that_clash_and_a_very_long_text(spark):
+    long = ("word " * 400_000) + "token=abcdefgh"
+    rows = [(1, "token=abcdefgh", "a", "b", "c", "d"), (2, long, "a", "b", "c", "d"), (3, None, None, None, None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _key string, _blob string, blob string, `row` string")
+    found = {r.doc_id: r for r in scanned(table).withColumn("spans", spans_text()).collect()}
+    assert [found[k].spans for k in (1, 2, 3)] == ["assign:0:14", "assign:2000000:2000014", ""]
+    assert tuple(found[1][c] for c in ("_key", "_blob", "blob", "row")) == ("a", "b", "c", "d")
+
+
 def test_empty_table(spark, documents):
     ledger = create_ledger(spark)
     assert scanned(documents(), ledger).collect() == [] and spark.read.parquet(ledger).count() == 0
