@@ -3,12 +3,14 @@
 The filter is a table of 256-bit blocks, each of four 64-bit words with one bit
 per listed URL and word. A URL looks up its one block; only if all four bits are
 set does it go on to the exact join with the list, which removes false positives.
-The number of blocks is fixed, so the table is small whatever the list's length.
-All is made of Spark functions.
+There is a block for every 16 listed URLs, so few others pass however long the list
+is; while the table is small by that count it is broadcast, beyond that it is joined
+by the block. All is made of Spark functions.
 
 Cases: a null URL or one without `://` has an empty host and path and is on no
 list; each row gets one result row, also when it is repeated or its id is null;
-listed nulls and repeats do not matter; other columns pass through.
+listed nulls and repeats do not matter; other columns pass through, whatever their
+names, but for those that the result names itself, which are replaced.
 """
 
 from __future__ import annotations
@@ -17,11 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlab.llm.words import LOWER, UPPER
+from demandlab.session import materialize
 
 #: (verdict, host and path). The path starts at the first slash.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-#: 40 bytes each: the table is under 2 MB and is broadcast.
-BLOCKS = 1 << 15
+#: Listed URLs to a block, and the fewest blocks.
+PER_BLOCK, LEAST_BLOCKS = 16, 1 << 15
+#: 40 bytes each: up to so many blocks, 10 MB, are broadcast.
+MOST_SENT = 1 << 18
+RESULTS = ("host", "path", "rule", "verdict", "listed")
 _TRACKING = r"(^|&)(utm_[^&=]*|ref)=[^&]*"
 
 
@@ -38,7 +44,7 @@ def canonical(url: str) -> Column:
     query = F.regexp_replace(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^?#]*\?([^#]*)", 1), F.lit("")), _TRACKING, "")
     query = F.regexp_replace(query, "^&", "")
     site = F.regexp_replace(F.regexp_replace(host(url), ":[0-9]*$", ""), r"^www\.", "")
-    out = F.concat(site, F.regexp_replace(path(url), "/+$", ""), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    out = F.concat(site, F.rtrim(path(url), F.lit("/")), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
     return F.when(site != "", out)
 
 
@@ -59,27 +65,32 @@ def _bit(key: str, word: int) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), six)
 
 
-def _block(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BLOCKS)).cast("int")
+def _block(key: str, blocks: int) -> Column:
+    return F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
 
 
-def bloom_blocks(listed: DataFrame, key: str) -> DataFrame:
+def bloom_blocks(listed: DataFrame, key: str, blocks: int = LEAST_BLOCKS) -> DataFrame:
     """The filter: (block, w0, w1, w2, w3), a row for each block that has a bit."""
-    return listed.groupBy(_block(key).alias("block")).agg(*[F.bit_or(_bit(key, w)).alias(f"w{w}") for w in range(4)])
+    return listed.groupBy(_block(key, blocks).alias("block")).agg(*[F.bit_or(_bit(key, w)).alias(f"w{w}") for w in range(4)])
 
 
-def filter_urls(pages: DataFrame, listed: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
+def filter_urls(pages: DataFrame, listed: DataFrame, url: str = "url", rules=RULES, most_sent: int = MOST_SENT) -> DataFrame:
     """All columns, and host, path, rule, verdict, and `listed`. listed: a frame with the column canonical."""
-    pages = pages.drop("host", "path", "rule", "verdict", "listed").withColumn("_key", canonical(url))
-    listed = listed.select(F.col("canonical").alias("_listed")).filter("_listed is not null").distinct()
-    blocks = F.broadcast(bloom_blocks(listed, "_listed"))
-    probed = pages.withColumn("_block", _block("_key")).join(blocks, F.col("_block") == F.col("block"), "left")
-    possible = F.col("_key").isNotNull()
+    # The caller's row is one column, so that no name can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in RESULTS]).alias("row")
+    site, place = host(url).alias("host"), path(url).alias("path")
+    pages = pages.select(row, site, place, canonical(url).alias("key"))
+    listed = materialize(listed.select(F.col("canonical").alias("key")).filter("key is not null").distinct(), "listed")
+    count = max(LEAST_BLOCKS, -(-listed.count() // PER_BLOCK))
+    blocks = bloom_blocks(listed, "key", count)
+    probed = pages.withColumn("block", _block("key", count)).join(F.broadcast(blocks) if count <= most_sent else blocks, "block", "left")
+    possible = F.col("key").isNotNull()
     for word in range(4):
-        possible &= F.col(f"w{word}").bitwiseAND(_bit("_key", word)) != 0
-    probed = probed.withColumn("_possible", F.coalesce(possible, F.lit(False))).drop("_block", "block", "w0", "w1", "w2", "w3")
-    hits = probed.filter("_possible").join(listed, F.col("_key") == F.col("_listed"), "left").withColumn("listed", F.col("_listed").isNotNull()).drop("_listed")
-    judged = probed.filter("not _possible").withColumn("listed", F.lit(False)).unionByName(hits)
-    judged = judged.withColumn("host", host(url)).withColumn("path", path(url)).withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    verdict = F.coalesce("_rule.verdict", F.when(F.col("listed"), "block").otherwise("allow"))
-    return judged.withColumn("rule", F.col("_rule.rule")).withColumn("verdict", verdict).drop("_key", "_possible", "_rule")
+        possible &= F.col(f"w{word}").bitwiseAND(_bit("key", word)) != 0
+    probed = probed.select("row", "host", "path", "key", F.coalesce(possible, F.lit(False)).alias("possible"))
+    hits = probed.filter("possible").join(listed.withColumn("listed", F.lit(True)), "key", "left")
+    judged = probed.filter("not possible").withColumn("listed", F.lit(False)).unionByName(hits.withColumn("listed", F.coalesce("listed", F.lit(False))))
+    rule = rule_of(F.col("host"), F.col("path"), rules)
+    judged = judged.select("row", "host", "path", rule.alias("rule"), "listed")
+    verdict = F.coalesce("rule.verdict", F.when(F.col("listed"), "block").otherwise("allow"))
+    return judged.select("row.*", "host", "path", F.col("rule.rule").alias("rule"), verdict.alias("verdict"), "listed")

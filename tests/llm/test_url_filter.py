@@ -43,6 +43,24 @@ def test_filter_passes_all_listed_and_few_others(spark):
     assert bloom_blocks(listed, "canonical").count() <= 1 << 15
 
 
+def test_a_filter_joined_by_its_blocks_gives_the_same(spark):
+    listed = spark.range(5000).select(F.concat(F.lit("h.org/"), "id").alias("canonical"))
+    # A third of all rows is one listed page, another third has no URL.
+    urls = F.when(F.col("id") % 3 == 0, "http://h.org/7").when(F.col("id") % 3 == 1, F.concat(F.lit("http://h.org/"), "id"))
+    pages = spark.range(30000).select(F.col("id").alias("page_id"), urls.alias("url"))
+    count = lambda **options: filter_urls(pages, listed, **options).groupBy("listed").count().orderBy("listed").collect()
+    assert count(most_sent=0) == count() == [(False, 18333), (True, 11667)]
+
+
+def test_names_that_clash_and_a_very_long_url(spark):
+    long = "http://a.com/" + "/" * 300_000
+    names = ["_key", "block", "w0", "_listed", "key", "row", "possible", "Host"]
+    pages = spark.createDataFrame([(1, "http://bad.org/page", *names), (2, long, *names), (3, long + "x", *names)], ["page_id", "url", *names])
+    rows = filter_urls(pages, spark.createDataFrame([("bad.org/page",), ("a.com",)], "canonical string")).collect()
+    assert sorted((r.page_id, r.host, r.verdict, r.listed) for r in rows) == [(1, "bad.org", "block", True), (2, "a.com", "allow", True), (3, "a.com", "allow", False)]
+    assert all(r[name] == name for r in rows for name in names[:-1]) and "Host" not in rows[0].asDict()
+
+
 def test_canonical_form(spark):
     rows = spark.createDataFrame([("https://WWW.a.org:80/x/?utm_source=1&q=2&ref=3#f",), ("http://a.org/x?q=2",), (None,), ("nothing",)], "url string")
     assert [r[0] for r in rows.select(canonical("url")).collect()] == ["a.org/x?q=2", "a.org/x?q=2", None, None]
