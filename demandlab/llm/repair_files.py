@@ -10,6 +10,7 @@ without expanding what stands before it.
 The file format is Parquet with a row per shard:
   part, shard    the place of the shard in the order of the file
   n_ids          ids of its documents with their end ids
+  low, high      the least and largest id of its documents, nulls aside
   doc_id, n_tokens, n_symbols   arrays, one entry per document
   rules          little-endian uint32 pairs; rule k is the symbol `first_rule` + k
   expansions     little-endian uint32: the number of ids of each rule
@@ -43,8 +44,8 @@ END, SHARD_IDS = 2, 1 << 20
 SAMPLE, MOST_UNITS = 10_000, 1 << 20
 #: Units given to the library in one string.
 LINE = 500
-#: Rounds of replacement, pairs taken in a round, and the least count of a pair.
-ROUNDS, PAIRS, LEAST = 5, 3000, 8
+#: The least count of a pair that is replaced, and the bins in which pairs are counted.
+LEAST, BIN_BITS = 8, 20
 _SPACES, _ASCII_SPACE, _LETTER = (np.zeros(256, dtype=bool) for _ in range(3))
 #: White space of ASCII, and the first bytes of all white space beyond it.
 _SPACES[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -77,50 +78,76 @@ def word_cuts(special: tuple[bytes, ...] = ()) -> Cuts:
     return cuts
 
 
-def compress(ids: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST):
-    """(symbols, last, rules): `last` marks the final symbol of each document."""
-    symbols, rules = ids.astype(np.int64), np.empty((0, 2), dtype=np.int64)
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        code = symbols[:-1] << 24 | symbols[1:]
-        code[last[:-1]] = -1
-        bins = (code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int32)
-        counts = np.bincount(bins, minlength=1 << 20)
-        # The fullest bins stand for their pairs; of two pairs in one bin one waits for the next round.
-        full = np.flatnonzero(counts >= least)
-        if len(full) > pairs:
-            full = full[np.argpartition(counts[full], -pairs)[-pairs:]]
-        rank = np.full(1 << 20, -1, dtype=np.int32)
-        rank[full] = np.arange(len(full))
-        number = rank[bins]
-        at = np.flatnonzero((number >= 0) & (code >= 0))
-        values = np.full(len(full), -1, dtype=np.int64)
-        values[number[at]] = code[at]
-        at = at[values[number[at]] == code[at]]
-        times = np.bincount(number[at], minlength=len(full))
-        ranked = np.flatnonzero(times >= least)
-        if not len(ranked):
-            break
-        new = np.full(len(full), -1)
-        new[ranked] = np.arange(len(ranked))
-        at = at[new[number[at]] >= 0]
-        number = new[number[at]]
+def _frequent(code: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, number, values): the places among `at` of pairs with `least` places or more there, and which pair it is."""
+    bins = (code[at].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BIN_BITS)).astype(np.int32)
+    counts = np.bincount(bins, minlength=1 << BIN_BITS)
+    inside = counts[bins] >= least
+    at, bins = at[inside], bins[inside]
+    # A full bin stands for one of its pairs; others in it wait.
+    values = np.zeros(1 << BIN_BITS, dtype=np.int64)
+    values[bins] = code[at]
+    own = values[bins] == code[at]
+    times = np.bincount(bins[own], minlength=1 << BIN_BITS)
+    enough = own & (times[bins] >= least)
+    if not enough.any() and len(at):  # only pairs that wait can be frequent
+        values, number, times = np.unique(code[at], return_inverse=True, return_counts=True)
+        enough = times[number] >= least
+        bins = number
+    at, bins = at[enough], bins[enough]
+    ranked = np.zeros(len(values), dtype=bool)
+    ranked[bins] = True
+    return at, (np.cumsum(ranked) - 1)[bins], values[ranked]
+
+
+def compress(ids: np.ndarray, last: np.ndarray, first_rule: int, least: int = LEAST):
+    """(symbols, last, rules): `last` marks the final symbol of each document.
+
+    A round replaces all pairs that occur `least` times or more; rounds go on until
+    there is no such pair. A new frequent pair has a symbol of the round before, so
+    most rounds look at those places alone; when they find nothing all are looked at.
+    """
+    symbols, rules, base = ids.astype(np.int64), np.empty((0, 2), dtype=np.int64), 0
+    while len(symbols) > 1:
+        open_ = ~last[:-1]
+        if base:
+            new = symbols >= base
+            open_ &= new[:-1] | new[1:]
+        code = symbols[:-1] << 32 | symbols[1:]
+        at, number, values = _frequent(code, np.flatnonzero(open_), least)
         # Of overlapping pairs in a row every second one is taken, from the left.
-        run = np.cumsum(np.append(True, np.diff(at) != 1)) - 1
-        start = np.flatnonzero(np.append(True, np.diff(at) != 1))
-        taken = (np.arange(len(at)) - start[run]) % 2 == 0
+        begins = np.append(True, np.diff(at) != 1)[: len(at)]
+        taken = (np.arange(len(at)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]) % 2 == 0
         at, number = at[taken], number[taken]
-        symbols[at] = first_rule + len(rules) + number
+        # What its neighbours left with a single place is no rule yet; half of all places are taken, so with four or more a pair some pair has two.
+        used = np.bincount(number, minlength=len(values)) > 1
+        at, number = at[used[number]], (np.cumsum(used) - 1)[number[used[number]]]
+        if not len(at):
+            if not base:
+                break
+            base = 0
+            continue
+        base = first_rule + len(rules)
+        symbols[at] = base + number
         last = last.copy()
         last[at] = last[at + 1]
         kept = np.ones(len(symbols), dtype=bool)
         kept[at + 1] = False
         symbols, last = symbols[kept], last[kept]
-        rules = np.concatenate([rules, np.stack([values[ranked] >> 24, values[ranked] & 0xFFFFFF], axis=1)])
+        rules = np.concatenate([rules, np.stack([values[used] >> 32, values[used] & 0xFFFFFFFF], axis=1)])
     return symbols, last, rules
 
 
+def packed(symbols: np.ndarray, width: int) -> bytes:
+    return symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def unpacked(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 4), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return out.view("<u4").ravel().astype(np.int64)
+
+
 def expansions(rules: np.ndarray, first_rule: int) -> np.ndarray:
     """The number of ids that each rule stands for."""
     size = np.ones(len(rules), dtype=np.int64)
@@ -152,7 +179,7 @@ def ids_between(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, first
     return expand(symbols[low:high], rules, first_rule)[start - before : stop - before]
 
 
-_SHARD = "part int, shard int, n_ids long, doc_id array<{kind}>, n_tokens array<int>, n_symbols array<int>, first_rule int, rules binary, expansions binary, width int, symbols binary"
+_SHARD = "part int, shard int, n_ids long, low {kind}, high {kind}, doc_id array<{kind}>, n_tokens array<int>, n_symbols array<int>, first_rule int, rules binary, expansions binary, width int, symbols binary"
 
 
 def _library(tokenizer_file: str):
@@ -218,7 +245,7 @@ def write_shards(documents: DataFrame, path: str, tokenizer_file: str, end: int
     documents = documents.select("doc_id", "text")
     held = documents.sparkSession.sparkContext.broadcast(_sample_table(documents, tokenizer_file, sample))
     kind = documents.schema["doc_id"].dataType.simpleString()
-    names = ["part", "shard", "n_ids", "doc_id", "n_tokens", "n_symbols", "first_rule", "rules", "expansions", "width", "symbols"]
+    names = ["part", "shard", "n_ids", "low", "high", "doc_id", "n_tokens", "n_symbols", "first_rule", "rules", "expansions", "width", "symbols"]
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -232,10 +259,12 @@ def write_shards(documents: DataFrame, path: str, tokenizer_file: str, end: int
             last = np.zeros(len(ids), dtype=bool)
             last[np.cumsum(lengths) - 1] = True
             symbols, last, rules = compress(ids, last, first_rule)
-            width = 2 if len(rules) + first_rule <= 1 << 16 else 4
+            width = next(w for w in (2, 3, 4) if len(rules) + first_rule <= 1 << 8 * w)
+            known = [doc for doc in docs if doc is not None]
+            low, high = (known[0], known[-1]) if known else (None, None)
             n_symbols = np.diff(np.append(-1, np.flatnonzero(last)))
-            row = [part, shard, len(ids), docs, lengths.tolist(), n_symbols.tolist(), first_rule, rules.astype("<u4").tobytes(), expansions(rules, first_rule).astype("<u4").tobytes(), width, symbols.astype(f"<u{width}").tobytes()]
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(doc_type), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
+            row = [part, shard, len(ids), low, high, docs, lengths.tolist(), n_symbols.tolist(), first_rule, rules.astype("<u4").tobytes(), expansions(rules, first_rule).astype("<u4").tobytes(), width, packed(symbols, width)]
+            types = [pa.int32(), pa.int32(), pa.int64(), doc_type, doc_type, pa.list_(doc_type), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
         for batch in encoded_batches(batches, encoder, word_cuts(special)):
@@ -271,7 +300,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 rules = np.frombuffer(row["rules"], "<u4").astype(np.int64).reshape(-1, 2)
-                ids = expand(np.frombuffer(row["symbols"], f"<u{row['width']}"), rules, row["first_rule"]).astype("<u4")
+                ids = expand(unpacked(row["symbols"], row["width"]), rules, row["first_rule"]).astype("<u4")
                 lengths = np.array(row["n_tokens"], dtype=np.int64)
                 edges = np.append(0, np.cumsum(lengths))
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
@@ -280,17 +309,18 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["part", "shard", "doc_id", "at", "n_tokens", "ids_crc32"])
 
     # Starts meet the few numbers of each document, never the symbols.
-    rows = files.drop("n_symbols", "expansions", "n_ids").mapInArrow(decoded, f"part int, shard int, doc_id {kind}, at long, n_tokens long, ids_crc32 long")
+    rows = files.drop("n_symbols", "expansions", "n_ids", "low", "high").mapInArrow(decoded, f"part int, shard int, doc_id {kind}, at long, n_tokens long, ids_crc32 long")
     return rows.join(starts, ["part", "shard"]).select("doc_id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def document_slice(spark: SparkSession, path: str, doc_id, start: int, stop: int) -> list[int]:
-    """The ids from start up to stop of the first document with this id: one shard is read, and only the symbols over that place are expanded."""
-    row = spark.read.parquet(path).filter(F.array_contains("doc_id", doc_id)).orderBy("part", "shard").first()
+    """The ids from start up to stop of the first document with this id: shards of other ids are passed over by their bounds, and only the symbols over that place are expanded."""
+    near = spark.read.parquet(path).filter((F.col("low") <= F.lit(doc_id)) & (F.col("high") >= F.lit(doc_id)))
+    row = near.filter(F.array_contains("doc_id", doc_id)).orderBy("part", "shard").first()
     if row is None:
         raise KeyError(doc_id)
     at = row["doc_id"].index(doc_id)
     low = sum(row["n_symbols"][:at])
-    symbols = np.frombuffer(row["symbols"], f"<u{row['width']}")[low : low + row["n_symbols"][at]].astype(np.int64)
+    symbols = unpacked(row["symbols"], row["width"])[low : low + row["n_symbols"][at]]
     rules = np.frombuffer(row["rules"], "<u4").astype(np.int64).reshape(-1, 2)
     return ids_between(symbols, rules, np.frombuffer(row["expansions"], "<u4").astype(np.int64), row["first_rule"], start, min(stop, row["n_tokens"][at])).tolist()

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from demandlab.llm.repair_files import compress, document_slice, expand, expansions, ids_between, read_documents, word_cuts, write_shards
+from demandlab.llm.repair_files import compress, document_slice, expand, expansions, ids_between, packed, read_documents, unpacked, word_cuts, write_shards
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -30,6 +30,26 @@ def test_grammar_gives_back_every_id(docs):
         assert ids_between(own, rules, sizes, 100, 1, len(doc) - 1).tolist() == doc[1:-1]
 
 
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(5)
+    said = rng.integers(0, 3000, (40, 200))
+    ids = np.concatenate([said[k] if k < 40 else rng.integers(0, 3000, 30) for k in rng.integers(0, 60, 1500)] + [np.full(5000, 7)])
+    last = np.zeros(len(ids), dtype=bool)
+    last[rng.integers(0, len(ids), 50)] = last[-1] = True
+    symbols, ends, rules = compress(ids, last, 3000, least=8)
+    assert expand(symbols, rules, 3000).tolist() == ids.tolist()
+    assert expansions(rules, 3000).max() >= 100  # a passage said again and again is one symbol, or few
+    code = (symbols[:-1] << 32 | symbols[1:])[~ends[:-1]]
+    run = np.append(False, (code[1:] == code[:-1]) & (symbols[1:][~ends[:-1]][1:] == symbols[:-1][~ends[:-1]][1:]))
+    assert np.unique(code[~run], return_counts=True)[1].max() < 8
+
+
+def test_symbols_of_every_width():
+    for width, top in ((2, 1 << 16), (3, 1 << 24), (4, 1 << 31)):
+        symbols = np.array([0, 1, top - 1, 300], dtype=np.int64)
+        assert len(packed(symbols, width)) == 4 * width and unpacked(packed(symbols, width), width).tolist() == symbols.tolist()
+
+
 def texts():
     random.seed(2)
     say = lambda n: " ".join(random.choice(["the", "cat", "sat,", "on", "x1", "été", "語語", "don't"]) for _ in range(n))
@@ -62,6 +82,9 @@ def test_small_shards_and_tasks_that_forget(spark, documents, tmp_path):
     rows = dict(texts()[:60])
     ids = tokenizer.encode(rows[33], add_special_tokens=False).ids
     assert document_slice(spark, str(tmp_path / "b"), 33, 3, 9) == ids[3:9]
+    files = spark.read.parquet(str(tmp_path / "b"))
+    inside = files.selectExpr("low", "high", "array_min(filter(doc_id, x -> x is not null)) as a", "array_max(doc_id) as b")
+    assert files.count() > 5 and inside.filter("not (low <=> a and high <=> b)").count() == 0
 
 
 def test_empty_table(spark, documents, tmp_path):
