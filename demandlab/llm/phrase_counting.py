@@ -53,6 +53,8 @@ UNKNOWN = "und"
 LEAST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 24
 #: Identifiers that a task holds before it counts them.
 HELD = 1 << 22
+#: Up to so many frequent phrases (about 32 MB) are sent to the counts; more are joined.
+MOST_SENT = 1 << 19
 #: Steps are at most LONGEST * SHARDS, which a byte holds; this one never comes.
 NEVER = 255
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -255,8 +257,8 @@ def frequent_phrases(documents: DataFrame, longest: int = LONGEST, threshold: in
 
     # Of two scans of one shard either gives the phrase's count; a phrase is whole with one count for each shard.
     by_shard = _union([frame.withColumn("shard", F.lit(k % shards)) for k, frame in enumerate(steps)])
-    held = _union(frequent).select("size", "id").distinct()
-    best = by_shard.join(held, ["size", "id"]).groupBy("size", "id", "shard").agg(F.max("n").alias("n"), F.min("spot").alias("spot"))
+    held = materialize(_union(frequent).select("size", "id").distinct(), "held")
+    best = by_shard.join(F.broadcast(held) if held.count() <= MOST_SENT else held, ["size", "id"]).groupBy("size", "id", "shard").agg(F.max("n").alias("n"), F.min("spot").alias("spot"))
     total = (F.sum("n").alias("n"), F.min("spot").alias("spot"))
     words = _union(total_words).groupBy("size", "id").agg(*total)
     whole = materialize(best.groupBy("size", "id").agg(*total).filter(F.col("n") >= threshold).union(words), "phrase-totals")

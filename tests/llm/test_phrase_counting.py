@@ -90,3 +90,14 @@ def test_long_texts_slices_and_an_empty_table(frame, monkeypatch):
     rows = corpus(5, 30) + [("en", " ".join(random.choice(["of", "the", "new", "york", "w%d" % random.randint(0, 300)]) for _ in range(60_000)))]
     assert sorted(map(tuple, collocations(frame(rows), threshold=20).collect())) == plain(rows, 5, 20, 2000)
     assert collocations(frame([])).collect() == []
+
+
+def test_counts_joined_to_frequent_phrases_are_the_same(spark, monkeypatch):
+    from demandlab.llm import phrase_counting
+
+    rows = [(k, "en", "a b c d. a b c, x y") for k in range(6)]
+    table = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    found = lambda: sorted(map(tuple, phrase_counting.frequent_phrases(table, threshold=5)[0].collect()))
+    sent = found()
+    monkeypatch.setattr(phrase_counting, "MOST_SENT", 0)
+    assert found() == sent and ("en", "a b c d", 4, 6) in sent
