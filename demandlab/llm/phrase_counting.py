@@ -38,11 +38,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlab.llm.row_filters import once, possible
-from demandlab.llm.words import LOWER, UPPER, mix, span_hashes, text_slices, utf8
+from demandlab.llm.words import mix, span_hashes, text_slices, utf8
 from demandlab.session import fresh_path, materialize
 
 LONGEST, THRESHOLD, SHARDS = 5, 100, 2
@@ -61,16 +61,19 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPACE, _BREAK = 32, 10
 
 
-def normal(text: Column) -> Column:
-    """Lower-cased, with line feeds between pieces and spaces between words."""
-    return F.translate(F.coalesce(text, F.lit("")), UPPER + BREAKS + "\t", LOWER + "\n" * len(BREAKS) + " ")
+#: Bytes as they count: lower-cased, line feeds between pieces, spaces between words.
+_NORMAL = np.arange(256, dtype=np.uint8)
+_NORMAL[65:91] += 32
+_NORMAL[list(BREAKS.encode())] = _BREAK
+_NORMAL[9] = _SPACE
 
 
 class Phrases:
-    """The words of normal texts, and the identifiers of the phrases that start at each."""
+    """The words of texts, and the identifiers of the phrases that start at each."""
 
     def __init__(self, languages: pa.Array, column: pa.Array):
         data, offsets = utf8(column)
+        data = _NORMAL[data]
         inside = np.zeros(len(data) + 2, dtype=bool)
         inside[1:-1] = (data != _SPACE) & (data != _BREAK)
         cut = np.zeros(len(data) + 1, dtype=bool)
@@ -221,7 +224,7 @@ def frequent_phrases(documents: DataFrame, longest: int = LONGEST, threshold: in
     if longest * shards >= NEVER:
         raise ValueError("too many shards")
     spark, path = documents.sparkSession, fresh_path(documents.sparkSession, "phrase-shards")
-    lang, text = F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), normal(F.col("text")).alias("text")
+    lang, text = F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     # Equal texts are spread over the shards by their row's id.
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard")
     stored = documents.select(lang, text, shard).withColumn("spot", F.hash("text"))
