@@ -13,7 +13,7 @@ from demandlab.operators.order_lines import order_lines
 from demandlab.operators.stockouts import stockouts_by_region
 from demandlab.plans.demand import Variant, wide_demand
 from demandlab.session import intermediate_results, materialize
-from demandlab.sources.demand_table import create_demand_table, replace_datasets, store_table
+from demandlab.sources.demand_table import BY_DATASET, by_dataset, create_demand_table, replace_datasets, store_table
 from demandlab.sources.tables import Tables
 
 # Line bound and customer list on; no percentile, no smoothing.
@@ -52,13 +52,15 @@ def run_full_load(
 
     The load takes the place of all rows of the country's datasets, also of those
     without demand, and the date tables take the place of older ones. So a load
-    that failed halfway, or ran already, is simply run again.
+    that failed halfway, or ran already, is simply run again. A new table is
+    partitioned by dataset alone: a load replaces whole datasets, and its readers take
+    all days, so a folder for every day of every dataset would cost more than the load.
     """
-    create_demand_table(spark, input_demand, location, "input_demand")
+    create_demand_table(spark, input_demand, location, "input_demand", BY_DATASET)
     # The ids of a country's datasets: no more than the dataset table has rows.
     datasets = [row[0] for row in select_datasets(tables, country).select("dataset_identifier").distinct().collect()]
     with intermediate_results(spark):
-        load = materialize(full_load(tables, as_of, country), "full-load")
+        load = materialize(by_dataset(full_load(tables, as_of, country)), "full-load", BY_DATASET)
         replace_datasets(load, input_demand, datasets, "input_demand")
     stored = spark.table(input_demand)
     store_table(demand_dates(stored), dates, replace=True)

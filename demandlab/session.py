@@ -6,7 +6,7 @@ import contextlib
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,14 +61,15 @@ def intermediate_results(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Use it for a result that several later branches read: the lineage is cut and
-    the files outlive any executor.
+    the files outlive any executor. Branches that each read some values of the
+    columns ``by`` read only the folders of those; these columns then come last.
     """
     path = fresh_path(df.sparkSession, name)
     for written in _open_scopes:
         written.append(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -224,3 +224,16 @@ def test_a_full_load_can_be_run_again(spark, shop, rows_of):
     assert rows_of(spark.table(names[1])) == [(MONDAY,)] and spark.table(names[2]).count() == 0
     for name in names:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_full_load_writes_few_files(spark, shop):
+    """One file for each dataset, not one for each of its days."""
+    days = [MONDAY + dt.timedelta(days=k) for k in range(5)]
+    tables = shop(stockout_by_region=[(day, 8, "BOG", 2.0) for day in days])
+    names = tuple(f"few_{name}_{uuid.uuid4().hex}" for name in ("demand", "dates", "starts"))
+    run_full_load(spark, tables, AS_OF, "CO", *names)
+    stored = spark.table(names[0])
+    assert stored.select("date").distinct().count() == 5 and len(stored.inputFiles()) == 2
+    assert spark.table(names[1]).count() == 5
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")

@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 
 from demandlab.session import CHECKPOINT_SETTING, intermediate_results, materialize, shared_folder
-from demandlab.sources.demand_table import append_demand, create_demand_table, name_temporarily, replace_dataset, replace_day, store_table
+from demandlab.sources.demand_table import BY_DATASET, PARTITION_COLUMNS, append_demand, create_demand_table, name_temporarily, replace_dataset, replace_day, store_table
 from demandlab.sources.schemas import schema_of
 from demandlab.sources.tables import Tables, catalog_tables
 
@@ -134,3 +134,45 @@ def test_intermediate_results_go_with_their_block(spark):
 
 def exists(df):
     return Path(df.inputFiles()[0].removeprefix("file://")).parent.exists()
+
+
+def test_a_table_by_dataset_has_no_file_for_every_day(spark, rows_of, tmp_path):
+    rows = spark.createDataFrame([(MONDAY + dt.timedelta(days=k), k, 1.0, 10 + k % 2) for k in range(60)], schema_of("input_demand"))
+    place = f"file://{tmp_path}/by_dataset"
+    for table in ("few_files", "few_files_again"):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        create_demand_table(spark, table, place, "input_demand", BY_DATASET if table == "few_files" else PARTITION_COLUMNS)
+        if table == "few_files":
+            append_demand(rows, table, "input_demand")
+            append_demand(rows, table, "input_demand")
+            replace_dataset(rows, table, 10, "input_demand")
+            assert spark.table(table).count() == 30 + 60 and len(list(tmp_path.rglob("*.parquet"))) <= 4
+            replace_dataset(rows, table, 11, "input_demand")
+            assert rows_of(spark.table(table), *rows.columns) == rows_of(rows)
+    # Another table at the place is partitioned as the files there are.
+    assert rows_of(spark.table("few_files_again"), *rows.columns) == rows_of(rows)
+    replace_dataset(rows.limit(0), "few_files_again", 10, "input_demand")
+    assert rows_of(spark.table("few_files_again"), *rows.columns) == rows_of(rows.filter("dp_input_datasets_id = 11"))
+    spark.sql("DROP TABLE few_files")
+    spark.sql("DROP TABLE few_files_again")
+
+
+def test_files_of_every_day_stay_readable_by_dataset(spark, loaded, rows_of, tmp_path):
+    place = f"file://{tmp_path}/days"
+    for table in ("older", "newer"):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    create_demand_table(spark, "older", place, "input_demand")
+    append_demand(loaded, "older", "input_demand")
+    create_demand_table(spark, "newer", place, "input_demand", BY_DATASET)
+    assert rows_of(spark.table("newer"), *loaded.columns) == rows_of(loaded)
+    replace_dataset(loaded.limit(0), "newer", 10, "input_demand")
+    assert rows_of(spark.table("newer"), "product_id") == [(2,)]
+    for table in ("older", "newer"):
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_materialized_table_by_dataset_reads_one_folder(spark, loaded, rows_of):
+    copy = materialize(loaded, "copy", BY_DATASET)
+    assert rows_of(copy, *loaded.columns) == rows_of(loaded)
+    plan = copy.filter("dp_input_datasets_id = 10")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dp_input_datasets_id" in plan

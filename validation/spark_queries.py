@@ -298,7 +298,8 @@ def _full_load_tables(spark, sf_dir, runs=1):
     (demand, path), (dates, _), (starts, _) = (_new_table(spark, name) for name in ("input", "dates", "starts"))
     for _ in range(runs):
         run_full_load(spark, source_tables(spark, sf_dir), AS_OF, "c1", demand, dates, starts, path)
-    return spark.table(demand), spark.table(dates), spark.table(starts)
+    loaded = spark.table(demand).select("product_id", "demand", "dp_input_datasets_id", "date")
+    return loaded, spark.table(dates), spark.table(starts)
 
 
 @query
