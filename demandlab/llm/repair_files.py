@@ -44,8 +44,10 @@ END, SHARD_IDS = 2, 1 << 20
 SAMPLE, MOST_UNITS = 10_000, 1 << 20
 #: Units given to the library in one string.
 LINE = 500
-#: The least count of a pair that is replaced, and the bins in which pairs are counted.
+#: The least count of a pair that is replaced, and the most bins in which pairs are counted, as a power of two.
 LEAST, BIN_BITS = 8, 20
+#: How often pairs that share a bin are dealt out anew before they are sorted.
+SPLITS = 8
 _SPACES, _ASCII_SPACE, _LETTER = (np.zeros(256, dtype=bool) for _ in range(3))
 #: White space of ASCII, and the first bytes of all white space beyond it.
 _SPACES[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -78,26 +80,36 @@ def word_cuts(special: tuple[bytes, ...] = ()) -> Cuts:
     return cuts
 
 
-def _frequent(code: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, number, values): the places among `at` of pairs with `least` places or more there, and which pair it is."""
-    bins = (code[at].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BIN_BITS)).astype(np.int32)
-    counts = np.bincount(bins, minlength=1 << BIN_BITS)
-    inside = counts[bins] >= least
-    at, bins = at[inside], bins[inside]
-    # A full bin stands for one of its pairs; others in it wait.
-    values = np.zeros(1 << BIN_BITS, dtype=np.int64)
-    values[bins] = code[at]
-    own = values[bins] == code[at]
-    times = np.bincount(bins[own], minlength=1 << BIN_BITS)
-    enough = own & (times[bins] >= least)
-    if not enough.any() and len(at):  # only pairs that wait can be frequent
-        values, number, times = np.unique(code[at], return_inverse=True, return_counts=True)
-        enough = times[number] >= least
-        bins = number
-    at, bins = at[enough], bins[enough]
-    ranked = np.zeros(len(values), dtype=bool)
-    ranked[bins] = True
-    return at, (np.cumsum(ranked) - 1)[bins], values[ranked]
+def _frequent(code: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(at, number, values): which of the codes occur `least` times or more, and which of `values` each is."""
+    rest, seed, total = np.arange(len(code), dtype=np.int32), 0x9E3779B97F4A7C15, 0
+    number, values = np.full(len(code), -1, dtype=np.int32), []
+    for _ in range(SPLITS):
+        if len(rest) < least:
+            break
+        bits = min(BIN_BITS, len(rest).bit_length())
+        own_code = code[rest]
+        bins = (own_code.view(np.uint64) * np.uint64(seed) >> np.uint64(64 - bits)).astype(np.int32)
+        inside = (np.bincount(bins, minlength=1 << bits) >= least)[bins]
+        rest, bins, own_code = rest[inside], bins[inside], own_code[inside]
+        # A full bin stands for one of its pairs; the others in it are dealt out anew.
+        holder = np.zeros(1 << bits, dtype=np.int64)
+        holder[bins] = own_code
+        own = holder[bins] == own_code
+        full = np.bincount(bins[own], minlength=1 << bits) >= least
+        enough = own & full[bins]
+        number[rest[enough]] = (np.cumsum(full, dtype=np.int32) + np.int32(total - 1))[bins[enough]]
+        values.append(holder[full])
+        total += len(values[-1])
+        rest, seed = rest[~own], (seed * 0x5851F42D4C957F2D + 2) & (1 << 64) - 1 | 1
+    else:
+        found, which, times = np.unique(code[rest], return_inverse=True, return_counts=True)
+        full = times >= least
+        enough = full[which]
+        number[rest[enough]] = (np.cumsum(full) + total - 1)[which[enough]]
+        values.append(found[full])
+    at = np.flatnonzero(number >= 0)
+    return at, number[at], np.concatenate(values) if values else np.empty(0, np.int64)
 
 
 def compress(ids: np.ndarray, last: np.ndarray, first_rule: int, least: int = LEAST):
@@ -106,36 +118,44 @@ def compress(ids: np.ndarray, last: np.ndarray, first_rule: int, least: int = LE
     A round replaces all pairs that occur `least` times or more; rounds go on until
     there is no such pair. A new frequent pair has a symbol of the round before, so
     most rounds look at those places alone; when they find nothing all are looked at.
+    Symbols stay in their places and know those beside them, so a round costs what it
+    looks at; place n stands for what lies beyond a document.
     """
-    symbols, rules, base = ids.astype(np.int64), np.empty((0, 2), dtype=np.int64), 0
-    while len(symbols) > 1:
-        open_ = ~last[:-1]
-        if base:
-            new = symbols >= base
-            open_ &= new[:-1] | new[1:]
-        code = symbols[:-1] << 32 | symbols[1:]
-        at, number, values = _frequent(code, np.flatnonzero(open_), least)
+    n, rules = len(ids), [np.empty((0, 2), dtype=np.int64)]
+    symbols, first = np.append(ids, 0).astype(np.int64), np.append(True, last[:-1])[:n]
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    after[:n][last] = after[n] = n
+    before[:n][first] = n
+    alive, near, next_rule = np.ones(n, dtype=bool), None, first_rule
+    while True:
+        places = np.flatnonzero(alive if near is None else near)
+        places = places[after[places] < n]
+        at, number, values = _frequent(symbols[places] << 32 | symbols[after[places]], least)
+        at = places[at]
         # Of overlapping pairs in a row every second one is taken, from the left.
-        begins = np.append(True, np.diff(at) != 1)[: len(at)]
-        taken = (np.arange(len(at)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]) % 2 == 0
+        begins = np.flatnonzero(np.append(True, after[at[:-1]] != at[1:])[: len(at)])
+        odd = np.arange(len(at), dtype=np.int32) & 1
+        taken = odd == np.repeat((begins & 1).astype(np.int32), np.diff(np.append(begins, len(at))))
         at, number = at[taken], number[taken]
         # What its neighbours left with a single place is no rule yet; half of all places are taken, so with four or more a pair some pair has two.
         used = np.bincount(number, minlength=len(values)) > 1
         at, number = at[used[number]], (np.cumsum(used) - 1)[number[used[number]]]
         if not len(at):
-            if not base:
+            if near is None:
                 break
-            base = 0
+            near = None
             continue
-        base = first_rule + len(rules)
-        symbols[at] = base + number
-        last = last.copy()
-        last[at] = last[at + 1]
-        kept = np.ones(len(symbols), dtype=bool)
-        kept[at + 1] = False
-        symbols, last = symbols[kept], last[kept]
-        rules = np.concatenate([rules, np.stack([values[used] >> 32, values[used] & 0xFFFFFFFF], axis=1)])
-    return symbols, last, rules
+        symbols[at] = next_rule + number
+        gone = after[at]
+        beyond = after[gone]
+        after[at], before[beyond], alive[gone] = beyond, at, False
+        near = np.zeros(n + 1, dtype=bool)
+        near[at] = near[before[at]] = True
+        near[n] = False
+        values = values[used]
+        rules.append(np.stack([values >> 32, values & 0xFFFFFFFF], axis=1))
+        next_rule += len(values)
+    return symbols[:n][alive], after[:n][alive] == n, np.concatenate(rules)
 
 
 def packed(symbols: np.ndarray, width: int) -> bytes:
@@ -150,33 +170,39 @@ def unpacked(raw: bytes, width: int) -> np.ndarray:
 
 def expansions(rules: np.ndarray, first_rule: int) -> np.ndarray:
     """The number of ids that each rule stands for."""
-    size = np.ones(len(rules), dtype=np.int64)
-    for k, (a, b) in enumerate(rules.tolist()):
-        size[k] = (size[a - first_rule] if a >= first_rule else 1) + (size[b - first_rule] if b >= first_rule else 1)
-    return size
+    size = []
+    for a, b in rules.tolist():
+        size.append((size[a - first_rule] if a >= first_rule else 1) + (size[b - first_rule] if b >= first_rule else 1))
+    return np.array(size, dtype=np.int64)
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
-    """All ids, by replacing rules by their pairs until none is left."""
+def _lengths(symbols: np.ndarray, sizes: np.ndarray, first_rule: int) -> np.ndarray:
+    lengths, rule = np.ones(len(symbols), dtype=np.int64), symbols >= first_rule
+    lengths[rule] = sizes[symbols[rule] - first_rule]
+    return lengths
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int, sizes: np.ndarray | None = None) -> np.ndarray:
+    """All ids, by replacing rules by their pairs until none is left; each id goes to its place at once."""
     symbols = symbols.astype(np.int64)
-    while len(at := np.flatnonzero(symbols >= first_rule)):
-        sizes = np.ones(len(symbols), dtype=np.int64)
-        sizes[at] = 2
-        place = np.cumsum(sizes) - sizes
-        pair = rules[symbols[at] - first_rule]
-        symbols = np.repeat(symbols, sizes)
-        symbols[place[at]], symbols[place[at] + 1] = pair[:, 0], pair[:, 1]
-    return symbols
+    sizes = expansions(rules, first_rule) if sizes is None else sizes
+    ends = np.cumsum(_lengths(symbols, sizes, first_rule))
+    out, place = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.int64), np.append(0, ends[:-1])[: len(ends)]
+    while len(symbols):
+        rule = symbols >= first_rule
+        out[place[~rule]] = symbols[~rule]
+        pair, place = rules[symbols[rule] - first_rule], place[rule]
+        symbols = np.concatenate([pair[:, 0], pair[:, 1]])
+        place = np.concatenate([place, place + _lengths(pair[:, 0], sizes, first_rule)])
+    return out
 
 
 def ids_between(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, first_rule: int, start: int, stop: int) -> np.ndarray:
     """The ids from start up to stop of a run of symbols; only what covers them is expanded."""
-    lengths = np.ones(len(symbols), dtype=np.int64)
-    lengths[symbols >= first_rule] = sizes[symbols[symbols >= first_rule] - first_rule]
-    ends = np.cumsum(lengths)
+    ends = np.cumsum(_lengths(symbols, sizes, first_rule))
     low, high = np.searchsorted(ends, start, side="right"), np.searchsorted(ends, stop, side="left") + 1
     before = int(ends[low - 1]) if low else 0
-    return expand(symbols[low:high], rules, first_rule)[start - before : stop - before]
+    return expand(symbols[low:high], rules, first_rule, sizes)[start - before : stop - before]
 
 
 _SHARD = "part int, shard int, n_ids long, low {kind}, high {kind}, doc_id array<{kind}>, n_tokens array<int>, n_symbols array<int>, first_rule int, rules binary, expansions binary, width int, symbols binary"
@@ -300,7 +326,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 rules = np.frombuffer(row["rules"], "<u4").astype(np.int64).reshape(-1, 2)
-                ids = expand(unpacked(row["symbols"], row["width"]), rules, row["first_rule"]).astype("<u4")
+                sizes = np.frombuffer(row["expansions"], "<u4").astype(np.int64)
+                ids = expand(unpacked(row["symbols"], row["width"]), rules, row["first_rule"], sizes).astype("<u4")
                 lengths = np.array(row["n_tokens"], dtype=np.int64)
                 edges = np.append(0, np.cumsum(lengths))
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
@@ -309,7 +336,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["part", "shard", "doc_id", "at", "n_tokens", "ids_crc32"])
 
     # Starts meet the few numbers of each document, never the symbols.
-    rows = files.drop("n_symbols", "expansions", "n_ids", "low", "high").mapInArrow(decoded, f"part int, shard int, doc_id {kind}, at long, n_tokens long, ids_crc32 long")
+    rows = files.drop("n_symbols", "n_ids", "low", "high").mapInArrow(decoded, f"part int, shard int, doc_id {kind}, at long, n_tokens long, ids_crc32 long")
     return rows.join(starts, ["part", "shard"]).select("doc_id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
