@@ -58,17 +58,22 @@ _SIGN = np.zeros(256, dtype=bool)
 _SIGN[33:127] = True
 _SIGN[48:58] = _SIGN[39] = False
 _SIGN &= ~_LETTER
+#: All of it as bits of one table: a place is looked up once.
+_KIND = (_LETTER * 1 | _SIGN * 2 | _ASCII_SPACE * 4 | _SPACES * 8 | (np.arange(256) == 32) * 16).astype(np.uint8)
+#: For the kinds of two bytes in a row, whether a token begins before the second, and whether before the first.
+_BETWEEN = np.array([[bool(a & 1 and b & 2 or a & 2 and b & 1 or a & 3 and b & 4) for b in range(32)] for a in range(32)]).ravel()
+_BEFORE = np.array([[bool(a & 16 and not b & 8) for b in range(32)] for a in range(32)]).ravel()
 
 
 def word_cuts(special: tuple[bytes, ...] = ()) -> Cuts:
     """Places where a token must begin, except inside special tokens."""
 
     def cuts(data: np.ndarray) -> np.ndarray:
-        begins = data == 32  # a space that a character other than white space follows
-        begins[:-1] &= ~_SPACES[data[1:]]
-        begins[-1:] = False
-        letter, sign, space = _LETTER[data], _SIGN[data], _ASCII_SPACE[data]
-        begins[1:] |= (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:]) | ((letter[:-1] | sign[:-1]) & space[1:])
+        kind = _KIND[data]
+        pair = kind[:-1].astype(np.uint16) << 5 | kind[1:]
+        begins = np.zeros(len(data), dtype=bool)
+        begins[:-1] = _BEFORE[pair]  # a space that a character other than white space follows
+        begins[1:] |= _BETWEEN[pair]
         raw = data.tobytes() if special else b""
         for token in special:
             at = raw.find(token)

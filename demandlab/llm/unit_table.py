@@ -42,9 +42,9 @@ class Units:
         begins[offsets[:-1][np.diff(offsets) > 0]] = True
         self.starts = np.flatnonzero(begins)
         self.ends = np.append(self.starts[1:], len(data))[: len(self.starts)]
-        self.row = np.searchsorted(offsets, self.starts, side="right") - 1
         #: The units of row i are those from first[i] up to first[i + 1].
-        self.first = np.searchsorted(self.row, np.arange(self.rows + 1))
+        self.first = np.append(np.searchsorted(self.starts, offsets[: self.rows]), len(self.starts))
+        self.row = np.repeat(np.arange(self.rows), np.diff(self.first))
         self.hashes = span_hashes(self.data, self.starts, self.ends)
 
     def text(self, unit: int) -> str:
@@ -90,6 +90,17 @@ def flattened(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return lengths, np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(lengths.sum()))
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in order, the first place of each, and the number of each place; only the distinct ones are sorted."""
+    coded = pa.array(hashes).dictionary_encode()
+    values, back = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    order, rank, index = np.argsort(values), np.empty(len(values), np.int32), np.empty(len(values), np.int64)
+    rank[order] = np.arange(len(values), dtype=np.int32)
+    back = rank[back]
+    index[back[::-1]] = np.arange(len(back) - 1, -1, -1)
+    return values[order], index, back
+
+
 def no_table() -> Table:
     return Table(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32))
 
@@ -103,7 +114,7 @@ class TaskEncoder:
 
     def __call__(self, units: Units) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all units in turn, and where each row's begin."""
-        values, index, back = np.unique(units.hashes, return_index=True, return_inverse=True)
+        values, index, back = _distinct(units.hashes)
         fixed = np.zeros(len(values), dtype=bool)
         for table in self.tables:
             fixed |= table.find(values) >= 0

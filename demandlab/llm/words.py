@@ -36,18 +36,32 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
+def _powers(base: np.uint64, count: int) -> np.ndarray:
+    powers = np.full(count, base, dtype=np.uint64)
+    powers[0] = 1
+    return np.multiply.accumulate(powers, out=powers)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each non-empty span of bytes."""
     out, lengths = np.empty(len(starts), dtype=np.uint64), ends - starts
     if not len(out):
         return out
-    powers = np.full(int(lengths.max()), _BASE, dtype=np.uint64)
-    powers[0] = 1
-    np.multiply.accumulate(powers, out=powers)
     edges = np.searchsorted(np.cumsum(lengths), np.arange(0, int(lengths.sum()), 1 << 20), side="right")
     edges = np.unique(np.append(edges, len(out)))
-    for low, high in zip(np.append(0, edges)[:-1], edges):
-        if low == high:
+    pieces = [(low, high) for low, high in zip(np.append(0, edges)[:-1], edges) if low < high]
+    powers = _powers(_BASE, max(int(lengths[low:high].sum()) for low, high in pieces))
+    inverse = None
+    for low, high in pieces:
+        begin, end = starts[low:high], ends[low:high]
+        if high - low > 1 and (end[:-1] == begin[1:]).all():
+            # Spans side by side: differences of one running sum, divided by the power each starts with.
+            if inverse is None:
+                inverse = _powers(np.uint64(pow(int(_BASE), -1, 1 << 64)), len(powers))
+            run = np.zeros(int(end[-1] - begin[0]) + 1, dtype=np.uint64)
+            np.cumsum(_CODES[data[begin[0] : end[-1]]] * powers[: len(run) - 1], out=run[1:])
+            edge = run[np.append(begin, end[-1]) - begin[0]]
+            out[low:high] = np.diff(edge) * inverse[begin - begin[0]]
             continue
         size = lengths[low:high]
         begin = np.cumsum(size) - size

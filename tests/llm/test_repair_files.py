@@ -102,3 +102,23 @@ def test_a_task_that_forgets_units_encodes_them_again(monkeypatch):
     for text in ("a b c", "b d e f g", "a b", "", "a a c g"):
         ids, first = encoder(unit_table.Units(pa.array([text, None]), word_cuts()))
         assert ids.tolist() == [ord(c) for c in text] and first.tolist() == [0, len(text), len(text)]
+
+
+def test_a_round_costs_what_it_looks_at(monkeypatch):
+    """After the first rounds few places are looked at, and pairs sharing a bin do not wait for another round."""
+    from demandlab.llm import repair_files
+
+    looked, frequent = [], repair_files._frequent
+    monkeypatch.setattr(repair_files, "_frequent", lambda code, least: looked.append(len(code)) or frequent(code, least))
+    ids = np.random.default_rng(6).zipf(1.3, 200_000) % 3000
+    last = np.zeros(len(ids), dtype=bool)
+    last[999::1000] = True
+    compress(ids, last, 3000)
+    assert sum(looked) < 4 * len(ids)
+    monkeypatch.undo()
+    codes = np.random.default_rng(7).integers(0, 4000, 20_000)
+    monkeypatch.setattr(repair_files, "BIN_BITS", 2)  # all bins are shared, the last pairs are sorted
+    at, number, values = frequent(codes, 5)
+    found, times = np.unique(codes, return_counts=True)
+    assert sorted(values.tolist()) == found[times >= 5].tolist()
+    assert values[number].tolist() == codes[at].tolist() and len(at) == times[times >= 5].sum()

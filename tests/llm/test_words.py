@@ -5,7 +5,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from demandlab.llm.words import SLICE_BYTES, Words, shingles, text_slices
+from demandlab.llm.words import SLICE_BYTES, Words, shingles, span_hashes, text_slices
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TEXT = st.text(alphabet="aB1_ .éЖ語\n'", max_size=40)
@@ -44,3 +44,12 @@ def test_batches_are_cut_between_rows_and_lose_none():
     parts = list(text_slices(iter([batch])))
     assert [len(p) for p in parts] == [2, 3, 1]
     assert np.concatenate([p["text"].to_pylist() for p in parts]).tolist() == batch["text"].to_pylist()
+
+
+def test_spans_side_by_side_have_the_hashes_of_lone_spans():
+    data = np.random.default_rng(3).integers(0, 256, 5000).astype(np.uint8)
+    starts = np.unique(np.append(0, np.random.default_rng(4).integers(0, 5000, 700)))
+    ends = np.append(starts[1:], 5000)
+    alone = [span_hashes(data, starts[k : k + 1], ends[k : k + 1])[0] for k in range(len(starts))]
+    assert span_hashes(data, starts, ends).tolist() == alone
+    assert span_hashes(data, starts[::2], ends[::2]).tolist() == alone[::2]
