@@ -28,6 +28,7 @@ table gives files without shards; other columns are not written.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -43,11 +44,9 @@ END, SHARD_IDS = 2, 1 << 20
 #: About so many documents' units are encoded beforehand, and sent to every task; it only saves time.
 SAMPLE, MOST_UNITS = 10_000, 1 << 20
 #: Units given to the library in one string.
-LINE = 500
+LINE = 64
 #: The least count of a pair that is replaced, and the most bins in which pairs are counted, as a power of two.
-LEAST, BIN_BITS = 8, 20
-#: How often pairs that share a bin are dealt out anew before they are sorted.
-SPLITS = 8
+LEAST, BIN_BITS = 8, 18
 _SPACES, _ASCII_SPACE, _LETTER = (np.zeros(256, dtype=bool) for _ in range(3))
 #: White space of ASCII, and the first bytes of all white space beyond it.
 _SPACES[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -58,23 +57,20 @@ _SIGN = np.zeros(256, dtype=bool)
 _SIGN[33:127] = True
 _SIGN[48:58] = _SIGN[39] = False
 _SIGN &= ~_LETTER
-#: All of it as bits of one table: a place is looked up once.
-_KIND = (_LETTER * 1 | _SIGN * 2 | _ASCII_SPACE * 4 | _SPACES * 8 | (np.arange(256) == 32) * 16).astype(np.uint8)
-#: For the kinds of two bytes in a row, whether a token begins before the second, and whether before the first.
-_BETWEEN = np.array([[bool(a & 1 and b & 2 or a & 2 and b & 1 or a & 3 and b & 4) for b in range(32)] for a in range(32)]).ravel()
-_BEFORE = np.array([[bool(a & 16 and not b & 8) for b in range(32)] for a in range(32)]).ravel()
+#: Bits of a byte, and of one after it; where they meet a token begins: before the second byte, or (16) before the first.
+_KIND = (_LETTER * 1 | _SIGN * 2 | (np.arange(256) == 32) * 16).astype(np.uint8).tobytes()
+_NEXT = (_LETTER * 2 | _SIGN * 1 | _ASCII_SPACE * 3 | ~_SPACES * 16).astype(np.uint8).tobytes()
 
 
 def word_cuts(special: tuple[bytes, ...] = ()) -> Cuts:
     """Places where a token must begin, except inside special tokens."""
 
     def cuts(data: np.ndarray) -> np.ndarray:
-        kind = _KIND[data]
-        pair = kind[:-1].astype(np.uint16) << 5 | kind[1:]
+        raw = data.tobytes()
+        met = np.frombuffer(raw.translate(_KIND), np.uint8)[:-1] & np.frombuffer(raw.translate(_NEXT), np.uint8)[1:]
         begins = np.zeros(len(data), dtype=bool)
-        begins[:-1] = _BEFORE[pair]  # a space that a character other than white space follows
-        begins[1:] |= _BETWEEN[pair]
-        raw = data.tobytes() if special else b""
+        begins[:-1] = met & 16  # a space that a character other than white space follows
+        begins[1:] |= (met & 3) > 0
         for token in special:
             at = raw.find(token)
             while at >= 0:
@@ -87,34 +83,15 @@ def word_cuts(special: tuple[bytes, ...] = ()) -> Cuts:
 
 def _frequent(code: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(at, number, values): which of the codes occur `least` times or more, and which of `values` each is."""
-    rest, seed, total = np.arange(len(code), dtype=np.int32), 0x9E3779B97F4A7C15, 0
-    number, values = np.full(len(code), -1, dtype=np.int32), []
-    for _ in range(SPLITS):
-        if len(rest) < least:
-            break
-        bits = min(BIN_BITS, len(rest).bit_length())
-        own_code = code[rest]
-        bins = (own_code.view(np.uint64) * np.uint64(seed) >> np.uint64(64 - bits)).astype(np.int32)
-        inside = (np.bincount(bins, minlength=1 << bits) >= least)[bins]
-        rest, bins, own_code = rest[inside], bins[inside], own_code[inside]
-        # A full bin stands for one of its pairs; the others in it are dealt out anew.
-        holder = np.zeros(1 << bits, dtype=np.int64)
-        holder[bins] = own_code
-        own = holder[bins] == own_code
-        full = np.bincount(bins[own], minlength=1 << bits) >= least
-        enough = own & full[bins]
-        number[rest[enough]] = (np.cumsum(full, dtype=np.int32) + np.int32(total - 1))[bins[enough]]
-        values.append(holder[full])
-        total += len(values[-1])
-        rest, seed = rest[~own], (seed * 0x5851F42D4C957F2D + 2) & (1 << 64) - 1 | 1
-    else:
-        found, which, times = np.unique(code[rest], return_inverse=True, return_counts=True)
-        full = times >= least
-        enough = full[which]
-        number[rest[enough]] = (np.cumsum(full) + total - 1)[which[enough]]
-        values.append(found[full])
-    at = np.flatnonzero(number >= 0)
-    return at, number[at], np.concatenate(values) if values else np.empty(0, np.int64)
+    # A bin with too few codes holds no frequent one; what is left is counted by a hash table.
+    bits = min(BIN_BITS, max(1, len(code).bit_length()))
+    bins = (code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).view(np.int64)
+    inside = np.flatnonzero((np.bincount(bins, minlength=1 << bits) >= least)[bins])
+    coded = pa.array(code[inside]).dictionary_encode()
+    which, values = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    full = np.bincount(which, minlength=len(values)) >= least
+    enough = np.flatnonzero(full[which])
+    return inside[enough], (np.cumsum(full) - 1)[which[enough]], values[full]
 
 
 def compress(ids: np.ndarray, last: np.ndarray, first_rule: int, least: int = LEAST):
@@ -127,40 +104,45 @@ def compress(ids: np.ndarray, last: np.ndarray, first_rule: int, least: int = LE
     looks at; place n stands for what lies beyond a document.
     """
     n, rules = len(ids), [np.empty((0, 2), dtype=np.int64)]
-    symbols, first = np.append(ids, 0).astype(np.int64), np.append(True, last[:-1])[:n]
+    symbols, first = np.append(ids, 0).astype(np.int32), np.append(True, last[:-1])[:n]
     after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
     after[:n][last] = after[n] = n
     before[:n][first] = n
     alive, near, next_rule = np.ones(n, dtype=bool), None, first_rule
     while True:
         places = np.flatnonzero(alive if near is None else near)
-        places = places[after[places] < n]
-        at, number, values = _frequent(symbols[places] << 32 | symbols[after[places]], least)
-        at = places[at]
+        second = after[places]
+        inner = np.flatnonzero(second < n)
+        places, second = places[inner], second[inner]
+        pair = np.empty((len(places), 2), dtype="<i4")
+        pair[:, 1], pair[:, 0] = symbols[places], symbols[second]
+        at, number, values = _frequent(pair.view("<i8").ravel(), least)
+        at, second = places[at], second[at]
         # Of overlapping pairs in a row every second one is taken, from the left.
-        begins = np.flatnonzero(np.append(True, after[at[:-1]] != at[1:])[: len(at)])
-        odd = np.arange(len(at), dtype=np.int32) & 1
-        taken = odd == np.repeat((begins & 1).astype(np.int32), np.diff(np.append(begins, len(at))))
-        at, number = at[taken], number[taken]
+        begins = np.flatnonzero(np.append(True, second[:-1] != at[1:])[: len(at)])
+        in_row = np.arange(len(at)) - np.repeat(begins, np.diff(np.append(begins, len(at))))
+        taken = np.flatnonzero(in_row & 1 == 0)
+        at, second, number = at[taken], second[taken], number[taken]
         # What its neighbours left with a single place is no rule yet; half of all places are taken, so with four or more a pair some pair has two.
         used = np.bincount(number, minlength=len(values)) > 1
-        at, number = at[used[number]], (np.cumsum(used) - 1)[number[used[number]]]
+        if not used.all():
+            kept = np.flatnonzero(used[number])
+            at, second, number = at[kept], second[kept], (np.cumsum(used) - 1)[number[kept]]
         if not len(at):
             if near is None:
                 break
             near = None
             continue
         symbols[at] = next_rule + number
-        gone = after[at]
-        beyond = after[gone]
-        after[at], before[beyond], alive[gone] = beyond, at, False
+        beyond = after[second]
+        after[at], before[beyond], alive[second] = beyond, at, False
         near = np.zeros(n + 1, dtype=bool)
         near[at] = near[before[at]] = True
         near[n] = False
         values = values[used]
         rules.append(np.stack([values >> 32, values & 0xFFFFFFFF], axis=1))
         next_rule += len(values)
-    return symbols[:n][alive], after[:n][alive] == n, np.concatenate(rules)
+    return symbols[:n][alive].astype(np.int64), after[:n][alive] == n, np.concatenate(rules)
 
 
 def packed(symbols: np.ndarray, width: int) -> bytes:
@@ -202,6 +184,17 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int, sizes: np.nd
     return out
 
 
+def expand_shard(symbols: np.ndarray, rules: np.ndarray, first_rule: int, sizes: np.ndarray) -> np.ndarray:
+    """As ``expand``; each rule is expanded once, and its ids are copied to all its places."""
+    ends = np.cumsum(_lengths(symbols, sizes, first_rule))
+    if not len(ends) or sizes.sum() > ends[-1]:  # rules within rules that together are longer than the ids
+        return expand(symbols, rules, first_rule, sizes)
+    ids = np.append(np.arange(first_rule), expand(np.arange(len(rules)) + first_rule, rules, first_rule, sizes))
+    starts = np.append(np.arange(first_rule), np.cumsum(sizes) - sizes + first_rule)[symbols]
+    lengths = np.diff(ends, prepend=0)
+    return ids[np.arange(int(ends[-1])) + np.repeat(starts - ends + lengths, lengths)]
+
+
 def ids_between(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, first_rule: int, start: int, stop: int) -> np.ndarray:
     """The ids from start up to stop of a run of symbols; only what covers them is expanded."""
     ends = np.cumsum(_lengths(symbols, sizes, first_rule))
@@ -213,8 +206,9 @@ def ids_between(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, first
 _SHARD = "part int, shard int, n_ids long, low {kind}, high {kind}, doc_id array<{kind}>, n_tokens array<int>, n_symbols array<int>, first_rule int, rules binary, expansions binary, width int, symbols binary"
 
 
+@functools.cache
 def _library(tokenizer_file: str):
-    """The tokenizer, its special tokens as bytes, and a function from units to their ids.
+    """The tokenizer, its special tokens as bytes, and a function from units to their ids; a process loads them once.
 
     A line feed between two units that neither start nor end with white space (but
     for one space in front) is a token of its own, so such units are encoded some
@@ -232,8 +226,12 @@ def _library(tokenizer_file: str):
     def ids_of(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    signed = not any(token.isalnum() for token in special)
+
     def apart(unit: str) -> bool:
         body = unit[1:] if unit[0] == " " else unit
+        if signed and body.isalnum():  # most units; they hold no special token, for each has a sign
+            return True
         return bool(body) and not (body[0].isspace() or body[-1].isspace() or "\n" in body or any(token in body for token in special))
 
     def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -300,9 +298,11 @@ def write_shards(documents: DataFrame, path: str, tokenizer_file: str, end: int
 
         for batch in encoded_batches(batches, encoder, word_cuts(special)):
             doc_type = batch.schema.field("doc_id").type
-            offsets, values = batch["ids"].offsets.to_numpy(), batch["ids"].values.to_numpy()
+            offsets = batch["ids"].offsets.to_numpy()
+            values = np.insert(batch["ids"].values.to_numpy(), offsets[1:], np.int32(end))
+            offsets = offsets + np.arange(len(offsets))
             for k, doc in enumerate(batch["doc_id"].to_pylist()):
-                ids = np.append(values[offsets[k] : offsets[k + 1]], np.int32(end))
+                ids = values[offsets[k] : offsets[k + 1]]
                 if parts and size + len(ids) > shard_ids:
                     yield finished()
                     shard, docs, parts, size = shard + 1, [], [], 0
@@ -332,7 +332,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             for row in batch.to_pylist():
                 rules = np.frombuffer(row["rules"], "<u4").astype(np.int64).reshape(-1, 2)
                 sizes = np.frombuffer(row["expansions"], "<u4").astype(np.int64)
-                ids = expand(unpacked(row["symbols"], row["width"]), rules, row["first_rule"], sizes).astype("<u4")
+                ids = expand_shard(unpacked(row["symbols"], row["width"]), rules, row["first_rule"], sizes).astype("<u4")
                 lengths = np.array(row["n_tokens"], dtype=np.int64)
                 edges = np.append(0, np.cumsum(lengths))
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]

@@ -7,6 +7,7 @@ table made for all texts beforehand, or by the first text of a task that has it.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,6 +25,12 @@ Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 REMEMBERED = 1 << 20
 
 
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all runs, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
 class Units:
     """The units of a column of texts: where each starts and ends, and the row it is in."""
 
@@ -44,11 +51,20 @@ class Units:
         self.ends = np.append(self.starts[1:], len(data))[: len(self.starts)]
         #: The units of row i are those from first[i] up to first[i + 1].
         self.first = np.append(np.searchsorted(self.starts, offsets[: self.rows]), len(self.starts))
-        self.row = np.repeat(np.arange(self.rows), np.diff(self.first))
-        self.hashes = span_hashes(self.data, self.starts, self.ends)
 
-    def text(self, unit: int) -> str:
-        return self.data[self.starts[unit] : self.ends[unit]].tobytes().decode()
+    @functools.cached_property
+    def hashes(self) -> np.ndarray:
+        return span_hashes(self.data, self.starts, self.ends)
+
+    def distinct(self) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+        """Distinct units in the order of their hashes, these hashes, and the number of each unit."""
+        ends = np.append(self.starts, len(self.data)).astype(np.int32)  # units stand side by side
+        coded = pa.StringArray.from_buffers(len(self.starts), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(self.data))).dictionary_encode()
+        data, edges = utf8(coded.dictionary)
+        hashes = span_hashes(data, edges[:-1], edges[1:])
+        order, rank = np.argsort(hashes), np.empty(len(hashes), np.int32)
+        rank[order] = np.arange(len(hashes), dtype=np.int32)
+        return coded.dictionary.take(pa.array(order)), hashes[order], rank[coded.indices.to_numpy()]
 
 
 class Table:
@@ -80,9 +96,7 @@ class Table:
 
     def gather(self, place: np.ndarray) -> np.ndarray:
         """The ids of the units at the places, one after the other."""
-        size = self.sizes(place)
-        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        return self.ids[within + np.repeat(self.first[place].astype(np.int64), size)].astype(np.int32)
+        return self.ids[_runs(self.first[place].astype(np.int64), self.sizes(place))].astype(np.int32)
 
 
 def flattened(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,17 +104,6 @@ def flattened(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return lengths, np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(lengths.sum()))
 
 
-def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes in order, the first place of each, and the number of each place; only the distinct ones are sorted."""
-    coded = pa.array(hashes).dictionary_encode()
-    values, back = coded.dictionary.to_numpy(), coded.indices.to_numpy()
-    order, rank, index = np.argsort(values), np.empty(len(values), np.int32), np.empty(len(values), np.int64)
-    rank[order] = np.arange(len(values), dtype=np.int32)
-    back = rank[back]
-    index[back[::-1]] = np.arange(len(back) - 1, -1, -1)
-    return values[order], index, back
-
-
 def no_table() -> Table:
     return Table(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32))
 
@@ -114,32 +117,30 @@ class TaskEncoder:
 
     def __call__(self, units: Units) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all units in turn, and where each row's begin."""
-        values, index, back = _distinct(units.hashes)
+        texts, values, back = units.distinct()
+        found = [table.find(values) for table in self.tables]
         fixed = np.zeros(len(values), dtype=bool)
-        for table in self.tables:
-            fixed |= table.find(values) >= 0
-        new = np.flatnonzero(~fixed & (self.own.find(values) < 0))
-        if len(self.own) + len(new) > REMEMBERED:
-            self.own, new = no_table(), np.flatnonzero(~fixed)
-        if len(new):
-            old, fresh = self.own, Table(values[new], *self.encode([units.text(u) for u in index[new]]))
+        for place in found:
+            fixed |= place >= 0
+        own = self.own.find(values)
+        new = ~fixed & (own < 0)
+        if len(self.own) + int(new.sum()) > REMEMBERED:
+            self.own, new = no_table(), ~fixed
+        if new.any():
+            old, fresh = self.own, Table(values[new], *self.encode(texts.filter(pa.array(new)).to_pylist()))
             sizes = np.concatenate([t.sizes(np.arange(len(t))) for t in (old, fresh)])
             self.own = Table(np.concatenate([old.hashes, fresh.hashes]), sizes, np.concatenate([t.ids.astype(np.int32) for t in (old, fresh)]))
-        own = self.own.find(values)
-        sizes, parts, start = np.zeros(len(values), dtype=np.int64), [], np.zeros(len(values), dtype=np.int64)
-        total = 0
-        for table in [self.own, *self.tables]:
-            place = own if table is self.own else np.where(sizes > 0, -1, table.find(values))
-            at = np.flatnonzero(place >= 0)
-            sizes[at] = table.sizes(place[at])
-            start[at] = total + np.cumsum(sizes[at]) - sizes[at]
+            own = self.own.find(values)
+        rank, left, sizes, parts, total = np.empty(len(values), dtype=np.int32), np.ones(len(values), dtype=bool), [], [], 0
+        for table, place in zip([self.own, *self.tables], [own, *found]):
+            at = np.flatnonzero((place >= 0) & left)
+            rank[at], left[at] = np.arange(total, total + len(at)), False
+            sizes.append(table.sizes(place[at]))
             parts.append(table.gather(place[at]))
-            total += len(parts[-1])
-        flat = np.concatenate(parts)
-        size = sizes[back]
-        begin = np.append(0, np.cumsum(size))
-        within = np.arange(int(begin[-1])) - np.repeat(begin[:-1], size)
-        return flat[within + np.repeat(start[back], size)], begin[units.first]
+            total += len(at)
+        edges = np.append(0, np.cumsum(np.concatenate(sizes))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(parts))).take(pa.array(rank[back]))
+        return lists.values.to_numpy(), lists.offsets.to_numpy()[units.first]
 
 
 def encoded_batches(batches: Iterator[pa.RecordBatch], encoder: TaskEncoder, cuts: Cuts, prefix: bytes = b"") -> Iterator[pa.RecordBatch]:
@@ -160,15 +161,10 @@ def distinct_units(texts: DataFrame, cuts: Cuts, prefix: bytes = b"") -> DataFra
         seen = np.empty(0, dtype=np.uint64)
         for batch in text_slices(batches):
             own = Units(batch["text"], cuts, prefix)
-            hashes, first = np.unique(own.hashes, return_index=True)
-            new = ~np.isin(hashes, seen, assume_unique=True)
+            text, hashes, _ = own.distinct()
+            new = ~np.isin(hashes, seen)
             seen = np.union1d(seen, hashes[new])
-            hashes, first = hashes[new], first[new]
-            lengths = own.ends[first] - own.starts[first]
-            ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
-            where = np.arange(int(ends[-1])) + np.repeat(own.starts[first] - ends[:-1], lengths)
-            text = pa.StringArray.from_buffers(len(first), pa.py_buffer(ends), pa.py_buffer(own.data[where].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), text], ["hash", "unit"])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[new].view(np.int64)), text.filter(pa.array(new))], ["hash", "unit"])
 
     found = texts.select("text").mapInArrow(units, "hash long, unit string").groupBy("hash")
     found = found.agg(F.min("unit").alias("unit"), F.max("unit").alias("other"), F.count("*").alias("tasks"))

@@ -18,6 +18,8 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SLICE_BYTES = 2 << 20
+#: About so many bytes are hashed at a time, so the running sums stay in a processor's cache.
+HASHED_BYTES = 1 << 17
 _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
 _IN_WORD = np.zeros(256, dtype=bool)
@@ -47,7 +49,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     out, lengths = np.empty(len(starts), dtype=np.uint64), ends - starts
     if not len(out):
         return out
-    edges = np.searchsorted(np.cumsum(lengths), np.arange(0, int(lengths.sum()), 1 << 20), side="right")
+    edges = np.searchsorted(np.cumsum(lengths), np.arange(0, int(lengths.sum()), HASHED_BYTES), side="right")
     edges = np.unique(np.append(edges, len(out)))
     pieces = [(low, high) for low, high in zip(np.append(0, edges)[:-1], edges) if low < high]
     powers = _powers(_BASE, max(int(lengths[low:high].sum()) for low, high in pieces))

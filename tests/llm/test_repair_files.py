@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from demandlab.llm.repair_files import compress, document_slice, expand, expansions, ids_between, packed, read_documents, unpacked, word_cuts, write_shards
+from demandlab.llm.repair_files import compress, document_slice, expand, expand_shard, expansions, ids_between, packed, read_documents, unpacked, word_cuts, write_shards
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -122,3 +122,54 @@ def test_a_round_costs_what_it_looks_at(monkeypatch):
     found, times = np.unique(codes, return_counts=True)
     assert sorted(values.tolist()) == found[times >= 5].tolist()
     assert values[number].tolist() == codes[at].tolist() and len(at) == times[times >= 5].sum()
+
+
+def test_a_process_loads_the_library_once_and_joins_plain_units():
+    """The tokenizer is not read again by every task, and units are told apart without a search in each."""
+    from demandlab.llm import repair_files
+
+    tokenizer, special, encode = repair_files._library(FILE)
+    assert repair_files._library(FILE)[0] is tokenizer and special == (b"<|endoftext|>",)
+    units = [" word", "word", " x1", "don't", " ", "\n", "\nword", "a\n", "語", " 語語", "\x85b", "<|endoftext|>", "a<|endoftext|>", " \u3000x", "²", "!"] * 70
+    lengths, flat = encode(units)
+    own = [tokenizer.encode(unit, add_special_tokens=False).ids for unit in units]
+    assert lengths.tolist() == [len(ids) for ids in own] and flat.tolist() == sum(own, [])
+
+
+def test_distinct_units_are_hashed_once(monkeypatch):
+    """Hashes are taken of distinct units only, and each unit knows its own."""
+    import pyarrow as pa
+
+    from demandlab.llm import unit_table
+
+    hashed, hashes_of = [], unit_table.span_hashes
+    monkeypatch.setattr(unit_table, "span_hashes", lambda data, starts, ends: hashed.append(len(starts)) or hashes_of(data, starts, ends))
+    units = unit_table.Units(pa.array(["a b a b a", None, "", "a é b"]).slice(0), word_cuts())
+    text, hashes, number = units.distinct()
+    assert hashed == [4] and sorted(text.to_pylist()) == [" a", " b", " é", "a"]
+    assert [text.to_pylist()[k] for k in number] == ["a", " b", " a", " b", " a", "a", " é", " b"]
+    assert (np.diff(hashes.astype(object)) > 0).all() and hashes[number].tolist() == units.hashes.tolist()
+    assert unit_table.Units(pa.array([], pa.string()), word_cuts()).distinct()[0].to_pylist() == []
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 2), min_size=1, max_size=200))
+def test_shards_are_expanded_by_copies(ids):
+    last = np.zeros(len(ids), dtype=bool)
+    last[len(ids) // 2] = last[-1] = True
+    symbols, _, rules = compress(np.array(ids), last, 3, least=2)
+    assert expand_shard(symbols, rules, 3, expansions(rules, 3)).tolist() == ids
+
+
+def test_rules_are_expanded_once(monkeypatch):
+    from demandlab.llm import repair_files
+
+    asked = []
+    monkeypatch.setattr(repair_files, "expand", lambda symbols, *a: asked.append(len(symbols)) or expand(symbols, *a))
+    said = np.random.default_rng(8).integers(0, 50, (20, 12))
+    ids = said[np.random.default_rng(9).integers(0, 20, 5000)].ravel()
+    last = np.zeros(len(ids), dtype=bool)
+    last[-1] = True
+    symbols, _, rules = compress(ids, last, 50)
+    assert expand_shard(symbols, rules, 50, expansions(rules, 50)).tolist() == ids.tolist()
+    assert asked == [len(rules)] and len(rules) < len(symbols)
